@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -88,6 +89,17 @@ def utf8(texts) -> list[bytes]:
     return [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
 
 
+def filter_rows(docs: DataFrame, text_col: str, decide) -> DataFrame:
+    """Rows for which ``decide`` (texts as UTF-8 -> flags) holds, every column as it is; a batch at a time."""
+
+    def run(batches):
+        for b in batches:
+            keep = decide(utf8(b.column(text_col).to_pylist()))
+            yield b.filter(pa.array(np.asarray(keep, bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # hashing
 # ---------------------------------------------------------------------------------------------------------------------

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import neardup
+from . import decontam, neardup
 from .common import read_table
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 

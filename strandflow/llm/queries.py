@@ -6,18 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, neardup, packing, tokens
+from . import decontam, langid, neardup, ogg, packing, tokens, toxicity
 from .common import read_table
 
 
+def op1_ogg_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ogg.media_features(read_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, neardup, ogg, packing, tokens, toxicity
+from . import decontam, langid, licenses, linededup, neardup, ogg, packing, tokens, toxicity
 from .common import read_table
 
 
@@ -14,10 +14,18 @@ def op1_ogg_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg.media_features(read_table(spark, sf_dir, "documents"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.line_report(read_table(spark, sf_dir, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(read_table(spark, sf_dir, "documents"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read_table(spark, sf_dir, "documents"))
 
@@ -43,4 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_line_dedup": linededup.REPORT_SQL.replace("{docs}", "documents"),
+        "op5_license_scan": licenses.scan_sql("documents"),
+    }

@@ -65,6 +65,10 @@ class Scratch:
         for t in tables:
             remove(self.spark, t._strandflow_path)
 
+    def tidy(self) -> None:
+        """Let the driver forget shuffles that nothing reads any more, so that their files are deleted."""
+        self.spark.sparkContext._jvm.System.gc()
+
 
 def held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``, is 0."""

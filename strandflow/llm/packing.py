@@ -2,16 +2,16 @@
 
 A document is its token ids and then id ``END``.  It is cut after every full sequence; each such piece is a sequence of
 its own, and what is left (1 to 2048 tokens) is the document's rest.  Rests are counted by length class (``GRAIN``
-tokens wide), and the histogram, at most 512 numbers whatever the input, goes to the driver.  There a linear program
+tokens wide), and the histogram, at most 256 numbers whatever the input, goes to the driver.  There a linear program
 over patterns (how many rests of each class share a sequence) is solved by column generation: the simplex method keeps
 one pattern per class, and a knapsack dynamic program finds the pattern that the dual prices value most.  Each pattern
-is used as often as its rounded-down share says; the few rests beyond that (fewer than 512 patterns' worth) are packed
+is used as often as its rounded-down share says; the few rests beyond that (fewer than 256 patterns' worth) are packed
 best fit, and where such a sequence would stay under ``TIGHT`` full, its rests are cut into powers of two, which need no
 padding.
 
 Documents get their places by rank within their class.  Ranks are row numbers within (class, salt) plus the number of
 rests before that salt, so a class that holds most documents is still dealt over all salts.  The pattern table (at most
-512 patterns by 512 classes, and one row for each of the few rests beyond) is joined by class and range of ranks.
+256 patterns by 256 classes, and one row for each of the few rests beyond) is joined by class and range of ranks.
 
 Texts are read and tokenised once; checksums of all pieces that may be needed are made then.
 
@@ -34,7 +34,7 @@ from . import common as C
 from .tokens import WordTokenizer, text_groups
 
 LENGTH = 2048
-GRAIN = 4
+GRAIN = 8
 END = 1
 TIGHT = 0.985
 #: The linear program ends when no pattern can lower the bound by more than this share.
@@ -67,26 +67,34 @@ def _pieces(path: str):
     return run
 
 
-def best_pattern(size: np.ndarray, price: np.ndarray, room: int) -> tuple[np.ndarray, float]:
-    """Unbounded knapsack: how many of each size fill ``room`` at the highest price.  Sizes ascend."""
+def best_patterns(size: np.ndarray, price: np.ndarray, room: int, most: int = 12) -> tuple[list[np.ndarray], float]:
+    """Unbounded knapsack over ``room`` at these prices: its best pattern's worth, and good patterns, best first.
+
+    Each good pattern has one chosen size in it and fills the rest in the best way.  Sizes ascend.
+    """
     value, choice = np.zeros(room + 1), np.full(room + 1, -1)
-    upto = np.searchsorted(size, np.arange(room + 1), "right")
+    upto = np.searchsorted(size, np.arange(room + 1), "right").tolist()
     for c in range(1, room + 1):
         k = upto[c]
         value[c] = value[c - 1]
         if k:
             v = value[c - size[:k]] + price[:k]
-            i = int(v.argmax())
+            i = v.argmax()
             if v[i] > value[c] + 1e-12:
                 value[c], choice[c] = v[i], i
-    out, c = np.zeros(len(size)), room
-    while c > 0:
-        if choice[c] < 0:
-            c -= 1
-        else:
-            out[choice[c]] += 1
-            c -= size[choice[c]]
-    return out, float(value[room])
+    worth = price + value[room - size]
+    out = []
+    for i in np.argsort(-worth, kind="stable")[:most]:
+        column, c = np.zeros(len(size)), room - int(size[i])
+        column[i] = 1
+        while c > 0:
+            if choice[c] < 0:
+                c -= 1
+            else:
+                column[choice[c]] += 1
+                c -= int(size[choice[c]])
+        out.append(column)
+    return out, float(worth.max())
 
 
 def solve_patterns(size: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
@@ -98,19 +106,23 @@ def solve_patterns(size: np.ndarray, demand: np.ndarray, room: int, gap: float =
     use = demand / each
     for _ in range(60 * m + 200):
         price = inverse.sum(0)
-        column, worth = best_pattern(size, price, room)
+        columns, worth = best_patterns(size, price, room)
         if worth <= 1 + 1e-9 or use.sum() - (price @ demand) / worth <= gap * use.sum():
             break
-        step = inverse @ column
-        ratio = np.where(step > 1e-10, use / np.where(step > 1e-10, step, 1), np.inf)
-        out = int(ratio.argmin())
-        theta = ratio[out]
-        use = np.maximum(use - theta * step, 0)
-        use[out] = theta
-        row = inverse[out] / step[out]
-        inverse -= np.outer(step, row)
-        inverse[out] = row
-        patterns[:, out] = column
+        for column in columns:
+            if price @ column <= 1 + 1e-9:
+                continue
+            step = inverse @ column
+            ratio = np.where(step > 1e-10, use / np.where(step > 1e-10, step, 1), np.inf)
+            out = int(ratio.argmin())
+            theta = ratio[out]
+            use = np.maximum(use - theta * step, 0)
+            use[out] = theta
+            row = inverse[out] / step[out]
+            inverse -= np.outer(step, row)
+            inverse[out] = row
+            patterns[:, out] = column
+            price = inverse.sum(0)
     return patterns.astype(np.int64), use
 
 

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import array
 import json
+import re
 from collections.abc import Callable, Iterator
 from itertools import chain
 
@@ -138,45 +139,66 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
+class Generations(dict):
+    """A dictionary of bounded size: when it is full it becomes the older one, from which entries in use come back."""
+
+    def __init__(self, most: int = CACHE):
+        super().__init__()
+        self.most, self.older = most, {}
+
+    def __missing__(self, key):
+        value = self[key] = self.older[key]
+        return value
+
+    def unknown(self, keys: set) -> list:
+        return list((keys - self.keys()) - self.older.keys())
+
+    def trim(self) -> None:
+        if len(self) > self.most:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordTokenizer:
-    """The library's ids, little-endian unsigned 32-bit; each distinct word goes through the library once while it is kept."""
+    """The library's ids, little-endian unsigned 32-bit; each distinct word goes through its model once while it is kept."""
 
-    #: Normalising by Python equals the library's for these characters.
-    plain = regex.compile(r"[\x00-\x1b\x20-\x7e\xa1-\xac\xae-ɏ‐-‧‰-⁞]*\Z")
+    #: Lower-casing by Python equals the library's normaliser for texts of these characters.
+    plain = regex.compile(r"[\x00-\x1b\x20-\x7e\xa1-\xac\xae-\u024f\u2010-\u2027\u2030-\u205e]*\Z")
+    #: WORD_LEVEL for ASCII texts, which the standard library splits faster.
+    ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
+        self.model = self.lib.model.tokenize
         with open(path, encoding="utf-8") as f:
             self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
         self.find: Callable = regex.compile(WORD_LEVEL).findall
-        self.cache: dict[str, bytes] = {}
+        self.find_ascii: Callable = self.ascii_words.findall
+        self.symbol = dict(enumerate(byte_symbols()))
+        self.cache = Generations()
 
     def learn(self, words: list[str]) -> None:
-        for a in range(0, len(words), 5000):
-            part = words[a : a + 5000]
-            got = self.lib.encode(" ".join(part), add_special_tokens=False)
-            ids, word = np.array(got.ids, np.uint32), np.array(got.word_ids, np.int64)
-            cut = np.searchsorted(word, np.arange(len(part) + 1))
-            if word[-1] != len(part) - 1:
-                raise AssertionError("a word was split before merging")
-            data = ids.astype("<u4").tobytes()
-            for w, s, e in zip(part, cut[:-1].tolist(), cut[1:].tolist(), strict=True):
-                self.cache[w] = data[4 * s : 4 * e]
+        for w in words:
+            got = self.model(w if w.isascii() and w.isprintable() else w.encode("utf-8").decode("latin-1").translate(self.symbol))
+            self.cache[w] = array.array("I", [t.id for t in got]).tobytes()
+
+    def words(self, text: str) -> list[str] | None:
+        if any(s in text for s in self.special):
+            return None
+        if text.isascii():
+            return self.find_ascii(text.lower())
+        return self.find(text.lower() if self.plain.match(text) else self.lib.normalizer.normalize_str(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words: list = []
-        for t in texts:
-            if any(s in t for s in self.special):
-                words.append(None)
-            else:
-                words.append(self.find(t.lower() if self.plain.match(t) else self.lib.normalizer.normalize_str(t)))
-        new = list({w for ws in words if ws for w in ws} - self.cache.keys())
-        if new:
-            self.learn(new)
+        words = [self.words(t) for t in texts]
+        seen: set[str] = set()
+        for ws in words:
+            if ws:
+                seen.update(ws)
+        self.learn(self.cache.unknown(seen))
         known = self.cache.__getitem__
         out = [array.array("I", self.lib.encode(t, add_special_tokens=False).ids).tobytes() if ws is None else b"".join(map(known, ws)) for t, ws in zip(texts, words, strict=True)]
-        if len(self.cache) > CACHE:
-            self.cache.clear()
+        self.cache.trim()
         return out

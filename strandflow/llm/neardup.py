@@ -241,3 +241,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     out = one.select("doc_id", "n_shingles", "set_id").join(alone, (F.col("set_id") == F.col("own_set")) & (F.col("n_shingles") > 0), "left").join(named, F.col("own_set") == F.col("set"), "left")
     comp = F.coalesce("linked", "rep", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their group, all columns as they are.
+
+    Of rows that repeat a doc_id and text, one stays.
+    """
+    scratch = C.Scratch(docs.sparkSession, "neardup-kept")
+    kept = scratch.write(near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_nd_id")).agg(F.count("*").alias("_nd_rows")))
+    out = docs.join(kept.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("_nd_id")), "left_semi")
+    return out.dropDuplicates([id_col, text_col]) if kept.where("_nd_rows > 1").limit(1).count() else out

@@ -1,11 +1,579 @@
-"""Registered queries over the driver's tables."""
+"""Registered queries over the driver's tables, each with the SQL that gives the same rows.
+
+The tables hold no genomes, so three views stand for them (see ALN, LOCUS and READS): integers only, one text for both
+engines.  Alignments, transcripts and attribute cells that the views cannot hold are inline rows.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import sequence as S
+from ..functions import text as X
+from ..operators import annotate as A
+from ..operators import clusters as M
+from ..operators import edits as E
+from ..operators import fdr as D
+from ..operators import filters as P
+from ..operators import genemodel as G
+from ..operators import intervals as I
+from ..operators import reads as R
+from ..sources import sinks as K
+
+ALN = """SELECT CAST(l_suppkey AS INT) AS tid,
+  CASE WHEN l_suppkey % 10 = 0 THEN concat('chrmarkov_', CAST(l_suppkey AS VARCHAR(20))) ELSE concat('chr', CAST(l_suppkey AS VARCHAR(20))) END AS chrom,
+  CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, concat('lib', CAST(l_linenumber % 3 AS VARCHAR(20))) AS lib,
+  CAST(l_orderkey % 15000 AS BIGINT) AS pos, CAST(l_orderkey % 15000 + CAST(l_quantity AS BIGINT) AS BIGINT) AS pend,
+  CAST(1 + l_partkey % 5 AS BIGINT) AS mult, CAST(l_partkey % 256 AS INT) AS mapq, CAST(1 + l_linenumber % 2 AS INT) AS x0, CAST(l_partkey % 4 AS INT) AS x1,
+  CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS conv FROM lineitem"""
+LOCUS = """SELECT concat('chr', CAST(o_custkey % 100 AS VARCHAR(20))) AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS sense,
+  CAST(o_orderkey % 15000 AS BIGINT) AS start, CAST(o_orderkey % 15000 + 1 + o_custkey % 400 AS BIGINT) AS "end",
+  concat('transcript/', lower(o_orderstatus), '/') AS path, concat('TX', CAST(o_orderkey AS VARCHAR(20))) AS name FROM orders"""
+TIES = ["mult", "mapq", "lib", "conv"]
+STRAND = ["tid", "strand"]
+
+
+def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+def aln(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(ALN.replace("FROM lineitem", "FROM {t}").replace('"', "`"), t=_table(spark, d, "lineitem"))
+
+
+def locus(spark: SparkSession, d: str) -> DataFrame:
+    return spark.sql(LOCUS.replace("FROM orders", "FROM {t}").replace('"', "`"), t=_table(spark, d, "orders"))
+
+
+def reads(spark: SparkSession, d: str) -> DataFrame:
+    docs = _table(spark, d, "documents")
+    return docs.select(F.col("doc_id").alias("line_no"), F.col("text").alias("seq"), F.lit("I").alias("qual"))
+
+
+def island_rows(spark: SparkSession, d: str) -> DataFrame:
+    return I.islands(aln(spark, d), ["tid", "chrom", "strand"], ties=TIES, width=4096)
+
+
+CLUSTER = ["tid", "chrom", "strand", "island"]
+
+
+def cluster_table(spark: SparkSession, d: str) -> DataFrame:
+    """One row per island with the scores that the view can give."""
+    r = island_rows(spark, d).withColumns({"w": F.col("mult").cast("double"), "as_": F.lit(None).cast("int"), "xs": F.lit(None).cast("int"), "pp": F.lit(None).cast("double")})
+    base = M.mapping_scores(r, CLUSTER)
+    conv = r.groupBy(*CLUSTER).agg(F.sum(F.col("mult") * F.col("conv")).cast("double").alias("conversion_score"), F.count_distinct(F.when(F.col("conv") > 0, F.col("lib"))).alias("read_support"))
+    out = base.join(conv, CLUSTER).withColumn("decoy", P.is_decoy(F.col("chrom")))
+    return out.withColumn("reason", P.discard_reason()).withColumn("cid", F.concat_ws(":", "tid", "strand", "island"))
+
+
+# SQL of the shared steps
+_W = "PARTITION BY tid, strand ORDER BY pos, pend, mult, mapq, lib, conv"
+ISLAND_SQL = f"""aln AS ({ALN}), m AS (
+  SELECT *, max(pend) OVER ({_W} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM aln
+), isl AS (
+  SELECT *, CAST(sum(CASE WHEN prev IS NULL OR pos > prev THEN 1 ELSE 0 END) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS island FROM m
+)"""
+CLUSTER_SQL = ISLAND_SQL + """, cl AS (
+  SELECT tid, chrom, strand, island, CAST(sum(mult) AS DOUBLE) AS n_reads, count(*) AS uniq_reads, min(pos) AS start, max(pend) AS "end",
+    max(pend) - min(pos) AS length, sum(mult * u) AS cum_uniq, max(u) AS max_uniq, sum(mult * u) / sum(mult) AS avg_uniq,
+    CAST(sum(mult * mapq) AS DOUBLE) AS cum_mapq, CAST(max(mapq) AS DOUBLE) AS max_mapq, sum(mult * mapq) / sum(mult) AS avg_mapq,
+    sum(mult) * 0.5 AS cum_pp, CAST(sum(mult * conv) AS DOUBLE) AS conversion_score, count(DISTINCT CASE WHEN conv > 0 THEN lib END) AS read_support,
+    regexp_matches(chrom, 'markov') AS decoy
+  FROM (SELECT *, CASE WHEN x0 = 1 THEN 255.0::DOUBLE / (x1 + 1) ELSE 0.0::DOUBLE END AS u FROM isl) GROUP BY tid, chrom, strand, island
+), judged AS (
+  SELECT *, CASE WHEN uniq_reads < 2 THEN 'discarded_few_reads' WHEN conversion_score < 1 THEN 'discarded_few_conversions' WHEN max_uniq < 1 THEN 'discarded_non_uniq'
+    WHEN read_support < 1 THEN 'discarded_insuff_read_support' END AS reason FROM cl
+), kept AS (SELECT * FROM judged WHERE reason IS NULL)"""
+_Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        _Q[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---- islands and clusters -------------------------------------------------------------------------------------------
+@query(f"WITH {ISLAND_SQL} SELECT chrom, strand, island, min(pos) AS start, max(pend) AS \"end\", max(pend) - min(pos) AS length, count(*) AS n FROM isl GROUP BY tid, chrom, strand, island")
+def w1_islands(spark, d):
+    """Strand-aware islands."""
+    return I.extents(island_rows(spark, d), ["tid", "chrom", "strand"]).drop("tid")
+
+
+@query(f"""WITH {ISLAND_SQL}, f AS (SELECT tid, strand, island, min(struct_pack(pos, pend, mult, mapq, lib, conv)) AS f FROM isl GROUP BY tid, strand, island),
+c AS (SELECT tid, arg_min(strand, struct_pack(a := f, b := strand)) AS s FROM f GROUP BY tid), nx AS (SELECT tid, lead(s) OVER (ORDER BY tid) AS ns FROM c),
+g AS (SELECT f.*, lead(f) OVER (PARTITION BY tid, strand ORDER BY island) AS g FROM f)
+SELECT tid, strand, island, 'CID_' || lpad(CAST(row_number() OVER (ORDER BY tid, CASE WHEN g IS NULL THEN 1 ELSE 0 END, g, CASE WHEN g IS NULL AND strand <> coalesce(ns, '+') THEN 1 ELSE 0 END) AS VARCHAR), 6, '0') AS cid
+FROM g JOIN nx USING (tid)""")
+def w2_cluster_numbers(spark, d):
+    """Names in emission order."""
+    return I.number_clusters(island_rows(spark, d), ties=["pend", *TIES])
+
+
+@query(f"WITH {CLUSTER_SQL} SELECT chrom, strand, island, n_reads, uniq_reads, length, round(cum_uniq, 4) AS cum_uniq, round(max_uniq, 4) AS max_uniq, round(avg_uniq, 4) AS avg_uniq, cum_mapq, max_mapq, round(avg_mapq, 4) AS avg_mapq, cum_pp FROM cl")
+def a18_mapping_scores(spark, d):
+    """A16, A17, A18."""
+    r = lambda c: F.round(c, 4).alias(c)
+    return cluster_table(spark, d).select("chrom", "strand", "island", "n_reads", "uniq_reads", "length", r("cum_uniq"), r("max_uniq"), r("avg_uniq"), "cum_mapq", "max_mapq", r("avg_mapq"), "cum_pp")
+
+
+@query(f"WITH {CLUSTER_SQL} SELECT chrom, strand, start, \"end\", decoy, reason FROM judged WHERE chrom NOT LIKE 'rRNA%'")
+def p_discard_chain(spark, d):
+    """First failed test of each cluster."""
+    return P.not_ribosomal(cluster_table(spark, d)).select("chrom", "strand", "start", "end", "decoy", "reason")
+
+
+@query(f"""WITH {CLUSTER_SQL}, c AS (SELECT reason, decoy, count(*) AS n FROM judged GROUP BY 1, 2), k AS (
+SELECT unnest(['total', CASE WHEN decoy THEN 'decoy_hits' ELSE 'reference_hits' END, coalesce(reason, 'kept'), CASE WHEN reason IS NULL THEN CASE WHEN decoy THEN 'decoy_kept' ELSE 'reference_kept' END END]) AS key, n FROM c)
+SELECT key, CAST(sum(n) AS BIGINT) AS n FROM k WHERE key IS NOT NULL GROUP BY key""")
+def a28_stage_counters(spark, d):
+    return P.stage_counters(cluster_table(spark, d))
+
+
+_MASKS = ["chr3:100-2000", "chr5:0-14000", "chr7:8000-8001"]
+
+
+@query(f"WITH {CLUSTER_SQL}, mk(c, s, e) AS (VALUES ('chr3', 100, 2000), ('chr5', 0, 14000), ('chr7', 8000, 8001)) SELECT chrom, strand, start, \"end\" FROM cl WHERE NOT EXISTS (SELECT 1 FROM mk WHERE c = chrom AND NOT (\"end\" < s OR start > e))")
+def p11_masks(spark, d):
+    """Closed-interval masks."""
+    masks = spark.createDataFrame(P.parse_masks(_MASKS), "chrom string, start long, end long")
+    return P.masked(cluster_table(spark, d), masks).select("chrom", "strand", "start", "end")
+
+
+@query(f"WITH {CLUSTER_SQL}, locus AS ({LOCUS}) SELECT chrom, strand, start, \"end\" FROM cl c WHERE NOT EXISTS (SELECT 1 FROM locus l WHERE l.chrom = c.chrom AND l.sense = c.strand AND l.start < c.\"end\" AND c.start < l.\"end\")")
+def p10_discard_track(spark, d):
+    """Clusters under no feature."""
+    return P.not_under(cluster_table(spark, d), locus(spark, d).withColumnRenamed("sense", "strand"), ["chrom", "strand"]).select("chrom", "strand", "start", "end")
+
+
+@query(f"WITH aln AS ({ALN}) SELECT chrom, strand, pos, pend, count(*) AS n FROM aln WHERE chrom = 'chr7' AND pos < 9000 AND pend > 2000 AND x0 < 2 AND strand = '+' GROUP BY ALL")
+def p12_region_filters(spark, d):
+    """Region, uniqueness and strand filters."""
+    r = P.region(aln(spark, d), "chr7", 2000, 9000).where(M.is_unique(F.col("x0"), F.lit(None).cast("int"), F.lit(None).cast("int")) & (F.col("strand") == "+"))
+    return r.groupBy("chrom", "strand", "pos", "pend").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH aln AS ({ALN}) SELECT chrom, strand, pos, pend, mult FROM aln QUALIFY count(*) OVER (PARTITION BY chrom, pos) = 1")
+def p14_unique_ids(spark, d):
+    r = aln(spark, d).withColumn("id", F.concat_ws(":", "chrom", "pos"))
+    return P.filter_unique(r, "id").select("chrom", "strand", "pos", "pend", "mult")
+
+
+@query(f"WITH aln AS ({ALN}), locus AS ({LOCUS}) SELECT chrom, count(*) AS n FROM aln WHERE chrom IN (SELECT chrom FROM locus) GROUP BY chrom")
+def p15_known_chromosomes(spark, d):
+    sizes = locus(spark, d).groupBy("chrom").agg(F.max("end").alias("size"))
+    return P.known_chromosomes(aln(spark, d), sizes).groupBy("chrom").agg(F.count("*").alias("n"))
+
+
+# ---- coverage -------------------------------------------------------------------------------------------------------
+_COVERAGE = f"""aln AS ({ALN}), ev AS (SELECT chrom, strand, pos AS p, mult AS d FROM aln UNION ALL SELECT chrom, strand, pend, -mult FROM aln),
+dl AS (SELECT chrom, strand, p, sum(d) AS d FROM ev GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
+cv AS (SELECT chrom, strand, p AS start, lead(p) OVER w AS "end", CAST(sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS value FROM dl WINDOW w AS (PARTITION BY chrom, strand ORDER BY p))"""
+
+
+@query(f"WITH {_COVERAGE} SELECT chrom, strand, start, \"end\", value FROM cv WHERE value > 0 AND \"end\" IS NOT NULL")
+def a10_coverage(spark, d):
+    """Coverage as runs."""
+    return I.coverage(aln(spark, d), ["chrom", "strand"], width=4096)
+
+
+@query(f"WITH aln AS ({ALN}), p AS (SELECT chrom, strand, unnest(range(pos, pend)) AS pos, mult FROM aln WHERE tid = 7), s AS (SELECT chrom, strand, pos, max(mult) AS v FROM p GROUP BY ALL), n AS (SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(v) OVER w = v THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos)), r AS (SELECT *, sum(nw) OVER (PARTITION BY chrom, strand ORDER BY pos) AS r FROM n) SELECT chrom, strand, min(pos) AS start, max(pos) + 1 AS \"end\", any_value(v) AS score FROM r GROUP BY chrom, strand, r")
+def a11_run_length(spark, d):
+    """Positions to runs (of the highest weight over each position of one chromosome)."""
+    r = aln(spark, d).where("tid = 7").select("chrom", "strand", F.explode(F.expr("sequence(pos, pend - 1)")).alias("pos"), "mult")
+    return I.run_length(r.groupBy("chrom", "strand", "pos").agg(F.max("mult").alias("value")), ["chrom", "strand"])
+
+
+@query(f"WITH aln AS ({ALN}), x AS (SELECT * FROM aln WHERE chrom = 'chr9' AND pos < 8000 AND pend > 3000) SELECT chrom, strand, greatest(3000, least(7999, CASE WHEN strand = '-' THEN pend - 1 ELSE pos END)) AS pos5, CAST(sum(mult) AS BIGINT) AS value FROM x GROUP BY ALL")
+def a12_read_starts(spark, d):
+    return I.read_starts(aln(spark, d).where("chrom = 'chr9'"), ["chrom", "strand"], window=(3000, 8000))
+
+
+@query(f"WITH aln AS ({ALN}), locus AS ({LOCUS}) SELECT l.chrom, l.name, CAST(coalesce(sum(mult), 0) AS BIGINT) AS reads FROM locus l LEFT JOIN aln a ON a.chrom = l.chrom AND a.pos < l.\"end\" AND l.start < a.pend GROUP BY l.chrom, l.name, l.start, l.\"end\"")
+def j9_overlap_count(spark, d):
+    """Weighted reads over each region."""
+    return I.overlap_count(locus(spark, d), aln(spark, d), ["chrom"], width=256).select("chrom", "name", "reads")
+
+
+def _weighted(spark, d):
+    return island_rows(spark, d).withColumn("w", F.col("mult").cast("double"))
+
+
+@query(f"""WITH {ISLAND_SQL}, ev AS (SELECT tid, strand, island, pos AS p, mult AS d FROM isl UNION ALL SELECT tid, strand, island, pend, -mult FROM isl),
+dl AS (SELECT tid, strand, island, p, sum(d) AS d FROM ev GROUP BY ALL), cv AS (SELECT tid, strand, island, lead(p) OVER w - p AS n, sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS v FROM dl WINDOW w AS (PARTITION BY tid, strand, island ORDER BY p)),
+sh AS (SELECT *, v / sum(n * v) OVER (PARTITION BY tid, strand, island) AS p, sum(n) OVER (PARTITION BY tid, strand, island) AS l FROM cv WHERE n IS NOT NULL AND v > 0)
+SELECT tid, strand, island, round(sum(n * p * log2(l * p)), 4) + 0.0 AS profile_KL FROM sh GROUP BY ALL""")
+def a22_profile_kl(spark, d):
+    k = ["tid", "strand", "island"]
+    return M.profile_kl(_weighted(spark, d), k).select(*k, (F.round("profile_KL", 4) + 0.0).alias("profile_KL"))
+
+
+def _entropy_sql(at: str, name: str) -> str:
+    return f"{name} AS (SELECT tid, strand, island, -sum(p * log2(p)) AS e FROM (SELECT tid, strand, island, sum(mult) / sum(sum(mult)) OVER (PARTITION BY tid, strand, island) AS p FROM isl GROUP BY tid, strand, island, {at}) GROUP BY ALL)"
+
+
+@query(f"""WITH {ISLAND_SQL}, {_entropy_sql("CASE WHEN strand = '-' THEN pend ELSE pos END", "e5")}, {_entropy_sql("CASE WHEN strand = '-' THEN pos ELSE pend END", "e3")}, n AS (SELECT tid, strand, island, sum(mult) AS n FROM isl GROUP BY ALL)
+SELECT tid, strand, island, round(e5.e, 4) + 0.0 AS entropy_5p, round(e3.e, 4) + 0.0 AS entropy_3p, round((e3.e + 2.0 / (n + 1)) / (e5.e + 2.0 / (n + 1)), 4) AS iclip_score FROM e5 JOIN e3 USING (tid, strand, island) JOIN n USING (tid, strand, island)""")
+def a21_iclip_score(spark, d):
+    """A15, A20, A21."""
+    k = ["tid", "strand", "island"]
+    r = _weighted(spark, d)
+    n = r.groupBy(*k).agg(F.sum("w").alias("n"))
+    out = M.end_entropies(r, k).join(n, k)
+    return out.select(*k, (F.round("entropy_5p", 4) + 0.0).alias("entropy_5p"), (F.round("entropy_3p", 4) + 0.0).alias("entropy_3p"), F.round(M.iclip_score(F.col("n"), F.col("entropy_5p"), F.col("entropy_3p")), 4).alias("iclip_score"))
+
+
+# ---- false discovery ------------------------------------------------------------------------------------------------
+_SCORES = "sc AS (SELECT decoy, unnest([{'m': 'signature', 'v': conversion_score}, {'m': 'n_reads', 'v': n_reads}, {'m': 'length', 'v': CAST(length AS DOUBLE)}, {'m': 'cum_uniq', 'v': cum_uniq}]) AS s FROM kept), h AS (SELECT s.m AS method, s.v AS value, count_if(NOT decoy) AS r, count_if(decoy) AS d FROM sc GROUP BY 1, 2)"
+_CURVE = "cu AS (SELECT method, value, CAST(sum(r) OVER w AS BIGINT) AS ref, CAST(sum(d) OVER w AS BIGINT) AS dec FROM h WINDOW w AS (PARTITION BY method ORDER BY value DESC ROWS UNBOUNDED PRECEDING)), fd AS (SELECT *, ref + dec AS kept, (dec / 0.5 + 1) / (greatest(0.0, ref - dec / 0.5) + dec / 0.5 + 2) AS fdr FROM cu)"
+_METHODS = ["signature", "n_reads", "length", "cum_uniq"]
+MAX_FDR = 0.235
+
+
+def _kept(spark, d):
+    return cluster_table(spark, d).where("reason IS NULL")
+
+
+@query(f"WITH {CLUSTER_SQL}, {_SCORES}, {_CURVE} SELECT method, round(value, 4) AS value, ref, dec, kept, round(fdr, 6) AS fdr FROM fd")
+def a29_fdr_curve(spark, d):
+    c = D.curve(D.score_table(_kept(spark, d), _METHODS))
+    return c.select("method", F.round("value", 4).alias("value"), "ref", "dec", "kept", F.round("fdr", 6).alias("fdr"))
+
+
+@query(f"WITH {CLUSTER_SQL}, {_SCORES}, {_CURVE}, b AS (SELECT method, min(value) AS bp FROM fd WHERE fdr < {MAX_FDR} GROUP BY method), t AS (SELECT method, max(kept) AS total FROM fd GROUP BY method) SELECT method, round(bp, 4) AS bp, round(fdr, 6) AS fdr, kept, round(1 - kept / total, 6) AS loss FROM b JOIN fd USING (method) JOIN t USING (method) WHERE value = bp")
+def w4_single_cutoffs(spark, d):
+    """W4, U4, O6, O7."""
+    c = D.cutoffs(D.score_table(_kept(spark, d), _METHODS), MAX_FDR)
+    return c.select("method", F.round("bp", 4).alias("bp"), F.round("fdr", 6).alias("fdr"), "kept", F.round("loss", 6).alias("loss"))
+
+
+@query(f"""WITH {CLUSTER_SQL}, {_SCORES}, {_CURVE}, b AS (SELECT method, min(value) AS bp FROM fd WHERE fdr < {MAX_FDR} GROUP BY method),
+lim AS (SELECT h.method, min(value) AS low, coalesce(any_value(bp), max(value)) AS top FROM h LEFT JOIN b USING (method) GROUP BY h.method),
+x AS (SELECT DISTINCT n_reads AS v FROM kept, lim WHERE method = 'n_reads' AND n_reads > low AND n_reads <= top), y AS (SELECT DISTINCT conversion_score AS v FROM kept, lim WHERE method = 'signature' AND conversion_score > low AND conversion_score <= top),
+g AS (SELECT x.v AS b0, y.v AS b1, count_if(NOT decoy) AS r, count_if(decoy) AS d FROM x, y JOIN kept ON true WHERE n_reads >= x.v AND conversion_score >= y.v GROUP BY 1, 2),
+f AS (SELECT *, r + d AS kept, (d / 0.5 + 1) / (greatest(0.0, r - d / 0.5) + d / 0.5 + 2) AS fdr FROM g)
+SELECT b0, b1, round(fdr, 6) AS fdr, kept, round(1 - kept / (SELECT count(*) FROM kept), 6) AS loss FROM f WHERE fdr < {MAX_FDR} ORDER BY kept DESC, b0, b1 LIMIT 1""")
+def w5_pair_cutoffs(spark, d):
+    """W5, U2, X5."""
+    p = D.pair_cutoffs(_kept(spark, d), [("n_reads", "signature")], MAX_FDR)
+    return p.select("b0", "b1", F.round("fdr", 6).alias("fdr"), "kept", F.round("loss", 6).alias("loss"))
+
+
+@query(f"WITH {CLUSTER_SQL}, v AS (SELECT CASE WHEN decoy THEN 'decoy' WHEN conversion_score >= 4 AND n_reads >= 9 THEN 'kept' ELSE 'low_score' END AS verdict FROM kept) SELECT verdict, count(*) AS n FROM v GROUP BY verdict")
+def a32_verdicts(spark, d):
+    """Clusters by verdict of a pair of cutoffs."""
+    return D.verdicts(_kept(spark, d), ["signature", "n_reads"], [4.0, 9.0]).groupBy("verdict").agg(F.count("*").alias("n"))
+
+
+@query(None)
+def o2_ranked_methods(spark, d):
+    """O2: candidates, best first."""
+    k = _kept(spark, d)
+    single = D.cutoffs(D.score_table(k, _METHODS), MAX_FDR)
+    return D.rank_methods(single, D.pair_cutoffs(k, [("n_reads", "signature"), ("n_reads", "length"), ("signature", "cum_uniq")], MAX_FDR, single=single))
+
+
+# ---- annotation -----------------------------------------------------------------------------------------------------
+_SEG = f"""locus AS ({LOCUS}), bd AS (SELECT chrom, sense, start AS p FROM locus UNION SELECT chrom, sense, "end" FROM locus), sg AS (SELECT chrom, sense, p AS s, lead(p) OVER (PARTITION BY chrom, sense ORDER BY p) AS e FROM bd)"""
+
+
+@query(f"WITH {_SEG} SELECT g.chrom, g.sense, g.s AS start, g.e AS \"end\", count(*) AS n FROM sg g JOIN locus l ON l.chrom = g.chrom AND l.sense = g.sense AND l.start < g.e AND g.s < l.\"end\" WHERE g.e IS NOT NULL GROUP BY ALL")
+def w6_segments(spark, d):
+    return I.segments(locus(spark, d), ["chrom", "sense"], width=256).groupBy("chrom", "sense", "start", "end").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_SEG}, c AS (SELECT g.chrom, g.sense, g.s, g.e, rtrim(l.path, '/') AS path, string_agg(DISTINCT l.name, ',' ORDER BY l.name) AS names FROM sg g JOIN locus l ON l.chrom = g.chrom AND l.sense = g.sense AND l.start < g.e AND g.s < l.\"end\" WHERE g.e IS NOT NULL GROUP BY ALL) SELECT chrom, sense, s AS start, e AS \"end\", string_agg(path || '/' || names, '$' ORDER BY path || '/' || names) AS combination FROM c GROUP BY chrom, sense, s, e")
+def a31_compressed(spark, d):
+    """Segments with their combination."""
+    return I.compress(I.segments(locus(spark, d), ["chrom", "sense"], width=256), ["chrom", "sense"])
+
+
+@query(f"WITH aln AS ({ALN}), locus AS ({LOCUS}) SELECT a.chrom, a.strand, count(*) AS pairs, CAST(sum(l.start) AS BIGINT) AS checksum FROM aln a JOIN locus l ON a.chrom = l.chrom AND a.pos < l.\"end\" AND l.start < a.pend GROUP BY 1, 2")
+def j2_range_join(spark, d):
+    right = locus(spark, d).select("chrom", F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    hits = I.range_join(aln(spark, d), right, ["chrom"], ls="pos", le="pend", width=256)
+    return hits.groupBy("chrom", "strand").agg(F.count("*").alias("pairs"), F.sum("r_start").alias("checksum"))
+
+
+def _annotated(spark, d):
+    cl = cluster_table(spark, d).where("uniq_reads >= 3").select("cid", "chrom", F.col("strand").alias("sense"), "start", "end")
+    return A.annotate(cl, locus(spark, d), "cid", width=256)
+
+
+_ANN = f"""{CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT concat(CAST(tid AS VARCHAR), ':', strand, ':', CAST(island AS VARCHAR)) AS cid, chrom, strand, start, "end" FROM cl WHERE uniq_reads >= 3),
+ht AS (SELECT cid, iv.strand = l.sense AS same, rtrim(path, '/') AS path, name FROM iv JOIN locus l ON l.chrom = iv.chrom AND l.start < iv."end" AND iv.start < l."end"),
+an AS (SELECT iv.cid, iv.chrom, coalesce(list_sort(list_distinct(list(path) FILTER (same))), []) AS cls, coalesce(list_sort(list_distinct(list(path) FILTER (NOT same))), []) AS acls,
+  coalesce(list_sort(list_distinct(list('transcript/' || name) FILTER (same))), []) AS feat, coalesce(list_distinct(list(path || '/' || name) FILTER (same)), []) AS el, coalesce(list_distinct(list('antisense/' || path || '/' || name) FILTER (NOT same)), []) AS ael
+  FROM iv LEFT JOIN ht ON ht.cid = iv.cid GROUP BY iv.cid, iv.chrom),
+ann AS (SELECT *, CASE WHEN len(acls) > 0 THEN list_sort(list_append(cls, 'antisense')) WHEN len(cls) = 0 THEN ['intergenic'] ELSE cls END AS classes FROM an)"""
+
+
+@query(f"WITH {_ANN} SELECT cid, array_to_string(classes, ',') AS classes, array_to_string(acls, ',') AS as_classes, array_to_string(feat, ',') AS features FROM ann")
+def j3_annotation(spark, d):
+    """Sense and antisense features with default."""
+    return _annotated(spark, d).select("cid", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "as_classes").alias("as_classes"), F.concat_ws(",", "features").alias("features"))
+
+
+@query(f"WITH {_ANN}, e AS (SELECT cid, unnest(list_concat(el, ael)) AS p FROM ann), pf AS (SELECT DISTINCT cid, array_to_string(string_split(p, '/')[1:k], '/') AS path FROM e, range(1, 8) r(k) WHERE k <= len(string_split(p, '/'))) SELECT path, count(*) AS n FROM pf GROUP BY path")
+def a30_path_counts(spark, d):
+    """A30, O5."""
+    return A.path_counts(_annotated(spark, d))
+
+
+@query(f"WITH {_ANN}, c AS (SELECT array_to_string(classes, ',') || ',' || chrom AS t FROM ann) SELECT {X.category_sql('t')} AS category, count(*) AS n FROM c GROUP BY 1")
+def f14_categories(spark, d):
+    return A.with_category(_annotated(spark, d)).groupBy("category").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT tid, strand, island, chrom, CASE WHEN strand = '+' THEN start - 1 ELSE "end" - 2 END AS s FROM cl WHERE uniq_reads >= 3)
+SELECT chrom, strand, count(*) AS hits FROM iv JOIN locus l USING (chrom) WHERE l.start < s + 3 AND s < l."end" AND l.sense = strand GROUP BY ALL""")
+def j5_left_bounds(spark, d):
+    """Features over the three bases around the left (5') boundary."""
+    cl = cluster_table(spark, d).where("uniq_reads >= 3")
+    s = F.when(F.col("strand") == "+", F.col("start") - 1).otherwise(F.col("end") - 2)
+    w = cl.select("chrom", "strand", s.alias("start"), (s + 3).alias("end"))
+    right = locus(spark, d).select("chrom", F.col("sense").alias("strand"), F.col("start").alias("r_start"), F.col("end").alias("r_end"))
+    return I.range_join(w, right, ["chrom", "strand"], width=256).groupBy("chrom", "strand").agg(F.count("*").alias("hits"))
+
+
+# ---- reads and sequences --------------------------------------------------------------------------------------------
+@query("WITH c AS (SELECT translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS seq, count(*) AS n FROM documents GROUP BY 1) SELECT row_number() OVER (ORDER BY n DESC, encode(seq)) - 1 AS rank, n AS count, md5(seq) AS seq_md5 FROM c")
+def a1_collapse(spark, d):
+    """Duplicate collapse with ranks."""
+    return R.collapse(reads(spark, d)).select("rank", "count", F.md5(F.col("seq").cast("binary")).alias("seq_md5"))
+
+
+@query("SELECT count(*) AS total, count(DISTINCT translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ')) AS uniq FROM documents")
+def a2_read_statistics(spark, d):
+    return R.read_statistics(reads(spark, d))
+
+
+@query("WITH c AS (SELECT translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') AS s, count(*) AS n FROM documents GROUP BY 1), l AS (SELECT length(s) AS length, CAST(sum(n) AS BIGINT) AS raw, count(*) AS uniq FROM c GROUP BY 1) SELECT CAST(coalesce(l.length, r.k) AS INT) AS length, coalesce(raw, 0) AS raw, coalesce(uniq, 0) AS uniq FROM l FULL JOIN range(15, 77) r(k) ON r.k = l.length")
+def a3_length_histogram(spark, d):
+    return R.length_histogram(reads(spark, d))
+
+
+def _dna(spark, d):
+    return _table(spark, d, "documents").select("doc_id", F.translate(F.upper(F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 200)), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGNACGTACGTA").alias("seq"))
+
+
+_DNA = "dna AS (SELECT doc_id, translate(upper(substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, 200)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGNACGTACGTA') AS seq FROM documents)"
+
+
+@query(f"WITH {_DNA}, s AS (SELECT DISTINCT seq FROM dna), c AS (SELECT side, i - 1 AS pos, substr(t, i, 1) AS b FROM (SELECT '5p' AS side, seq AS t FROM s UNION ALL SELECT '3p', reverse(seq) FROM s), range(1, 21) r(i) WHERE i <= length(t)), n AS (SELECT side, pos, count(*) AS n FROM c GROUP BY ALL) SELECT n.side, CAST(n.pos AS INT) AS pos, x.b AS base, round((count(c.b) + 1) / (any_value(n.n) + 4), 6) AS freq FROM n CROSS JOIN (VALUES ('A'), ('C'), ('G'), ('T')) x(b) LEFT JOIN c ON c.side = n.side AND c.pos = n.pos AND c.b = x.b GROUP BY 1, 2, 3")
+def a4_base_frequencies(spark, d):
+    return R.base_frequencies(_dna(spark, d)).select("side", "pos", "base", F.round("freq", 6).alias("freq"))
+
+
+@query(f"WITH {_DNA} SELECT doc_id, translate(seq, 'ACGTN', 'TGCAN') AS comp, reverse(translate(seq, 'ACGTN', 'TGCAN')) AS rev FROM dna")
+def f3_complements(spark, d):
+    """F1, F2, F3, F5."""
+    return _dna(spark, d).select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
+
+
+@query("WITH a(c, i) AS (VALUES ('a', 0), ('c', 1), ('g', 2), ('t', 3)) SELECT x.c || y.c || z.c AS kmer, CAST(x.i * 16 + y.i * 4 + z.i AS BIGINT) AS rank FROM a x, a y, a z")
+def f4_k_mers(spark, d):
+    return S.k_mer_table(spark, 3)
+
+
+@query(f"WITH {_DNA}, k AS (SELECT substr(lower(seq), i, 2) AS kmer FROM dna, range(1, 200) r(i) WHERE i < length(seq)), c AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1) SELECT kmer, count, round(count / sum(count) OVER (), 8) AS fraction FROM c")
+def s29_pair_counts(spark, d):
+    """S29's table made from sequences."""
+    return S.k_mer_counts(_dna(spark, d), "seq", 2).select("kmer", "count", F.round("fraction", 8).alias("fraction"))
+
+
+@query(f"WITH {_DNA} SELECT doc_id, array_to_string(list_transform(string_split(translate(lower(seq), 'nacgt', '00123'), ''), lambda c: c), '') AS code FROM dna")
+def s12_numeric(spark, d):
+    return _dna(spark, d).select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
+
+
+@query(None)
+def f11_longest_orf(spark, d):
+    """F8, F9, F10, F11, O4."""
+    return S.find_orf(_dna(spark, d), "doc_id", "seq", 10)
+
+
+@query(None)
+def w9_markov(spark, d):
+    """A decoy sequence whose pair counts come from the documents."""
+    rows = {r["kmer"]: r["count"] for r in S.k_mer_counts(_dna(spark, d), "seq", 2).collect()}
+    counts = [[float(rows.get(a + b, 1)) for b in "acgt"] for a in "acgt"]
+    return R.markov(spark, counts, 200_000, seed=7)
+
+
+# ---- line filters ---------------------------------------------------------------------------------------------------
+def _lines(spark, d):
+    return _table(spark, d, "lineitem").select(F.concat_ws("\t", "l_returnflag", F.col("l_quantity").cast("long"), F.col("l_partkey"), (-F.col("l_linenumber")).cast("long")).alias("value"))
+
+
+_LINES = "ln AS (SELECT concat_ws(chr(9), l_returnflag, CAST(l_quantity AS BIGINT), l_partkey, -l_linenumber) AS value, l_quantity AS q, l_partkey AS p, l_linenumber AS n FROM lineitem)"
+
+
+@query(f"WITH {_LINES} SELECT value, count(*) AS n FROM ln WHERE q >= 48 OR -n <= -7 GROUP BY value")
+def p1_score_threshold(spark, d):
+    return P.score_threshold(_lines(spark, d), [1, 2, -4], [48.0, 48.0, -7.0]).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {_LINES} SELECT value || chr(9) || CAST(CAST(q - p AS DOUBLE) AS VARCHAR) AS value, count(*) AS n FROM ln WHERE q - p < 10000000 GROUP BY 1")
+def p2_column_sum(spark, d):
+    return P.column_sum(_lines(spark, d), [2, -3]).groupBy("value").agg(F.count("*").alias("n"))
+
+
+# ---- edits (inline alignments) --------------------------------------------------------------------------------------
+SAM = [
+    ("u_0_x3", 100, "10M", "ACGTACGTAC", "10", 1, 0, 37, False),
+    ("u_1_x2", 102, "10M", "GCACGTACGT", "1T8", 1, 1, 30, False),
+    ("u_2_x1", 105, "4M1D5M", "CGTAGTACG", "4^C5", 1, 3, 25, False),
+    ("u_3_x1", 106, "3M1I5M", "GTATCGTAC", "8", 2, 0, 0, False),
+]
+INSERTION = ("u_4", 100, "2M2D3M1I2M", "ACACTGGT", "2^GT5", None, None, 0, False)
+
+
+def sam(spark: SparkSession, rows=SAM) -> DataFrame:
+    out = spark.createDataFrame([(q, p, c, s, m, a, b, k, r) for q, p, c, s, m, a, b, k, r in rows], "qname string, pos long, cigar string, query string, md string, x0 int, x1 int, mapq int, is_reverse boolean")
+    return out.withColumns({"lib": F.lit("lib0"), "tid": F.lit(0), "chrom": F.lit("chr1"), "as_": F.lit(None).cast("int"), "xs": F.lit(None).cast("int"), "pp": F.lit(None).cast("double")})
+
+
+def sam_reads(spark: SparkSession, rows=SAM, count: str = "uniq") -> DataFrame:
+    r = E.with_edits(sam(spark, rows)).withColumns({"strand": F.when(F.col("is_reverse"), "-").otherwise("+"), "w": E.weight(F.col("qname"), count)})
+    return I.islands(r, ["chrom", "strand"], ties=["qname"])
+
+
+@query("SELECT * FROM (VALUES ('u_1_x2', 3, 'TC'), ('u_2_x1', 9, 'C_'), ('u_3_x1', 9, '_T'), ('u_4', 2, 'G_'), ('u_4', 3, 'T_'), ('u_4', 5, '_G')) t(qname, off, edit)")
+def f7_edits(spark, d):
+    """Edits of inline alignments, as offsets from 100."""
+    r = E.with_edits(sam(spark, [*SAM, INSERTION]))
+    return r.select("qname", F.explode("edits").alias("e"), "pos").select("qname", (F.col("pos") + F.col("e.off") - 100).cast("int").alias("off"), "e.edit")
+
+
+@query("""SELECT * FROM (VALUES ('uniq', 4.0::DOUBLE, 1.0::DOUBLE, 0.25::DOUBLE, 446.25::DOUBLE, 92.0::DOUBLE, 1.0::DOUBLE, 0.139612::DOUBLE, 1.0::DOUBLE, 0.168184::DOUBLE, 2.0::DOUBLE, '[TC,C_,_T]'),
+('lin', 7.0::DOUBLE, 2.0::DOUBLE, 0.285714::DOUBLE, 1083.75::DOUBLE, 196.0::DOUBLE, 1.0::DOUBLE, 0.14964::DOUBLE, 0.970951::DOUBLE, 0.18962::DOUBLE, 3.5::DOUBLE, '[TC,C_,_T]')) t(count_function, n_reads, conversion_score, signature_density, cum_uniq, cum_mapq, iclip_score, profile_kl, seq_entropy, entropy_score, cum_pp, edit_types)""")
+def a24_inline_scores(spark, d):
+    """All scores of the inline cluster under two count functions."""
+    from ..schemas import EDITS
+
+    out = None
+    for count in ("uniq", "lin"):
+        c = M.score_clusters(sam_reads(spark, SAM, count), ["chrom", "strand", "island"], ties=["pos", "qname"])
+        kinds = F.concat(F.lit("["), F.array_join(F.filter(F.array(*[F.when(F.col("edits")[i] > 0, e) for i, e in sorted(enumerate(EDITS), key=lambda x: ["TC", "C_", "_T"].index(x[1]) if x[1] in ("TC", "C_", "_T") else 9)]), lambda x: x.isNotNull()), ","), F.lit("]"))
+        r = lambda x, y: F.round(x, 6).alias(y)
+        row = c.select(F.lit(count).alias("count_function"), "n_reads", "conversion_score", r("signature_density", "signature_density"), "cum_uniq", "cum_mapq", r("iclip_score", "iclip_score"), r("profile_KL", "profile_kl"), r("seq_entropy", "seq_entropy"), r("entropy_score", "entropy_score"), "cum_pp", kinds.alias("edit_types"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("SELECT * FROM (VALUES (0, 'total', 4.0::DOUBLE), (2, 'perfect', 1.0::DOUBLE), (14, 'T:C', 1.0::DOUBLE), (19, 'T_ins', 1.0::DOUBLE), (21, 'C_del', 1.0::DOUBLE)) t(rank, event, total)")
+def a27_statistics(spark, d):
+    """Global statistics of the inline reads (rows that are not 0)."""
+    k = ["chrom", "strand", "island"]
+    r = sam_reads(spark)
+    s = M.edit_statistics(r, E.edit_rows(r, k), k).withColumn("decoy", F.lit(False))
+    return P.global_statistics(s).where("total <> 0").select("rank", "event", "total")
+
+
+# ---- gene models (transcripts made from orders) ----------------------------------------------------------------------
+_TX = """SELECT concat('TX', CAST(o_orderkey AS VARCHAR(20))) AS name, concat('G', CAST(o_custkey AS VARCHAR(20))) AS gene_id, 'chr1' AS chrom, CASE WHEN o_orderkey % 2 = 0 THEN '+' ELSE '-' END AS sense,
+  CAST(2000 + o_orderkey * 10 AS BIGINT) AS s, CAST(50 + o_custkey % 40 AS BIGINT) AS w, CAST(2 + o_orderkey % 3 AS INT) AS n FROM orders"""
+
+
+def transcripts(spark: SparkSession, d: str) -> DataFrame:
+    t = spark.sql(_TX.replace("FROM orders", "FROM {t}"), t=_table(spark, d, "orders"))
+    starts = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.col("s") + i * 3 * F.col("w"))
+    t = t.withColumns({"exon_starts": starts, "exon_ends": F.transform(starts, lambda x: x + F.col("w"))})
+    return t.withColumns({"cds_start": F.col("s") + 10, "cds_end": F.element_at("exon_ends", -1) - 15}).drop("s", "w", "n")
+
+
+@query(f"WITH t AS ({_TX}), e AS (SELECT *, s + 3 * w * i AS es, s + 3 * w * i + w AS ee, i FROM t, range(0, 4) r(i) WHERE i < n) SELECT name, CAST(CASE WHEN sense = '-' THEN n - i ELSE i + 1 END AS INT) AS number, es AS e_start, ee AS e_end FROM e")
+def g4_exons(spark, d):
+    """G1, G4, W8."""
+    return G.exons(transcripts(spark, d)).select("name", "number", "e_start", "e_end")
+
+
+@query(f"WITH t AS ({_TX}) SELECT name, n * w AS spliced, (n - 1) * 3 * w + w AS unspliced, array_to_string(list_transform(range(0, n + 1), lambda k: k * w), ',') AS offsets FROM t")
+def w7_offsets(spark, d):
+    """W7, G1."""
+    return G.with_lengths(transcripts(spark, d)).select("name", "spliced", "unspliced", F.array_join(F.transform("offsets", lambda x: x.cast("string")), ",").alias("offsets"))
+
+
+@query(f"""WITH t AS ({_TX}), b AS (SELECT *, s + 3 * w * (n - 1) + w AS e FROM t) SELECT name,
+CASE WHEN sense = '+' THEN 10 ELSE 15 END AS utr5, n * w - 25 AS cds, CASE WHEN sense = '+' THEN 15 ELSE 10 END AS utr3 FROM b""")
+def g6_parts(spark, d):
+    """Spliced lengths of UTRs and coding region."""
+    p = G.parts(transcripts(spark, d))
+    return p.select("name", *[G.spliced_length(F.col(c)).alias(c) for c in ("utr5", "cds", "utr3")])
+
+
+@query(f"""WITH t AS ({_TX}), b AS (SELECT *, s + 3 * w * (n - 1) + w AS e, sense = '+' AS f FROM t), l AS (
+SELECT 'regulation/promoter_500/' AS path, CASE WHEN f THEN s - 500 ELSE e END AS a, CASE WHEN f THEN s ELSE e + 500 END AS b FROM b UNION ALL
+SELECT 'regulation/promoter_1000/', CASE WHEN f THEN s - 1000 ELSE e END, CASE WHEN f THEN s ELSE e + 1000 END FROM b UNION ALL
+SELECT 'transcript/downstream_500/', CASE WHEN f THEN e ELSE s - 500 END, CASE WHEN f THEN e + 500 ELSE s END FROM b UNION ALL
+SELECT 'transcript/downstream_1000/', CASE WHEN f THEN e ELSE s - 1000 END, CASE WHEN f THEN e + 1000 ELSE s END FROM b UNION ALL
+SELECT 'transcript/coding/', s, e FROM b UNION ALL SELECT 'gene/', s, e FROM b UNION ALL
+SELECT 'transcript/processing/TSS/', CASE WHEN f THEN s ELSE e - 1 END, CASE WHEN f THEN s + 1 ELSE e END FROM b UNION ALL
+SELECT 'transcript/processing/polyA_site/', CASE WHEN f THEN e ELSE s - 1 END, CASE WHEN f THEN e + 1 ELSE s END FROM b UNION ALL
+SELECT 'transcript/processing/exon/', s + 3 * w * i, s + 3 * w * i + w FROM b, range(0, 4) r(i) WHERE i < n UNION ALL
+SELECT 'transcript/processing/intron/', s + 3 * w * i + w, s + 3 * w * (i + 1) FROM b, range(0, 4) r(i) WHERE i < n - 1 UNION ALL
+SELECT 'transcript/processing/SS5/', CASE WHEN f THEN s + 3 * w * i + w ELSE s + 3 * w * (i + 1) - 1 END, CASE WHEN f THEN s + 3 * w * i + w + 1 ELSE s + 3 * w * (i + 1) END FROM b, range(0, 4) r(i) WHERE i < n - 1 UNION ALL
+SELECT 'transcript/processing/SS3/', CASE WHEN f THEN s + 3 * w * (i + 1) - 1 ELSE s + 3 * w * i + w END, CASE WHEN f THEN s + 3 * w * (i + 1) ELSE s + 3 * w * i + w + 1 END FROM b, range(0, 4) r(i) WHERE i < n - 1 UNION ALL
+SELECT 'transcript/translation/CDS/', s + 10, e - 15 FROM b UNION ALL
+SELECT 'transcript/translation/start/', CASE WHEN f THEN s + 10 ELSE e - 16 END, CASE WHEN f THEN s + 11 ELSE e - 15 END FROM b UNION ALL
+SELECT 'transcript/translation/stop/', CASE WHEN f THEN e - 15 ELSE s + 9 END, CASE WHEN f THEN e - 14 ELSE s + 10 END FROM b UNION ALL
+SELECT 'transcript/translation/UTR5/', CASE WHEN f THEN s ELSE e - 15 END, CASE WHEN f THEN s + 10 ELSE e END FROM b UNION ALL
+SELECT 'transcript/translation/UTR3/', CASE WHEN f THEN e - 15 ELSE s END, CASE WHEN f THEN e ELSE s + 10 END FROM b)
+SELECT path, count(*) AS n, CAST(sum(a) AS BIGINT) AS starts, CAST(sum(b) AS BIGINT) AS ends FROM l GROUP BY path""")
+def g9_loci(spark, d):
+    """Loci that transcripts emit, by path."""
+    t = G.loci(transcripts(spark, d))
+    return t.groupBy("path").agg(F.count("*").alias("n"), F.sum("start").alias("starts"), F.sum("end").alias("ends"))
+
+
+@query(f"WITH t AS ({_TX}), b AS (SELECT *, n * w AS len FROM t) SELECT name, CASE WHEN sense = '+' THEN 2 * w + w // 2 - 2 * w ELSE len - 1 - (w // 2) END AS spliced, CASE WHEN sense = '+' THEN s + 5 ELSE s + 3 * w * (n - 1) + w - 6 END AS genomic FROM b")
+def g2_coordinates(spark, d):
+    """Genomic to spliced and back."""
+    t = transcripts(spark, d)
+    first = F.element_at("exon_starts", 1)
+    half = F.floor((F.element_at("exon_ends", 1) - first) / 2)
+    return t.select("name", G.to_spliced(first + half).alias("spliced"), G.from_spliced(F.lit(5).cast("long")).alias("genomic"))
+
+
+# ---- cells ----------------------------------------------------------------------------------------------------------
+@query("SELECT doc_id, n, CAST(n + 1 AS BIGINT) AS total FROM (SELECT doc_id, CAST(doc_id % 50 AS BIGINT) AS n FROM documents)")
+def s6_list_cells(spark, d):
+    """List cells with ; and a trailing comma."""
+    docs = _table(spark, d, "documents").select("doc_id", (F.col("doc_id") % 50).alias("n"))
+    cell = F.concat(F.col("n").cast("string"), F.lit(";1,"))
+    got = X.make_list(cell, "bigint")
+    return docs.select("doc_id", "n", F.aggregate(got, F.lit(0).cast("long"), lambda s, x: s + x).alias("total"))
+
+
+@query("SELECT doc_id, 'G' || source AS gene_id, CAST(doc_id AS VARCHAR) AS k FROM documents")
+def s8_attributes(spark, d):
+    """Attribute cells; a later key wins."""
+    docs = _table(spark, d, "documents")
+    cell = F.concat(F.lit('gene_id "x"; k='), F.col("doc_id").cast("string"), F.lit('; gene_id "G'), F.col("source"), F.lit('"'))
+    a = X.attributes(cell)
+    return docs.select("doc_id", a["gene_id"].alias("gene_id"), a["k"].alias("k"))
+
+
+@query(f"WITH {CLUSTER_SQL} SELECT chrom || chr(9) || start || chr(9) || \"end\" || chr(9) || tid || ':' || strand || ':' || island || chr(9) || CAST(conversion_score AS VARCHAR) || chr(9) || strand AS value FROM kept")
+def k15_bed_lines(spark, d):
+    """BED lines of kept clusters."""
+    return K.bed_lines(_kept(spark, d).withColumn("score", F.col("conversion_score")))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    from ..streaming.queries import QUERIES
 
-def queries() -> dict:
-    return {}
+    return _Q | QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)

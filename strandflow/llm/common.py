@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised hashing step takes (a longer document is a step of its own).
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 600_000
 
 
 # ---------------------------------------------------------------------------------------------------------------------

@@ -82,24 +82,25 @@ def anchors(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, np.
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
         out: list = [np.zeros(0, np.int64)] * len(pdf)
-        for k, h, *_ in anchors(C.utf8(pdf["text"])):
-            out[k] = np.concatenate([out[k], h]) if len(out[k]) else h
+        for lo in range(0, len(pdf), 500):
+            for k, h, *_ in anchors(C.utf8(pdf["text"].iloc[lo : lo + 500])):
+                out[lo + k] = np.concatenate([out[lo + k], h]) if len(out[lo + k]) else h
         yield pd.DataFrame({"doc_id": pdf["doc_id"], "ta": pdf["ta"], "tb": pdf["tb"], "hs": out})
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        texts = C.utf8(pdf["text"])
-        for lo in range(0, len(texts), 1000):
-            rows: list[pd.DataFrame] = []
-            for k, h, place, first, last in anchors(texts[lo : lo + 1000]):
-                k += lo
+        for lo in range(0, len(pdf), 500):
+            texts = C.utf8(pdf["text"].iloc[lo : lo + 500])
+            rows: list[tuple] = []
+            for k, h, place, first, last in anchors(texts):
+                t, k = texts[k], lo + k
                 wanted = np.flatnonzero(np.isin(h, np.asarray(pdf["hs"].iloc[k], np.int64)))
-                t = texts[k]
                 cut = [t[s : e + LENGTH] for s, e in zip(first[wanted].tolist(), last[wanted].tolist(), strict=True)]
-                rows.append(pd.DataFrame({"h": h[wanted], "lft": (place - first)[wanted].astype(np.int32), "ctx": cut, "ta": pdf["ta"].iloc[k], "tb": pdf["tb"].iloc[k], "at": first[wanted].astype(np.int32)}))
+                rows.append((h[wanted], (place - first)[wanted], cut, np.full(len(wanted), pdf["ta"].iloc[k]), np.full(len(wanted), pdf["tb"].iloc[k]), first[wanted]))
             if rows:
-                yield pd.concat(rows, ignore_index=True)
+                h, lft, cut, ta, tb, at = zip(*rows, strict=True)
+                yield pd.DataFrame({"h": np.concatenate(h), "lft": np.concatenate(lft).astype(np.int32), "ctx": [c for x in cut for c in x], "ta": np.concatenate(ta), "tb": np.concatenate(tb), "at": np.concatenate(at).astype(np.int32)})
 
 
 # ---------------------------------------------------------------------------------------------------------------------

@@ -35,7 +35,8 @@ NEAR = 4
 LEXICON = frozenset("idiot idiots moron morons loser losers stupid dumb scum trash clown pathetic worthless disgusting imbecile fool jerk creep bastard bitch crap damn hate kill ugly vermin filth dummkopf trottel arschloch idiota imbécil estúpido basura asqueroso connard crétin débile salaud ordure".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine ihr euch tu te toi ton ta tes vous votre vos tú ti usted ustedes tus vosotros".split())
 _WORD = re.compile(r"[^\W_]+")
-_MASKED = re.compile(r"[^\W_]*[^\W\d_][@$!|*.0134578]{1,3}[^\W\d_][^\W_@$]*")
+_MASK = re.compile(r"[@$!|*.0134578]{1,3}(?=[^\W\d_])")
+_TOKEN = re.compile(r"[^\W_]*(?:[@$!|*.]{1,3}[^\W_]+)*")
 _PLAIN = str.maketrans("@$!|013457", "asiioieast")
 _STRETCH = re.compile(r"([^\W\d_])\1\1")
 _CLASS = np.zeros((256, 6))
@@ -61,8 +62,9 @@ class Features:
         low = text.lower()
         words = _WORD.findall(low)
         cache = self.cache
-        for w in set(words) - cache.keys():
-            cache[w] = self.code(w)
+        for w in set(words):
+            if w not in cache:
+                cache[w] = self.code(w)
         codes = np.frombuffer(bytes(map(cache.__getitem__, words)), np.uint8)
         if len(cache) > 300_000:
             cache.clear()
@@ -79,9 +81,17 @@ class Features:
         size = max(len(text), 1)
         masked = 0
         if kinds[4] or kinds[5] or kinds[3] or "." in text:
-            for m in _MASKED.finditer(low):
-                plain = "".join(c for c in m[0].translate(_PLAIN) if c.isalpha())
-                masked += bool(self.code(plain) & (FIXED | WORD)) and not self.code(m[0])
+            seen = -1
+            for m in _MASK.finditer(low):
+                at = m.start()
+                if at <= seen or not at or not low[at - 1].isalpha():
+                    continue
+                while at and (low[at - 1].isalnum() or low[at - 1] in "@$!|*."):
+                    at -= 1
+                whole = _TOKEN.match(low, at)
+                seen = whole.end()
+                plain = "".join(c for c in whole[0].translate(_PLAIN) if c.isalpha())
+                masked += bool(self.code(plain) & (FIXED | WORD)) and not self.code(whole[0])
         stretched = len(_STRETCH.findall(low))
         return [np.log1p(len(words)), fixed / n, word / n, start / n, np.log1p(fixed), np.log1p(word), np.log1p(start), len(you) / n, close / n, kinds[0] / max(kinds[0] + kinds[1], 1), kinds[2] / size, kinds[3] / size, kinds[4] / size, kinds[5] / size, masked / n, np.log1p(masked), stretched / n]
 

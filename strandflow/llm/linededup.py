@@ -21,32 +21,47 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW, DIVISOR, MIN_LINES = 2, 3, 2
-_CHUNKS = """transform(arrays_zip(_ld_from, _ld_to), x -> slice(_ld_lines, x._ld_from + 1, x._ld_to - x._ld_from))"""
 
 
-def with_chunks(docs: DataFrame, text: Column) -> DataFrame:
-    """Adds _ld_lines and _ld_chunks (arrays of lines)."""
-    out = docs.withColumn("_ld_lines", F.split(text, "\n", -1))
-    out = out.withColumn("_ld_hash", F.transform("_ld_lines", lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long")))
-    roll = " + ".join(f"{31**k} * (CASE WHEN i >= {k} THEN _ld_hash[i - {k}] ELSE 0 END)" for k in range(WINDOW))
-    out = out.withColumn("_ld_ends", F.expr(f"filter(transform(sequence(0, size(_ld_hash) - 1), i -> CASE WHEN ({roll}) % {DIVISOR} = 0 OR i = size(_ld_hash) - 1 THEN i + 1 END), x -> x IS NOT NULL)"))
-    out = out.withColumn("_ld_from", F.expr("concat(array(0), slice(_ld_ends, 1, size(_ld_ends) - 1))")).withColumn("_ld_to", F.col("_ld_ends"))
-    return out.withColumn("_ld_chunks", F.expr(_CHUNKS)).drop("_ld_hash", "_ld_ends", "_ld_from", "_ld_to")
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once a row: a lambda's argument is bound, where a column could be inlined into
+    every use, inside loops too."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def chunks(text: Column) -> Column:
+    """A text's chunks, each an array of lines."""
+
+    def rolling(h: Column, i: Column) -> Column:
+        out = F.get(h, i)
+        for k in range(1, WINDOW):
+            out = out + F.lit(31**k) * F.when(i >= k, F.get(h, i - k)).otherwise(0)
+        return out
+
+    def ends(h: Column) -> Column:
+        last = F.size(h) - 1
+        return F.filter(F.transform(h, lambda _, i: F.when((rolling(h, i) % DIVISOR == 0) | (i == last), i + 1)), lambda x: x.isNotNull())
+
+    def cut(lines: Column, e: Column) -> Column:
+        return F.transform(e, lambda end, k: F.when(k == 0, F.slice(lines, F.lit(1), end)).otherwise(F.slice(lines, F.get(e, k - 1) + 1, end - F.get(e, k - 1))))
+
+    line_hash = lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long")
+    return let(F.split(text, "\n", -1), lambda lines: let(F.transform(lines, line_hash), lambda h: let(ends(h), lambda e: cut(lines, e))))
 
 
 def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     src = docs.select(F.col(id_col).alias("_ld_id"), F.col(text_col).alias("_ld_text"), F.xxhash64(text_col).alias("_ld_th")).where("_ld_text IS NOT NULL")
-    rows = with_chunks(src, F.col("_ld_text")).select("_ld_id", "_ld_th", F.posexplode("_ld_chunks").alias("_ld_k", "_ld_c"))
-    rows = rows.where(F.size("_ld_c") >= MIN_LINES).withColumn("_ld_t", F.array_join("_ld_c", "\n")).where(F.trim(F.translate("_ld_t", "\n\r\t", "")) != "")
+    rows = src.select("_ld_id", "_ld_th", F.posexplode(chunks(F.col("_ld_text"))).alias("_ld_k", "_ld_c"))
+    rows = rows.where(F.size("_ld_c") >= MIN_LINES).withColumn("_ld_t", F.array_join("_ld_c", "\n")).where(F.col("_ld_t").rlike("[^ \n\r\t]"))
     return rows.select("_ld_id", "_ld_th", "_ld_k", "_ld_t", F.xxhash64("_ld_t").alias("_ld_h"))
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the chunks to drop) of the documents that lose any."""
     scratch = C.Scratch(docs.sparkSession, "linededup")
-    rows = _exploded(docs, id_col, text_col)
+    rows = scratch.write(_exploded(docs, id_col, text_col))
     again = rows.groupBy("_ld_h").count().where("count > 1").select("_ld_h")
-    often = scratch.write(rows.join(again, "_ld_h"))
+    often = rows.join(again, "_ld_h")
     place = F.struct(F.col("_ld_id"), F.col("_ld_th"), F.col("_ld_k"))
     same = often.groupBy("_ld_h", "_ld_t").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     same = same.select("_ld_h", F.col("_ld_t").alias("text"), "first")
@@ -58,30 +73,35 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     gone = removals(docs, id_col, text_col)
     src = docs.withColumn("_ld_own", F.xxhash64(text_col))
     out = src.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.col("_ld_own") == F.col("_ld_th")), "left")
-    out = with_chunks(out, F.col(text_col))
-    kept = F.expr("flatten(filter(_ld_chunks, (c, k) -> NOT array_contains(_ld_gone, k)))")
-    return out.withColumn("_ld_kept", F.when(F.col("_ld_gone").isNull(), F.col(text_col)).otherwise(F.array_join(kept, "\n")))
+    gone = F.col("_ld_gone")
+
+    def judge(c: Column) -> Column:
+        kept = F.array_join(F.flatten(F.filter(c, lambda x, k: ~F.array_contains(gone, k))), "\n")
+        lines = F.aggregate(gone, F.lit(0).cast("long"), lambda s, k: s + F.size(F.get(c, k)))
+        return F.struct(kept.alias("kept"), F.size(gone).cast("long").alias("removed"), lines.alias("removed_lines"))
+
+    # only documents that lose something are cut again
+    return out.withColumn("_ld", F.when(gone.isNotNull(), let(chunks(F.col(text_col)), judge)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with repeated chunks of lines removed from the text; all rows and columns stay."""
     out = _joined(docs, id_col, text_col)
-    return out.select(*[F.col("_ld_kept").alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    return out.select(*[F.coalesce("_ld.kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_chunks, n_removed, n_removed_lines, kept_bytes, kept_sha256; one row per row of ``docs``."""
+    """doc_id, n_lines, n_removed (chunks), n_removed_lines, kept_bytes, kept_sha256; one row per row of ``docs``."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = _joined(src, "doc_id", "text")
-    gone = F.coalesce("_ld_gone", F.array().cast("array<int>"))
-    lines = F.expr("aggregate(coalesce(_ld_gone, array()), 0, (s, k) -> s + size(_ld_chunks[k]))")
-    n = lambda c: F.when(F.col("text").isNull(), 0).otherwise(F.size(c)).cast("long")
-    kept = F.coalesce("_ld_kept", F.lit(""))
-    return out.select("doc_id", n("_ld_lines").alias("n_lines"), n("_ld_chunks").alias("n_chunks"), F.size(gone).cast("long").alias("n_removed"), lines.cast("long").alias("n_removed_lines"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
+    n = lambda c: F.coalesce(F.col(f"_ld.{c}"), F.lit(0).cast("long"))
+    kept = F.coalesce("_ld.kept", "text", F.lit(""))
+    lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
+    return out.select("doc_id", lines.alias("n_lines"), n("removed").alias("n_removed"), n("removed_lines").alias("n_removed_lines"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 
 
 #: The same in DuckDB, over table {docs} with columns doc_id and text.
-REPORT_SQL = """
+REPORT_SQL = r"""
 WITH line AS (
   SELECT doc_id, generate_subscripts(l, 1) AS i, unnest(l) AS line
   FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM {docs} WHERE text IS NOT NULL)
@@ -96,13 +116,13 @@ WITH line AS (
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, k) AS place FROM chunk
 ), judged AS (
-  SELECT *, n >= 2 AND trim(translate(t, chr(10) || chr(13) || chr(9), '')) <> '' AND place > 1 AS gone FROM ranked
+  SELECT *, n >= 2 AND regexp_matches(t, '[^ \n\r\t]') AND place > 1 AS gone FROM ranked
 ), summed AS (
-  SELECT doc_id, sum(n)::BIGINT AS n_lines, count(*)::BIGINT AS n_chunks, count_if(gone)::BIGINT AS n_removed,
+  SELECT doc_id, sum(n)::BIGINT AS n_lines, count_if(gone)::BIGINT AS n_removed,
     coalesce(sum(n) FILTER (gone), 0)::BIGINT AS n_removed_lines, coalesce(string_agg(t, chr(10) ORDER BY k) FILTER (NOT gone), '') AS kept
   FROM judged GROUP BY doc_id
 )
-SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_chunks, 0) AS n_chunks, coalesce(n_removed, 0) AS n_removed,
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
   coalesce(n_removed_lines, 0) AS n_removed_lines, strlen(coalesce(kept, ''))::BIGINT AS kept_bytes, sha256(coalesce(kept, '')) AS kept_sha256
 FROM {docs} d LEFT JOIN summed s ON s.doc_id = d.doc_id
 """

@@ -80,7 +80,7 @@ CLUSTER_SQL = ISLAND_SQL + """, cl AS (
   SELECT tid, chrom, strand, island, CAST(sum(mult) AS DOUBLE) AS n_reads, count(*) AS uniq_reads, min(pos) AS start, max(pend) AS "end",
     max(pend) - min(pos) AS length, sum(mult * u) AS cum_uniq, max(u) AS max_uniq, sum(mult * u) / sum(mult) AS avg_uniq,
     CAST(sum(mult * mapq) AS DOUBLE) AS cum_mapq, CAST(max(mapq) AS DOUBLE) AS max_mapq, sum(mult * mapq) / sum(mult) AS avg_mapq,
-    sum(mult) * 0.5 AS cum_pp, CAST(sum(mult * conv) AS DOUBLE) AS conversion_score, count(DISTINCT CASE WHEN conv > 0 THEN lib END) AS read_support,
+    CAST(sum(mult) AS DOUBLE) * 0.5 AS cum_pp, CAST(sum(mult * conv) AS DOUBLE) AS conversion_score, count(DISTINCT CASE WHEN conv > 0 THEN lib END) AS read_support,
     regexp_matches(chrom, 'markov') AS decoy
   FROM (SELECT *, CASE WHEN x0 = 1 THEN 255.0::DOUBLE / (x1 + 1) ELSE 0.0::DOUBLE END AS u FROM isl) GROUP BY tid, chrom, strand, island
 ), judged AS (
@@ -260,7 +260,7 @@ lim AS (SELECT h.method, min(value) AS low, coalesce(any_value(bp), max(value))
 x AS (SELECT DISTINCT n_reads AS v FROM kept, lim WHERE method = 'n_reads' AND n_reads > low AND n_reads <= top), y AS (SELECT DISTINCT conversion_score AS v FROM kept, lim WHERE method = 'signature' AND conversion_score > low AND conversion_score <= top),
 g AS (SELECT x.v AS b0, y.v AS b1, count_if(NOT decoy) AS r, count_if(decoy) AS d FROM x, y JOIN kept ON true WHERE n_reads >= x.v AND conversion_score >= y.v GROUP BY 1, 2),
 f AS (SELECT *, r + d AS kept, (d / 0.5 + 1) / (greatest(0.0, r - d / 0.5) + d / 0.5 + 2) AS fdr FROM g)
-SELECT b0, b1, round(fdr, 6) AS fdr, kept, round(1 - kept / (SELECT count(*) FROM kept), 6) AS loss FROM f WHERE fdr < {MAX_FDR} ORDER BY kept DESC, b0, b1 LIMIT 1""")
+SELECT b0, b1, round(fdr, 6) AS fdr, CAST(kept AS BIGINT) AS kept, round(1 - kept / (SELECT count(*) FROM kept), 6) AS loss FROM f WHERE fdr < {MAX_FDR} ORDER BY kept DESC, b0, b1 LIMIT 1""")
 def w5_pair_cutoffs(spark, d):
     """W5, U2, X5."""
     p = D.pair_cutoffs(_kept(spark, d), [("n_reads", "signature")], MAX_FDR)
@@ -504,7 +504,7 @@ def w7_offsets(spark, d):
 
 
 @query(f"""WITH t AS ({_TX}), b AS (SELECT *, s + 3 * w * (n - 1) + w AS e FROM t) SELECT name,
-CASE WHEN sense = '+' THEN 10 ELSE 15 END AS utr5, n * w - 25 AS cds, CASE WHEN sense = '+' THEN 15 ELSE 10 END AS utr3 FROM b""")
+CAST(CASE WHEN sense = '+' THEN 10 ELSE 15 END AS BIGINT) AS utr5, n * w - 25 AS cds, CAST(CASE WHEN sense = '+' THEN 15 ELSE 10 END AS BIGINT) AS utr3 FROM b""")
 def g6_parts(spark, d):
     """Spliced lengths of UTRs and coding region."""
     p = G.parts(transcripts(spark, d))

@@ -139,6 +139,7 @@ class SamSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SamSource)
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import EDITS
+from ..scratch import settle
 from . import edits as E
 from .intervals import coverage
 
@@ -121,6 +122,7 @@ def entropy_score(n_reads: Column, kl: Column, seq: Column) -> Column:
 def score_clusters(reads: DataFrame, keys: list[str], modes: dict[str, str] | None = None, ties: list[str] | None = None) -> DataFrame:
     """All reported scores, one row per cluster; ``reads`` come from edits.with_edits with w and cluster keys."""
     modes, ties = modes or {}, ties or ["pos", "lib", "qname"]
+    reads = settle(reads, "reads")  # seven aggregations read them
     rows = E.edit_rows(reads, keys)
     profile = signature_profile(reads, rows, keys, modes, ties)
     out = mapping_scores(reads, keys)

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import settle
+
 #: Positions in the edits vector (fixed values).
 _I = {e: i for i, e in enumerate("AC AG AT A_ CA CG CT C_ GA GC GT G_ TA TC TG T_ _A _C _G _T".split())}
 
@@ -100,16 +102,18 @@ def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: flo
     partition, so it is never gathered as a whole.
     """
     wanted = sorted({m for p in pairs for m in p})
-    scores = score_table(clusters, wanted)
+    # the scores are read by several branches: written once, without what made them
+    base = settle(clusters.select("cid", "decoy", *[scoring(m).alias(f"s_{m}") for m in wanted]), "pairs")
+    scores = base.select("cid", "decoy", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"s_{m}").alias("value")) for m in wanted])).alias("s")).select("cid", "decoy", "s.method", "s.value")
     limits = scores.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"))
     single = single if single is not None else cutoffs(scores, max_fdr, scale)
     limits = limits.join(single.select("method", "bp"), "method", "left").select("method", "low", F.coalesce("bp", "high").alias("top"))
-    items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), scoring(a).alias("v0"), scoring(b).alias("v1")) for a, b in pairs])
-    rows = clusters.select("decoy", F.explode(items).alias("s")).select("decoy", "s.*")
+    items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), F.col(f"s_{a}").alias("v0"), F.col(f"s_{b}").alias("v1")) for a, b in pairs])
+    rows = base.select("decoy", F.explode(items).alias("s")).select("decoy", "s.*")
     l0 = limits.select(F.col("method").alias("m0"), F.col("low").alias("low0"), F.col("top").alias("top0"))
     l1 = limits.select(F.col("method").alias("m1"), F.col("low").alias("low1"), F.col("top").alias("top1"))
     rows = rows.join(F.broadcast(l0), "m0").join(F.broadcast(l1), "m1")  # one row a score
-    hist = rows.groupBy("m0", "m1", "low0", "low1", F.least("v0", "top0").alias("v0"), F.least("v1", "top1").alias("v1")).agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d"))
+    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", F.least("v0", "top0").alias("v0"), F.least("v1", "top1").alias("v1")).agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")), "pairs")
     # every v0 meets every v1 of its pair: the cells of the grid
     axis0, axis1 = hist.select("m0", "m1", "low0", "low1", "v0").distinct(), hist.select("m0", "m1", "v1").distinct()
     grid = axis0.join(axis1, ["m0", "m1"]).join(hist.select("m0", "m1", "v0", "v1", "r", "d"), ["m0", "m1", "v0", "v1"], "left").fillna(0, ["r", "d"])

@@ -12,6 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import settle
+
 BIN = 1 << 20
 #: Bin width of range joins: about the length of the longer side's intervals.
 JOIN_BIN = 1 << 12
@@ -48,7 +50,8 @@ def islands(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     out = df.join(carry, [*keys, "_bin"])
     top = F.greatest(F.max(end).over(before), F.col("_carry"))
-    out = out.withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0)).drop("_carry")
+    # used twice below: written once, so the input is not read again for the counts
+    out = settle(out.withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0)).drop("_carry"), "islands")
     offset = _carry(out, keys, F.sum("_new"), F.sum, 0)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     return out.join(offset, [*keys, "_bin"]).withColumn("island", F.col("_carry") + F.sum("_new").over(upto)).drop("_bin", "_carry", "_new")
@@ -92,7 +95,7 @@ def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pen
     """Runs of equal positive coverage: keys, start, end, value.  A sweep over interval ends; no position is expanded."""
     w = F.col(weight) if isinstance(weight, str) else weight
     ends = df.select(*keys, F.explode(F.array(F.struct(F.col(start).alias("p"), w.alias("d")), F.struct(F.col(end).alias("p"), (-w).alias("d")))).alias("x"))
-    deltas = ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d")).where("d <> 0")
+    deltas = settle(ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d")).where("d <> 0"), "coverage")
     sums = running_sum(deltas, keys, "p", "d", "value", width)
     return next_position(sums, keys, "p", "q", width).where("value > 0 AND q IS NOT NULL").select(*keys, F.col("p").alias("start"), F.col("q").alias("end"), "value")
 
@@ -178,7 +181,7 @@ def overlap_count(regions: DataFrame, reads: DataFrame, keys: list[str], weight:
 
 def segments(loci: DataFrame, keys: list[str], width: int = JOIN_BIN) -> DataFrame:
     """Maximal blocks over which the set of loci is constant: keys, start, end and one row per covering locus."""
-    bounds = loci.select(*keys, F.explode(F.array("start", "end")).alias("p")).distinct()
+    bounds = settle(loci.select(*keys, F.explode(F.array("start", "end")).alias("p")).distinct(), "segments")
     seg = next_position(bounds, keys, "p", "q").where("q IS NOT NULL").select(*keys, F.col("p").alias("seg_start"), F.col("q").alias("seg_end"))
     right = loci.select(*keys, F.col("start").alias("r_start"), F.col("end").alias("r_end"), *[c for c in loci.columns if c not in (*keys, "start", "end")])
     return range_join(seg, right, keys, ls="seg_start", le="seg_end", width=width).drop("r_start", "r_end").withColumnsRenamed({"seg_start": "start", "seg_end": "end"})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -14,6 +15,8 @@ from pyspark.sql import functions as F
 
 #: Text bytes that one vectorised hashing step takes (a longer document is a step of its own).
 CHUNK_BYTES = 600_000
+#: Rows that are taken out of a batch at a time.
+SLICE = 500
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -93,13 +96,27 @@ def utf8(texts) -> list[bytes]:
     return [t.encode("utf-8", "replace") if isinstance(t, str) else b"" for t in texts]
 
 
+try:
+    _malloc_trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not glibc
+    _malloc_trim = None
+
+
+def batches(source: Iterator) -> Iterator:
+    """The batches as they come; memory that one has freed goes back to the system before the next, since workers are reused."""
+    for b in source:
+        yield b
+        if _malloc_trim:
+            _malloc_trim(0)
+
+
 def filter_rows(docs: DataFrame, text_col: str, decide) -> DataFrame:
     """Rows for which ``decide`` (texts as UTF-8 -> flags) holds, every column as it is; a batch at a time."""
 
-    def run(batches):
-        for b in batches:
-            keep = decide(utf8(b.column(text_col).to_pylist()))
-            yield b.filter(pa.array(np.asarray(keep, bool)))
+    def run(source):
+        for b in batches(source):
+            keep = [np.asarray(decide(utf8(b.column(text_col).slice(k, SLICE).to_pylist())), bool) for k in range(0, b.num_rows, SLICE)]
+            yield b.filter(pa.array(np.concatenate(keep))) if keep else b
 
     return docs.mapInArrow(run, docs.schema)
 

@@ -188,7 +188,7 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: st
 def _matcher(broadcasts: list):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks = [Block(b.value) for b in broadcasts]
-        for pdf in batches:
+        for pdf in C.batches(batches):
             texts = C.utf8(pdf["text"])
             rows: list[dict] = []
             for a, b in C.sized(texts, SHARD_BYTES):
@@ -215,8 +215,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
     broadcasts = benchmark_blocks(benchmark)
 
+    blocks: list[Block] = []  # made once in each task
+
     def keep(texts: list[bytes]) -> list[bool]:
-        blocks = [Block(b.value) for b in broadcasts]
+        if len(blocks) < len(broadcasts):
+            blocks.extend(Block(b.value) for b in broadcasts)
         return [not r["contaminated"] for a, b in C.sized(texts, SHARD_BYTES) for r in match_shard(texts[a:b], blocks)[0]]
 
     return C.filter_rows(docs, text_col, keep)
@@ -228,7 +231,7 @@ def locations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", tex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         blocks = [Block(b.value) for b in broadcasts]
-        for pdf in batches:
+        for pdf in C.batches(batches):
             texts = C.utf8(pdf["text"])
             rows = []
             for a, b in C.sized(texts, SHARD_BYTES):

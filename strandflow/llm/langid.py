@@ -67,7 +67,7 @@ def grams(chars: np.ndarray) -> np.ndarray:
 def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     total: dict[str, np.ndarray] = {}
     docs: dict[str, int] = {}
-    for pdf in batches:
+    for pdf in C.batches(batches):
         for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
             docs[lang] = docs.get(lang, 0) + 1
             chars = letters(text)
@@ -134,7 +134,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col, text_col, lang_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in C.batches(batches):
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             got = [x for a, b in C.sized(texts, 500_000) for x in shared.value.predict(texts[a:b])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": [x[0] for x in got], "score": np.array([x[1] for x in got], float)})

@@ -60,7 +60,8 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the chunks to drop) of the documents that lose any."""
     scratch = C.Scratch(docs.sparkSession, "linededup")
     rows = scratch.write(_exploded(docs, id_col, text_col))
-    again = rows.groupBy("_ld_h").count().where("count > 1").select("_ld_h")
+    # written, so that the join shuffles both sides and a hot chunk can be split
+    again = scratch.write(rows.groupBy("_ld_h").count().where("count > 1").select("_ld_h"))
     often = rows.join(again, "_ld_h")
     place = F.struct(F.col("_ld_id"), F.col("_ld_th"), F.col("_ld_k"))
     same = often.groupBy("_ld_h", "_ld_t").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")

@@ -81,32 +81,33 @@ def set_ids(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
     return C.mix(np.add.reduceat(C.mix(flat + _A[0]), at) ^ C.mix(np.add.reduceat(C.mix(flat ^ _A[1]), at)))
 
 
+def _slice_one(pdf: pd.DataFrame) -> pd.DataFrame:
+    sets = shingle_sets(C.utf8(pdf["text"]))
+    n = np.array([len(s) for s in sets], np.int64)
+    ids = np.zeros(len(sets), np.uint64)
+    keys: list = [None] * len(sets)
+    full = np.flatnonzero(n)
+    for a, b in C.sized([sets[i].data for i in full], 250_000):
+        part = [sets[i] for i in full[a:b]]
+        flat, at = np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1]
+        ids[full[a:b]] = set_ids(flat, at)
+        sig = signatures(part).reshape(len(part), TREES, DEEP)
+        depth = _T[None, :].repeat(len(part), 0)
+        kept = []
+        for d in range(DEEP):
+            depth = C.mix(depth * _W[0] + sig[:, :, d])
+            if d + 1 in (SHALLOW, DEEP):
+                kept.append(depth)
+        both = np.stack(kept, axis=2).view(np.int64).reshape(len(part), 2 * TREES)
+        for i, row in zip(full[a:b], both, strict=True):
+            keys[i] = row
+    return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n_shingles": n, "set_id": ids.view(np.int64), "keys": keys})
+
+
 def _pass_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        texts = C.utf8(pdf["text"])
-        sets = shingle_sets(texts)
-        n = np.array([len(s) for s in sets], np.int64)
-        ids = np.zeros(len(sets), np.uint64)
-        keys: list = [None] * len(sets)
-        full = np.flatnonzero(n)
-        for a, b in C.sized([sets[i].data for i in full], 250_000):
-            part = [sets[i] for i in full[a:b]]
-            flat, at = np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1]
-            ids[full[a:b]] = set_ids(flat, at)
-            sig = signatures(part).reshape(len(part), TREES, DEEP)
-            shallow, deep = _T[None, :].repeat(len(part), 0), None
-            for d in range(DEEP):
-                if d == SHALLOW:
-                    deep = shallow
-                nxt = C.mix((deep if d >= SHALLOW else shallow) * _W[0] + sig[:, :, d])
-                if d < SHALLOW:
-                    shallow = nxt
-                else:
-                    deep = nxt
-            both = np.stack([shallow, deep], axis=2).view(np.int64).reshape(len(part), 2 * TREES)
-            for i, row in zip(full[a:b], both, strict=True):
-                keys[i] = row
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_shingles": n, "set_id": ids.view(np.int64), "keys": keys})
+    for pdf in C.batches(batches):
+        for k in range(0, len(pdf), C.SLICE):
+            yield _slice_one(pdf.iloc[k : k + C.SLICE])
 
 
 def connected_components(edges: DataFrame, scratch: C.Scratch, a: str = "a", b: str = "b") -> DataFrame:
@@ -190,8 +191,8 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     key, ids, sets = None, [], []
     out_a: list[int] = []
     out_b: list[int] = []
-    for pdf in batches:
-        made = shingle_sets(C.utf8(pdf["text"]))
+    for pdf in C.batches(batches):
+        made = [s for k in range(0, len(pdf), C.SLICE) for s in shingle_sets(C.utf8(pdf["text"].iloc[k : k + C.SLICE]))]
         for t, i, s in zip(zip(pdf["cluster"], pdf["x"], pdf["y"], strict=True), pdf["set_id"], made, strict=True):
             if t != key:
                 close(ids, sets)
@@ -213,7 +214,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = C.Scratch(spark, "neardup")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     one = scratch.write(src.mapInPandas(_pass_one, "doc_id long, n_shingles long, set_id long, keys array<long>"))
-    classes = one.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("keys").alias("keys"))
+    full = one.where("n_shingles > 0")
+    # written, so that joins with it shuffle both sides and a hot set id can be split
+    least = scratch.write(full.groupBy("set_id").agg(F.min("doc_id").alias("rep")))
+    classes = full.groupBy("set_id").agg(F.first("keys").alias("keys"))
     pairs = scratch.write(classes.select("set_id", F.posexplode(F.expr("transform(sequence(0, size(keys) - 2, 2), i -> struct(keys[i] AS k1, keys[i + 1] AS k2))")).alias("t", "k")).select("set_id", "k.k1", "k.k2"))
     r1 = pairs.groupBy("k1").agg(F.count("*").alias("n"), F.min("set_id").alias("hub")).where("n > 1")
     near = pairs.join(r1, "k1").select("set_id", "k2", "n", "hub")
@@ -225,21 +229,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cluster = scratch.write(cluster.unionByName(cluster.select(F.col("root").alias("node"), "root").distinct()))
     scratch.drop(pairs)
     blocks = cluster.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    member = cluster.join(blocks, "root").join(one.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep")), F.col("node") == F.col("set_id")).select(F.col("rep").alias("doc_id"), "set_id", F.col("root").alias("cluster"), "nb")
+    member = cluster.join(blocks, "root").join(least, F.col("node") == F.col("set_id")).select(F.col("rep").alias("doc_id"), "set_id", F.col("root").alias("cluster"), "nb")
     texts = src.join(member.hint("shuffle_hash"), "doc_id").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("nb")))
     tasks = texts.select("set_id", "cluster", "text", "own", F.explode(F.expr("sequence(0, nb - 1)")).alias("other")).select("set_id", "cluster", "text", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = tasks.repartition(n_tasks, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "set_id").mapInPandas(_confirm, "a long, b long")
     links = scratch.write(links)
     found = scratch.write(connected_components(links, scratch) if blocks.where("nb > 1").limit(1).count() else links.select(F.col("a").alias("node"), F.col("b").alias("root")))
-    least = one.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"))
     label = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
     label = label.join(least, F.col("node") == F.col("set_id")).select("set_id", "root", "rep")
     root = label.groupBy("root").agg(F.min("rep").alias("linked"))
-    named = scratch.write(label.join(root, "root").select(F.col("set_id").alias("set"), "linked"))
-    alone = least.withColumnRenamed("set_id", "own_set")
-    out = one.select("doc_id", "n_shingles", "set_id").join(alone, (F.col("set_id") == F.col("own_set")) & (F.col("n_shingles") > 0), "left").join(named, F.col("own_set") == F.col("set"), "left")
-    comp = F.coalesce("linked", "rep", "doc_id")
+    named = label.join(root, "root").select(F.col("set_id").alias("set"), "linked")
+    names = scratch.write(least.join(named, F.col("set_id") == F.col("set"), "left").select(F.col("set_id").alias("own_set"), F.coalesce("linked", "rep").alias("component")))
+    out = one.select("doc_id", "n_shingles", "set_id").join(names, (F.col("set_id") == F.col("own_set")) & (F.col("n_shingles") > 0), "left")
+    comp = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 

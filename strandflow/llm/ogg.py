@@ -177,7 +177,7 @@ def load(data: bytes) -> tuple[bytes, dict[int, Stream]]:
 
 
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in C.batches(batches):
         rows = []
         for doc, text in zip(pdf["doc_id"], C.utf8(pdf["text"]), strict=True):
             pad = BLOCK - len(text) if not text else -len(text) % BLOCK
@@ -202,7 +202,7 @@ def demux(files: DataFrame, id_col: str = "id", data_col: str = "data") -> DataF
     """Packets of stored Ogg files: id, serial, packet, seconds, data."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in C.batches(batches):
             for i, data in zip(pdf["id"], pdf["data"], strict=True):
                 if data is not None:
                     got = [(i, s.serial, k, t, p) for s in read(bytes(data)).values() for k, (t, p) in enumerate(zip(s.times, s.packets, strict=True))]

@@ -46,7 +46,7 @@ def _pieces(path: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lib = WordTokenizer(path)
         step = 4 * LENGTH
-        for pdf in batches:
+        for pdf in C.batches(batches):
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             n, full, rest, powers = [], [], [], []
             for a, b in text_groups(texts):

@@ -80,7 +80,7 @@ def anchors(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, np.
 
 
 def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in C.batches(batches):
         out: list = [np.zeros(0, np.int64)] * len(pdf)
         for lo in range(0, len(pdf), 500):
             for k, h, *_ in anchors(C.utf8(pdf["text"].iloc[lo : lo + 500])):
@@ -89,7 +89,7 @@ def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in C.batches(batches):
         for lo in range(0, len(pdf), 500):
             texts = C.utf8(pdf["text"].iloc[lo : lo + 500])
             rows: list[tuple] = []
@@ -252,7 +252,7 @@ def _sorted_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         return pd.DataFrame({"ca": pdf["ca"].to_numpy()[who], "cb": pdf["cb"].to_numpy()[who], "s": start.astype(np.int32), "e": end.astype(np.int32)})
 
     rest = None
-    for pdf in batches:
+    for pdf in C.batches(batches):
         pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
         h = pdf["h"].to_numpy()
         cuts = np.append(np.flatnonzero(np.diff(h)) + 1, len(h)) if len(h) else np.zeros(1, int)
@@ -268,7 +268,7 @@ def _sorted_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in C.batches(batches):
         rows = []
         for doc, t, whole, spans in zip(pdf["doc_id"], C.utf8(pdf["text"]), pdf["whole"], pdf["spans"], strict=True):
             merged: list[list[int]] = []
@@ -308,7 +308,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # one row of each text: its copies have the same hashes
     one = made.groupBy("ta", "tb").agg(F.first("hs").alias("hs"))
     each = one.select("ta", "tb", F.explode("hs").alias("h"))
-    often = each.groupBy("h").count().where("count > 1").select("h")
+    # written, so that the join shuffles both sides and a hot anchor can be split
+    often = scratch.write(each.groupBy("h").count().where("count > 1").select("h"))
     wanted = each.join(often, "h").groupBy("ta", "tb").agg(F.collect_set("h").alias("hs"))
     wanted = scratch.write(wanted.join(copies.select("ta", "tb", "rep"), ["ta", "tb"]))
     scratch.drop(made)
@@ -320,7 +321,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.tidy()
 
     distinct = scratch.write(cut.groupBy("h", "lft", "ctx", "ca", "cb").agg(F.count("*").alias("n")))
-    kinds = distinct.groupBy("h").agg(F.count("*").alias("kinds"))
+    kinds = scratch.write(distinct.groupBy("h").agg(F.count("*").alias("kinds")))
     lone = distinct.join(kinds.where("kinds = 1").select("h"), "h").where("n > 1").select("ca", "cb", F.lit(0).alias("s"), F.octet_length("ctx").alias("e"))
     some = distinct.join(kinds.where((F.col("kinds") > 1) & (F.col("kinds") <= HOT)).select("h"), "h")
     some = some.repartition(parts, "h").sortWithinPartitions("h").mapInPandas(_sorted_contexts, "ca long, cb long, s int, e int")

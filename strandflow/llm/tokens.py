@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from . import common as C
 
 LIMIT = 1024
-CACHE = 400_000
+CACHE = 250_000
 #: Distinct pre-tokens that one merging step holds.
 STEP = 200_000
 #: The pre-token patterns of the two vocabularies (fixed values).
@@ -109,7 +109,7 @@ class RankMerger:
                 extra.append(0)
                 words.append(self.pattern.findall(t) if t else [])
         known = self.cache
-        new = list({w for ws in words for w in ws} - known.keys())
+        new = [w for w in {w for ws in words for w in ws} if w not in known]
         for a in range(0, len(new), STEP):
             part = new[a : a + STEP]
             known.update(zip(part, self.merge([w.encode("utf-8") for w in part]).tolist(), strict=True))
@@ -129,7 +129,7 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         merger = RankMerger(path)
-        for pdf in batches:
+        for pdf in C.batches(batches):
             texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
             n = [x for a, b in text_groups(texts) for x in merger.count(texts[a:b])]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array(n, np.int64), "n_bytes": np.array([len(t.encode("utf-8")) for t in texts], np.int64)})
@@ -151,7 +151,7 @@ class Generations(dict):
         return value
 
     def unknown(self, keys: set) -> list:
-        return list((keys - self.keys()) - self.older.keys())
+        return [k for k in keys if k not in self and k not in self.older]
 
     def trim(self) -> None:
         if len(self) > self.most:

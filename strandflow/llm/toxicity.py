@@ -66,7 +66,7 @@ class Features:
             if w not in cache:
                 cache[w] = self.code(w)
         codes = np.frombuffer(bytes(map(cache.__getitem__, words)), np.uint8)
-        if len(cache) > 300_000:
+        if len(cache) > 100_000:
             cache.clear()
         n = max(len(words), 1)
         bad = np.flatnonzero(codes & (FIXED | WORD | START))
@@ -105,7 +105,7 @@ def terms(text: str) -> set[str]:
 
 
 def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
+    for pdf in C.batches(batches):
         bad, good = Counter(), Counter()
         for text, y in zip(pdf["text"], pdf["y"], strict=True):
             (bad if y else good).update(terms(text))
@@ -215,7 +215,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     features = Features(frozenset(r["term"] for r in found if not r["term"].endswith("*")), frozenset(r["term"][:-1] for r in found if r["term"].endswith("*")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in C.batches(batches):
             x = features.matrix(pdf["text"].tolist())
             yield pd.DataFrame({"y": pdf["y"], "kept_out": pdf["kept_out"], "x": list(x)})
 
@@ -235,7 +235,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels, id_col, text_col))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
+        for pdf in C.batches(batches):
             s = shared.value.score([t if isinstance(t, str) else "" for t in pdf["text"]])
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": s})
 

@@ -62,9 +62,9 @@ def merge_sources(*sources: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, sources)
 
 
-def extents(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend") -> DataFrame:
-    """Start, end, length and number of rows of each island."""
-    out = df.groupBy(*keys, "island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("n"))
+def extents(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend", extra: list[Column] | None = None) -> DataFrame:
+    """Start, end, length and number of rows of each island, and whatever further aggregates the caller wants."""
+    out = df.groupBy(*keys, "island").agg(F.min(start).alias("start"), F.max(end).alias("end"), F.count("*").alias("n"), *(extra or []))
     return out.withColumn("length", F.col("end") - F.col("start"))
 
 

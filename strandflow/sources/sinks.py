@@ -35,9 +35,10 @@ def stats_lines(clusters: DataFrame) -> tuple[str, DataFrame]:
 
 
 def with_header(header: str, lines: DataFrame) -> DataFrame:
-    """A header line before the others; written to one file it stays first."""
-    first = lines.sparkSession.createDataFrame([(header,)], "value string")
-    return first.unionByName(lines)
+    """One partition with a header line before the others, which keep their order."""
+    rest = lines.select(F.monotonically_increasing_id().alias("_i"), "value")
+    first = lines.sparkSession.createDataFrame([(-1, header)], "_i long, value string")
+    return first.unionByName(rest).coalesce(1).sortWithinPartitions("_i").select("value")
 
 
 def bed_lines(clusters: DataFrame) -> DataFrame:
@@ -93,12 +94,11 @@ def typed_lines(df: DataFrame) -> tuple[str, DataFrame]:
 def write_lines(lines: DataFrame, path: str, header: str | None = None, single: bool = False) -> None:
     """Text files; with a header or ``single`` one file, which one task writes."""
     out = with_header(header, lines) if header else lines
-    (out.coalesce(1) if header or single else out).write.mode("overwrite").text(path)
+    (out.coalesce(1) if single and not header else out).write.mode("overwrite").text(path)
 
 
-def write_verdicts(clusters: DataFrame, lines: DataFrame, path: str, method: str) -> None:
+def write_verdicts(clusters: DataFrame, path: str, method: str) -> None:
     """Kept rows and the others, both marked with the method, as two partitions of one directory."""
-    del lines
     out = clusters.withColumn("stream", F.when(F.col("verdict") == "kept", "out").otherwise("err")).withColumn("filtered_by", F.lit(method))
     out.write.mode("overwrite").partitionBy("stream").parquet(path)
 

@@ -26,10 +26,11 @@ def is_unique(x0: Column, as_: Column, xs: Column) -> Column:
     return F.when(x0.isNotNull(), x0 < 2).otherwise(as_ != F.coalesce(xs, F.lit(2000)))
 
 
-def mapping_scores(reads: DataFrame, keys: list[str]) -> DataFrame:
-    """n_reads, uniq_reads and cum/max/avg of uniqueness, mapping quality and posterior probability (default 0.5)."""
+def mapping_scores(reads: DataFrame, keys: list[str], extra: list[Column] | None = None) -> DataFrame:
+    """n_reads, uniq_reads and cum/max/avg of uniqueness, mapping quality and posterior probability (default 0.5); and
+    the caller's further aggregates, in the same pass."""
     scored = reads.withColumns({"_u": uniqueness(F.col("x0"), F.col("x1"), F.col("as_"), F.col("xs")), "_m": F.col("mapq").cast("double"), "_p": F.coalesce("pp", F.lit(0.5))})
-    aggs = [F.sum("w").alias("n_reads"), F.count("*").alias("uniq_reads"), F.min("pos").alias("start"), F.max("pend").alias("end")]
+    aggs = [F.sum("w").alias("n_reads"), F.count("*").alias("uniq_reads"), F.min("pos").alias("start"), F.max("pend").alias("end"), *(extra or [])]
     for c, name in (("_u", "uniq"), ("_m", "mapq"), ("_p", "pp")):
         aggs += [F.sum(F.col("w") * F.col(c)).alias(f"cum_{name}"), F.max(c).alias(f"max_{name}"), (F.sum(F.col("w") * F.col(c)) / F.sum("w")).alias(f"avg_{name}")]
     return scored.groupBy(*keys).agg(*aggs).withColumn("length", F.col("end") - F.col("start"))
@@ -79,7 +80,7 @@ def edit_statistics(reads: DataFrame, rows: DataFrame, keys: list[str]) -> DataF
 def supports(rows: DataFrame, keys: list[str], modes: dict[str, str]) -> DataFrame:
     """read_support and sig_support: number of libraries with an edit, and with a signature edit."""
     sig = E.is_signature(F.col("edit"), F.col("lib"), modes)
-    return rows.groupBy(*keys).agg(F.count_distinct("lib").alias("read_support"), F.count_distinct(F.when(sig, F.col("lib"))).alias("sig_support"))
+    return rows.groupBy(*keys).agg(F.size(F.collect_set("lib")).alias("read_support"), F.size(F.collect_set(F.when(sig, F.col("lib")))).alias("sig_support"))
 
 
 def signature_profile(reads: DataFrame, rows: DataFrame, keys: list[str], modes: dict[str, str], ties: list[str]) -> DataFrame:

@@ -50,11 +50,12 @@ def islands(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend
     before = w.rowsBetween(Window.unboundedPreceding, -1)
     out = df.join(carry, [*keys, "_bin"])
     top = F.greatest(F.max(end).over(before), F.col("_carry"))
-    # used twice below: written once, so the input is not read again for the counts
-    out = settle(out.withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0)).drop("_carry"), "islands")
-    offset = _carry(out, keys, F.sum("_new"), F.sum, 0)
+    out = out.withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0))
+    # the same window counts islands inside the bin; written once, since the bins' counts are read from it too
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    return out.join(offset, [*keys, "_bin"]).withColumn("island", F.col("_carry") + F.sum("_new").over(upto)).drop("_bin", "_carry", "_new")
+    out = settle(out.withColumn("_local", F.sum("_new").over(upto)).drop("_carry", "_new"), "islands")
+    offset = _carry(out, keys, F.max("_local"), F.sum, 0)
+    return out.join(offset, [*keys, "_bin"]).withColumn("island", F.col("_carry") + F.col("_local")).drop("_bin", "_carry", "_local")
 
 
 def merge_sources(*sources: DataFrame) -> DataFrame:

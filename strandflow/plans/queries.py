@@ -63,9 +63,8 @@ CLUSTER = ["tid", "chrom", "strand", "island"]
 def cluster_table(spark: SparkSession, d: str) -> DataFrame:
     """One row per island with the scores that the view can give."""
     r = island_rows(spark, d).withColumns({"w": F.col("mult").cast("double"), "as_": F.lit(None).cast("int"), "xs": F.lit(None).cast("int"), "pp": F.lit(None).cast("double")})
-    base = M.mapping_scores(r, CLUSTER)
-    conv = r.groupBy(*CLUSTER).agg(F.sum(F.col("mult") * F.col("conv")).cast("double").alias("conversion_score"), F.count_distinct(F.when(F.col("conv") > 0, F.col("lib"))).alias("read_support"))
-    out = base.join(conv, CLUSTER).withColumn("decoy", P.is_decoy(F.col("chrom")))
+    conv = [F.sum(F.col("mult") * F.col("conv")).cast("double").alias("conversion_score"), F.size(F.collect_set(F.when(F.col("conv") > 0, F.col("lib")))).alias("read_support")]
+    out = M.mapping_scores(r, CLUSTER, conv).withColumn("decoy", P.is_decoy(F.col("chrom")))
     return out.withColumn("reason", P.discard_reason()).withColumn("cid", F.concat_ws(":", "tid", "strand", "island"))
 
 

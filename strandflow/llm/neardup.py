@@ -37,7 +37,7 @@ from . import common as C
 WORDS = 5
 TREES, SHALLOW, DEEP = 20, 3, 4
 REGION = 64
-BLOCK = 4000
+BLOCK = 1000
 PERCENT = 85
 _A = C._random_u64(TREES * DEEP, 21) | np.uint64(1)
 _B = C._random_u64(TREES * DEEP, 22)

@@ -325,7 +325,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lone = distinct.join(kinds.where("kinds = 1").select("h"), "h").where("n > 1").select("ca", "cb", F.lit(0).alias("s"), F.octet_length("ctx").alias("e"))
     some = distinct.join(kinds.where((F.col("kinds") > 1) & (F.col("kinds") <= HOT)).select("h"), "h")
     some = some.repartition(parts, "h").sortWithinPartitions("h").mapInPandas(_sorted_contexts, "ca long, cb long, s int, e int")
-    hot = distinct.join(F.broadcast(kinds.where(F.col("kinds") > HOT).select("h")), "h")  # one in HOT anchors at most
+    hot = distinct.join(kinds.where(F.col("kinds") > HOT).select("h"), "h")
     rows = hot.select("h", "lft", "ctx", "ca", "cb", "n", F.explode(F.expr(f"sequence(0, octet_length(ctx) - {LENGTH})")).alias("i"))
     window = [F.col("h"), (F.col("lft") - F.col("i")).alias("d"), F.expr(f"xxhash64(1, substring(ctx, i + 1, {LENGTH}))").alias("x"), F.expr(f"xxhash64(2, substring(ctx, i + 1, {LENGTH}))").alias("y")]
     rows = rows.select(*window, "ca", "cb", "i", "n")

@@ -58,7 +58,8 @@ def read_flat(spark: SparkSession, path: str, description: str | None = None, hi
 
     The schema comes from ``description`` or the first ``## name:kind`` line; else from the first ``#name`` line with
     kinds from ``hints``; else from the first data line (``guess``).  Blank and # lines are skipped, ``skip`` drops cells
-    by index, rows with too few or too many cells or failed casts are dropped, or (broken_value) get -1 and empty lists.
+    by index, rows with too few or too many cells or failed casts are dropped, or (broken_value) get -1 and empty lists;
+    keep_line adds the whole line.
     """
     heads = header_of(spark, path)
     pairs = parse_description(description) if description else None
@@ -71,15 +72,15 @@ def read_flat(spark: SparkSession, path: str, description: str | None = None, hi
             cols = [clean_name(c) for c in names[1:].rstrip("\n").split(sep)]
             cols = [(renames or {}).get(c, c) for c in cols]
             pairs = [(c, hints.get(c, default)) for c in cols]
-    body = numbered_lines(spark, path).where(~F.col("value").startswith("#") & (F.trim("value") != ""))
-    cells = F.split("value", re.escape(sep), -1)
+    body = numbered_lines(spark, path).where(~F.col("value").startswith("#") & (F.trim("value") != "")).withColumnRenamed("value", "_line")
+    cells = F.split("_line", re.escape(sep), -1)
     for i in sorted(skip or [], reverse=True):
         cells = F.concat(F.slice(cells, 1, i), F.slice(cells, i + 2, 1 << 20))
     if not pairs:
         first = body.orderBy("line_no").limit(1).select(cells.alias("c")).first()
         pairs = [(f"c{i}", guess(x)) for i, x in enumerate(first["c"])] if first else []
-    typed = body.select("line_no", "value", cells.alias("_c")).where(F.size("_c") == len(pairs))
-    out = typed.select("line_no", "value", "_c", *[cast(F.get("_c", i), k).alias(n) for i, (n, k) in enumerate(pairs)])
+    typed = body.select("line_no", "_line", cells.alias("_c")).where(F.size("_c") == len(pairs))
+    out = typed.select("line_no", "_line", "_c", *[cast(F.get("_c", i), k).alias(n) for i, (n, k) in enumerate(pairs)])
     for i, (n, k) in enumerate(pairs):
         bad = F.exists(F.col(n), lambda x: x.isNull()) | F.col(n).isNull() if k in _LISTS else F.col(n).isNull()
         if broken_value:
@@ -87,7 +88,7 @@ def read_flat(spark: SparkSession, path: str, description: str | None = None, hi
             out = out.withColumn(n, F.when(bad, empty).otherwise(F.col(n)))
         elif skip_broken:
             out = out.where(~F.coalesce(bad, F.lit(True)))
-    return out.select(*[n for n, _ in pairs], *(["value"] if keep_line else []), "line_no")
+    return out.select(*[n for n, _ in pairs], *([F.col("_line").alias("line")] if keep_line else []), "line_no")
 
 
 def guess(cell: str) -> str:

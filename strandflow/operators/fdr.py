@@ -99,7 +99,8 @@ def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: flo
     Cutoffs go up to the single-score cutoffs (or the greatest value) and leave out each score's least value.  Values
     beyond a bound are folded into it; a two-dimensional histogram is summed from above along both axes, so no set of
     rows is built and all pairs run as one job.  The grid holds distinct values of both scores; the first axis is a
-    partition, so it is never gathered as a whole.
+    partition, so it is never gathered as a whole.  The grid grows with the product of distinct values under the two
+    bounds, as the search itself does; coarsen scores with very many values first.
     """
     wanted = sorted({m for p in pairs for m in p})
     # the scores are read by several branches: written once, without what made them

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..scratch import settle
+
 
 _LOW = "abcdefghijklmnopqrstuvwxyz"
 
@@ -31,7 +33,8 @@ def collapse(reads: DataFrame, lib: str = "lib", seq: str = "seq", qual: str = "
 
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Row number from 0 in a total order, without a single-task window."""
-    parts = df.orderBy(*order).withColumn("_p", F.spark_partition_id())
+    # written: the bounds of the range partitions are drawn anew each time the sort runs
+    parts = settle(df.orderBy(*order).withColumn("_p", F.spark_partition_id()), "rank")
     w = Window.partitionBy("_p").orderBy(*order)
     local = parts.withColumn("_r", F.row_number().over(w) - 1)
     sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"))

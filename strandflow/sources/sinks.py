@@ -17,13 +17,13 @@ def gff_lines(df: DataFrame, chrom: str = "chrom", source: str | Column = "sourc
     return df.select(F.concat_ws("\t", *[_text(c) for c in (chrom, source, type_, start, end, score, sense, frame, attrs)]).alias("value"))
 
 
-def cluster_gff(clusters: DataFrame, source: str = "clip", type_: str = "cluster") -> DataFrame:
+def cluster_gff(clusters: DataFrame, source: str = "strandflow", type_: str = "cluster") -> DataFrame:
     """Clusters as GFF: 1-based start, score in column 6, entropy score in column 8, 1-based peak as ccr."""
     attrs = F.format_string('name="%s"; n_reads="%s"; n_uniq="%s"; ccr="%d";', F.col("cid"), F.col("n_reads").cast("string"), F.col("uniq_reads").cast("string"), F.col("peak") + 1)
     return gff_lines(clusters, "chrom", F.lit(source), F.lit(type_), F.col("start") + 1, "end", "score", "strand", "entropy_score", attrs)
 
 
-def peak_gff(clusters: DataFrame, flank: int, source: str = "clip") -> DataFrame:
+def peak_gff(clusters: DataFrame, flank: int, source: str = "strandflow") -> DataFrame:
     """Regions of ``flank`` bases around each peak (not cut at the chromosome's ends)."""
     return gff_lines(clusters, "chrom", F.lit(source), F.lit("ccr"), F.col("peak") + 1 - flank, F.col("peak") + 1 + flank, "score", "strand", F.lit("."), F.format_string('name="%s";', F.col("cid")))
 

@@ -31,6 +31,10 @@ def _remove_quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: Rows of a file, where the caller knows how many rows there are at most.
+FILE_ROWS = 250_000
+
+
 class Scratch:
     """Written intermediate tables of one operator call; ``drop`` frees those that no result reads any more."""
 
@@ -38,9 +42,13 @@ class Scratch:
         self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/strandflow/{name}-{uuid.uuid4().hex}", 0
         atexit.register(_remove_quietly, spark, self.root)
 
-    def write(self, df: DataFrame) -> DataFrame:
-        """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
+    def write(self, df: DataFrame, rows: int | None = None) -> DataFrame:
+        """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back.
+
+        ``rows``: a bound on its rows; a small table then gets few files, and a large one as many as it needs.
+        """
         self.n += 1
+        df = df if rows is None else df.coalesce(rows // FILE_ROWS + 1)
         path = f"{self.root}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import atexit
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -13,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import Scratch, remove, shared_dir  # noqa: F401 - used through this module
+
 #: Text bytes that one vectorised hashing step takes (a longer document is a step of its own).
 CHUNK_BYTES = 600_000
 #: Rows that are taken out of a batch at a time.
@@ -26,53 +25,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``; where it is unset, a temporary one (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="strandflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
-def _remove_quietly(spark: SparkSession, path: str) -> None:
-    try:
-        remove(spark, path)
-    except Exception:  # noqa: BLE001 - at exit the JVM may be gone; the folder is the cluster's scratch space
-        pass
-
-
-class Scratch:
-    """Written intermediate tables of one operator call; ``drop`` frees those that no result reads any more."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark, self.root, self.n = spark, f"{shared_dir(spark)}/strandflow/{name}-{uuid.uuid4().hex}", 0
-        atexit.register(_remove_quietly, spark, self.root)
-
-    def write(self, df: DataFrame) -> DataFrame:
-        """Cut the lineage: write ``df`` as Parquet to the shared folder and read it back."""
-        self.n += 1
-        path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
-        out = self.spark.read.schema(df.schema).parquet(path)
-        out._strandflow_path = path
-        return out
-
-    def drop(self, *tables: DataFrame) -> None:
-        for t in tables:
-            remove(self.spark, t._strandflow_path)
-
-    def tidy(self) -> None:
-        """Let the driver forget shuffles that nothing reads any more, so that their files are deleted."""
-        self.spark.sparkContext._jvm.System.gc()
-
-
 def held_out(doc_id: str | Column = "doc_id", folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds``, is 0."""
     col = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -116,16 +116,17 @@ def connected_components(edges: DataFrame, scratch: C.Scratch, a: str = "a", b:
     Alternates large-star and small-star steps, each an aggregation and a join; a node's neighbours are never listed.
     """
     e = scratch.write(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    state = None
+    state, rows = None, 2 * e.count()  # a step makes at most two rows of one
     while True:
+        # the minima are written: a merge join then shuffles both sides, and the rows of a hub can be split
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m")), F.struct(F.col("v").alias("u"), F.col("m")))).alias("x")).select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct()
-        nxt = scratch.write(small)
+        low = scratch.write(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")), rows)
+        large = scratch.write(both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), rows)
+        down = scratch.write(large.groupBy("u").agg(F.min("v").alias("m")), rows)
+        small = large.join(down.hint("merge"), "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m")), F.struct(F.col("v").alias("u"), F.col("m")))).alias("x")).select(F.col("x.u").alias("u"), F.col("x.m").alias("v")).where("u <> v").distinct()
+        nxt = scratch.write(small, rows)
         now = nxt.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        scratch.drop(e)
+        scratch.drop(e, low, large, down)
         e = nxt
         if now == state:
             break

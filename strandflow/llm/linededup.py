@@ -60,14 +60,20 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the chunks to drop) of the documents that lose any."""
     scratch = C.Scratch(docs.sparkSession, "linededup")
     rows = scratch.write(_exploded(docs, id_col, text_col))
-    # written, so that the join shuffles both sides and a hot chunk can be split
-    again = scratch.write(rows.groupBy("_ld_h").count().where("count > 1").select("_ld_h"))
-    often = rows.join(again, "_ld_h")
+    # written, so that the merge join shuffles both sides and a hot chunk can be split
+    n = rows.count()
+    again = scratch.write(rows.groupBy("_ld_h").count().where("count > 1").select("_ld_h"), n)
+    often = scratch.write(rows.join(again.hint("merge"), "_ld_h"))
+    scratch.drop(rows, again)
+    scratch.tidy()
     place = F.struct(F.col("_ld_id"), F.col("_ld_th"), F.col("_ld_k"))
     same = often.groupBy("_ld_h", "_ld_t").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
-    same = same.select("_ld_h", F.col("_ld_t").alias("text"), "first")
-    late = often.join(same.hint("shuffle_hash"), (often["_ld_h"] == same["_ld_h"]) & (F.col("_ld_t") == F.col("text"))).where(place > F.col("first"))
-    return scratch.write(late.groupBy("_ld_id", "_ld_th").agg(F.collect_set("_ld_k").alias("_ld_gone")))
+    same = scratch.write(same.select(F.col("_ld_h").alias("h"), F.col("_ld_t").alias("text"), "first"))
+    late = often.join(same.hint("merge"), (F.col("_ld_h") == F.col("h")) & (F.col("_ld_t") == F.col("text"))).where(place > F.col("first"))
+    gone = scratch.write(late.groupBy("_ld_id", "_ld_th").agg(F.collect_set("_ld_k").alias("_ld_gone")), n)
+    scratch.drop(often, same)
+    scratch.tidy()
+    return gone
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The training-data pipeline: toxic documents go, repeated chunks of lines go, one document of each group of
+"""The training-data pipeline: toxic documents go, repeated passages of lines go, one document of each group of
 near-duplicates stays, contaminated documents go, and the rest is packed into sequences.
 
 Each stage takes (spark, docs, sf_dir); all but the last return the columns of ``docs``.  ``run`` writes each stage's
@@ -19,7 +19,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = linededup.dedup_lines(docs)
+    out = linededup.dedup_lines(docs, passages=True)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -9,6 +9,13 @@ Passes: chunk hashes are counted (map-side combine, no text is moved); chunks wi
 their bytes, so equal hashes alone remove nothing; each document finally gets the list of its own chunks to drop.  No
 step gathers the places of a chunk: groups are counts and minima.
 
+``passages=True`` extends the matches, for what chunks alone miss: the edges of a passage share a chunk with lines of
+their own document, and a short passage may hold no whole chunk.  Units are then, besides the chunks, each two
+neighbouring lines that are not blank (with the blank lines between) and each line of ``LONG_LINE`` characters; a line
+goes if any unit that it stands in occurs earlier.  So every repeated passage of two lines goes whole, at any place and
+in any context.  The first copy of a line always stays: a unit that holds it has no earlier copy.  Units are compared
+by SHA-256, and no text is moved.
+
 Defined results: null text stays null, without lines; a text whose chunks are all removed becomes empty; rows with the
 same doc_id and text are one document and get the same result; a null doc_id is allowed and comes first.
 """
@@ -21,6 +28,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 WINDOW, DIVISOR, MIN_LINES = 2, 3, 2
+#: Characters from which a line alone is a passage.
+LONG_LINE = 40
+SOLID = "[^ \n\r\t]"
 
 
 def let(value: Column, body) -> Column:
@@ -29,8 +39,8 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def chunks(text: Column) -> Column:
-    """A text's chunks, each an array of lines."""
+def _ends(lines: Column) -> Column:
+    """Number of the line after each chunk of a text's lines."""
 
     def rolling(h: Column, i: Column) -> Column:
         out = F.get(h, i)
@@ -42,11 +52,37 @@ def chunks(text: Column) -> Column:
         last = F.size(h) - 1
         return F.filter(F.transform(h, lambda _, i: F.when((rolling(h, i) % DIVISOR == 0) | (i == last), i + 1)), lambda x: x.isNotNull())
 
+    line_hash = lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long")
+    return let(F.transform(lines, line_hash), ends)
+
+
+def chunks(text: Column) -> Column:
+    """A text's chunks, each an array of lines."""
+
     def cut(lines: Column, e: Column) -> Column:
         return F.transform(e, lambda end, k: F.when(k == 0, F.slice(lines, F.lit(1), end)).otherwise(F.slice(lines, F.get(e, k - 1) + 1, end - F.get(e, k - 1))))
 
-    line_hash = lambda x: F.conv(F.substring(F.md5(x.cast("binary")), 1, 7), 16, 10).cast("long")
-    return let(F.split(text, "\n", -1), lambda lines: let(F.transform(lines, line_hash), lambda h: let(ends(h), lambda e: cut(lines, e))))
+    return let(F.split(text, "\n", -1), lambda lines: let(_ends(lines), lambda e: cut(lines, e)))
+
+
+def units(text: Column) -> Column:
+    """What may repeat in a text, each with its first line (from 0), number of lines and hash (null if all are blank)."""
+    # a unit is one number until it is hashed: array_union compares structs one by one
+    unit = lambda first, n: first.cast("long") * (1 << 31) + n
+
+    def found(lines: Column) -> Column:
+        spans = let(_ends(lines), lambda e: F.transform(e, lambda end, k: let(F.when(k == 0, 0).otherwise(F.get(e, k - 1)), lambda s: F.when(end - s >= MIN_LINES, unit(s, end - s)))))
+        solid = F.filter(F.transform(lines, lambda x, i: F.when(x.rlike(SOLID), i)), lambda i: i.isNotNull())
+        pairs = let(solid, lambda p: F.transform(p, lambda i, k: let(F.get(p, k + 1), lambda j: unit(i, j - i + 1))))
+        single = F.transform(lines, lambda x, i: F.when((F.length(x) >= LONG_LINE) & x.rlike(SOLID), unit(i, F.lit(1))))
+        return F.filter(F.array_union(spans, F.array_union(pairs, single)), lambda u: u.isNotNull())
+
+    def hashed(lines: Column, u: Column) -> Column:
+        first, n = F.shiftright(u, 31).cast("int"), u.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")
+        h = let(F.array_join(F.slice(lines, first + 1, n), "\n"), lambda t: F.when(t.rlike(SOLID), F.unhex(F.sha2(t.cast("binary"), 256))))
+        return F.struct(first.alias("i"), n.alias("n"), h.alias("h"))
+
+    return let(F.split(text, "\n", -1), lambda lines: F.transform(found(lines), lambda u: hashed(lines, u)))
 
 
 def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -76,8 +112,26 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return gone
 
 
-def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    gone = removals(docs, id_col, text_col)
+def passage_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the lines to drop) of the documents that lose any."""
+    scratch = C.Scratch(docs.sparkSession, "linededup")
+    src = docs.select(F.col(id_col).alias("_ld_id"), F.col(text_col).alias("_ld_text"), F.xxhash64(text_col).alias("_ld_th")).where("_ld_text IS NOT NULL")
+    rows = src.select("_ld_id", "_ld_th", F.explode(units(F.col("_ld_text"))).alias("u")).select("_ld_id", "_ld_th", "u.*").where("h IS NOT NULL")
+    rows = scratch.write(rows)
+    n = rows.count()
+    place = F.struct(F.col("_ld_id"), F.col("_ld_th"), F.col("i"))
+    # written, so that the merge join shuffles both sides and a hot unit can be split
+    same = scratch.write(rows.groupBy("h").agg(F.count("*").alias("m"), F.min(place).alias("first")).where("m > 1").select("h", "first"), n)
+    late = rows.join(same.hint("merge"), "h").where(place > F.col("first"))
+    lines = F.flatten(F.collect_list(F.expr("sequence(i, i + n - 1)")))
+    gone = scratch.write(late.groupBy("_ld_id", "_ld_th").agg(F.array_distinct(lines).alias("_ld_gone")), n)
+    scratch.drop(rows, same)
+    scratch.tidy()
+    return gone
+
+
+def _joined(docs: DataFrame, id_col: str, text_col: str, passages: bool = False) -> DataFrame:
+    gone = (passage_removals if passages else removals)(docs, id_col, text_col)
     src = docs.withColumn("_ld_own", F.xxhash64(text_col))
     out = src.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.col("_ld_own") == F.col("_ld_th")), "left")
     gone = F.col("_ld_gone")
@@ -87,13 +141,18 @@ def _joined(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         lines = F.aggregate(gone, F.lit(0).cast("long"), lambda s, k: s + F.size(F.get(c, k)))
         return F.struct(kept.alias("kept"), F.size(gone).cast("long").alias("removed"), lines.alias("removed_lines"))
 
+    def judge_lines(lines: Column) -> Column:
+        stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.struct(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n").alias("kept"))
+
     # only documents that lose something are cut again
-    return out.withColumn("_ld", F.when(gone.isNotNull(), let(chunks(F.col(text_col)), judge)))
+    cut = let(F.split(F.col(text_col), "\n", -1), judge_lines) if passages else let(chunks(F.col(text_col)), judge)
+    return out.withColumn("_ld", F.when(gone.isNotNull(), cut))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with repeated chunks of lines removed from the text; all rows and columns stay."""
-    out = _joined(docs, id_col, text_col)
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passages: bool = False) -> DataFrame:
+    """``docs`` with repeated chunks of lines, or all repeated passages, removed from the text; all rows and columns stay."""
+    out = _joined(docs, id_col, text_col, passages)
     return out.select(*[F.coalesce("_ld.kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from strandflow.llm import decontam, linededup, neardup, packing, toxicity
 from strandflow.llm.common import Scratch, read_table
 
+#: Five words and similarity 0.8 or more; op10's own contract is 0.85.
+NEAR_PERCENT = 80
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.drop_toxic(docs, read_table(spark, sf_dir, "labels"))
@@ -24,7 +27,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return neardup.keep_one(docs)
+    return neardup.keep_one(docs, percent=NEAR_PERCENT)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

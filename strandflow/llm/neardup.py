@@ -2,7 +2,7 @@
 
 Words lie between ASCII white space, A-Z lower-cased; a document's set holds its distinct 5-word shingles (a shorter
 document: its whole word sequence as one; without words: empty, linked with nothing).  Two documents are linked if
-100 * |A & B| >= 85 * |A | B|; components of that graph are groups, named by their smallest doc_id.
+100 * |A & B| >= percent * |A | B| (``PERCENT`` where no other is given); components of that graph are groups, named by their smallest doc_id.
 
 How it runs:
 
@@ -17,7 +17,8 @@ How it runs:
    reach the threshold, and pairs already connected are skipped.  Clusters over ``BLOCK`` classes are split; each pair
    of blocks is a task of its own, so no task grows with a cluster.
 
-A pair at similarity 0.85 is missed by all orders with probability (1 - 0.85**4)**20 < 4e-7.
+A pair at similarity 0.85 is missed by all orders with probability (1 - 0.85**4)**20 < 4e-7, one at 0.8 with
+(1 - 0.8**4)**20 < 2.7e-5.
 
 Defined results: null text = no words; rows that repeat a doc_id and text get equal rows; an empty table gives an empty
 result; columns beside doc_id and text are not read.
@@ -134,7 +135,7 @@ def connected_components(edges: DataFrame, scratch: C.Scratch, a: str = "a", b:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def link_sets(sets: list[np.ndarray]) -> np.ndarray:
+def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     """Component label (smallest index) of each set, over all pairs that reach the threshold."""
     n = len(sets)
     label = np.arange(n)
@@ -143,7 +144,7 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
         return label
     if n == 2:
         both = np.intersect1d(sets[0], sets[1], assume_unique=True).size
-        if 100 * both >= PERCENT * (size.sum() - both):
+        if 100 * both >= percent * (size.sum() - both):
             label[1] = 0
         return label
     _, inv, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -151,7 +152,7 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
     rank[np.argsort(count, kind="stable")] = np.arange(len(count))  # rare shingles first
     at = np.cumsum([0, *size])
     rows = [np.sort(rank[inv[at[i] : at[i + 1]]]) for i in range(n)]
-    keep = size - (PERCENT * size + 99) // 100 + 1
+    keep = size - (percent * size + 99) // 100 + 1
     token = np.concatenate([r[:k] for r, k in zip(rows, keep, strict=True)])
     owner = np.repeat(np.arange(n), keep)
     order = np.argsort(token, kind="stable")
@@ -165,25 +166,25 @@ def link_sets(sets: list[np.ndarray]) -> np.ndarray:
             continue
         near = np.unique(np.concatenate([owner[lo[k] : hi[k]] for k in wide]))
         near = near[near < i]
-        near = near[(label[near] != label[i]) & (100 * size[near] >= PERCENT * size[i]) & (PERCENT * size[near] <= 100 * size[i])]
+        near = near[(label[near] != label[i]) & (100 * size[near] >= percent * size[i]) & (percent * size[near] <= 100 * size[i])]
         if not len(near):
             continue
         mark[rows[i]] = True
         for j in near:
             if label[j] != label[i]:
                 both = int(mark[rows[j]].sum())
-                if 100 * both >= PERCENT * (size[i] + size[j] - both):
+                if 100 * both >= percent * (size[i] + size[j] - both):
                     x, y = sorted((label[i], label[j]))
                     label[label == y] = x
         mark[rows[i]] = False
     return label
 
 
-def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _confirm(batches: Iterator[pd.DataFrame], percent: int = PERCENT) -> Iterator[pd.DataFrame]:
     """Rows come sorted by task; only the running task's sets are held."""
 
     def close(ids: list[int], sets: list[np.ndarray]):
-        label = link_sets(sets)
+        label = link_sets(sets, percent)
         for k, x in enumerate(label):
             if x != k:
                 out_a.append(ids[k])
@@ -209,7 +210,7 @@ def _confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "neardup")
@@ -234,7 +235,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = src.join(member.hint("shuffle_hash"), "doc_id").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("nb")))
     tasks = texts.select("set_id", "cluster", "text", "own", F.explode(F.expr("sequence(0, nb - 1)")).alias("other")).select("set_id", "cluster", "text", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = tasks.repartition(n_tasks, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "set_id").mapInPandas(_confirm, "a long, b long")
+    links = tasks.repartition(n_tasks, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "set_id").mapInPandas(lambda source: _confirm(source, percent), "a long, b long")
     links = scratch.write(links)
     found = scratch.write(connected_components(links, scratch) if blocks.where("nb > 1").limit(1).count() else links.select(F.col("a").alias("node"), F.col("b").alias("root")))
     label = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
@@ -247,12 +248,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` that stand for their group, all columns as they are.
 
     Of rows that repeat a doc_id and text, one stays.
     """
     scratch = C.Scratch(docs.sparkSession, "neardup-kept")
-    kept = scratch.write(near_duplicates(docs, id_col, text_col).where("kept").groupBy(F.col("doc_id").alias("_nd_id")).agg(F.count("*").alias("_nd_rows")))
+    kept = scratch.write(near_duplicates(docs, id_col, text_col, percent).where("kept").groupBy(F.col("doc_id").alias("_nd_id")).agg(F.count("*").alias("_nd_rows")))
     out = docs.join(kept.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("_nd_id")), "left_semi")
     return out.dropDuplicates([id_col, text_col]) if kept.where("_nd_rows > 1").limit(1).count() else out

@@ -52,7 +52,10 @@ def k_mer_table(spark: SparkSession, k: int, alphabet: str = "acgt") -> DataFram
 def k_mer_counts(seqs: DataFrame, seq_col: str, k: int) -> DataFrame:
     """Overlapping k-mers over all sequences (lower case): kmer, count, fraction."""
     words = seqs.select(F.lower(seq_col).alias("s")).where(F.length("s") >= k)
-    words = words.select(F.explode(F.expr(f"transform(sequence(1, length(s) - {k - 1}), i -> substring(s, i, {k}))")).alias("kmer"))
+    # letters first: a substring is looked for from the start of its text each time
+    at = F.sequence(F.lit(0), F.length("s") - k)
+    words = words.select(F.split("s", "").alias("a"), at.alias("at"))
+    words = words.select(F.explode(F.transform("at", lambda i: F.concat(*[F.get("a", i + j) for j in range(k)]))).alias("kmer"))
     out = words.groupBy("kmer").agg(F.count("*").alias("count"))
     total = out.agg(F.sum("count").alias("total"))
     return out.crossJoin(F.broadcast(total)).select("kmer", "count", (F.col("count") / F.col("total")).alias("fraction"))

@@ -361,7 +361,28 @@ def a3_length_histogram(spark, d):
 
 
 def _dna(spark, d):
-    return _table(spark, d, "documents").select("doc_id", F.translate(F.upper(F.substring(F.regexp_replace("text", "[^A-Za-z]", ""), 1, 200)), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGNACGTACGTA").alias("seq"))
+    return _table(spark, d, "documents").select("doc_id", F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGNACGTACGTA").alias("seq"))
+
+
+def _dna_200(spark, d):
+    """First 200 letters, for the queries that have SQL; each has a form over whole texts below."""
+    return _dna(spark, d).withColumn("seq", F.substring("seq", 1, 200))
+
+
+def _base_frequencies(dna):
+    return R.base_frequencies(dna).select("side", "pos", "base", F.round("freq", 6).alias("freq"))
+
+
+def _complements(dna):
+    return dna.select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
+
+
+def _pair_counts(dna):
+    return S.k_mer_counts(dna, "seq", 2).select("kmer", "count", F.round("fraction", 8).alias("fraction"))
+
+
+def _codes(dna):
+    return dna.select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
 
 
 _DNA = "dna AS (SELECT doc_id, translate(upper(substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, 200)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGNACGTACGTA') AS seq FROM documents)"
@@ -369,13 +390,23 @@ _DNA = "dna AS (SELECT doc_id, translate(upper(substr(regexp_replace(text, '[^A-
 
 @query(f"WITH {_DNA}, s AS (SELECT DISTINCT seq FROM dna), c AS (SELECT side, i - 1 AS pos, substr(t, i, 1) AS b FROM (SELECT '5p' AS side, seq AS t FROM s UNION ALL SELECT '3p', reverse(seq) FROM s), range(1, 21) r(i) WHERE i <= length(t)), n AS (SELECT side, pos, count(*) AS n FROM c GROUP BY ALL) SELECT n.side, CAST(n.pos AS INT) AS pos, x.b AS base, round((count(c.b) + 1) / (any_value(n.n) + 4), 6) AS freq FROM n CROSS JOIN (VALUES ('A'), ('C'), ('G'), ('T')) x(b) LEFT JOIN c ON c.side = n.side AND c.pos = n.pos AND c.b = x.b GROUP BY 1, 2, 3")
 def a4_base_frequencies(spark, d):
-    return R.base_frequencies(_dna(spark, d)).select("side", "pos", "base", F.round("freq", 6).alias("freq"))
+    return _base_frequencies(_dna_200(spark, d))
+
+
+@query(None)
+def a4_base_frequencies_whole(spark, d):
+    return _base_frequencies(_dna(spark, d))
 
 
 @query(f"WITH {_DNA} SELECT doc_id, translate(seq, 'ACGTN', 'TGCAN') AS comp, reverse(translate(seq, 'ACGTN', 'TGCAN')) AS rev FROM dna")
 def f3_complements(spark, d):
     """F1, F2, F3, F5."""
-    return _dna(spark, d).select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
+    return _complements(_dna_200(spark, d))
+
+
+@query(None)
+def f3_complements_whole(spark, d):
+    return _complements(_dna(spark, d))
 
 
 @query("WITH a(c, i) AS (VALUES ('a', 0), ('c', 1), ('g', 2), ('t', 3)) SELECT x.c || y.c || z.c AS kmer, CAST(x.i * 16 + y.i * 4 + z.i AS BIGINT) AS rank FROM a x, a y, a z")
@@ -386,12 +417,22 @@ def f4_k_mers(spark, d):
 @query(f"WITH {_DNA}, k AS (SELECT substr(lower(seq), i, 2) AS kmer FROM dna, range(1, 200) r(i) WHERE i < length(seq)), c AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1) SELECT kmer, count, round(count / sum(count) OVER (), 8) AS fraction FROM c")
 def s29_pair_counts(spark, d):
     """S29's table made from sequences."""
-    return S.k_mer_counts(_dna(spark, d), "seq", 2).select("kmer", "count", F.round("fraction", 8).alias("fraction"))
+    return _pair_counts(_dna_200(spark, d))
+
+
+@query(None)
+def s29_pair_counts_whole(spark, d):
+    return _pair_counts(_dna(spark, d))
 
 
 @query(f"WITH {_DNA} SELECT doc_id, array_to_string(list_transform(string_split(translate(lower(seq), 'nacgt', '00123'), ''), lambda c: c), '') AS code FROM dna")
 def s12_numeric(spark, d):
-    return _dna(spark, d).select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
+    return _codes(_dna_200(spark, d))
+
+
+@query(None)
+def s12_numeric_whole(spark, d):
+    return _codes(_dna(spark, d))
 
 
 @query(None)

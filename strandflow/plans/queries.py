@@ -312,8 +312,9 @@ def j2_range_join(spark, d):
     return hits.groupBy("chrom", "strand").agg(F.count("*").alias("pairs"), F.sum("r_start").alias("checksum"))
 
 
-def _annotated(spark, d):
-    cl = cluster_table(spark, d).where("uniq_reads >= 3").select("cid", "chrom", F.col("strand").alias("sense"), "start", "end")
+def _annotated(spark, d, least=3):
+    """Clusters with annotation: those of the SQL, or with ``least`` 1 all."""
+    cl = cluster_table(spark, d).where(F.col("uniq_reads") >= least).select("cid", "chrom", F.col("strand").alias("sense"), "start", "end")
     return A.annotate(cl, locus(spark, d), "cid", width=256)
 
 
@@ -328,7 +329,17 @@ ann AS (SELECT *, CASE WHEN len(acls) > 0 THEN list_sort(list_append(cls, 'antis
 @query(f"WITH {_ANN} SELECT cid, array_to_string(classes, ',') AS classes, array_to_string(acls, ',') AS as_classes, array_to_string(feat, ',') AS features FROM ann")
 def j3_annotation(spark, d):
     """Sense and antisense features with default."""
-    return _annotated(spark, d).select("cid", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "as_classes").alias("as_classes"), F.concat_ws(",", "features").alias("features"))
+    return _feature_lists(_annotated(spark, d))
+
+
+@query(None)
+def j3_annotation_whole(spark, d):
+    """The same for every cluster."""
+    return _feature_lists(_annotated(spark, d, 1))
+
+
+def _feature_lists(annotated):
+    return annotated.select("cid", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "as_classes").alias("as_classes"), F.concat_ws(",", "features").alias("features"))
 
 
 @query(f"WITH {_ANN}, e AS (SELECT cid, unnest(list_concat(el, ael)) AS p FROM ann), pf AS (SELECT DISTINCT cid, array_to_string(string_split(p, '/')[1:k], '/') AS path FROM e, range(1, 8) r(k) WHERE k <= len(string_split(p, '/'))) SELECT path, count(*) AS n FROM pf GROUP BY path")
@@ -337,16 +348,34 @@ def a30_path_counts(spark, d):
     return A.path_counts(_annotated(spark, d))
 
 
+@query(None)
+def a30_path_counts_whole(spark, d):
+    return A.path_counts(_annotated(spark, d, 1))
+
+
 @query(f"WITH {_ANN}, c AS (SELECT array_to_string(classes, ',') || ',' || chrom AS t FROM ann) SELECT {X.category_sql('t')} AS category, count(*) AS n FROM c GROUP BY 1")
 def f14_categories(spark, d):
     return A.with_category(_annotated(spark, d)).groupBy("category").agg(F.count("*").alias("n"))
 
 
+@query(None)
+def f14_categories_whole(spark, d):
+    return A.with_category(_annotated(spark, d, 1)).groupBy("category").agg(F.count("*").alias("n"))
+
+
 @query(f"""WITH {CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT tid, strand, island, chrom, CASE WHEN strand = '+' THEN start - 1 ELSE "end" - 2 END AS s FROM cl WHERE uniq_reads >= 3)
 SELECT chrom, strand, count(*) AS hits FROM iv JOIN locus l USING (chrom) WHERE l.start < s + 3 AND s < l."end" AND l.sense = strand GROUP BY ALL""")
 def j5_left_bounds(spark, d):
     """Features over the three bases around the left (5') boundary."""
-    cl = cluster_table(spark, d).where("uniq_reads >= 3")
+    return _left_bounds(spark, d, cluster_table(spark, d).where("uniq_reads >= 3"))
+
+
+@query(None)
+def j5_left_bounds_whole(spark, d):
+    return _left_bounds(spark, d, cluster_table(spark, d))
+
+
+def _left_bounds(spark, d, cl):
     s = F.when(F.col("strand") == "+", F.col("start") - 1).otherwise(F.col("end") - 2)
     w = cl.select("chrom", "strand", s.alias("start"), (s + 3).alias("end"))
     right = locus(spark, d).select("chrom", F.col("sense").alias("strand"), F.col("start").alias("r_start"), F.col("end").alias("r_end"))

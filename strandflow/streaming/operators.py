@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -60,6 +61,34 @@ def stateful_islands(reads: DataFrame) -> DataFrame:
     return reads.groupBy("chrom", "strand").applyInPandasWithState(step, schema, "start long, end long, n long", "append", GroupStateTimeout.NoTimeout)
 
 
+def merged_islands(reads: DataFrame) -> DataFrame:
+    """Islands of a stream of reads (chrom, strand, pos, pend) that comes in any order.
+
+    The islands so far of each chromosome and strand are state, as JSON; reads join and connect them.  A ``flush`` row
+    (pos null), sent when the input has ended, emits them.
+    """
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches), ignore_index=True)
+        new = rows.dropna(subset="pos").astype({"pos": "int64", "pend": "int64"})
+        found = [[p, e, 1] for p, e in zip(new["pos"].tolist(), new["pend"].tolist(), strict=True)]
+        out: list[list[int]] = []
+        for start, end, n in sorted((json.loads(state.get[0]) if state.exists else []) + found):
+            if out and start <= out[-1][1]:
+                out[-1][1:] = max(out[-1][1], end), out[-1][2] + n
+            else:
+                out.append([start, end, n])
+        if len(new) < len(rows):
+            state.remove()
+        else:
+            state.update((json.dumps(out),))
+            out = []
+        yield pd.DataFrame([(*key, *x) for x in out], columns=["chrom", "strand", "start", "end", "n"])
+
+    schema = "chrom string, strand string, start long, end long, n long"
+    return reads.groupBy("chrom", "strand").applyInPandasWithState(step, schema, "islands string", "append", GroupStateTimeout.NoTimeout)
+
+
 def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Everything that is there now, written as Parquet."""
     q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()

@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import run_once, sessions, stateful_islands, sum_lines
+from .operators import merged_islands, run_once, sessions, sum_lines
 
 
 def _folder(spark: SparkSession) -> str:
@@ -25,21 +25,45 @@ def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return source.parquet(path) if folder else source.option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
 
 
-def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sessions of events; those that the watermark has closed."""
+#: The order of a table's files is no order in time: no event is late before the input has ended.
+NEVER_DAYS = 36_500
+
+
+def _run_to_end(spark: SparkSession, rows: DataFrame, plan, last) -> DataFrame:
+    """What ``plan`` writes over a stream and, once that is read to its end, over the rows of ``last()``."""
     out = _folder(spark)
-    events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    run_once(sessions(events), f"{out}/rows", f"{out}/state")
+    spark.createDataFrame([], rows.schema).write.parquet(f"{out}/last")
+    query = plan(rows.unionByName(spark.readStream.schema(rows.schema).parquet(f"{out}/last")))
+    run_once(query, f"{out}/rows", f"{out}/state")
+    last().select(*[F.col(f.name).cast(f.dataType) for f in rows.schema]).write.mode("append").parquet(f"{out}/last")
+    run_once(query, f"{out}/rows", f"{out}/state")
     return spark.read.parquet(f"{out}/rows")
 
 
+def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of events, also the last ones: an event without user, far behind all others, closes them."""
+    pick = lambda df: df.select("user_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+
+    def last() -> DataFrame:
+        top = pick(spark.read.parquet(f"{sf_dir}/events.parquet")).agg(F.max("ts").alias("top")).where("top IS NOT NULL")
+        return top.select(F.lit(None).alias("user_id"), F.expr(f"top + INTERVAL '{NEVER_DAYS + 1}' DAY").alias("ts"), F.lit(None).alias("value"))
+
+    return _run_to_end(spark, pick(_stream(spark, sf_dir, "events")), lambda s: sessions(s, late=f"{NEVER_DAYS} days"), last)
+
+
 def stream_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Islands with explicit state over lineitem's intervals; each chromosome's last island stays open."""
-    out = _folder(spark)
-    s = _stream(spark, sf_dir, "lineitem")
-    reads = s.select(F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")).alias("chrom"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"), (F.col("l_orderkey") % 15000).alias("pos"), (F.col("l_orderkey") % 15000 + F.col("l_quantity").cast("long")).alias("pend"))
-    run_once(stateful_islands(reads), f"{out}/rows", f"{out}/state")
-    return spark.read.parquet(f"{out}/rows")
+    """Islands with explicit state over lineitem's intervals, in whatever order its files come."""
+
+    def pick(df: DataFrame) -> DataFrame:
+        strand = F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand")
+        pos = F.col("l_orderkey") % 15000
+        return df.select(F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")).alias("chrom"), strand, pos.alias("pos"), (pos + F.col("l_quantity").cast("long")).alias("pend"))
+
+    def last() -> DataFrame:
+        keys = pick(spark.read.parquet(f"{sf_dir}/lineitem.parquet")).select("chrom", "strand").distinct()
+        return keys.withColumns({"pos": F.lit(None), "pend": F.lit(None)})
+
+    return _run_to_end(spark, pick(_stream(spark, sf_dir, "lineitem")), merged_islands, last)
 
 
 def stream_line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -226,7 +226,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text")
 
 
 def locations(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Each shard's longest verbatim match of every benchmark suffix that reaches a window: doc_id, item_id, word_at, n_words."""
+    """Each shard's verbatim match, capped at ``WINDOW`` words, of every benchmark suffix that reaches a window: doc_id, item_id, word_at, n_words."""
     broadcasts = benchmark_blocks(benchmark)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -6,44 +6,52 @@ document: its whole word sequence as one; without words: empty, linked with noth
 
 How it runs:
 
-1. One pass over the texts makes, per document, the size and a 64-bit id of its set and, for each of ``TREES`` sorted
-   signature orders, the prefixes of depth ``SHALLOW`` and ``DEEP``.  Documents with one set id are one class
-   (``groupBy`` with map-side combine), so exact copies never meet in a join.
-2. In each order, classes with a common prefix are neighbours.  A region at the shallow depth with at most
-   ``REGION`` classes is taken as it is; a denser one is read at the greater depth.  Linking each member with the
-   region's smallest class connects the same classes as the chain of neighbours in sorted order, needs only
-   aggregations and never lists a region.
+1. One pass over the texts makes, per document, the size of its set, a 126-bit id of it (from a cryptographic digest of
+   all its shingle hashes) and one key for each of ``TREES`` trees: ``DEPTH`` MinHash values of 16 bits, the first on
+   top.  Documents with one set id have equal sets and are one class (``groupBy`` with map-side combine), so exact
+   copies never meet in a join.
+2. The forest: the keys of all trees are sorted (a range sort by tree, key and class, so a key that most classes share is
+   dealt over many tasks too).  Neighbours in this order share the longest prefixes there are: the leading 16-bit
+   values in which two neighbours agree are their common prefix.  The depth is chosen region by region: neighbours are
+   linked from ``DEPTH - 1`` common values on, and in regions where ``REGION`` rows to either side share that prefix, at
+   ``DEPTH`` only.  No region is read deeper, whatever its size: that would lose links.  Neighbours over the edge of two
+   sorted partitions meet in a table of one row a partition.
 3. Connected regions are confirmed on full sets: prefix filtering over rare-first shingles gives every pair that can
-   reach the threshold, and pairs already connected are skipped.  Clusters over ``BLOCK`` classes are split; each pair
-   of blocks is a task of its own, so no task grows with a cluster.
+   reach the threshold, and pairs already connected are skipped.  Regions over ``BLOCK`` classes or ``BLOCK_SHINGLES``
+   shingles are split; each pair of blocks is a task of its own, so no task grows with a region.  The texts of a region
+   of n blocks are read n times.
 
-A pair at similarity 0.85 is missed by all orders with probability (1 - 0.85**4)**20 < 4e-7, one at 0.8 with
+A pair at similarity 0.85 is missed by all trees with probability (1 - 0.85**4)**20 < 4e-7, one at 0.8 with
 (1 - 0.8**4)**20 < 2.7e-5.
 
 Defined results: null text = no words; rows that repeat a doc_id and text get equal rows; an empty table gives an empty
-result; columns beside doc_id and text are not read.
+result; columns beside doc_id and text are not read; ids keep their type.  A null doc_id is never the smallest of a
+group that has another id; a group without any has component_id null and its rows are kept.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
 
 WORDS = 5
-TREES, SHALLOW, DEEP = 20, 3, 4
+TREES, DEPTH = 20, 4
 REGION = 64
-BLOCK = 1000
+BLOCK, BLOCK_SHINGLES = 1000, 500_000
 PERCENT = 85
-_A = C._random_u64(TREES * DEEP, 21) | np.uint64(1)
-_B = C._random_u64(TREES * DEEP, 22)
+#: Type of set ids: a decimal of 126 bits.
+SET = "decimal(38,0)"
+_A = C._random_u64(TREES * DEPTH, 21) | np.uint64(1)
+_B = C._random_u64(TREES * DEPTH, 22)
 _W = C._random_u64(WORDS, 23) | np.uint64(1)
-_T = C._random_u64(TREES, 24)
 
 
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
@@ -77,38 +85,54 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     return np.stack([np.minimum.reduceat(flat * a + b, at) for a, b in zip(_A, _B, strict=True)], axis=1)
 
 
-def set_ids(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """An id for each set of shingle hashes; sets lie one after another in ``flat``, from ``at``."""
-    return C.mix(np.add.reduceat(C.mix(flat + _A[0]), at) ^ C.mix(np.add.reduceat(C.mix(flat ^ _A[1]), at)))
+def set_id(shingles: np.ndarray) -> Decimal:
+    """A number for a set of sorted shingle hashes."""
+    return Decimal(int.from_bytes(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), "little") >> 2)
 
 
-def _slice_one(pdf: pd.DataFrame) -> pd.DataFrame:
-    sets = shingle_sets(C.utf8(pdf["text"]))
-    n = np.array([len(s) for s in sets], np.int64)
-    ids = np.zeros(len(sets), np.uint64)
+def _pass_one(texts: list[str | None]) -> list:
+    sets = shingle_sets(C.utf8(texts))
+    ids: list = [None] * len(sets)
     keys: list = [None] * len(sets)
-    full = np.flatnonzero(n)
+    full = [i for i, s in enumerate(sets) if len(s)]
     for a, b in C.sized([sets[i].data for i in full], 250_000):
-        part = [sets[i] for i in full[a:b]]
-        flat, at = np.concatenate(part), np.cumsum([0, *map(len, part)])[:-1]
-        ids[full[a:b]] = set_ids(flat, at)
-        sig = signatures(part).reshape(len(part), TREES, DEEP)
-        depth = _T[None, :].repeat(len(part), 0)
-        kept = []
-        for d in range(DEEP):
-            depth = C.mix(depth * _W[0] + sig[:, :, d])
-            if d + 1 in (SHALLOW, DEEP):
-                kept.append(depth)
-        both = np.stack(kept, axis=2).view(np.int64).reshape(len(part), 2 * TREES)
-        for i, row in zip(full[a:b], both, strict=True):
-            keys[i] = row
-    return pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy(), "n_shingles": n, "set_id": ids.view(np.int64), "keys": keys})
-
-
-def _pass_one(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in C.batches(batches):
-        for k in range(0, len(pdf), C.SLICE):
-            yield _slice_one(pdf.iloc[k : k + C.SLICE])
+        part = full[a:b]
+        # the least values are small numbers: mixed, their upper bits differ
+        sig = C.mix(signatures([sets[i] for i in part]).reshape(len(part), TREES, DEPTH)) >> np.uint64(48)
+        key = np.zeros((len(part), TREES), np.uint64)
+        for d in range(DEPTH):
+            key = key << np.uint64(16) | sig[:, :, d]
+        for i, row in zip(part, key.view(np.int64), strict=True):
+            ids[i], keys[i] = set_id(sets[i]), row
+    return [[len(s) for s in sets], ids, keys]
+
+
+def forest_edges(classes: DataFrame, scratch: C.Scratch) -> DataFrame:
+    """(a, b): classes that are neighbours in the sorted order of a tree and agree deep enough for their region."""
+    n = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = classes.select(F.posexplode("keys").alias("tree", "key"), "set_id")
+    # written: the bounds of the range partitions are drawn anew each time the sort runs
+    order = ["tree", "key", "set_id"]
+    rows = scratch.write(rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id()))
+    w = Window.partitionBy("part").orderBy(*order)
+    ends = rows.groupBy("part").agg(F.max(F.struct(*order)).alias("last"))  # one row a partition
+    ends = ends.select("part", F.lag("last").over(Window.orderBy("part")).alias("edge"))
+    at = F.struct(*order)
+    near = rows.select("part", *order, F.lag(at).over(w).alias("before"), F.lag(F.struct("tree", "key"), REGION).over(w).alias("far"), F.lead(F.struct("tree", "key"), REGION).over(w).alias("ahead"))
+    near = near.join(F.broadcast(ends), "part").withColumn("inside", F.col("before").isNotNull()).withColumn("before", F.coalesce("before", "edge"))
+
+    def alike(other: str, depth: int):
+        """Same tree and ``depth`` common leading values; null counts as unlike."""
+        same = F.shiftrightunsigned(F.col("key").bitwiseXOR(F.col(f"{other}.key")), 16 * (DEPTH - depth)) == 0
+        return F.coalesce((F.col("tree") == F.col(f"{other}.tree")) & same, F.lit(False))
+
+    dense = alike("far", DEPTH - 1) | alike("ahead", DEPTH - 1)
+    joined = alike("before", DEPTH) | (~dense & alike("before", DEPTH - 1))
+    near = near.select("part", *order, "before", joined.alias("joined"), F.when(~(joined & F.col("inside")), F.col("set_id")).alias("head"))
+    # inside a partition all rows of a run are linked with its first one: fewer steps to their component than a chain
+    near = near.withColumn("head", F.last("head", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    edge = F.when(F.col("head") != F.col("set_id"), F.col("head")).otherwise(F.col("before.set_id"))
+    return near.where("joined").select(F.col("set_id").alias("a"), edge.alias("b")).where("a <> b")
 
 
 def connected_components(edges: DataFrame, scratch: C.Scratch, a: str = "a", b: str = "b") -> DataFrame:
@@ -180,80 +204,78 @@ def link_sets(sets: list[np.ndarray], percent: int = PERCENT) -> np.ndarray:
     return label
 
 
-def _confirm(batches: Iterator[pd.DataFrame], percent: int = PERCENT) -> Iterator[pd.DataFrame]:
+def _confirm(source: Iterator[pa.RecordBatch], percent: int = PERCENT) -> Iterator[pa.RecordBatch]:
     """Rows come sorted by task; only the running task's sets are held."""
-
-    def close(ids: list[int], sets: list[np.ndarray]):
-        label = link_sets(sets, percent)
-        for k, x in enumerate(label):
-            if x != k:
-                out_a.append(ids[k])
-                out_b.append(ids[x])
-
     key, ids, sets = None, [], []
-    out_a: list[int] = []
-    out_b: list[int] = []
-    for pdf in C.batches(batches):
-        made = [s for k in range(0, len(pdf), C.SLICE) for s in shingle_sets(C.utf8(pdf["text"].iloc[k : k + C.SLICE]))]
-        for t, i, s in zip(zip(pdf["cluster"], pdf["x"], pdf["y"], strict=True), pdf["set_id"], made, strict=True):
-            if t != key:
-                close(ids, sets)
-                key, ids, sets = t, [], []
-            if ids and ids[-1] == i:  # a repeated row; rows of a task are sorted by set
-                continue
-            if len(s) and set_ids(s, np.zeros(1, int)).view(np.int64)[0] == i:  # else another text under the same doc_id
+    out: list[tuple[Decimal, Decimal]] = []
+
+    def close() -> None:
+        out.extend((ids[k], ids[x]) for k, x in enumerate(link_sets(sets, percent)) if x != k)
+
+    def made() -> pa.RecordBatch:
+        kind = pa.decimal128(38, 0)
+        a, b = zip(*out, strict=True) if out else ((), ())
+        return pa.RecordBatch.from_arrays([pa.array(a, kind), pa.array(b, kind)], names=["a", "b"])
+
+    for batch in C.batches(source):
+        for part in C.slices(batch):
+            rows = zip(*[part.column(c).to_pylist() for c in ("cluster", "x", "y", "set_id")], strict=True)
+            for (*task, i), s in zip(rows, shingle_sets(C.utf8(part.column("text").to_pylist())), strict=True):
+                if task != key:
+                    close()
+                    key, ids, sets = task, [], []
+                if ids and ids[-1] == i:  # a repeated row; rows of a task are sorted by set
+                    continue
                 ids.append(i)
                 sets.append(s)
-        yield pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
-        out_a, out_b = [], []
-    close(ids, sets)
-    yield pd.DataFrame({"a": np.array(out_a, np.int64), "b": np.array(out_b, np.int64)})
+        yield made()
+        out.clear()
+    close()
+    yield made()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
+def _grouped(docs: DataFrame, id_col: str, text_col: str, percent: int, scratch: C.Scratch) -> DataFrame:
+    """doc_id, th (hash of the text), n_shingles and group: the (none, doc_id, th) of the row that stands for the component; null without words."""
     spark = docs.sparkSession
-    scratch = C.Scratch(spark, "neardup")
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    one = scratch.write(src.mapInPandas(_pass_one, "doc_id long, n_shingles long, set_id long, keys array<long>"))
-    full = one.where("n_shingles > 0")
-    # written, so that joins with it shuffle both sides and a hot set id can be split
-    least = scratch.write(full.groupBy("set_id").agg(F.min("doc_id").alias("rep")))
-    classes = full.groupBy("set_id").agg(F.first("keys").alias("keys"))
-    pairs = scratch.write(classes.select("set_id", F.posexplode(F.expr("transform(sequence(0, size(keys) - 2, 2), i -> struct(keys[i] AS k1, keys[i + 1] AS k2))")).alias("t", "k")).select("set_id", "k.k1", "k.k2"))
-    r1 = pairs.groupBy("k1").agg(F.count("*").alias("n"), F.min("set_id").alias("hub")).where("n > 1")
-    near = pairs.join(r1, "k1").select("set_id", "k2", "n", "hub")
-    sparse = near.where(F.col("n") <= REGION).select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
-    dense = near.where(F.col("n") > REGION).select("set_id", "k2")
-    r2 = dense.groupBy("k2").agg(F.min("set_id").alias("hub"))
-    deep = dense.join(r2, "k2").select(F.col("set_id").alias("a"), F.col("hub").alias("b"))
-    cluster = connected_components(sparse.unionByName(deep), scratch)
+    src = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    one = scratch.write(C.per_text(src, f"n_shingles long, set_id {SET}, keys array<long>", lambda: _pass_one))
+    rep = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")).alias("rep")
+    classes = one.where("n_shingles > 0").groupBy("set_id").agg(rep, F.first("keys").alias("keys"), F.first("n_shingles").alias("n"))
+    # written, so that joins with it shuffle both sides and a hot set can be split
+    classes = scratch.write(classes)
+    cluster = connected_components(forest_edges(classes, scratch), scratch)
     cluster = scratch.write(cluster.unionByName(cluster.select(F.col("root").alias("node"), "root").distinct()))
-    scratch.drop(pairs)
-    blocks = cluster.groupBy("root").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("nb"))
-    member = cluster.join(blocks, "root").join(least, F.col("node") == F.col("set_id")).select(F.col("rep").alias("doc_id"), "set_id", F.col("root").alias("cluster"), "nb")
-    texts = src.join(member.hint("shuffle_hash"), "doc_id").withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("nb")))
+    member = cluster.join(classes.select("set_id", "rep", "n"), F.col("node") == F.col("set_id")).select("set_id", "rep", "n", F.col("root").alias("cluster"))
+    blocks = scratch.write(member.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("nb")))
+    member = member.join(blocks, "cluster").select("set_id", "cluster", "nb", F.col("rep.doc_id").alias("rid"), F.col("rep.th").alias("rth"))
+    texts = src.join(member.hint("shuffle_hash"), (F.col("th") == F.col("rth")) & F.col("doc_id").eqNullSafe(F.col("rid"))).withColumn("own", F.pmod(F.xxhash64("set_id"), F.col("nb")))
     tasks = texts.select("set_id", "cluster", "text", "own", F.explode(F.expr("sequence(0, nb - 1)")).alias("other")).select("set_id", "cluster", "text", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"))
     n_tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    links = tasks.repartition(n_tasks, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "set_id").mapInPandas(lambda source: _confirm(source, percent), "a long, b long")
+    links = tasks.repartition(n_tasks, "cluster", "x", "y").sortWithinPartitions("cluster", "x", "y", "set_id").mapInArrow(lambda source: _confirm(source, percent), f"a {SET}, b {SET}")
     links = scratch.write(links)
     found = scratch.write(connected_components(links, scratch) if blocks.where("nb > 1").limit(1).count() else links.select(F.col("a").alias("node"), F.col("b").alias("root")))
     label = found.unionByName(found.select(F.col("root").alias("node"), "root").distinct())
-    label = label.join(least, F.col("node") == F.col("set_id")).select("set_id", "root", "rep")
+    label = label.join(classes.select("set_id", "rep"), F.col("node") == F.col("set_id")).select("set_id", "root", "rep")
     root = label.groupBy("root").agg(F.min("rep").alias("linked"))
     named = label.join(root, "root").select(F.col("set_id").alias("set"), "linked")
-    names = scratch.write(least.join(named, F.col("set_id") == F.col("set"), "left").select(F.col("set_id").alias("own_set"), F.coalesce("linked", "rep").alias("component")))
-    out = one.select("doc_id", "n_shingles", "set_id").join(names, (F.col("set_id") == F.col("own_set")) & (F.col("n_shingles") > 0), "left")
-    comp = F.coalesce("component", "doc_id")
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    names = scratch.write(classes.select("set_id", "rep").join(named, F.col("set_id") == F.col("set"), "left").select(F.col("set_id").alias("own_set"), F.coalesce("linked", "rep").alias("group")))
+    return one.join(names, F.col("set_id") == F.col("own_set"), "left").select("doc_id", "th", "n_shingles", "group")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``docs`` that stand for their group, all columns as they are.
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per row of ``docs``."""
+    rows = _grouped(docs, id_col, text_col, percent, C.Scratch(docs.sparkSession, "neardup"))
+    comp = F.coalesce("group.doc_id", "doc_id")
+    return rows.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
 
-    Of rows that repeat a doc_id and text, one stays.
-    """
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row of each group and every row without words, all columns as they are; of rows that repeat a doc_id and text, one stays."""
     scratch = C.Scratch(docs.sparkSession, "neardup-kept")
-    kept = scratch.write(near_duplicates(docs, id_col, text_col, percent).where("kept").groupBy(F.col("doc_id").alias("_nd_id")).agg(F.count("*").alias("_nd_rows")))
-    out = docs.join(kept.hint("shuffle_hash"), F.col(id_col).cast("long").eqNullSafe(F.col("_nd_id")), "left_semi")
-    return out.dropDuplicates([id_col, text_col]) if kept.where("_nd_rows > 1").limit(1).count() else out
+    rows = _grouped(docs, id_col, text_col, percent, scratch)
+    alone = F.col("group").isNull() | (F.col("doc_id").eqNullSafe(F.col("group.doc_id")) & (F.col("th") == F.col("group.th")))
+    th, kid, kth = C.fresh(docs, "text_hash", "kept_id", "kept_hash")
+    kept = scratch.write(rows.where(alone).groupBy(F.col("doc_id").alias(kid), F.col("th").alias(kth)).agg(F.count("*").alias("n")))
+    out = docs.withColumn(th, F.xxhash64(text_col))
+    out = out.join(kept.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(kid)) & (F.col(th) == F.col(kth)), "left_semi")
+    return (out.dropDuplicates([id_col, th]) if kept.where("n > 1").limit(1).count() else out).select(*docs.columns)

@@ -4,25 +4,31 @@
 ragged numpy array of symbols, and in each round every pre-token's lowest-rank pair is merged at all its places at
 once, for all pre-tokens together; what survives is counted.  Merging all places of the lowest pair at once gives the
 same symbols as merging them one by one from the left, since a merge can only make pairs of a higher rank; overlapping
-places (as in "aaa") are taken alternately from the left.
+places (as in "aaa") are taken alternately from the left.  A pre-token of over ``LONG`` bytes (base64, one letter
+without end) would be scanned once for each of its many ranks; its places are kept by rank instead, so each round looks
+at the places of the lowest rank and their neighbours only.
 
 Counts of pre-tokens are kept between batches in a dictionary of at most ``CACHE`` entries a worker; beyond that they
-are merged again, so the bound changes no result.
+are merged again, so the bound changes no result.  Pre-tokens of over ``LONG`` bytes are not kept.
+
+The vocabulary file is opened by its path on every executor: install it there, or send it with ``addFile`` and pass that
+path.
 
 Defined results: null text counts as empty (0 tokens); strings of special tokens inside a text are one token each, as
-the library takes them by default; rows that repeat get equal rows.
+the library takes them by default; rows that repeat get equal rows; ids keep their type, nulls included.
 """
 
 from __future__ import annotations
 
 import array
+import heapq
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections import defaultdict
+from collections.abc import Callable
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
@@ -31,9 +37,9 @@ from pyspark.sql import functions as F
 from . import common as C
 
 LIMIT = 1024
-CACHE = 250_000
-#: Distinct pre-tokens that one merging step holds.
-STEP = 200_000
+CACHE = 100_000
+#: Bytes of distinct pre-tokens that one merging step holds, and bytes from which a pre-token is merged by itself.
+STEP, LONG = 1_500_000, 1000
 #: The pre-token patterns of the two vocabularies (fixed values).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -67,6 +73,52 @@ class RankMerger:
         self.pattern = regex.compile(BYTE_LEVEL)
         self.cache: dict[str, int] = {}
 
+    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols; len(made) where there is no merge."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.key, pair), len(self.key) - 1)
+        return np.where(self.key[at] == pair, self.rank[at], len(self.made))
+
+    def merge_long(self, token: bytes) -> int:
+        """How many symbols survive in one long token; symbols are a linked list, places are kept by rank."""
+        n, none = len(token), len(self.made)
+        sym = np.append(self.first[np.frombuffer(token, np.uint8)], -1)
+        nxt, prv = np.minimum(np.arange(1, n + 2), n), np.maximum(np.arange(-1, n), 0)
+        rank = np.full(n + 1, none)
+        places: dict[int, list[np.ndarray]] = defaultdict(list)
+        waiting: list[int] = []
+
+        def note(at: np.ndarray) -> None:
+            after = nxt[at]
+            rank[at] = np.where(after < n, self.ranks(sym[at], sym[after]), none)
+            at = at[rank[at] < none]
+            if not len(at):
+                return
+            at = at[np.argsort(rank[at], kind="stable")]
+            values, begin = np.unique(rank[at], return_index=True)
+            for r, part in zip(values.tolist(), np.split(at, begin[1:]), strict=True):
+                if r not in places:
+                    heapq.heappush(waiting, r)
+                places[r].append(part)
+
+        note(np.arange(n))
+        count = n
+        while waiting:
+            r = heapq.heappop(waiting)
+            at = np.unique(np.concatenate(places.pop(r)))
+            at = at[rank[at] == r]
+            if not len(at):
+                continue
+            at = every_second(nxt[at[:-1]] == at[1:], at)
+            gone = nxt[at]
+            sym[at] = self.made[r]
+            rank[gone] = none
+            nxt[at] = nxt[gone]
+            prv[nxt[at]] = at
+            count -= len(at)
+            note(np.unique(np.concatenate([at, prv[at]])))
+        return count
+
     def merge(self, tokens: list[bytes]) -> np.ndarray:
         """How many symbols survive in each (non-empty) token."""
         size = np.array([len(t) for t in tokens])
@@ -76,10 +128,7 @@ class RankMerger:
         out = np.zeros(len(tokens), np.int64)
         while len(sym):
             rank = np.full(len(sym), none, np.int32)  # of the pair that begins at each symbol
-            pair = sym[:-1] << 32 | sym[1:]
-            at = np.minimum(np.searchsorted(self.key, pair), none - 1)
-            ok = (self.key[at] == pair) & (seq[:-1] == seq[1:])
-            rank[:-1][ok] = self.rank[at[ok]]
+            rank[:-1] = np.where(seq[:-1] == seq[1:], self.ranks(sym[:-1], sym[1:]), none)
             begin = np.flatnonzero(np.diff(seq, prepend=-1))
             low = np.minimum.reduceat(rank, begin)
             count = np.diff(begin, append=len(sym))
@@ -88,10 +137,7 @@ class RankMerger:
             low, live = np.repeat(low, count), np.repeat(~done, count)
             hit = live & (rank == low)
             places = np.flatnonzero(hit)
-            # in a run of overlapping places every second one is taken
-            fresh = np.concatenate(([True], np.diff(places) != 1)) if len(places) else np.zeros(0, bool)
-            run = np.maximum.accumulate(np.where(fresh, np.arange(len(places)), 0)) if len(places) else places
-            places = places[(np.arange(len(places)) - run) % 2 == 0]
+            places = every_second(np.diff(places) == 1, places)
             sym[places] = self.made[rank[places]]
             live[places + 1] = False
             sym, seq = sym[live], seq[live]
@@ -110,32 +156,43 @@ class RankMerger:
                 words.append(self.pattern.findall(t) if t else [])
         known = self.cache
         new = [w for w in {w for ws in words for w in ws} if w not in known]
-        for a in range(0, len(new), STEP):
-            part = new[a : a + STEP]
-            known.update(zip(part, self.merge([w.encode("utf-8") for w in part]).tolist(), strict=True))
+        data = [w.encode("utf-8") for w in new]
+        huge = [w for w, d in zip(new, data, strict=True) if len(d) > LONG]
+        known.update((w, self.merge_long(w.encode("utf-8"))) for w in huge)
+        short = [(w, d) for w, d in zip(new, data, strict=True) if len(d) <= LONG]
+        for a, b in C.sized([d for _, d in short], STEP):
+            known.update(zip([w for w, _ in short[a:b]], self.merge([d for _, d in short[a:b]]).tolist(), strict=True))
         out = [sum(map(known.__getitem__, ws)) + x for ws, x in zip(words, extra, strict=True)]
+        for w in huge:
+            del known[w]
         if len(known) > CACHE:
             known.clear()
         return out
 
 
-def text_groups(texts: list, limit: int = 8_000_000) -> Iterator[tuple[int, int]]:
-    return C.sized([t or "" for t in texts], limit)
+def every_second(linked: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Of each run of places that overlap (``linked``: with the next one) the first, third and so on."""
+    if not len(places):
+        return places
+    fresh = np.concatenate(([True], ~linked))
+    i = np.arange(len(places))
+    return places[(i - np.maximum.accumulate(np.where(fresh, i, 0))) % 2 == 0]
 
 
 def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit; one row per row of ``docs``."""
     path = path or public_tokenizers.path("byte_bpe_50k.json")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         merger = RankMerger(path)
-        for pdf in C.batches(batches):
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            n = [x for a, b in text_groups(texts) for x in merger.count(texts[a:b])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n_tokens": np.array(n, np.int64), "n_bytes": np.array([len(t.encode("utf-8")) for t in texts], np.int64)})
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = src.mapInPandas(run, "doc_id long, n_tokens long, n_bytes long")
+        def judge(texts: list[str | None]) -> list:
+            return [merger.count(texts), [len(t) for t in C.utf8(texts)]]
+
+        return judge
+
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    out = C.per_text(src, "n_tokens long, n_bytes long", make)
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
@@ -172,8 +229,7 @@ class WordTokenizer:
 
         self.lib = Tokenizer.from_file(path)
         self.model = self.lib.model.tokenize
-        with open(path, encoding="utf-8") as f:
-            self.special = [t["content"] for t in json.load(f).get("added_tokens", [])]
+        self.special = [t.content for t in self.lib.get_added_tokens_decoder().values()]
         self.find: Callable = regex.compile(WORD_LEVEL).findall
         self.find_ascii: Callable = self.ascii_words.findall
         self.symbol = dict(enumerate(byte_symbols()))

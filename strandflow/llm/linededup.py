@@ -17,7 +17,8 @@ in any context.  The first copy of a line always stays: a unit that holds it has
 by SHA-256, and no text is moved.
 
 Defined results: null text stays null, without lines; a text whose chunks are all removed becomes empty; rows with the
-same doc_id and text are one document and get the same result; a null doc_id is allowed and comes first.
+same doc_id and text are one document and get the same result; a null doc_id is allowed and comes first; columns of any
+names may stand beside.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ WINDOW, DIVISOR, MIN_LINES = 2, 3, 2
 #: Characters from which a line alone is a passage.
 LONG_LINE = 40
 SOLID = "[^ \n\r\t]"
+#: Column of what is left of a text that loses something.
+CUT = "_ld_cut"
 
 
 def let(value: Column, body) -> Column:
@@ -93,7 +96,7 @@ def _exploded(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the chunks to drop) of the documents that lose any."""
+    """_ld_id, _ld_th (hash of the text) and _ld_gone, in this order (numbers of the chunks to drop) of the documents that lose any."""
     scratch = C.Scratch(docs.sparkSession, "linededup")
     rows = scratch.write(_exploded(docs, id_col, text_col))
     # written, so that the merge join shuffles both sides and a hot chunk can be split
@@ -113,7 +116,7 @@ def removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def passage_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ld_id, _ld_th (hash of the text) and _ld_gone (numbers of the lines to drop) of the documents that lose any."""
+    """_ld_id, _ld_th (hash of the text) and _ld_gone, in this order (numbers of the lines to drop) of the documents that lose any."""
     scratch = C.Scratch(docs.sparkSession, "linededup")
     src = docs.select(F.col(id_col).alias("_ld_id"), F.col(text_col).alias("_ld_text"), F.xxhash64(text_col).alias("_ld_th")).where("_ld_text IS NOT NULL")
     rows = src.select("_ld_id", "_ld_th", F.explode(units(F.col("_ld_text"))).alias("u")).select("_ld_id", "_ld_th", "u.*").where("h IS NOT NULL")
@@ -131,10 +134,11 @@ def passage_removals(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def _joined(docs: DataFrame, id_col: str, text_col: str, passages: bool = False) -> DataFrame:
-    gone = (passage_removals if passages else removals)(docs, id_col, text_col)
-    src = docs.withColumn("_ld_own", F.xxhash64(text_col))
-    out = src.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_ld_id")) & (F.col("_ld_own") == F.col("_ld_th")), "left")
-    gone = F.col("_ld_gone")
+    own, gid, gth, lost, cut_col = C.fresh(docs, "_ld_own", "_ld_id", "_ld_th", "_ld_gone", CUT)
+    gone = (passage_removals if passages else removals)(docs, id_col, text_col).toDF(gid, gth, lost)
+    src = docs.withColumn(own, F.xxhash64(text_col))
+    out = src.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(gid)) & (F.col(own) == F.col(gth)), "left")
+    gone = F.col(lost)
 
     def judge(c: Column) -> Column:
         kept = F.array_join(F.flatten(F.filter(c, lambda x, k: ~F.array_contains(gone, k))), "\n")
@@ -147,21 +151,22 @@ def _joined(docs: DataFrame, id_col: str, text_col: str, passages: bool = False)
 
     # only documents that lose something are cut again
     cut = let(F.split(F.col(text_col), "\n", -1), judge_lines) if passages else let(chunks(F.col(text_col)), judge)
-    return out.withColumn("_ld", F.when(gone.isNotNull(), cut))
+    return out.withColumn(cut_col, F.when(gone.isNotNull(), cut))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passages: bool = False) -> DataFrame:
     """``docs`` with repeated chunks of lines, or all repeated passages, removed from the text; all rows and columns stay."""
     out = _joined(docs, id_col, text_col, passages)
-    return out.select(*[F.coalesce("_ld.kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    cut = C.fresh(docs, CUT)[0]
+    return out.select(*[F.coalesce(f"{cut}.kept", F.col(c)).alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def line_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_lines, n_removed (chunks), n_removed_lines, kept_bytes, kept_sha256; one row per row of ``docs``."""
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     out = _joined(src, "doc_id", "text")
-    n = lambda c: F.coalesce(F.col(f"_ld.{c}"), F.lit(0).cast("long"))
-    kept = F.coalesce("_ld.kept", "text", F.lit(""))
+    n = lambda c: F.coalesce(F.col(f"{CUT}.{c}"), F.lit(0).cast("long"))
+    kept = F.coalesce(f"{CUT}.kept", "text", F.lit(""))
     lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
     return out.select("doc_id", lines.alias("n_lines"), n("removed").alias("n_removed"), n("removed_lines").alias("n_removed_lines"), F.octet_length(kept).cast("long").alias("kept_bytes"), F.sha2(kept.cast("binary"), 256).alias("kept_sha256"))
 

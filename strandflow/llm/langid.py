@@ -4,14 +4,15 @@ Text is lower-cased and everything but letters becomes a space (runs collapse);
 are hashed into ``BUCKETS`` buckets.  Training sums bucket counts by language: partitions emit their sums in blocks,
 which are added by (language, block), so neither a language nor a partition ever gathers in one row or task.  The
 log-probability matrix (languages x BUCKETS x 4 bytes, 256 kB a language) is broadcast; scoring gathers it at the
-n-grams that occur.
+n-grams that occur.  The languages are counted first: with over ``MAX_LANGS`` of them (a matrix of 64 MB) training ends
+with an error, since such a column is no list of languages.
 
 ``MAX_TRAIN`` bounds the training rows: with more labelled rows, a sample of about that many is taken by a hash of the
 id, at every size in the same way.  All documents are scored, whole.
 
 Defined results: ``und`` with score 0 if the text is null or has no letters, or if nothing could be learned; else score
 is the posterior probability of the predicted language.  Ties go to the language first in order.  Rows that repeat get
-equal rows.
+equal rows; ids keep their type, nulls included (a null id is not held out and may be learned from).
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from . import common as C
 ORDER = 3
 BUCKETS = 1 << 16
 MAX_TRAIN = 40_000
+MAX_LANGS = 256
 ALPHA = 0.3
 _BLOCK = 4096
 _LETTER = np.array([chr(c).isalpha() for c in range(0x3000)])
@@ -116,7 +118,10 @@ class Model:
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_TRAIN) -> Model:
     """Learn from rows that are not held out and have text and language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~C.held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    share = sample_share(rows.count(), most)
+    by_lang = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
+    if len(by_lang) > MAX_LANGS:
+        raise ValueError(f"{lang_col} has over {MAX_LANGS} values")
+    share = sample_share(sum(r["count"] for r in by_lang), most)
     rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
     schema = "lang string, block int, docs long, counts binary"
     got = rows.mapInPandas(_sums, schema).groupBy("lang", "block").applyInPandas(_add, schema).collect()
@@ -133,12 +138,9 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """doc_id, held_out, lang_pred, score; one row per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, id_col, text_col, lang_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in C.batches(batches):
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            got = [x for a, b in C.sized(texts, 500_000) for x in shared.value.predict(texts[a:b])]
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": [x[0] for x in got], "score": np.array([x[1] for x in got], float)})
+    def judge(texts: list[str | None]) -> list:
+        return list(zip(*shared.value.predict([t or "" for t in texts]), strict=True))
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = src.mapInPandas(run, "doc_id long, lang_pred string, score double")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    out = C.per_text(src, "lang_pred string, score double", lambda: judge, 500_000)
     return out.select("doc_id", C.held_out().alias("held_out"), "lang_pred", "score")

@@ -7,10 +7,12 @@ capitals, punctuation and symbols, and of obfuscated spellings (digits and symbo
 Learning: ``MAX_TRAIN`` bounds the labelled rows, taken by a hash of the id; they are written once and give, first, term
 statistics (summed by term, with a map-side count), then the feature matrix, at most MAX_TRAIN x 17 numbers, on which
 the trees are grown on the driver.  Rows with crc32(id) mod 5 = 1 are kept out of the trees and calibrate their output
-by pooling adjacent violators.  ``MAX_TERMS`` bounds the terms that are broadcast.
+by pooling adjacent violators.  A learned term is in 2 % of the toxic rows at least, so what is broadcast is bounded by
+50 times the mean number of different terms of such a row, whatever the corpus.
 
 Defined results: null or empty text is scored by its (all zero) features; without labels of both kinds the score is the
-share of toxic labels, or 0; labels other than 0 and 1 and repeated labels with the same value count once each row.
+share of toxic labels, or 0; labels other than 0 and 1 and repeated labels with the same value count once each row; ids keep their type, nulls
+included.
 """
 
 from __future__ import annotations
@@ -28,7 +30,6 @@ from . import common as C
 from .langid import sample_share
 
 MAX_TRAIN = 20_000
-MAX_TERMS = 4_000
 TREES, DEPTH, BINS, RATE = 80, 3, 32, 0.15
 NEAR = 4
 #: Insults in several languages and second-person words.
@@ -66,7 +67,7 @@ class Features:
             if w not in cache:
                 cache[w] = self.code(w)
         codes = np.frombuffer(bytes(map(cache.__getitem__, words)), np.uint8)
-        if len(cache) > 100_000:
+        if len(cache) > 50_000:
             cache.clear()
         n = max(len(words), 1)
         bad = np.flatnonzero(codes & (FIXED | WORD | START))
@@ -204,14 +205,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)  # about MAX_TRAIN rows of two numbers
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = scratch.write(texts.join(F.broadcast(known), "doc_id").withColumn("kept_out", F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1))
-    total = {r["y"]: r["n"] for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    total = rows.groupBy("y").agg(F.count("*").alias("n"), F.count_if(~F.col("kept_out")).alias("fit")).collect()
+    fitted, total = {r["y"]: r["fit"] for r in total}, {r["y"]: r["n"] for r in total}
     n1, n0 = total.get(1, 0), total.get(0, 0)
     if not n1 or not n0:
         return Model(Features(), None, np.zeros(1), np.array([n1 / max(n1 + n0, 1)]))
-    fit1 = max(1, rows.where("y = 1 AND NOT kept_out").count())
+    fit1, fit0 = (fitted.get(k, 0) for k in (1, 0))
     counts = rows.where("NOT kept_out").mapInPandas(_count_terms, "term string, bad long, good long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
-    odds = (F.col("bad") + 0.5) / (n1 + 1) / ((F.col("good") + 0.5) / (n0 + 1))
-    found = counts.where((F.col("bad") >= max(3, int(0.02 * fit1))) & (odds >= 8)).orderBy(F.desc("bad"), "term").limit(MAX_TERMS).collect()
+    odds = (F.col("bad") + 0.5) / (fit1 + 1) / ((F.col("good") + 0.5) / (fit0 + 1))
+    # each is in a fiftieth of the toxic rows at least: at most 50 times the mean number of terms of such a row
+    found = counts.where((F.col("bad") >= max(3, int(0.02 * fit1))) & (odds >= 8)).collect()
     features = Features(frozenset(r["term"] for r in found if not r["term"].endswith("*")), frozenset(r["term"][:-1] for r in found if r["term"].endswith("*")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -234,17 +237,15 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, held_out, score, predicted; one row per row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model or train(docs, labels, id_col, text_col))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in C.batches(batches):
-            s = shared.value.score([t if isinstance(t, str) else "" for t in pdf["text"]])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": s})
+    def judge(texts: list[str | None]) -> list:
+        return [shared.value.score([t or "" for t in texts])]
 
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    out = src.mapInPandas(run, "doc_id long, score double")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    out = C.per_text(src, "score double", lambda: judge)
     return out.select("doc_id", C.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score under ``limit``, all columns as they are."""
     shared = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col))
-    return C.filter_rows(docs, text_col, lambda texts: shared.value.score([t.decode("utf-8") for t in texts]) < limit)
+    return C.filter_rows(docs, text_col, lambda: lambda texts: shared.value.score([t.decode("utf-8") for t in texts]) < limit)

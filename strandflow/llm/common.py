@@ -7,15 +7,18 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..scratch import Scratch, remove, shared_dir  # noqa: F401 - used through this module
 
 #: Text bytes that one vectorised hashing step takes (a longer document is a step of its own).
 CHUNK_BYTES = 600_000
-#: Rows that are taken out of a batch at a time.
-SLICE = 500
+#: Text bytes that are taken out of an Arrow batch at a time (a longer document is a slice of its own).
+SLICE_BYTES = 1_500_000
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -62,17 +65,60 @@ def batches(source: Iterator) -> Iterator:
             _malloc_trim(0)
 
 
-def filter_rows(docs: DataFrame, text_col: str, decide) -> DataFrame:
-    """Rows for which ``decide`` (texts as UTF-8 -> flags) holds, every column as it is; a batch at a time."""
+def slices(batch: pa.RecordBatch, text: str = "text", limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in consecutive parts of about ``limit`` text bytes, without copying."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    step = (np.cumsum(size, dtype=np.int64) - size) // limit
+    cuts = np.flatnonzero(np.diff(step)) + 1 if len(step) else np.zeros(0, int)
+    for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+        if e > s:
+            yield batch.slice(s, e - s)
+
+
+def per_text(src: DataFrame, fields: str, make, limit: int = SLICE_BYTES) -> DataFrame:
+    """``src`` without its column ``text`` and with ``fields`` computed from it, one row per row.
+
+    ``make()`` is called once a task; what it returns gets the texts of a slice (None for null) and gives a column of
+    values for each field.  The other columns stay Arrow data from end to end, so ids keep type, value and null.
+    """
+    rest = [c for c in src.columns if c != "text"]
+    added = StructType.fromDDL(fields)
+    kinds = [f.type for f in to_arrow_schema(added)]
+    schema = StructType([src.schema[c] for c in rest] + added.fields)
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = make()
+        for b in batches(source):
+            for part in slices(b, limit=limit):
+                made = judge(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in rest], *[pa.array(v, k) for v, k in zip(made, kinds, strict=True)]], names=schema.names)
+
+    return src.select(*rest, "text").mapInArrow(run, schema)
+
+
+def filter_rows(docs: DataFrame, text_col: str, make) -> DataFrame:
+    """Rows for which the function that ``make()`` returns (texts as UTF-8 -> flags) holds, every column as it is."""
 
     def run(source):
+        decide = make()
         for b in batches(source):
-            keep = [np.asarray(decide(utf8(b.column(text_col).slice(k, SLICE).to_pylist())), bool) for k in range(0, b.num_rows, SLICE)]
+            keep = [np.asarray(decide(utf8(p.column(text_col).to_pylist())), bool) for p in slices(b, text_col)]
             yield b.filter(pa.array(np.concatenate(keep))) if keep else b
 
     return docs.mapInArrow(run, docs.schema)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores after it until no column of ``df`` is called so in any case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 # ---------------------------------------------------------------------------------------------------------------------
 # hashing
 # ---------------------------------------------------------------------------------------------------------------------
@@ -101,13 +147,18 @@ _powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and BASE**-i for i < n, kept between calls."""
-    if len(_powers[0]) < n:
-        for k, b in enumerate((BASE, BASE_INV)):
-            p = np.full(n, b, np.uint64)
-            p[0] = 1
-            _powers[k] = np.cumprod(p, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    """BASE**i and BASE**-i for i < n; kept between calls up to the length of a hashing step, so that one very long text
+    leaves nothing behind."""
+    if len(_powers[0]) >= n:
+        return _powers[0], _powers[1]
+    out = []
+    for b in (BASE, BASE_INV):
+        p = np.full(n, b, np.uint64)
+        p[0] = 1
+        out.append(np.cumprod(p, dtype=np.uint64))
+    if n <= 2 * CHUNK_BYTES:
+        _powers[:] = out
+    return out[0], out[1]
 
 
 def prefix_hash(codes: np.ndarray) -> np.ndarray:

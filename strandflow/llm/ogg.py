@@ -13,7 +13,7 @@ samples in two interleaved logical streams, one block a packet, reads the stored
 figures of what was read.  Everything depends on the text alone.
 
 Defined results: null text is empty (one block of bytes 255); equal texts get equal values; rows that repeat get equal rows;
-damaged files raise ``OggError`` from the reader.
+ids keep their type, nulls included; damaged files raise ``OggError`` from the reader.
 """
 
 from __future__ import annotations
@@ -24,9 +24,11 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import common as C
 
@@ -176,37 +178,43 @@ def load(data: bytes) -> tuple[bytes, dict[int, Stream]]:
     return b"".join(out), streams
 
 
-def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in C.batches(batches):
-        rows = []
-        for doc, text in zip(pdf["doc_id"], C.utf8(pdf["text"]), strict=True):
-            pad = BLOCK - len(text) if not text else -len(text) % BLOCK
-            media = store(text + b"\xff" * pad)
-            payload, streams = load(media)
-            packets, pages = sum(len(s.packets) for s in streams.values()), sum(s.pages for s in streams.values())
-            seconds = max(s.granule / s.rate for s in streams.values())
-            feature = f"ogg;streams={len(streams)};pages={pages};packets={packets};granule={'/'.join(str(s.granule) for s in streams.values())};seconds={seconds:.6f}"
-            rows.append((doc, len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(streams), pages, packets, seconds))
-        yield pd.DataFrame(rows, columns=[c.split()[0] for c in RESULT.split(", ")])
+def _features(texts: list[str | None]) -> list:
+    rows = []
+    for text in C.utf8(texts):
+        pad = BLOCK - len(text) if not text else -len(text) % BLOCK
+        media = store(text + b"\xff" * pad)
+        payload, streams = load(media)
+        packets, pages = sum(len(s.packets) for s in streams.values()), sum(s.pages for s in streams.values())
+        seconds = max(s.granule / s.rate for s in streams.values())
+        feature = f"ogg;streams={len(streams)};pages={pages};packets={packets};granule={'/'.join(str(s.granule) for s in streams.values())};seconds={seconds:.6f}"
+        rows.append((len(text), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature, len(streams), pages, packets, seconds))
+    return list(zip(*rows, strict=True))
 
 
-RESULT = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_streams long, n_pages long, n_packets long, seconds double"
+RESULT = "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, n_streams long, n_pages long, n_packets long, seconds double"
 
 
 def media_features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of ``docs``; see RESULT."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(_features, RESULT)
+    """doc_id and RESULT; one row per row of ``docs``."""
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return C.per_text(src, RESULT, lambda: _features)
 
 
 def demux(files: DataFrame, id_col: str = "id", data_col: str = "data") -> DataFrame:
     """Packets of stored Ogg files: id, serial, packet, seconds, data."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in C.batches(batches):
-            for i, data in zip(pdf["id"], pdf["data"], strict=True):
-                if data is not None:
-                    got = [(i, s.serial, k, t, p) for s in read(bytes(data)).values() for k, (t, p) in enumerate(zip(s.times, s.packets, strict=True))]
-                    yield pd.DataFrame(got, columns=["id", "serial", "packet", "seconds", "data"])
-
-    src = files.select(F.col(id_col).cast("long").alias("id"), F.col(data_col).alias("data"))
-    return src.mapInPandas(run, "id long, serial long, packet long, seconds double, data binary")
+    src = files.select(F.col(id_col).alias("id"), F.col(data_col).alias("data"))
+    schema = StructType([src.schema["id"], *StructType.fromDDL("serial long, packet long, seconds double, data binary").fields])
+    kinds = [f.type for f in to_arrow_schema(schema)][1:]
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in C.batches(source):
+            for k in range(b.num_rows):  # a file at a time
+                data = b.column("data")[k].as_py()
+                if data is None:
+                    continue
+                got = [(s.serial, n, t, p) for s in read(data).values() for n, (t, p) in enumerate(zip(s.times, s.packets, strict=True))]
+                ids = b.column("id").take(pa.array([k] * len(got), pa.int32()))
+                yield pa.RecordBatch.from_arrays([ids, *[pa.array(c, t) for c, t in zip(zip(*got, strict=True) if got else [[]] * 4, kinds, strict=True)]], names=schema.names)
+
+    return src.mapInArrow(run, schema)

@@ -13,25 +13,24 @@ Documents get their places by rank within their class.  Ranks are row numbers wi
 rests before that salt, so a class that holds most documents is still dealt over all salts.  The pattern table (at most
 256 patterns by 256 classes, and one row for each of the few rests beyond) is joined by class and range of ranks.
 
-Texts are read and tokenised once; checksums of all pieces that may be needed are made then.
+Texts are read and tokenised once; checksums of all pieces that may be needed are made then.  The vocabulary file is
+opened by its path on every executor.
 
 Defined results: null text is empty and gives one piece, the closing id; an empty table gives an empty result; rows
-that repeat are packed each by itself; columns beside doc_id and text are not read.
+that repeat are packed each by itself; ids keep their type, nulls included; columns beside doc_id and text are not read.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import WordTokenizer, text_groups
+from .tokens import WordTokenizer
 
 LENGTH = 2048
 GRAIN = 8
@@ -42,29 +41,31 @@ GAP = 2e-4
 _END = np.array([END], "<u4").tobytes()
 
 
+PIECES = "n long, full array<long>, rest_crc long, powers array<long>"
+
+
 def _pieces(path: str):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        lib = WordTokenizer(path)
-        step = 4 * LENGTH
-        for pdf in C.batches(batches):
-            texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-            n, full, rest, powers = [], [], [], []
-            for a, b in text_groups(texts):
-                for data in lib.encode(texts[a:b]):
-                    data += _END
-                    cut = (len(data) - 1) // step * step
-                    n.append(len(data) // 4)
-                    full.append([zlib.crc32(data[i : i + step]) for i in range(0, cut, step)])
-                    rest.append(zlib.crc32(data[cut:]))
-                    left, crcs = (len(data) - cut) // 4, []
-                    for k in range(left.bit_length() - 1, -1, -1):
-                        if left >> k & 1:
-                            crcs.append(zlib.crc32(data[cut : cut + (4 << k)]))
-                            cut += 4 << k
-                    powers.append(crcs)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": np.array(n, np.int64), "full": full, "rest_crc": np.array(rest, np.int64), "powers": powers})
-
-    return run
+    """Per text: number of ids, checksums of its full sequences, of its rest, and of the rest's powers of two."""
+    lib = WordTokenizer(path)
+    step = 4 * LENGTH
+
+    def judge(texts: list[str | None]) -> list:
+        n, full, rest, powers = [], [], [], []
+        for data in lib.encode([t or "" for t in texts]):
+            data += _END
+            cut = (len(data) - 1) // step * step
+            n.append(len(data) // 4)
+            full.append([zlib.crc32(data[i : i + step]) for i in range(0, cut, step)])
+            rest.append(zlib.crc32(data[cut:]))
+            left, crcs = (len(data) - cut) // 4, []
+            for k in range(left.bit_length() - 1, -1, -1):
+                if left >> k & 1:
+                    crcs.append(zlib.crc32(data[cut : cut + (4 << k)]))
+                    cut += 4 << k
+            powers.append(crcs)
+        return [n, full, rest, powers]
+
+    return judge
 
 
 def best_patterns(size: np.ndarray, price: np.ndarray, room: int, most: int = 12) -> tuple[list[np.ndarray], float]:
@@ -177,9 +178,9 @@ def pack(docs: DataFrame, path: str | None = None, id_col: str = "doc_id", text_
     spark = docs.sparkSession
     scratch = C.Scratch(spark, "packing")
     path = path or public_tokenizers.path("word_bpe_49k.json")
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made = src.mapInPandas(_pieces(path), "doc_id long, n long, full array<long>, rest_crc long, powers array<long>")
+    made = C.per_text(src, PIECES, lambda: _pieces(path))
     n_full = F.size("full")
     rest = F.col("n") - n_full * F.lit(LENGTH).cast("long")
     made = scratch.write(made.withColumns({"rest": rest, "class": F.ceil(rest / GRAIN).cast("int"), "salt": F.pmod(F.xxhash64("doc_id", "n", "rest_crc", F.spark_partition_id()), F.lit(salts)).cast("int")}))

@@ -18,7 +18,8 @@ Sorting all suffixes of a corpus would move every byte many times, so suffixes a
 4. An anchor with more than ``HOT`` different contexts is never gathered: its windows are counted as rows.
 
 Defined results: null text is empty; texts under LENGTH bytes lose nothing; rows that repeat are copies of each other
-(also rows with the same doc_id); an empty table gives an empty result; columns beside doc_id and text are not read.
+(also rows with the same doc_id); an empty table gives an empty result; columns beside doc_id and text are not read; ids
+keep their type, nulls included.
 """
 
 from __future__ import annotations
@@ -28,8 +29,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from . import common as C
 
@@ -79,28 +83,36 @@ def anchors(texts: list[bytes], limit: int = 1 << 22) -> Iterator[tuple[int, np.
             yield doc, gram[m].view(np.int64), m - s + base, first + base, last + base
 
 
-def _hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in C.batches(batches):
-        out: list = [np.zeros(0, np.int64)] * len(pdf)
-        for lo in range(0, len(pdf), 500):
-            for k, h, *_ in anchors(C.utf8(pdf["text"].iloc[lo : lo + 500])):
-                out[lo + k] = np.concatenate([out[lo + k], h]) if len(out[lo + k]) else h
-        yield pd.DataFrame({"doc_id": pdf["doc_id"], "ta": pdf["ta"], "tb": pdf["tb"], "hs": out})
+def _hashes(texts: list[str | None]) -> list:
+    out: list = [np.zeros(0, np.int64)] * len(texts)
+    for k, h, *_ in anchors(C.utf8(texts)):
+        out[k] = np.concatenate([out[k], h]) if len(out[k]) else h
+    return [out]
 
 
-def _contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in C.batches(batches):
-        for lo in range(0, len(pdf), 500):
-            texts = C.utf8(pdf["text"].iloc[lo : lo + 500])
-            rows: list[tuple] = []
-            for k, h, place, first, last in anchors(texts):
-                t, k = texts[k], lo + k
-                wanted = np.flatnonzero(np.isin(h, np.asarray(pdf["hs"].iloc[k], np.int64)))
-                cut = [t[s : e + LENGTH] for s, e in zip(first[wanted].tolist(), last[wanted].tolist(), strict=True)]
-                rows.append((h[wanted], (place - first)[wanted], cut, np.full(len(wanted), pdf["ta"].iloc[k]), np.full(len(wanted), pdf["tb"].iloc[k]), first[wanted]))
-            if rows:
-                h, lft, cut, ta, tb, at = zip(*rows, strict=True)
-                yield pd.DataFrame({"h": np.concatenate(h), "lft": np.concatenate(lft).astype(np.int32), "ctx": [c for x in cut for c in x], "ta": np.concatenate(ta), "tb": np.concatenate(tb), "at": np.concatenate(at).astype(np.int32)})
+CONTEXT = "h long, lft int, ctx binary, ta long, tb long, at int"
+
+
+def _contexts():
+    kinds = [f.type for f in to_arrow_schema(StructType.fromDDL(CONTEXT))]
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Of each text the contexts of its wanted anchors (column hs)."""
+        for batch in C.batches(source):
+            for part in C.slices(batch):
+                texts = C.utf8(part.column("text").to_pylist())
+                ta, tb, hs = part.column("ta").to_numpy(), part.column("tb").to_numpy(), part.column("hs")
+                rows: list[tuple] = []
+                for k, h, place, first, last in anchors(texts):
+                    wanted = np.flatnonzero(np.isin(h, hs[k].values.to_numpy(zero_copy_only=False)))
+                    cut = [texts[k][s : e + LENGTH] for s, e in zip(first[wanted].tolist(), last[wanted].tolist(), strict=True)]
+                    rows.append((h[wanted], (place - first)[wanted], cut, np.full(len(wanted), ta[k]), np.full(len(wanted), tb[k]), first[wanted]))
+                if rows:
+                    h, lft, cut, a, b, at = zip(*rows, strict=True)
+                    made = [np.concatenate(h), np.concatenate(lft), [c for x in cut for c in x], np.concatenate(a), np.concatenate(b), np.concatenate(at)]
+                    yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(made, kinds, strict=True)], names=["h", "lft", "ctx", "ta", "tb", "at"])
+
+    return run
 
 
 # ---------------------------------------------------------------------------------------------------------------------
@@ -267,26 +279,38 @@ def _sorted_contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield judge(rest)
 
 
-def _finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in C.batches(batches):
-        rows = []
-        for doc, t, whole, spans in zip(pdf["doc_id"], C.utf8(pdf["text"]), pdf["whole"], pdf["spans"], strict=True):
-            merged: list[list[int]] = []
-            if whole:
-                merged = [[0, len(t)]]
-            elif spans is not None:
-                for x in sorted((int(r["s"]), int(r["e"])) for r in spans):
-                    if merged and x[0] <= merged[-1][1]:
-                        merged[-1][1] = max(merged[-1][1], x[1])
-                    else:
-                        merged.append(list(x))
-            kept, at = hashlib.sha256(), 0
-            for s, e in merged:
-                kept.update(t[at:s])
-                at = e
-            kept.update(t[at:])
-            rows.append((doc, len(t), sum(e - s for s, e in merged), len(merged), kept.hexdigest(), [x[0] for x in merged], [x[1] for x in merged]))
-        yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "starts", "ends"])
+RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>"
+
+
+def _judged(text: bytes, whole: bool, spans: list[dict] | None) -> tuple:
+    merged: list[list[int]] = []
+    if whole:
+        merged = [[0, len(text)]]
+    else:
+        for s, e in sorted((x["s"], x["e"]) for x in spans or ()):
+            if merged and s <= merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+    kept, at = hashlib.sha256(), 0
+    for s, e in merged:
+        kept.update(text[at:s])
+        at = e
+    kept.update(text[at:])
+    return len(text), sum(e - s for s, e in merged), len(merged), kept.hexdigest(), [x[0] for x in merged], [x[1] for x in merged]
+
+
+def _finish(schema: StructType):
+    kinds = [f.type for f in to_arrow_schema(schema)][1:]
+
+    def run(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in C.batches(source):
+            for part in C.slices(batch):
+                cells = [part.column(c).to_pylist() for c in ("text", "whole", "spans")]
+                rows = [_judged(t, w, s) for t, w, s in zip(C.utf8(cells[0]), *cells[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), *[pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]], names=schema.names)
+
+    return run
 
 
 def _text_id(text: Column) -> list[Column]:
@@ -299,10 +323,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch = C.Scratch(spark, "suffix")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    src = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *_text_id(text))
+    src = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), *_text_id(text))
     long = src.where(F.octet_length("text") >= LENGTH)
 
-    made = scratch.write(long.mapInPandas(_hashes, "doc_id long, ta long, tb long, hs array<long>"))
+    made = scratch.write(C.per_text(long, "hs array<long>", lambda: _hashes))
     copies = made.groupBy("ta", "tb").agg(F.count("*").alias("n"), F.min(F.struct("doc_id")).alias("rep"))
     whole = scratch.write(copies.where("n > 1").select("ta", "tb"))
     # one row of each text: its copies have the same hashes
@@ -316,7 +340,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     found = wanted.select(F.col("ta").alias("wa"), F.col("tb").alias("wb"), "hs", F.col("rep.doc_id").alias("rep"))
     cut = long.join(found.hint("shuffle_hash"), (F.col("ta") == F.col("wa")) & (F.col("tb") == F.col("wb")) & F.col("doc_id").eqNullSafe(F.col("rep")))
-    cut = cut.select("text", "ta", "tb", "hs").mapInPandas(_contexts, "h long, lft int, ctx binary, ta long, tb long, at int")
+    cut = cut.select("text", "ta", "tb", "hs").mapInArrow(_contexts(), CONTEXT)
     cut = scratch.write(cut.withColumns({"ca": F.xxhash64(F.lit(1), "h", "lft", "ctx"), "cb": F.xxhash64(F.lit(2), "h", "lft", "ctx")}))
     scratch.tidy()
 
@@ -340,4 +364,5 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     scratch.tidy()
     named = spans.select(F.col("ta").alias("sa"), F.col("tb").alias("sb"), "spans", "whole")
     out = src.join(named.hint("shuffle_hash"), (F.col("ta") == F.col("sa")) & (F.col("tb") == F.col("sb")), "left").select("doc_id", "text", F.coalesce("whole", F.lit(False)).alias("whole"), "spans")
-    return out.mapInPandas(_finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, starts array<long>, ends array<long>")
+    schema = StructType([src.schema["doc_id"], *StructType.fromDDL(RESULT).fields])
+    return out.mapInArrow(_finish(schema), schema)

@@ -78,12 +78,12 @@ def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if len(chars):
                 total[lang] += np.bincount(grams(chars), minlength=BUCKETS)
     rows = [(k, b, docs[k] if b == 0 else 0, v[b * _BLOCK : (b + 1) * _BLOCK].tobytes()) for k, v in total.items() for b in range(BUCKETS // _BLOCK)]
-    yield pd.DataFrame(rows, columns=["lang", "block", "docs", "counts"])
+    yield pd.DataFrame(rows, columns=["lang", "block", "docs", "counts"], dtype=object)
 
 
 def _add(pdf: pd.DataFrame) -> pd.DataFrame:
     total = np.sum([np.frombuffer(x, np.int64) for x in pdf["counts"]], axis=0)
-    return pd.DataFrame({"lang": pdf["lang"][:1], "block": pdf["block"][:1], "docs": [pdf["docs"].sum()], "counts": [total.tobytes()]})
+    return pd.DataFrame({"lang": pdf["lang"][:1].astype(object), "block": pdf["block"][:1], "docs": [pdf["docs"].sum()], "counts": [total.tobytes()]})
 
 
 def sample_share(rows: int, most: int) -> int:

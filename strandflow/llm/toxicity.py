@@ -111,7 +111,7 @@ def _count_terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for text, y in zip(pdf["text"], pdf["y"], strict=True):
             (bad if y else good).update(terms(text))
         keys = list(bad.keys() | good.keys())
-        yield pd.DataFrame({"term": keys, "bad": [bad[k] for k in keys], "good": [good[k] for k in keys]})
+        yield pd.DataFrame({"term": pd.Series(keys, dtype=object), "bad": [bad[k] for k in keys], "good": [good[k] for k in keys]})
 
 
 class Trees:

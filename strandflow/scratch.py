@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset, a temporary folder (tests)."""
+    """``spark.checkpoint.dir``.  Where it is unset, a temporary folder if driver and executors are one process; on a
+    cluster an error, since each executor would write to a disk of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir is unset: intermediate tables need a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="strandflow-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -31,6 +35,9 @@ def _remove_quietly(spark: SparkSession, path: str) -> None:
         pass
 
 
+#: In a file:// folder Hadoop writes a checksum file beside each file and starts a chmod process for every step; its raw
+#: local file system does neither.  Other stores do not read these options.
+RAW_FILES = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
 #: Rows of a file, where the caller knows how many rows there are at most.
 FILE_ROWS = 250_000
 
@@ -50,7 +57,7 @@ class Scratch:
         self.n += 1
         df = df if rows is None else df.coalesce(rows // FILE_ROWS + 1)
         path = f"{self.root}/{self.n}"
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **RAW_FILES).parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._strandflow_path = path
         return out

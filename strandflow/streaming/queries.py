@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import shared_dir
 from .operators import merged_islands, run_once, sessions, sum_lines
 
 
 def _folder(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="strandflow-")
-    return f"{base.rstrip('/')}/strandflow/stream-{uuid.uuid4().hex}"
+    return f"{shared_dir(spark)}/strandflow/stream-{uuid.uuid4().hex}"
 
 
 def _stream(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:

@@ -77,7 +77,7 @@ CODE = genetic_code()
 
 
 def _codons(seq: Column, frame: int) -> Column:
-    """Codons of a frame; the last ones are left out as in the reading loop ``range(frame, len - frame - 4, 3)``."""
+    """Codons of a frame; a codon is read if more than ``frame`` + 4 letters follow its first one, so the last ones are left out."""
     n = F.length(seq) - 2 * frame - 4
     starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / 3).cast("int")))
     return F.coalesce(F.transform(starts, lambda i: F.upper(F.substring(seq, F.lit(frame + 1) + i * 3, F.lit(3)))), F.array().cast("array<string>"))

@@ -15,6 +15,7 @@ def make_list(cell: Column, kind: str) -> Column:
 
 def attributes(cell: Column) -> Column:
     """Attribute column to map; a later key wins; values hold no white space."""
+    # key, separator, value, end (fixed values)
     pattern = F.lit(r"""(\w+)([ ="]+)(\S+?)(["\;\s]+|$)""")
     pairs = F.arrays_zip(F.regexp_extract_all(cell, pattern, F.lit(1)).alias("k"), F.regexp_extract_all(cell, pattern, F.lit(3)).alias("v"))
     # keep the last of each key
@@ -27,6 +28,7 @@ def to_bool(cell: Column) -> Column:
     return F.when(cell.isNull() | cell.isin("False", ""), False).otherwise(True)
 
 
+# The parts of paths that compact names leave out (fixed values).
 def compact_classes(s: Column) -> Column:
     return F.regexp_replace(s, "(transcript/processing/)|(transcript/translation/)", "")
 

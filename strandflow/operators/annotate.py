@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.sequence import flip
-from .intervals import JOIN_BIN, range_join
+from .intervals import JOIN_BIN, numbered, range_join
 
 
 def _features(hits: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,7 +51,7 @@ def attribute_string(prefix: str = "") -> Column:
 def annotate_gff(gff: DataFrame, loci: DataFrame, bounds: str = "off", width: int = JOIN_BIN) -> DataFrame:
     """GFF rows (1-based) with annotation appended to attr_str; bounds: off, left, right or both adds the three bases
     around the interval's ends, left and right swapped on -."""
-    rows = gff.withColumn("_id", F.monotonically_increasing_id()).withColumn("_s0", F.col("start") - 1)
+    rows = numbered(gff, "_id").withColumn("_s0", F.col("start") - 1)
     base = annotate(rows.select("_id", "chrom", "sense", F.col("_s0").alias("start"), "end"), loci, "_id", width=width)
     parts = [base.select("_id", attribute_string().alias("_a0"))]
     minus = F.col("sense") == "-"

@@ -7,12 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import EDITS
 from ..scratch import settle
+from .ordered import running_totals
 
-#: Positions in the edits vector (fixed values).
-_I = {e: i for i, e in enumerate("AC AG AT A_ CA CG CT C_ GA GC GT G_ TA TC TG T_ _A _C _G _T".split())}
-
-
+_I = {e: i for i, e in enumerate(EDITS)}
 _DELETIONS = ("A_", "C_", "G_", "T_")
 
 
@@ -76,55 +75,96 @@ def score_table(clusters: DataFrame, names: list[str] | None = None) -> DataFram
 def curve(scores: DataFrame, scale: float = 0.5) -> DataFrame:
     """For every method and distinct value: rows at or above it (ref, dec, kept) and their FDR.
 
-    The histogram of distinct values is made first (map-side combine); the cumulative window runs over it only.
+    The histogram of distinct values is made first (map-side combine); its running totals come from one sort of all
+    methods' values, so a score with a value of its own for every row is no burden for one task.
     """
     hist = scores.groupBy("method", "value").agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d"))
-    w = Window.partitionBy("method").orderBy(F.desc("value")).rowsBetween(Window.unboundedPreceding, 0)
-    out = hist.select("method", "value", F.sum("r").over(w).alias("ref"), F.sum("d").over(w).alias("dec"))
+    out = running_totals(hist, ["method"], [F.desc("value")], {"r": "ref", "d": "dec"}).drop("r", "d")
     return out.withColumns({"kept": F.col("ref") + F.col("dec"), "fdr": fdr(F.col("ref"), F.col("dec"), scale)})
 
 
 def cutoffs(scores: DataFrame, max_fdr: float = 0.05, scale: float = 0.5) -> DataFrame:
     """(method, bp, fdr, kept, loss): the least value whose FDR is under the limit (strictly); the curve need not fall."""
-    c = curve(scores, scale)
+    return _cutoffs_of(curve(scores, scale), max_fdr)
+
+
+def _cutoffs_of(c: DataFrame, max_fdr: float) -> DataFrame:
     total = c.groupBy("method").agg(F.max("kept").alias("total"))
     best = c.where(F.col("fdr") < max_fdr).groupBy("method").agg(F.min(F.struct("value", "fdr", "kept")).alias("b"))
     out = best.join(total, "method")
     return out.select("method", F.col("b.value").alias("bp"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
 
 
+def _at_most(column: str) -> Callable[[Column], Column]:
+    return lambda x: x <= F.col(column)
+
+
+#: Cutoffs of each score that the first, coarse look at a pair tries.
+COARSE = 64
+
+
+def _best(hist: DataFrame, max_fdr: float, scale: float) -> DataFrame:
+    """(m0, m1, b): the best pair of cutoffs of each histogram over (v0, v1), above both least values.
+
+    A two-dimensional histogram is summed from above along both axes, so no set of rows is built; the first axis is part
+    of the key, so the grid is never gathered as a whole.
+    """
+    axis0, axis1 = hist.select("m0", "m1", "low0", "low1", "v0").distinct(), hist.select("m0", "m1", "v1").distinct()
+    grid = axis0.join(axis1, ["m0", "m1"]).join(hist.select("m0", "m1", "v0", "v1", "r", "d"), ["m0", "m1", "v0", "v1"], "left").fillna(0, ["r", "d"])
+    along1 = Window.partitionBy("m0", "m1", "v0").orderBy(F.desc("v1")).rowsBetween(Window.unboundedPreceding, 0)
+    along0 = Window.partitionBy("m0", "m1", "v1").orderBy(F.desc("v0")).rowsBetween(Window.unboundedPreceding, 0)
+    grid = grid.withColumns({"r": F.sum("r").over(along1), "d": F.sum("d").over(along1)})
+    grid = grid.withColumns({"r": F.sum("r").over(along0), "d": F.sum("d").over(along0)})
+    good = grid.where((F.col("v0") > F.col("low0")) & (F.col("v1") > F.col("low1"))).withColumns({"kept": F.col("r") + F.col("d"), "fdr": fdr(F.col("r"), F.col("d"), scale)}).where(F.col("fdr") < max_fdr)
+    return good.groupBy("m0", "m1").agg(F.max(F.struct(F.col("kept"), (-F.col("v0")).alias("n0"), (-F.col("v1")).alias("n1"), F.col("fdr"))).alias("b"))
+
+
 def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: float = 0.05, scale: float = 0.5, single: DataFrame | None = None) -> DataFrame:
     """(m0, m1, b0, b1, fdr, kept, loss): for each pair of scores the pair of cutoffs that keeps the most rows.
 
-    Cutoffs go up to the single-score cutoffs (or the greatest value) and leave out each score's least value.  Values
-    beyond a bound are folded into it; a two-dimensional histogram is summed from above along both axes, so no set of
-    rows is built and all pairs run as one job.  The grid holds distinct values of both scores; the first axis is a
-    partition, so it is never gathered as a whole.  The grid grows with the product of distinct values under the two
-    bounds, as the search itself does; coarsen scores with very many values first.
+    Cutoffs go up to the single-score cutoffs (or the greatest value) and leave out each score's least value.  All pairs
+    run as one job, in two looks.  The first one rounds every value down to one of about ``COARSE`` cutoffs of its score;
+    the best pair among those keeps some number of rows.  The best pair of all keeps as many, so each of its cutoffs
+    does by itself: values beyond that are folded into the greatest cutoff that does, and the second look, over all
+    cutoffs that are left, is exact.
     """
     wanted = sorted({m for p in pairs for m in p})
     # the scores are read by several branches: written once, without what made them
     base = settle(clusters.select("cid", "decoy", *[scoring(m).alias(f"s_{m}") for m in wanted]), "pairs")
     scores = base.select("cid", "decoy", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"s_{m}").alias("value")) for m in wanted])).alias("s")).select("cid", "decoy", "s.method", "s.value")
-    limits = scores.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"))
-    single = single if single is not None else cutoffs(scores, max_fdr, scale)
-    limits = limits.join(single.select("method", "bp"), "method", "left").select("method", "low", F.coalesce("bp", "high").alias("top"))
+    steps = settle(curve(scores, scale), "pairs")
+    limits = steps.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("kept").alias("total"))
+    single = single if single is not None else _cutoffs_of(steps, max_fdr)
+    limits = settle(limits.join(single.select("method", "bp"), "method", "left").select("method", "low", F.coalesce("bp", "high").alias("top"), "total"), "pairs")
     items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), F.col(f"s_{a}").alias("v0"), F.col(f"s_{b}").alias("v1")) for a, b in pairs])
     rows = base.select("decoy", F.explode(items).alias("s")).select("decoy", "s.*")
-    l0 = limits.select(F.col("method").alias("m0"), F.col("low").alias("low0"), F.col("top").alias("top0"))
-    l1 = limits.select(F.col("method").alias("m1"), F.col("low").alias("low1"), F.col("top").alias("top1"))
-    rows = rows.join(F.broadcast(l0), "m0").join(F.broadcast(l1), "m1")  # one row a score
-    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", F.least("v0", "top0").alias("v0"), F.least("v1", "top1").alias("v1")).agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")), "pairs")
-    # every v0 meets every v1 of its pair: the cells of the grid
-    axis0, axis1 = hist.select("m0", "m1", "low0", "low1", "v0").distinct(), hist.select("m0", "m1", "v1").distinct()
-    grid = axis0.join(axis1, ["m0", "m1"]).join(hist.select("m0", "m1", "v0", "v1", "r", "d"), ["m0", "m1", "v0", "v1"], "left").fillna(0, ["r", "d"])
-    along1 = Window.partitionBy("m0", "m1", "v0").orderBy(F.desc("v1")).rowsBetween(Window.unboundedPreceding, 0)
-    along0 = Window.partitionBy("m0", "m1", "v1").orderBy(F.desc("v0")).rowsBetween(Window.unboundedPreceding, 0)
-    grid = grid.withColumns({"r": F.sum("r").over(along1), "d": F.sum("d").over(along1)})
-    grid = grid.withColumns({"r": F.sum("r").over(along0), "d": F.sum("d").over(along0)})
+    for k in "01":  # one row a score
+        rows = rows.join(F.broadcast(limits.select(F.col("method").alias(f"m{k}"), F.col("low").alias(f"low{k}"), F.col("top").alias(f"top{k}"))), f"m{k}")
+    rows = rows.withColumns({f"v{k}": F.least(f"v{k}", f"top{k}") for k in "01"})
+    counts = [F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")]
+    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(*counts), "pairs")
+
+    # first look: of the values of each score that share a part in COARSE of the rows, the least one
+    part = F.floor(F.col("kept") * COARSE / F.col("total"))
+    near = steps.join(F.broadcast(limits), "method").where((F.col("value") > F.col("low")) & (F.col("value") <= F.col("top")))
+    marks = near.groupBy("method", part.alias("part")).agg(F.min("value").alias("mark")).groupBy("method").agg(F.array_sort(F.collect_list("mark")).alias("marks"))
+    rough = hist
+    for k in "01":
+        rough = rough.join(F.broadcast(marks.select(F.col("method").alias(f"m{k}"), F.col("marks").alias(f"marks{k}"))), f"m{k}", "left")
+        rough = rough.withColumn(f"v{k}", F.coalesce(F.array_max(F.filter(f"marks{k}", _at_most(f"v{k}"))), F.col(f"low{k}")))
+    rough = rough.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(F.sum("r").alias("r"), F.sum("d").alias("d"))
+    found = _best(rough, max_fdr, scale).select("m0", "m1", F.col("b.kept").alias("least"))  # one row a pair
+
+    # second look: cutoffs that keep fewer rows by themselves cannot be part of a better pair
+    caps = spread = hist.select("m0", "m1").distinct().join(F.broadcast(found), ["m0", "m1"], "left")
+    for k in "01":
+        one = steps.select(F.col("method").alias(f"m{k}"), "value", "kept")
+        cap = spread.join(one, f"m{k}").where(F.col("least").isNull() | (F.col("kept") >= F.col("least"))).groupBy("m0", "m1").agg(F.max("value").alias(f"cap{k}"))
+        caps = caps.join(cap, ["m0", "m1"])
+    fine = hist.join(F.broadcast(caps.drop("least")), ["m0", "m1"])
+    fine = fine.groupBy("m0", "m1", "low0", "low1", F.least("v0", "cap0").alias("v0"), F.least("v1", "cap1").alias("v1")).agg(F.sum("r").alias("r"), F.sum("d").alias("d"))
+    best = _best(settle(fine, "pairs"), max_fdr, scale)
     total = hist.groupBy("m0", "m1").agg(F.sum(F.col("r") + F.col("d")).alias("total"))
-    good = grid.where((F.col("v0") > F.col("low0")) & (F.col("v1") > F.col("low1"))).withColumns({"kept": F.col("r") + F.col("d"), "fdr": fdr(F.col("r"), F.col("d"), scale)}).where(F.col("fdr") < max_fdr)
-    best = good.groupBy("m0", "m1").agg(F.max(F.struct(F.col("kept"), (-F.col("v0")).alias("n0"), (-F.col("v1")).alias("n1"), F.col("fdr"))).alias("b"))
     return best.join(total, ["m0", "m1"]).select("m0", "m1", (-F.col("b.n0")).alias("b0"), (-F.col("b.n1")).alias("b1"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
 
 

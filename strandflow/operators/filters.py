@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import EDITS
 from .intervals import range_join
 
 
@@ -104,8 +105,8 @@ def stage_counters(clusters: DataFrame) -> DataFrame:
     return by.select(F.explode(F.array_compact(names)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-#: Display names of statistics rows in their order (fixed values).
-EVENTS = ["total", "uniq", "perfect", "edits", "AC", "AG", "AT", "CA", "CG", "CT", "GA", "GC", "GT", "TA", "TC", "TG", "_A", "_C", "_G", "_T", "A_", "C_", "G_", "T_"]
+#: Rows of the statistics in their order: totals, then edits by base, insertions and deletions.
+EVENTS = ["total", "uniq", "perfect", "edits", *[e for e in EDITS if "_" not in e], *[e for e in EDITS if e[0] == "_"], *[e for e in EDITS if e[1] == "_"]]
 
 
 def event_name(e: str) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import settle
+from .ordered import global_rank
 
 BIN = 1 << 20
 #: Bin width of range joins: about the length of the longer side's intervals.
@@ -74,22 +75,20 @@ def number_clusters(df: DataFrame, strand: str = "strand", tid: str = "tid", sta
 
     An island is emitted when the next one on its strand opens, or at the end of its chromosome: there the strand of the
     next chromosome's first read goes first, at the end of input ``+``.  ``df`` has an ``island`` column.  Only first
-    reads of islands are ordered, not reads.
+    reads of islands are ordered, not reads: islands are numbered without gaps, so the next one is found by its number,
+    and the ranks come from one sort of all islands.
     """
     order = [start, *(ties or [])]
-    first = df.groupBy(tid, strand, "island").agg(F.min(F.struct(*order)).alias("f"))
+    first = settle(df.groupBy(tid, strand, "island").agg(F.min(F.struct(*order)).alias("f")), "numbers")
     chrom = first.groupBy(tid).agg(F.min(F.struct("f", strand)).alias("c"))
+    # one row a chromosome
     nxt = chrom.select(tid, F.lead(f"c.{strand}").over(Window.orderBy(tid)).alias("next_strand"))
-    w = Window.partitionBy(tid, strand).orderBy("island")
-    out = first.join(nxt, tid).withColumn("g", F.lead("f").over(w))
-    out = out.withColumn("tie", F.when(F.col("g").isNotNull(), 0).when(F.col(strand) == F.coalesce("next_strand", F.lit("+")), 0).otherwise(1))
-    # emission order inside a chromosome: islands closed by a later one first, by its first read; then the two last ones
-    inside = Window.partitionBy(tid).orderBy(F.col("g").isNull(), "g", "tie")
-    out = out.withColumn("r", F.row_number().over(inside))
-    size = out.groupBy(tid).agg(F.count("*").alias("m"))
-    base = size.select(tid, F.coalesce(F.sum("m").over(Window.orderBy(tid).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    out = out.join(base, tid)
-    return out.select(tid, strand, "island", F.format_string("CID_%06d", F.col("base") + F.col("r")).alias("cid"))
+    follow = first.select(tid, strand, (F.col("island") - 1).alias("island"), F.col("f").alias("g"))
+    out = first.join(nxt, tid).join(follow, [tid, strand, "island"], "left")
+    tie = F.when(F.col("g").isNotNull(), 0).when(F.col(strand) == F.coalesce("next_strand", F.lit("+")), 0).otherwise(1)
+    # inside a chromosome islands closed by a later one come first, by its first read; then the two last ones
+    out = global_rank(out.select(tid, strand, "island", F.col("g").isNull().alias("last"), "g", tie.alias("tie")), [F.col(c) for c in (tid, "last", "g", "tie")], "r")
+    return out.select(tid, strand, "island", F.format_string("CID_%06d", F.col("r") + 1).alias("cid"))
 
 
 def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend", weight: str | Column = "mult", width: int = BIN) -> DataFrame:
@@ -110,19 +109,34 @@ def next_position(df: DataFrame, keys: list[str], pos: str, out: str, width: int
     return df.join(first, [*keys, "_bin"]).withColumn(out, F.coalesce(F.lead(pos).over(w), F.col("_carry"))).drop("_bin", "_carry")
 
 
-def run_length(df: DataFrame, keys: list[str], pos: str = "pos", value: str = "value", default: float = 0) -> DataFrame:
-    """Positions with values to runs: contiguous positions of equal value, the default left out; keys, start, end, score."""
-    w = Window.partitionBy(*keys).orderBy(pos)
-    out = df.where(F.col(value) != default).withColumn("_new", F.when((F.lag(pos).over(w) == F.col(pos) - 1) & (F.lag(value).over(w) == F.col(value)), 0).otherwise(1))
-    out = out.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return out.groupBy(*keys, "_run").agg(F.min(pos).alias("start"), (F.max(pos) + 1).alias("end"), F.first(value).alias("score")).drop("_run")
+def previous(df: DataFrame, keys: list[str], pos: str, value: Column, out: str, width: int = BIN, ties: list[str] | None = None) -> DataFrame:
+    """Adds ``out``: ``value`` of the row before, by ``pos`` (then ``ties``) among rows of the same keys; null at the first."""
+    df = df.withColumn("_bin", _bin(pos, width))
+    order = [pos, *(ties or [])]
+    last = df.groupBy(*keys, "_bin").agg(F.max_by(value, F.struct(*order)).alias("_v"))
+    carry = last.select(*keys, "_bin", F.lag("_v").over(Window.partitionBy(*keys).orderBy("_bin")).alias("_carry"))
+    w = Window.partitionBy(*keys, "_bin").orderBy(*order)
+    return df.join(carry, [*keys, "_bin"]).withColumn(out, F.coalesce(F.lag(value).over(w), F.col("_carry"))).drop("_bin", "_carry")
+
 
+def run_length(df: DataFrame, keys: list[str], pos: str = "pos", value: str = "value", default: float = 0, width: int = BIN) -> DataFrame:
+    """Positions with values to runs: contiguous positions of equal value, the default left out; keys, start, end, score.
+
+    Inside a bin, positions of one value that follow each other keep their distance to their number among those of that
+    value; runs that meet at the edge of two bins are put together afterwards.
+    """
+    rows = df.where(F.col(value) != default).withColumn("_bin", _bin(pos, width))
+    number = F.row_number().over(Window.partitionBy(*keys, "_bin", value).orderBy(pos))
+    runs = rows.withColumn("_g", F.col(pos) - number).groupBy(*keys, "_bin", value, "_g").agg(F.min(pos).alias("start"), (F.max(pos) + 1).alias("end"))
+    return merge_runs(runs.select(*keys, "start", "end", value), keys, value, width).withColumnRenamed(value, "score")
 
-def merge_runs(df: DataFrame, keys: list[str], value: str = "value") -> DataFrame:
+
+def merge_runs(df: DataFrame, keys: list[str], value: str = "value", width: int = BIN) -> DataFrame:
     """Runs that touch and have equal values become one."""
-    w = Window.partitionBy(*keys).orderBy("start")
-    out = df.withColumn("_new", F.when((F.lag("end").over(w) == F.col("start")) & (F.lag(value).over(w) == F.col(value)), 0).otherwise(1))
-    out = out.withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = previous(settle(df, "runs"), keys, "start", F.struct(F.col("end").alias("end"), F.col(value).alias("value")), "_last", width)
+    joins = (F.col("_last.end") == F.col("start")) & F.col("_last.value").eqNullSafe(F.col(value))
+    rows = settle(rows.withColumn("_new", F.when(F.coalesce(joins, F.lit(False)), 0).otherwise(1)).drop("_last"), "runs")
+    out = running_sum(rows, keys, "start", "_new", "_run", width)
     return out.groupBy(*keys, "_run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.first(value).alias(value)).drop("_run")
 
 
@@ -148,15 +162,22 @@ def score_track(df: DataFrame, keys: list[str], line: str = "line_no", score: st
 # ---------------------------------------------------------------------------------------------------------------------
 # range joins
 # ---------------------------------------------------------------------------------------------------------------------
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with row ids that every later read sees alike: written, since an unwritten input may come in another order
+    each time it is computed."""
+    return settle(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", ls: str = "start", le: str = "end", rs: str = "r_start", re: str = "r_end", width: int = JOIN_BIN, closed: bool = False) -> DataFrame:
     """Overlapping pairs (half-open; closed: touching counts) of rows with equal ``keys``, named alike on both sides.
 
     Both sides are dealt to the bins they reach and joined on (keys, bin); a pair that meets in several bins counts in
-    the first common one, so nothing is deduplicated.  ``how``: inner, left_anti or left_semi (by a row id of the left).
+    the first common one, so nothing is deduplicated.  ``how``: inner, left_anti or left_semi; these number the left
+    rows, which are written first, since two branches of the plan must see the same numbers.
     """
     last = 0 if closed else 1
     if how != "inner":
-        left = left.withColumn("_row", F.monotonically_increasing_id())
+        left = numbered(left, "_row")
     bins = lambda s, e: F.explode(F.sequence(F.floor(s / width), F.floor(F.greatest(e - last, s) / width)))
     a = left.withColumn("_bin", bins(F.col(ls), F.col(le)))
     right_keys = [F.col(k).alias(f"_k_{k}") for k in keys]
@@ -174,7 +195,7 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
 def overlap_count(regions: DataFrame, reads: DataFrame, keys: list[str], weight: str = "mult", width: int = JOIN_BIN) -> DataFrame:
     """Weighted number of reads over each region (region columns and ``reads``; 0 where there are none)."""
     cols = regions.columns
-    r = regions.withColumn("_region", F.monotonically_increasing_id())
+    r = numbered(regions, "_region")
     hits = range_join(r, reads.select(*keys, F.col("pos").alias("r_start"), F.col("pend").alias("r_end"), F.col(weight).alias("_w")), keys, width=width)
     sums = hits.groupBy("_region").agg(F.sum("_w").alias("_sum"))
     return r.join(sums, "_region", "left").select(*cols, F.coalesce("_sum", F.lit(0)).alias("reads"))

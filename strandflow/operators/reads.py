@@ -6,10 +6,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import settle
+from .ordered import global_rank
 
 
 _LOW = "abcdefghijklmnopqrstuvwxyz"
@@ -31,17 +31,6 @@ def collapse(reads: DataFrame, lib: str = "lib", seq: str = "seq", qual: str = "
     return out.withColumn("name", F.format_string(f"@{lib}_%d_x%d", "rank", "count"))
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:
-    """Row number from 0 in a total order, without a single-task window."""
-    # written: the bounds of the range partitions are drawn anew each time the sort runs
-    parts = settle(df.orderBy(*order).withColumn("_p", F.spark_partition_id()), "rank")
-    w = Window.partitionBy("_p").orderBy(*order)
-    local = parts.withColumn("_r", F.row_number().over(w) - 1)
-    sizes = parts.groupBy("_p").agg(F.count("*").alias("_n"))
-    base = sizes.select("_p", F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_b"))
-    return local.join(F.broadcast(base), "_p").withColumn(name, F.col("_b") + F.col("_r")).drop("_p", "_r", "_b")
-
-
 def read_statistics(reads: DataFrame, seq: str = "seq") -> DataFrame:
     """total and unique reads."""
     by = reads.groupBy(upper(seq).alias("s")).agg(F.count("*").alias("n"))

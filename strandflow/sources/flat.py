@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import attributes, make_list
-from ..schemas import GFF
+from ..schemas import GFF, UCSC_GENE
 
 #: Cell kinds of typed headers and the Spark types that they become.
 KINDS = {"int": "bigint", "float": "double", "str": "string", "bool": "boolean", "intlist": "array<bigint>", "floatlist": "array<double>", "strlist": "array<string>"}
@@ -49,8 +50,13 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def header_of(spark: SparkSession, path: str, lines: int = 1000) -> list[str]:
-    """The first lines of a file that begin with #."""
-    return [r["value"] for r in spark.read.text(path).where(F.col("value").startswith("#")).limit(lines).collect()]
+    """The # lines before a file's first line of data; only the file's beginning is read."""
+    while True:
+        first = [r["value"] for r in spark.read.text(path).limit(lines).collect()]
+        head = list(itertools.takewhile(lambda x: x.startswith("#") or not x.strip(), first))
+        if len(head) < len(first) or len(first) < lines:
+            return [x for x in head if x.strip()]
+        lines *= 10
 
 
 def read_flat(spark: SparkSession, path: str, description: str | None = None, hints: dict[str, str] | None = None, renames: dict[str, str] | None = None, default: str = "str", skip: list[int] | None = None, sep: str = "\t", skip_broken: bool = True, keep_line: bool = False, broken_value: bool = False) -> DataFrame:
@@ -134,7 +140,7 @@ def gff_prefix(file_name: str) -> str:
 
 
 _GENE_HINTS = {"txStart": "int", "txEnd": "int", "cdsStart": "int", "cdsEnd": "int", "exonCount": "int", "exonStarts": "intlist", "exonEnds": "intlist", "exonFrames": "intlist", "bin": "int"}
-_GENE_COLUMNS = "bin name chrom strand txStart txEnd cdsStart cdsEnd exonCount exonStarts exonEnds id name2 cdsStartStat cdsEndStat exonFrames".split()
+_GENE_COLUMNS = ["strand" if f.name == "sense" else f.name for f in UCSC_GENE.fields]
 
 
 def read_genes(spark: SparkSession, path: str, fix_chr: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import io
+import re
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -11,6 +13,7 @@ from pyspark.sql.types import StructType
 
 from ..operators.reads import fastq_records
 from ..schemas import ALIGNMENT
+from ..scratch import settle
 from .flat import numbered_lines
 
 
@@ -29,32 +32,46 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.trim(head).alias("id"), seq.alias("seq")).where((F.col("seq") != "") & ~F.col("id").startswith("#"))
 
 
-def blocks(lines: DataFrame, is_head, text: str = "value", line: str = "line_no") -> DataFrame:
-    """Adds block (number of head lines so far) and head (the block's head line); a file's blocks are numbered in one order."""
-    w = Window.orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
-    heads = lines.where(is_head(F.col(text))).select(line, F.col(text).alias("head"))
-    heads = heads.withColumn("block", F.row_number().over(Window.orderBy(line)))
-    ranges = heads.select("head", "block", F.col(line).alias("_from"), F.lead(line).over(Window.orderBy(line)).alias("_to"))
-    del w
-    # few heads to many lines: the table of heads is joined by range
-    return lines.join(ranges, (F.col(line) > F.col("_from")) & (F.col("_to").isNull() | (F.col(line) < F.col("_to")))).drop("_from", "_to")
+def split_lines(spark: SparkSession, path: str) -> DataFrame:
+    """value and its place: file, split (byte where the file's split begins) and line_no, which rises inside a split."""
+    return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line_no"))
+
+
+def blocks(lines: DataFrame, is_head) -> DataFrame:
+    """Body lines with block (their head line's place) and head (the block's head line); lines before any head go.
+
+    The head of a line is the last one before it in its split of the file, else the last one of the splits before: a
+    table of one row a split.
+    """
+    heads = lines.withColumn("_h", F.when(is_head(F.col("value")), F.struct(F.col("split").alias("split"), F.col("line_no").alias("line_no"), F.col("value").alias("head"))))
+    last = heads.groupBy("file", "split").agg(F.max("_h").alias("_v"))
+    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    carry = last.select(F.col("file").alias("_f"), F.col("split").alias("_s"), F.last("_v", ignorenulls=True).over(before).alias("_carry"))
+    w = Window.partitionBy("file", "split").orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    out = heads.withColumn("_own", F.last("_h", ignorenulls=True).over(w)).join(carry, (F.col("file") == F.col("_f")) & (F.col("split") == F.col("_s")))
+    out = out.withColumn("_b", F.coalesce("_own", "_carry")).where(F.col("_h").isNull() & F.col("_b").isNotNull())
+    return out.select("value", "file", "split", "line_no", F.struct(F.col("file"), F.col("_b.split").alias("split"), F.col("_b.line_no").alias("line_no")).alias("block"), F.col("_b.head").alias("head"))
 
 
 def read_wiggle(spark: SparkSession, path: str) -> DataFrame:
     """Fixed-step wiggle as positions: chrom, pos (0-based), score; a score is repeated ``step`` times."""
-    lines = numbered_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("track"))
-    body = blocks(lines, lambda c: c.startswith("fixedStep"))
+    lines = split_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("track"))
+    body = settle(blocks(lines, lambda c: c.startswith("fixedStep")), "wiggle")
     field = lambda k, d: F.coalesce(F.regexp_extract("head", rf"\b{k}=(\S+)", 1).try_cast("long"), F.lit(d))
-    i = F.row_number().over(Window.partitionBy("block").orderBy("line_no")) - 1
+    # a block's lines are numbered inside their split; earlier splits' shares of the block come before
+    part = Window.partitionBy("block", "split").orderBy("line_no")
+    held = body.groupBy(F.col("block").alias("_b"), F.col("split").alias("_s")).agg(F.count("*").alias("_n"))
+    held = held.select("_b", "_s", F.coalesce(F.sum("_n").over(Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    body = body.withColumn("_i", F.row_number().over(part) - 1).join(held, (F.col("block") == F.col("_b")) & (F.col("split") == F.col("_s")))
     step = field("step", 1)
-    rows = body.select(F.regexp_extract("head", r"\bchrom=(\S+)", 1).alias("chrom"), (field("start", 1) - 1 + i * step).alias("first"), step.alias("step"), F.col("value").try_cast("double").alias("score"))
+    rows = body.select(F.regexp_extract("head", r"\bchrom=(\S+)", 1).alias("chrom"), (field("start", 1) - 1 + (F.col("_i") + F.col("_before")) * step).alias("first"), step.alias("step"), F.col("value").try_cast("double").alias("score"))
     return rows.select("chrom", F.explode(F.expr("sequence(first, first + step - 1)")).alias("pos"), "score")
 
 
 def read_statistics(spark: SparkSession, path: str) -> DataFrame:
     """Statistics blocks as a long table: title, key, label, value, options."""
-    lines = numbered_lines(spark, path).where(F.trim("value") != "")
-    body = blocks(lines, lambda c: c.startswith(">"))
+    lines = split_lines(spark, path).where(F.trim("value") != "")
+    body = settle(blocks(lines, lambda c: c.startswith(">")), "statistics")
     last = lambda cond, x: F.max(F.when(cond, x))
     heads = body.groupBy("block").agg(last(F.col("value").startswith("#") & ~F.col("value").startswith("##"), F.col("value")).alias("labels"), last(F.col("value").startswith("##"), F.col("value")).alias("options"))
     rows = body.where(~F.col("value").startswith("#")).join(heads, "block")
@@ -67,27 +84,40 @@ def read_statistics(spark: SparkSession, path: str) -> DataFrame:
 # ---------------------------------------------------------------------------------------------------------------------
 # alignments
 # ---------------------------------------------------------------------------------------------------------------------
-def parse_sam_line(line: str, lib: str, tids: dict[str, int]) -> tuple | None:
+def split_clips(cigar: str, query: str) -> str:
+    """The query without soft-clipped ends."""
+    lead, trail = re.match(r"(?:\d+H)?(\d+)S", cigar), re.search(r"(\d+)S(?:\d+H)?$", cigar)
+    end = len(query) - (int(trail[1]) if trail else 0)
+    return query[int(lead[1]) if lead else 0 : end]
+
+
+def parse_sam_line(line: str, lib: str) -> tuple | None:
+    """The columns of ALIGNED, or None for an unmapped read."""
     f = line.rstrip("\n").split("\t")
     if len(f) < 11 or f[2] == "*":
         return None
     tags = {t[:2]: t[5:] for t in f[11:] if len(t) > 5}
     num = lambda k, kind: kind(tags[k]) if k in tags else None
-    return (tags.get("LB", lib), tids.setdefault(f[2], len(tids)), f[2], int(f[3]) - 1, f[5], bool(int(f[1]) & 16), f[0], f[9], tags.get("MD"), int(f[4]), num("X0", int), num("X1", int), num("AS", int), num("XS", int), num("PP", float))
+    return (tags.get("LB", lib), f[2], int(f[3]) - 1, f[5], bool(int(f[1]) & 16), f[0], split_clips(f[5], f[9]), tags.get("MD"), int(f[4]), num("X0", int), num("X1", int), num("AS", int), num("XS", int), num("PP", float))
+
+
+#: Alignments as readers give them: without tid, which a part of a file cannot know (see with_tids).
+ALIGNED = StructType([f for f in ALIGNMENT.fields if f.name != "tid"])
 
 
-class _SamPart(InputPartition):
+class _Part(InputPartition):
     def __init__(self, path: str, start: int, end: int):
         self.path, self.start, self.end = path, start, end
 
 
-class SamReader(DataSourceReader):
-    """Splits each file by byte ranges; a chromosome given as a filter is applied while reading."""
+class SplitReader(DataSourceReader):
+    """Splits each file by byte ranges; a chromosome given as a filter or option is applied while reading.
 
-    def __init__(self, options: dict):
-        import glob
+    Files are opened through pyarrow's file systems: local paths, and URIs of the stores that these know.
+    """
 
-        self.paths, self.lib = sorted(glob.glob(options["path"])), options.get("lib", "lib")
+    def __init__(self, options: dict):
+        self.path, self.lib = options["path"], options.get("lib", "lib")
         self.split, self.chrom = int(options.get("splitBytes", 64 << 20)), options.get("chrom")
 
     def pushFilters(self, filters):
@@ -98,29 +128,50 @@ class SamReader(DataSourceReader):
                 yield f
 
     def partitions(self):
-        import os
+        return [_Part(p, s, min(s + self.split, n)) for p, n in listed(self.path) for s in range(0, max(n, 1), self.split)]
+
+
+def opened(path: str):
+    """The file system and path of a path or URI."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
 
-        return [_SamPart(p, s, s + self.split) for p in self.paths for s in range(0, max(os.path.getsize(p), 1), self.split)]
+def listed(path: str) -> list[tuple[str, int]]:
+    """Files (and their sizes) of a path, a folder or a pattern over the names of one folder."""
+    from fnmatch import fnmatch
 
+    from pyarrow import fs
+
+    store, at = opened(path)
+    head = path[: len(path) - len(at)] if path.endswith(at) else ""
+    folder, _, name = at.rpartition("/")
+    if any(c in name for c in "*?["):
+        found = [f for f in store.get_file_info(fs.FileSelector(folder)) if fnmatch(f.base_name, name)]
+    else:
+        info = store.get_file_info(at)
+        found = store.get_file_info(fs.FileSelector(at)) if info.type == fs.FileType.Directory else [info]
+    return sorted((head + f.path, f.size) for f in found if f.type == fs.FileType.File)
+
+
+class SamReader(SplitReader):
     def read(self, part):
-        tids: dict[str, int] = {}
-        with open(part.path, "rb") as f:
-            for raw in f:  # names of the header give the order of chromosomes
-                if not raw.startswith(b"@"):
-                    break
-                if raw.startswith(b"@SQ"):
-                    tids.setdefault(next(x[3:] for x in raw.decode().rstrip().split("\t") if x.startswith("SN:")), len(tids))
+        if part is None:  # a reader without partitions is called once
+            return
+        store, path = opened(part.path)
+        with store.open_input_file(path) as raw, io.BufferedReader(raw, 1 << 20) as f:
             f.seek(max(part.start - 1, 0))
             if part.start:
                 f.readline()
             while f.tell() < part.end:
-                raw = f.readline()
-                if not raw:
+                line = f.readline()
+                if not line:
                     break
-                if raw.startswith(b"@"):
+                if line.startswith(b"@"):
                     continue
-                row = parse_sam_line(raw.decode(), self.lib, tids)
-                if row and (self.chrom is None or row[2] == self.chrom):
+                row = parse_sam_line(line.decode(), self.lib)
+                if row and (self.chrom is None or row[1] == self.chrom):
                     yield row
 
 
@@ -132,15 +183,29 @@ class SamSource(DataSource):
         return "sam"
 
     def schema(self) -> StructType:
-        return ALIGNMENT
+        return ALIGNED
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return SamReader(self.options)
 
 
 def register(spark: SparkSession) -> None:
+    from .bam import BamSource
+
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(SamSource)
+    spark.dataSource.register(BamSource)
+
+
+def with_tids(rows: DataFrame, chroms: list[str] | None = None) -> DataFrame:
+    """Adds tid: the place of the chromosome in ``chroms``, else among the sorted names that occur."""
+    if chroms:
+        tid = F.array_position(F.array(*[F.lit(c) for c in chroms]), F.col("chrom")).cast("int") - 1
+        return rows.withColumn("tid", tid).select(*[c.name for c in ALIGNMENT])
+    names = rows.select("chrom").distinct()
+    # one row a chromosome
+    ids = names.select(F.col("chrom").alias("_c"), (F.row_number().over(Window.orderBy("chrom")) - 1).alias("tid"))
+    return rows.join(F.broadcast(ids), F.col("chrom") == F.col("_c")).select(*[c.name for c in ALIGNMENT])
 
 
 def alignments(spark: SparkSession, path: str, lib: str = "lib", chroms: list[str] | None = None) -> DataFrame:
@@ -148,14 +213,11 @@ def alignments(spark: SparkSession, path: str, lib: str = "lib", chroms: list[st
     rows = spark.read.text(path).where(~F.col("value").startswith("@")).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 11)
     tag = lambda k: F.get(F.transform(F.filter(F.slice("f", 12, 1 << 20), lambda t: F.substring(t, 1, 3) == f"{k}:"), lambda t: F.substring(t, 6, 1 << 20)), 0)
     f = lambda i: F.get("f", i)
-    out = rows.where(f(2) != "*").select(F.coalesce(tag("LB"), F.lit(lib)).alias("lib"), f(2).alias("chrom"), (f(3).cast("long") - 1).alias("pos"), f(5).alias("cigar"), (f(1).cast("int").bitwiseAND(16) != 0).alias("is_reverse"), f(0).alias("qname"), f(9).alias("query"), tag("MD").alias("md"), f(4).cast("int").alias("mapq"), tag("X0").cast("int").alias("x0"), tag("X1").cast("int").alias("x1"), tag("AS").cast("int").alias("as_"), tag("XS").cast("int").alias("xs"), tag("PP").cast("double").alias("pp"))
-    if chroms:
-        tid = F.array_position(F.array(*[F.lit(c) for c in chroms]), F.col("chrom")).cast("int") - 1
-    else:
-        names = out.select("chrom").distinct()
-        ids = names.select(F.col("chrom").alias("_c"), (F.row_number().over(Window.orderBy("chrom")) - 1).alias("tid"))
-        return out.join(F.broadcast(ids), F.col("chrom") == F.col("_c")).select(*[c.name for c in ALIGNMENT])  # one row a chromosome
-    return out.withColumn("tid", tid).select(*[c.name for c in ALIGNMENT])
+    clip = lambda pattern: F.coalesce(F.regexp_extract(f(5), pattern, 1).try_cast("int"), F.lit(0))
+    lead, trail = clip(r"^(?:\d+H)?(\d+)S"), clip(r"(\d+)S(?:\d+H)?$")
+    query = F.substring(f(9), lead + 1, F.length(f(9)) - lead - trail)
+    out = rows.where(f(2) != "*").select(F.coalesce(tag("LB"), F.lit(lib)).alias("lib"), f(2).alias("chrom"), (f(3).cast("long") - 1).alias("pos"), f(5).alias("cigar"), (f(1).cast("int").bitwiseAND(16) != 0).alias("is_reverse"), f(0).alias("qname"), query.alias("query"), tag("MD").alias("md"), f(4).cast("int").alias("mapq"), tag("X0").cast("int").alias("x0"), tag("X1").cast("int").alias("x1"), tag("AS").cast("int").alias("as_"), tag("XS").cast("int").alias("xs"), tag("PP").cast("double").alias("pp"))
+    return with_tids(out, chroms)
 
 
 def records(lines: Iterator[str]) -> Iterator[tuple[str, str]]:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import SCORES
+from .tracks import SAVE_BIN
 
 
 def _text(c: str | Column) -> Column:
@@ -35,10 +36,11 @@ def stats_lines(clusters: DataFrame) -> tuple[str, DataFrame]:
 
 
 def with_header(header: str, lines: DataFrame) -> DataFrame:
-    """One partition with a header line before the others, which keep their order."""
+    """A header line before the others, which keep their order; sorted in parallel, so the first of the files that are
+    written begins with it."""
     rest = lines.select(F.monotonically_increasing_id().alias("_i"), "value")
     first = lines.sparkSession.createDataFrame([(-1, header)], "_i long, value string")
-    return first.unionByName(rest).coalesce(1).sortWithinPartitions("_i").select("value")
+    return first.unionByName(rest).orderBy("_i").select("value")
 
 
 def bed_lines(clusters: DataFrame) -> DataFrame:
@@ -92,9 +94,9 @@ def typed_lines(df: DataFrame) -> tuple[str, DataFrame]:
 
 
 def write_lines(lines: DataFrame, path: str, header: str | None = None, single: bool = False) -> None:
-    """Text files; with a header or ``single`` one file, which one task writes."""
+    """Text files in order, the first with the header; ``single``: one file, which one task writes."""
     out = with_header(header, lines) if header else lines
-    (out.coalesce(1) if single and not header else out).write.mode("overwrite").text(path)
+    (out.coalesce(1) if single else out).write.mode("overwrite").text(path)
 
 
 def write_verdicts(clusters: DataFrame, path: str, method: str) -> None:
@@ -105,4 +107,4 @@ def write_verdicts(clusters: DataFrame, path: str, method: str) -> None:
 
 def write_annotation(seg: DataFrame, path: str) -> None:
     """A compiled annotation: segments by chromosome and strand; Parquet keeps the dictionary of combinations."""
-    seg.repartition("chrom", "sense").sortWithinPartitions("start").write.mode("overwrite").partitionBy("chrom", "sense").parquet(path)
+    seg.repartition("chrom", "sense", F.floor(F.col("start") / SAVE_BIN)).sortWithinPartitions("start").write.mode("overwrite").partitionBy("chrom", "sense").parquet(path)

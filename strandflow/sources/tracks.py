@@ -10,9 +10,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import complement
-from ..operators.intervals import range_join
+from ..operators.intervals import numbered, range_join
 
 CHUNK = 1 << 12
+#: Bases of a chromosome and strand that one task writes.
+SAVE_BIN = 1 << 24
 
 
 def chunk_sequences(seqs: DataFrame, size: int = CHUNK) -> DataFrame:
@@ -27,7 +29,7 @@ def slices(regions: DataFrame, bases: DataFrame, size: int = CHUNK, extra: list[
     Only the chunks that a region touches are joined.  ``extra``: further keys of ``bases`` (species).
     """
     extra = extra or []
-    r = regions.withColumn("_r", F.monotonically_increasing_id())
+    r = numbered(regions, "_r")
     keys = r.select("_r", "chrom", "start", "end", F.explode(F.expr(f"sequence(CAST(floor(greatest(start, 0L) / {size}) AS BIGINT), CAST(floor((greatest(end, start + 1, 1L) - 1) / {size}) AS BIGINT))")).alias("chunk"))
     hit = keys.join(bases, ["chrom", "chunk"])
     lo, hi = F.greatest(F.col("start"), F.col("chunk") * size), F.least(F.col("end"), F.col("chunk") * size + F.length("seq"))
@@ -60,7 +62,7 @@ def alignment_slices(regions: DataFrame, bases: DataFrame, species: list[str] |
 
 def values(regions: DataFrame, track: DataFrame, default: float = 0.0, stranded: bool = True) -> DataFrame:
     """One row per base of each region: region columns, pos, value (the default where the track has nothing)."""
-    r = regions.withColumn("_r", F.monotonically_increasing_id())
+    r = numbered(regions, "_r")
     keys = ["chrom", "strand"] if stranded else ["chrom"]
     right = track.select(*keys, F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("value").alias("_v"))
     hit = range_join(r.select("_r", *keys, "start", "end"), right, keys)
@@ -71,7 +73,7 @@ def values(regions: DataFrame, track: DataFrame, default: float = 0.0, stranded:
 
 def region_sum(regions: DataFrame, track: DataFrame, stranded: bool = True) -> DataFrame:
     """Sum over each region, without expanding runs."""
-    r = regions.withColumn("_r", F.monotonically_increasing_id())
+    r = numbered(regions, "_r")
     keys = ["chrom", "strand"] if stranded else ["chrom"]
     right = track.select(*keys, F.col("start").alias("r_start"), F.col("end").alias("r_end"), F.col("value").alias("_v"))
     hit = range_join(r.select("_r", *keys, "start", "end"), right, keys)
@@ -109,8 +111,9 @@ def register_reader(kind: str, reader) -> None:
 
 
 def save_track(track: DataFrame, path: str) -> None:
-    """Parquet by chromosome and strand, so that a region reads its own files only."""
-    track.repartition("chrom", "strand").write.partitionBy("chrom", "strand").mode("overwrite").parquet(path)
+    """Parquet by chromosome and strand, so that a region reads its own files only; a long chromosome is written by many
+    tasks."""
+    track.repartition("chrom", "strand", F.floor(F.col("start") / SAVE_BIN)).write.partitionBy("chrom", "strand").mode("overwrite").parquet(path)
 
 
 def load_track(spark: SparkSession, path: str, kind: str | None = None, chrom: str | None = None, strand: str | None = None) -> DataFrame:

@@ -172,10 +172,22 @@ def loci(tx: DataFrame, tx_class: str = "coding", sizes: DataFrame | None = None
 
 def splice_sequence(tx: DataFrame, bases: DataFrame, id_col: str = "name") -> DataFrame:
     """Spliced sequences: exon pieces of a chunked sequence table, put together in order, reverse-complemented on -."""
-    from ..sources.tracks import slices
+    return _spliced(exons(tx).select(id_col, "sense", "chrom", F.col("e_start").alias("start"), F.col("e_end").alias("end")), bases, id_col)
+
+
+def _spliced(pieces: DataFrame, bases: DataFrame, id_col: str) -> DataFrame:
     from ..functions.sequence import rev_comp
+    from ..sources.tracks import slices
 
-    ex = exons(tx).select(id_col, "sense", "chrom", F.col("e_start").alias("start"), F.col("e_end").alias("end"))
-    got = slices(ex, bases)
+    got = slices(pieces, bases)
     by = got.groupBy(id_col, "sense").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "seq"))), lambda x: x["seq"]), "").alias("seq"))
     return by.select(id_col, F.when(F.col("sense") == "-", rev_comp(F.col("seq"))).otherwise(F.col("seq")).alias("seq"))
+
+
+def orf(tx: DataFrame, bases: DataFrame, id_col: str = "name") -> DataFrame:
+    """(id, orf): the protein of each transcript's spliced coding region; empty without one."""
+    from ..functions.sequence import translate
+
+    rows = parts(tx).select(id_col, "sense", "chrom", F.explode_outer("cds").alias("x")).where("x IS NOT NULL")
+    seqs = _spliced(rows.select(id_col, "sense", "chrom", F.col("x.s").alias("start"), F.col("x.e").alias("end")), bases, id_col)
+    return tx.select(id_col).join(seqs, id_col, "left").select(id_col, F.coalesce(translate(F.col("seq")), F.lit("")).alias("orf"))

@@ -22,6 +22,8 @@ from ..operators import genemodel as G
 from ..operators import intervals as I
 from ..operators import reads as R
 from ..sources import sinks as K
+from . import registry
+from .registry import query
 
 ALN = """SELECT CAST(l_suppkey AS INT) AS tid,
   CASE WHEN l_suppkey % 10 = 0 THEN concat('chrmarkov_', CAST(l_suppkey AS VARCHAR(20))) ELSE concat('chr', CAST(l_suppkey AS VARCHAR(20))) END AS chrom,
@@ -86,18 +88,6 @@ CLUSTER_SQL = ISLAND_SQL + """, cl AS (
   SELECT *, CASE WHEN uniq_reads < 2 THEN 'discarded_few_reads' WHEN conversion_score < 1 THEN 'discarded_few_conversions' WHEN max_uniq < 1 THEN 'discarded_non_uniq'
     WHEN read_support < 1 THEN 'discarded_insuff_read_support' END AS reason FROM cl
 ), kept AS (SELECT * FROM judged WHERE reason IS NULL)"""
-_Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        _Q[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
 
 
 # ---- islands and clusters -------------------------------------------------------------------------------------------
@@ -650,9 +640,13 @@ def k15_bed_lines(spark, d):
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from ..streaming.queries import QUERIES
+    from . import edit_queries, file_queries  # noqa: F401 - register theirs
 
-    return _Q | QUERIES
+    return registry.QUERIES | QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    from ..streaming.queries import SQL
+
+    queries()
+    return registry.SQL | SQL

@@ -47,7 +47,7 @@ def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
         top = pick(spark.read.parquet(f"{sf_dir}/events.parquet")).agg(F.max("ts").alias("top")).where("top IS NOT NULL")
         return top.select(F.lit(None).alias("user_id"), F.expr(f"top + INTERVAL '{NEVER_DAYS + 1}' DAY").alias("ts"), F.lit(None).alias("value"))
 
-    return _run_to_end(spark, pick(_stream(spark, sf_dir, "events")), lambda s: sessions(s, late=f"{NEVER_DAYS} days"), last)
+    return _run_to_end(spark, pick(_stream(spark, sf_dir, "events")), lambda s: sessions(s, late=f"{NEVER_DAYS} days"), last).withColumn("total", F.round("total", 4))
 
 
 def stream_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,3 +74,16 @@ def stream_line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"stream_sessions": stream_sessions, "stream_islands": stream_islands, "stream_line_sums": stream_line_sums}
+
+#: The batch forms.  A session is open as long as the next event comes before its gap has passed.
+SQL = {
+    "stream_sessions": """WITH e AS (SELECT user_id, ts, value FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL), n AS (
+  SELECT *, CASE WHEN ts < lag(ts) OVER (PARTITION BY user_id ORDER BY ts) + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS nw FROM e
+), g AS (SELECT *, sum(nw) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS s FROM n)
+SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*) AS n, round(sum(value), 4) AS total FROM g GROUP BY user_id, s""",
+    "stream_islands": """WITH r AS (SELECT concat('chr', l_suppkey) AS chrom, CASE WHEN l_linestatus = 'F' THEN '+' ELSE '-' END AS strand, l_orderkey % 15000 AS pos, l_orderkey % 15000 + CAST(l_quantity AS BIGINT) AS pend FROM lineitem), m AS (
+  SELECT *, max(pend) OVER (PARTITION BY chrom, strand ORDER BY pos, pend ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM r
+), i AS (SELECT *, sum(CASE WHEN prev IS NULL OR pos > prev THEN 1 ELSE 0 END) OVER (PARTITION BY chrom, strand ORDER BY pos, pend ROWS UNBOUNDED PRECEDING) AS island FROM m)
+SELECT chrom, strand, min(pos) AS start, max(pend) AS "end", count(*) AS n FROM i GROUP BY chrom, strand, island""",
+    "stream_line_sums": """SELECT concat_ws(chr(9), l_returnflag, CAST(l_quantity AS VARCHAR), l_partkey) || chr(9) || CAST(l_quantity - l_partkey AS VARCHAR) AS value FROM lineitem""",
+}

@@ -19,7 +19,7 @@ from ..operators import intervals as I
 from ..scratch import shared_dir
 from ..sources import flat, sequences, sinks, tracks
 from .edit_queries import RAW, aligned
-from .queries import _TX, ALN, CLUSTER_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
+from .queries import _DNA, _TX, ALN, CLUSTER_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
 from .registry import query
 
 
@@ -121,10 +121,7 @@ def s10_fastq(spark, d):
     return got.groupBy("name", "seq", "qual").agg(F.count("*").alias("n"))
 
 
-_WHOLE_DNA = "dna AS (SELECT doc_id, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGNACGTACGTA') AS seq FROM documents)"
-
-
-@query(f"WITH {_WHOLE_DNA} SELECT 'd' || doc_id AS id, length(seq) AS length, md5(seq) AS seq_md5 FROM dna WHERE seq <> ''")
+@query(f"WITH {_DNA} SELECT 'd' || doc_id AS id, length(seq) AS length, md5(seq) AS seq_md5 FROM dna WHERE seq <> ''")
 def s11_fasta(spark, d):
     """Whole sequences written with folded lines and read back."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")
@@ -169,14 +166,14 @@ def _regions(spark, d, n=2000):
 _REGION = "rg AS (SELECT doc_id, doc_id % 400 * 5 - 10 AS a FROM documents)"
 
 
-@query(f"WITH {_WHOLE_DNA}, {_REGION} SELECT 'd' || doc_id AS chrom, a AS start, rpad(CASE WHEN a < 0 THEN repeat('N', CAST(-a AS BIGINT)) || substr(coalesce(seq, ''), 1, CAST(30 + a AS BIGINT)) ELSE substr(coalesce(seq, ''), CAST(a + 1 AS BIGINT), 30) END, 30, 'N') AS seq FROM rg LEFT JOIN dna USING (doc_id)")
+@query(f"WITH {_DNA}, {_REGION} SELECT 'd' || doc_id AS chrom, a AS start, rpad(CASE WHEN a < 0 THEN repeat('N', CAST(-a AS BIGINT)) || substr(coalesce(seq, ''), 1, CAST(30 + a AS BIGINT)) ELSE substr(coalesce(seq, ''), CAST(a + 1 AS BIGINT), 30) END, 30, 'N') AS seq FROM rg LEFT JOIN dna USING (doc_id)")
 def s20_sequence_slices(spark, d):
     """Bases of regions from a chunked sequence table, padded with N."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")
     return tracks.slices(_regions(spark, d), tracks.chunk_sequences(seqs)).select("chrom", "start", "seq")
 
 
-@query(f"WITH {_WHOLE_DNA}, {_REGION}, sp AS (SELECT doc_id, s, CASE WHEN s = 'one' THEN seq ELSE replace(seq, 'A', '-') END AS seq FROM dna, (VALUES ('one'), ('two')) v(s) WHERE seq <> '') SELECT 'd' || doc_id AS chrom, s AS species, rpad(CASE WHEN a < 0 THEN repeat('N', CAST(-a AS BIGINT)) || substr(replace(seq, '-', 'N'), 1, CAST(30 + a AS BIGINT)) ELSE substr(replace(seq, '-', 'N'), CAST(a + 1 AS BIGINT), 30) END, 30, 'N') AS seq FROM rg JOIN sp USING (doc_id) WHERE CASE WHEN a < 0 THEN 0 ELSE a END // 4096 <= (length(seq) - 1) // 4096")
+@query(f"WITH {_DNA}, {_REGION}, sp AS (SELECT doc_id, s, CASE WHEN s = 'one' THEN seq ELSE replace(seq, 'A', '-') END AS seq FROM dna, (VALUES ('one'), ('two')) v(s) WHERE seq <> '') SELECT 'd' || doc_id AS chrom, s AS species, rpad(CASE WHEN a < 0 THEN repeat('N', CAST(-a AS BIGINT)) || substr(replace(seq, '-', 'N'), 1, CAST(30 + a AS BIGINT)) ELSE substr(replace(seq, '-', 'N'), CAST(a + 1 AS BIGINT), 30) END, 30, 'N') AS seq FROM rg JOIN sp USING (doc_id) WHERE CASE WHEN a < 0 THEN 0 ELSE a END // 4096 <= (length(seq) - 1) // 4096")
 def s21_alignment_slices(spark, d):
     """Two species over each region; gaps read as N."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")
@@ -214,11 +211,11 @@ def g10_track_methods(spark, d):
     return out.select("chrom", "strand", "sum", F.array_join(F.transform("profile", lambda x: x.cast("int").cast("string")), ",").alias("profile"))
 
 
-@query(f"WITH l AS ({LOCUS}) SELECT start AS pos, max(CAST(\"end\" AS DOUBLE)) AS value FROM l WHERE chrom = 'chr7' AND sense = '+' GROUP BY start")
+@query(f"WITH l AS ({LOCUS}) SELECT start AS pos, max(CAST(\"end\" AS DOUBLE)) AS value FROM l GROUP BY start")
 def s24_sparse_track(spark, d):
-    """``pos value`` lines of one chromosome and strand."""
-    own = locus(spark, d).where("chrom = 'chr7' AND sense = '+'").groupBy("start").agg(F.max("end").alias("end")).select(F.concat_ws("\t", "start", "end").alias("value"))
-    return tracks.load_track(spark, stored(spark, own), "sparse", "chr7", "+").select(F.col("start").alias("pos"), "value")
+    """``pos value`` lines."""
+    own = locus(spark, d).groupBy("start").agg(F.max("end").alias("end")).select(F.concat_ws("\t", "start", "end").alias("value"))
+    return tracks.load_track(spark, stored(spark, own), "sparse", "all", "+").select(F.col("start").alias("pos"), "value")
 
 
 @query(f"WITH l AS ({LOCUS}) SELECT chrom, sense, pos, CAST(arg_max(\"end\", name) AS DOUBLE) AS value FROM (SELECT *, unnest(range(start, least(start + 5, \"end\"))) AS pos FROM l) GROUP BY chrom, sense, pos")
@@ -228,20 +225,20 @@ def a13_score_track(spark, d):
     return I.score_track(rows, ["chrom", "sense"])
 
 
-@query("""SELECT chrom, strand, start, "end", value FROM (WITH """ + f"aln AS ({ALN})" + """, ev AS (SELECT chrom, strand, pos AS p, mult AS d FROM aln WHERE tid = 7 UNION ALL SELECT chrom, strand, pend, -mult FROM aln WHERE tid = 7), dl AS (SELECT chrom, strand, p, sum(d) AS d FROM ev GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
-cv AS (SELECT chrom, strand, p AS start, lead(p) OVER w AS "end", CAST(sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value FROM dl WINDOW w AS (PARTITION BY chrom, strand ORDER BY p)) SELECT * FROM cv WHERE value > 0 AND "end" IS NOT NULL AND strand = '+')""")
+@query("""SELECT chrom, strand, start, "end", value FROM (WITH """ + f"aln AS ({ALN})" + """, ev AS (SELECT 'all' AS chrom, '+' AS strand, pos AS p, mult AS d FROM aln UNION ALL SELECT 'all', '+', pend, -mult FROM aln), dl AS (SELECT chrom, strand, p, sum(d) AS d FROM ev GROUP BY 1, 2, 3 HAVING sum(d) <> 0),
+cv AS (SELECT chrom, strand, p AS start, lead(p) OVER w AS "end", CAST(sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS value FROM dl WINDOW w AS (PARTITION BY chrom, strand ORDER BY p)) SELECT * FROM cv WHERE value > 0 AND "end" IS NOT NULL)""")
 def s23_run_lines(spark, d):
-    """Coverage of a chromosome's strand as run lines, written and read back."""
-    runs = I.coverage(aln(spark, d).where("tid = 7 AND strand = '+'"), ["chrom", "strand"], width=4096)
+    """Coverage over all alignments, as if of one chromosome, as run lines, written and read back."""
+    runs = I.coverage(aln(spark, d).withColumns({"chrom": F.lit("all"), "strand": F.lit("+")}), ["chrom", "strand"], width=512)
     header, lines = sinks.run_lines(runs.withColumnRenamed("value", "score"))
-    return tracks.load_track(spark, stored(spark, lines, header), "runs", "chr7", "+").select("chrom", "strand", "start", "end", "value")
+    return tracks.load_track(spark, stored(spark, lines, header), "runs", "all", "+").select("chrom", "strand", "start", "end", "value")
 
 
 # ---- functions and gene models --------------------------------------------------------------------------------------
 _CODE_SQL = "map {" + ", ".join(f"'{c}': '{a}'" for c, a in S.CODE.items()) + "}"
 
 
-@query(f"WITH {_WHOLE_DNA}, c AS (SELECT doc_id, f, array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(seq, i + 1, 3)], '*')), '') AS p FROM dna, range(0, 3) t(f)) SELECT doc_id, f AS frame, md5(regexp_extract(p, '(M[^*]*)', 1)) AS protein_md5 FROM c")
+@query(f"WITH {_DNA}, c AS (SELECT doc_id, f, array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(seq, i + 1, 3)], '*')), '') AS p FROM dna, range(0, 3) t(f)) SELECT doc_id, f AS frame, md5(regexp_extract(p, '(M[^*]*)', 1)) AS protein_md5 FROM c")
 def f8_translate(spark, d):
     """Proteins of whole sequences in three frames."""
     dna, out = _dna(spark, d), None
@@ -309,14 +306,14 @@ def _chains(spark, d):
 _COMPLEMENT = "translate({x}, 'ACGTN', 'TGCAN')"
 
 
-@query(f"WITH {_WHOLE_DNA}, x AS (SELECT doc_id, substr(seq, 11, 9) || substr(seq, 31, 12) || substr(seq, 61, 15) AS s FROM dna WHERE length(seq) >= 100) SELECT 't' || doc_id AS name, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS seq FROM x")
+@query(f"WITH {_DNA}, x AS (SELECT doc_id, substr(seq, 11, 9) || substr(seq, 31, 12) || substr(seq, 61, 15) AS s FROM dna WHERE length(seq) >= 100) SELECT 't' || doc_id AS name, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS seq FROM x")
 def g3_splice(spark, d):
     """Spliced sequences, as read on their strand."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")
     return G.splice_sequence(_chains(spark, d), tracks.chunk_sequences(seqs))
 
 
-@query(f"WITH {_WHOLE_DNA}, x AS (SELECT doc_id, substr(seq, 14, 6) || substr(seq, 31, 12) || substr(seq, 61, 10) AS s FROM dna WHERE length(seq) >= 100), y AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS s FROM x) SELECT 't' || doc_id AS name, regexp_extract(array_to_string(list_transform(range(0, length(s) - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(s, i + 1, 3)], '*')), ''), '(M[^*]*)', 1) AS orf FROM y")
+@query(f"WITH {_DNA}, x AS (SELECT doc_id, substr(seq, 14, 6) || substr(seq, 31, 12) || substr(seq, 61, 10) AS s FROM dna WHERE length(seq) >= 100), y AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS s FROM x) SELECT 't' || doc_id AS name, regexp_extract(array_to_string(list_transform(range(0, length(s) - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(s, i + 1, 3)], '*')), ''), '(M[^*]*)', 1) AS orf FROM y")
 def g8_orf(spark, d):
     """Proteins of spliced coding regions."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")

@@ -174,26 +174,17 @@ def a10_coverage(spark, d):
     return I.coverage(aln(spark, d), ["chrom", "strand"], width=4096)
 
 
-@query(f"WITH aln AS ({ALN}), p AS (SELECT chrom, strand, unnest(range(pos, pend)) AS pos, mult FROM aln WHERE tid = 7), s AS (SELECT chrom, strand, pos, max(mult) AS v FROM p GROUP BY ALL), n AS (SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(v) OVER w = v THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos)), r AS (SELECT *, sum(nw) OVER (PARTITION BY chrom, strand ORDER BY pos) AS r FROM n) SELECT chrom, strand, min(pos) AS start, max(pos) + 1 AS \"end\", any_value(v) AS score FROM r GROUP BY chrom, strand, r")
+@query(f"WITH aln AS ({ALN}), p AS (SELECT chrom, strand, unnest(range(pos, pend)) AS pos, mult FROM aln), s AS (SELECT chrom, strand, pos, max(mult) AS v FROM p GROUP BY ALL), n AS (SELECT *, CASE WHEN lag(pos) OVER w = pos - 1 AND lag(v) OVER w = v THEN 0 ELSE 1 END AS nw FROM s WINDOW w AS (PARTITION BY chrom, strand ORDER BY pos)), r AS (SELECT *, sum(nw) OVER (PARTITION BY chrom, strand ORDER BY pos) AS r FROM n) SELECT chrom, strand, min(pos) AS start, max(pos) + 1 AS \"end\", any_value(v) AS score FROM r GROUP BY chrom, strand, r")
 def a11_run_length(spark, d):
-    """Positions to runs (of the highest weight over each position of one chromosome)."""
-    return _run_length(aln(spark, d).where("tid = 7"))
+    """Positions to runs of the highest weight over each position."""
+    r = aln(spark, d).select("chrom", "strand", F.explode(F.expr("sequence(pos, pend - 1)")).alias("pos"), "mult")
+    return I.run_length(r.groupBy("chrom", "strand", "pos").agg(F.max("mult").alias("value")), ["chrom", "strand"], width=4096)
 
 
-@query(None)
-def a11_run_length_whole(spark, d):
-    """The same over all chromosomes."""
-    return _run_length(aln(spark, d))
-
-
-def _run_length(alignments):
-    r = alignments.select("chrom", "strand", F.explode(F.expr("sequence(pos, pend - 1)")).alias("pos"), "mult")
-    return I.run_length(r.groupBy("chrom", "strand", "pos").agg(F.max("mult").alias("value")), ["chrom", "strand"])
-
-
-@query(f"WITH aln AS ({ALN}), x AS (SELECT * FROM aln WHERE chrom = 'chr9' AND pos < 8000 AND pend > 3000) SELECT chrom, strand, greatest(3000, least(7999, CASE WHEN strand = '-' THEN pend - 1 ELSE pos END)) AS pos5, CAST(sum(mult) AS BIGINT) AS value FROM x GROUP BY ALL")
+@query(f"WITH aln AS ({ALN}), x AS (SELECT * FROM aln WHERE pos < 8000 AND pend > 3000) SELECT chrom, strand, greatest(3000, least(7999, CASE WHEN strand = '-' THEN pend - 1 ELSE pos END)) AS pos5, CAST(sum(mult) AS BIGINT) AS value FROM x GROUP BY ALL")
 def a12_read_starts(spark, d):
-    return I.read_starts(aln(spark, d).where("chrom = 'chr9'"), ["chrom", "strand"], window=(3000, 8000))
+    """5' ends in a window of every chromosome."""
+    return I.read_starts(aln(spark, d), ["chrom", "strand"], window=(3000, 8000))
 
 
 @query(f"WITH aln AS ({ALN}), locus AS ({LOCUS}) SELECT l.chrom, l.name, CAST(coalesce(sum(mult), 0) AS BIGINT) AS reads FROM locus l LEFT JOIN aln a ON a.chrom = l.chrom AND a.pos < l.\"end\" AND l.start < a.pend GROUP BY l.chrom, l.name, l.start, l.\"end\"")
@@ -302,13 +293,12 @@ def j2_range_join(spark, d):
     return hits.groupBy("chrom", "strand").agg(F.count("*").alias("pairs"), F.sum("r_start").alias("checksum"))
 
 
-def _annotated(spark, d, least=3):
-    """Clusters with annotation: those of the SQL, or with ``least`` 1 all."""
-    cl = cluster_table(spark, d).where(F.col("uniq_reads") >= least).select("cid", "chrom", F.col("strand").alias("sense"), "start", "end")
+def _annotated(spark, d):
+    cl = cluster_table(spark, d).select("cid", "chrom", F.col("strand").alias("sense"), "start", "end")
     return A.annotate(cl, locus(spark, d), "cid", width=256)
 
 
-_ANN = f"""{CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT concat(CAST(tid AS VARCHAR), ':', strand, ':', CAST(island AS VARCHAR)) AS cid, chrom, strand, start, "end" FROM cl WHERE uniq_reads >= 3),
+_ANN = f"""{CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT concat(CAST(tid AS VARCHAR), ':', strand, ':', CAST(island AS VARCHAR)) AS cid, chrom, strand, start, "end" FROM cl),
 ht AS (SELECT cid, iv.strand = l.sense AS same, rtrim(path, '/') AS path, name FROM iv JOIN locus l ON l.chrom = iv.chrom AND l.start < iv."end" AND iv.start < l."end"),
 an AS (SELECT iv.cid, iv.chrom, coalesce(list_sort(list_distinct(list(path) FILTER (same))), []) AS cls, coalesce(list_sort(list_distinct(list(path) FILTER (NOT same))), []) AS acls,
   coalesce(list_sort(list_distinct(list('transcript/' || name) FILTER (same))), []) AS feat, coalesce(list_distinct(list(path || '/' || name) FILTER (same)), []) AS el, coalesce(list_distinct(list('antisense/' || path || '/' || name) FILTER (NOT same)), []) AS ael
@@ -319,17 +309,7 @@ ann AS (SELECT *, CASE WHEN len(acls) > 0 THEN list_sort(list_append(cls, 'antis
 @query(f"WITH {_ANN} SELECT cid, array_to_string(classes, ',') AS classes, array_to_string(acls, ',') AS as_classes, array_to_string(feat, ',') AS features FROM ann")
 def j3_annotation(spark, d):
     """Sense and antisense features with default."""
-    return _feature_lists(_annotated(spark, d))
-
-
-@query(None)
-def j3_annotation_whole(spark, d):
-    """The same for every cluster."""
-    return _feature_lists(_annotated(spark, d, 1))
-
-
-def _feature_lists(annotated):
-    return annotated.select("cid", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "as_classes").alias("as_classes"), F.concat_ws(",", "features").alias("features"))
+    return _annotated(spark, d).select("cid", F.concat_ws(",", "classes").alias("classes"), F.concat_ws(",", "as_classes").alias("as_classes"), F.concat_ws(",", "features").alias("features"))
 
 
 @query(f"WITH {_ANN}, e AS (SELECT cid, unnest(list_concat(el, ael)) AS p FROM ann), pf AS (SELECT DISTINCT cid, array_to_string(string_split(p, '/')[1:k], '/') AS path FROM e, range(1, 8) r(k) WHERE k <= len(string_split(p, '/'))) SELECT path, count(*) AS n FROM pf GROUP BY path")
@@ -338,36 +318,17 @@ def a30_path_counts(spark, d):
     return A.path_counts(_annotated(spark, d))
 
 
-@query(None)
-def a30_path_counts_whole(spark, d):
-    return A.path_counts(_annotated(spark, d, 1))
-
-
 @query(f"WITH {_ANN}, c AS (SELECT array_to_string(classes, ',') || ',' || chrom AS t FROM ann) SELECT {X.category_sql('t')} AS category, count(*) AS n FROM c GROUP BY 1")
 def f14_categories(spark, d):
     return A.with_category(_annotated(spark, d)).groupBy("category").agg(F.count("*").alias("n"))
 
 
-@query(None)
-def f14_categories_whole(spark, d):
-    return A.with_category(_annotated(spark, d, 1)).groupBy("category").agg(F.count("*").alias("n"))
-
-
-@query(f"""WITH {CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT tid, strand, island, chrom, CASE WHEN strand = '+' THEN start - 1 ELSE "end" - 2 END AS s FROM cl WHERE uniq_reads >= 3)
+@query(f"""WITH {CLUSTER_SQL}, locus AS ({LOCUS}), iv AS (SELECT tid, strand, island, chrom, CASE WHEN strand = '+' THEN start - 1 ELSE "end" - 2 END AS s FROM cl)
 SELECT chrom, strand, count(*) AS hits FROM iv JOIN locus l USING (chrom) WHERE l.start < s + 3 AND s < l."end" AND l.sense = strand GROUP BY ALL""")
 def j5_left_bounds(spark, d):
     """Features over the three bases around the left (5') boundary."""
-    return _left_bounds(spark, d, cluster_table(spark, d).where("uniq_reads >= 3"))
-
-
-@query(None)
-def j5_left_bounds_whole(spark, d):
-    return _left_bounds(spark, d, cluster_table(spark, d))
-
-
-def _left_bounds(spark, d, cl):
     s = F.when(F.col("strand") == "+", F.col("start") - 1).otherwise(F.col("end") - 2)
-    w = cl.select("chrom", "strand", s.alias("start"), (s + 3).alias("end"))
+    w = cluster_table(spark, d).select("chrom", "strand", s.alias("start"), (s + 3).alias("end"))
     right = locus(spark, d).select("chrom", F.col("sense").alias("strand"), F.col("start").alias("r_start"), F.col("end").alias("r_end"))
     return I.range_join(w, right, ["chrom", "strand"], width=256).groupBy("chrom", "strand").agg(F.count("*").alias("hits"))
 
@@ -393,49 +354,18 @@ def _dna(spark, d):
     return _table(spark, d, "documents").select("doc_id", F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), "BDEFHIJKLMOPQRSUVWXYZ", "ACGTACGTACGNACGTACGTA").alias("seq"))
 
 
-def _dna_200(spark, d):
-    """First 200 letters, for the queries that have SQL; each has a form over whole texts below."""
-    return _dna(spark, d).withColumn("seq", F.substring("seq", 1, 200))
-
-
-def _base_frequencies(dna):
-    return R.base_frequencies(dna).select("side", "pos", "base", F.round("freq", 6).alias("freq"))
-
-
-def _complements(dna):
-    return dna.select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
-
-
-def _pair_counts(dna):
-    return S.k_mer_counts(dna, "seq", 2).select("kmer", "count", F.round("fraction", 8).alias("fraction"))
-
-
-def _codes(dna):
-    return dna.select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
-
-
-_DNA = "dna AS (SELECT doc_id, translate(upper(substr(regexp_replace(text, '[^A-Za-z]', '', 'g'), 1, 200)), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGNACGTACGTA') AS seq FROM documents)"
+_DNA = "dna AS (SELECT doc_id, translate(upper(regexp_replace(text, '[^A-Za-z]', '', 'g')), 'BDEFHIJKLMOPQRSUVWXYZ', 'ACGTACGTACGNACGTACGTA') AS seq FROM documents)"
 
 
 @query(f"WITH {_DNA}, s AS (SELECT DISTINCT seq FROM dna), c AS (SELECT side, i - 1 AS pos, substr(t, i, 1) AS b FROM (SELECT '5p' AS side, seq AS t FROM s UNION ALL SELECT '3p', reverse(seq) FROM s), range(1, 21) r(i) WHERE i <= length(t)), n AS (SELECT side, pos, count(*) AS n FROM c GROUP BY ALL) SELECT n.side, CAST(n.pos AS INT) AS pos, x.b AS base, round((count(c.b) + 1) / (any_value(n.n) + 4), 6) AS freq FROM n CROSS JOIN (VALUES ('A'), ('C'), ('G'), ('T')) x(b) LEFT JOIN c ON c.side = n.side AND c.pos = n.pos AND c.b = x.b GROUP BY 1, 2, 3")
 def a4_base_frequencies(spark, d):
-    return _base_frequencies(_dna_200(spark, d))
-
-
-@query(None)
-def a4_base_frequencies_whole(spark, d):
-    return _base_frequencies(_dna(spark, d))
+    return R.base_frequencies(_dna(spark, d)).select("side", "pos", "base", F.round("freq", 6).alias("freq"))
 
 
 @query(f"WITH {_DNA} SELECT doc_id, translate(seq, 'ACGTN', 'TGCAN') AS comp, reverse(translate(seq, 'ACGTN', 'TGCAN')) AS rev FROM dna")
 def f3_complements(spark, d):
     """F1, F2, F3, F5."""
-    return _complements(_dna_200(spark, d))
-
-
-@query(None)
-def f3_complements_whole(spark, d):
-    return _complements(_dna(spark, d))
+    return _dna(spark, d).select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
 
 
 @query("WITH a(c, i) AS (VALUES ('a', 0), ('c', 1), ('g', 2), ('t', 3)) SELECT x.c || y.c || z.c AS kmer, CAST(x.i * 16 + y.i * 4 + z.i AS BIGINT) AS rank FROM a x, a y, a z")
@@ -443,25 +373,15 @@ def f4_k_mers(spark, d):
     return S.k_mer_table(spark, 3)
 
 
-@query(f"WITH {_DNA}, k AS (SELECT substr(lower(seq), i, 2) AS kmer FROM dna, range(1, 200) r(i) WHERE i < length(seq)), c AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1) SELECT kmer, count, round(count / sum(count) OVER (), 8) AS fraction FROM c")
+@query(f"WITH {_DNA}, k AS (SELECT unnest(list_transform(range(1, length(seq)), lambda i: substr(t, i, 2))) AS kmer FROM (SELECT lower(seq) AS t, seq FROM dna)), c AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1) SELECT kmer, count, round(count / sum(count) OVER (), 8) AS fraction FROM c")
 def s29_pair_counts(spark, d):
     """S29's table made from sequences."""
-    return _pair_counts(_dna_200(spark, d))
-
-
-@query(None)
-def s29_pair_counts_whole(spark, d):
-    return _pair_counts(_dna(spark, d))
+    return S.k_mer_counts(_dna(spark, d), "seq", 2).select("kmer", "count", F.round("fraction", 8).alias("fraction"))
 
 
 @query(f"WITH {_DNA} SELECT doc_id, array_to_string(list_transform(string_split(translate(lower(seq), 'nacgt', '00123'), ''), lambda c: c), '') AS code FROM dna")
 def s12_numeric(spark, d):
-    return _codes(_dna_200(spark, d))
-
-
-@query(None)
-def s12_numeric_whole(spark, d):
-    return _codes(_dna(spark, d))
+    return _dna(spark, d).select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
 
 
 @query(None)

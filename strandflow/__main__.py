@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,23 +16,33 @@ from .session import session, ship
 from .sources import flat, sequences, sinks, tracks
 
 
+def _alignments(spark: SparkSession, path: str, lib: str) -> DataFrame:
+    """SAM text, or BAM by its name."""
+    if path.endswith(".bam"):
+        sequences.register(spark)
+        return sequences.with_tids(spark.read.format("bam").option("lib", lib).load(path))
+    return sequences.alignments(spark, path, lib)
+
+
 def clusters(spark: SparkSession, a: argparse.Namespace) -> None:
     groups = a.groups.split(",") if a.groups else []
     region = P.parse_masks([a.region])[0] if a.region else None
     options = ClusterOptions(a.decoy, a.mode.split(","), groups, a.min_reads, a.conv, a.min_uniq, a.min_support, a.require_conversions, a.read_count, not a.unstranded, a.mask or [], region)
     discard = flat.gff_loci(flat.read_gff(spark, a.discard)).withColumnRenamed("sense", "strand") if a.discard else None
-    out = find_clusters([sequences.alignments(spark, p, f"lib{i}") for i, p in enumerate(a.sam)], options, discard)
+    out = find_clusters([_alignments(spark, p, f"lib{i}") for i, p in enumerate(a.sam)], options, discard)
     kept = out["kept"].cache()
+    if a.logfile:
+        logging.basicConfig(level=logging.INFO, filename=a.logfile, format="%(asctime)s %(levelname)-8s %(message)s")
+        for key, n in sorted(out["counters"].collect()):
+            logging.info("%s %d", key, n)
     sinks.write_lines(sinks.cluster_gff(kept), f"{a.out}/clusters")
     head, lines = sinks.stats_lines(kept)
-    sinks.write_lines(lines, f"{a.out}/cluster_stats", head)
+    sinks.write_lines(lines, a.cluster_stats or f"{a.out}/cluster_stats", head)
     if a.ccr:
         sinks.write_lines(sinks.peak_gff(kept, a.ccr), f"{a.out}/peaks")
     if a.track:
-        from .operators.intervals import coverage
-
-        tracks.save_track(coverage(P.not_ribosomal(out["reads"]), ["chrom", "strand"], weight="w"), f"{a.out}/coverage")
-    sinks.write_lines(sinks.stat_block("conversion statistics", out["statistics"].drop("_"), "read alignments and edits", ["total", "reference", "decoy"], "rank"), f"{a.out}/statistics", single=True)
+        tracks.coverage_track(P.not_ribosomal(out["reads"]), f"{a.out}/coverage", "w")
+    sinks.write_lines(sinks.stat_block("conversion statistics", out["statistics"].drop("_"), "read alignments and edits", ["total", "reference", "decoy"], "rank"), a.stats or f"{a.out}/statistics", single=True)
     out["counters"].coalesce(1).write.mode("overwrite").csv(f"{a.out}/counters", sep="\t")
 
 
@@ -43,13 +54,15 @@ def fdr(spark: SparkSession, a: argparse.Namespace) -> None:
     print(method)
 
 
-def _features(spark: SparkSession, paths: list[str]) -> DataFrame:
+def _features(spark: SparkSession, paths: list[str], fix_chr: bool = True, gene_names: str | None = None) -> DataFrame:
+    """Loci of GFF files and gene tables; ``gene_names``: a file of transcript and gene names."""
+    names = flat.read_flat(spark, gene_names, "## name:str\tgene:str").select("name", "gene") if gene_names else None
     out = None
     for p in paths:
         if p.endswith((".gff", ".gff3", ".gtf")):
-            part = flat.gff_loci(flat.read_gff(spark, p), flat.gff_prefix(p.rsplit("/", 1)[-1]) or "transcript/noncoding")
+            part = flat.gff_loci(flat.read_gff(spark, p, fix_chr), flat.gff_prefix(p.rsplit("/", 1)[-1]) or "transcript/noncoding")
         else:
-            part = G.loci(G.transcripts(flat.read_genes(spark, p)))
+            part = G.loci(G.transcripts(flat.read_genes(spark, p, fix_chr), names))
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -61,7 +74,7 @@ def annotate(spark: SparkSession, a: argparse.Namespace) -> None:
 
 def build(spark: SparkSession, a: argparse.Namespace) -> None:
     sizes = flat.read_sizes(spark, a.sizes) if a.sizes else None
-    sinks.write_annotation(build_annotation(_features(spark, a.features), sizes), a.out)
+    sinks.write_annotation(build_annotation(_features(spark, a.features, not a.dont_fix_chr, a.gene_names), sizes), a.out)
 
 
 def markov(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -111,6 +124,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--discard")
     p.add_argument("--ccr", type=int, default=0)
     p.add_argument("--track", action="store_true")
+    p.add_argument("--stats", help="where the statistics go, else OUT/statistics")
+    p.add_argument("--cluster-stats", help="where the cluster scores go, else OUT/cluster_stats")
+    p.add_argument("--logfile")
     p = command("fdr", fdr, "stats")
     p.add_argument("--cutoff", type=float, default=0.05)
     p.add_argument("--scale", type=float, default=0.5)
@@ -118,6 +134,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bounds", choices=["off", "left", "right", "both"], default="off")
     p = command("build-annotation", build, "features", features=True)
     p.add_argument("--sizes")
+    p.add_argument("--gene-names")
+    p.add_argument("--dont-fix-chr", action="store_true")
     p = command("markov", markov, "pairs")
     p.add_argument("--length", type=int, default=1000)
     p.add_argument("--seed", type=int)

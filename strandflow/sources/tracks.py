@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import complement
-from ..operators.intervals import numbered, range_join
+from ..operators.intervals import coverage, numbered, range_join, run_length, score_track
 
 CHUNK = 1 << 12
 #: Bases of a chromosome and strand that one task writes.
@@ -124,3 +124,28 @@ def load_track(spark: SparkSession, path: str, kind: str | None = None, chrom: s
     for c, v in (("chrom", chrom), ("strand", strand)):
         out = out.where(F.col(c) == v) if v is not None else out
     return out
+
+
+# ---------------------------------------------------------------------------------------------------------------------
+# builders
+# ---------------------------------------------------------------------------------------------------------------------
+def wiggle_track(spark: SparkSession, source: str, path: str, strand: str = "+") -> DataFrame:
+    """A saved track of a fixed-step wiggle file."""
+    from .sequences import read_wiggle
+
+    runs = run_length(read_wiggle(spark, source).withColumn("strand", F.lit(strand)), ["chrom", "strand"], value="score")
+    save_track(runs.withColumnRenamed("score", "value"), path)
+    return load_track(spark, path)
+
+
+def coverage_track(alignments: DataFrame, path: str, weight: str = "mult") -> DataFrame:
+    """A saved track of the depth of alignments (chrom, strand, pos, pend and a weight)."""
+    save_track(coverage(alignments, ["chrom", "strand"], weight=weight), path)
+    return load_track(alignments.sparkSession, path)
+
+
+def feature_track(features: DataFrame, path: str, score: str = "score") -> DataFrame:
+    """A saved track of scored features (chrom, strand, start, end, line_no); of several over a position the last line counts."""
+    cells = score_track(features, ["chrom", "strand"], score=score)
+    save_track(run_length(cells, ["chrom", "strand"]).withColumnRenamed("score", "value"), path)
+    return load_track(features.sparkSession, path)

@@ -95,12 +95,8 @@ def _cutoffs_of(c: DataFrame, max_fdr: float) -> DataFrame:
     return out.select("method", F.col("b.value").alias("bp"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
 
 
-def _at_most(column: str) -> Callable[[Column], Column]:
-    return lambda x: x <= F.col(column)
-
-
-#: Cutoffs of each score that the first, coarse look at a pair tries.
-COARSE = 64
+#: Cutoffs of each score that the first, coarse look at a pair tries; up to so many pairs of cutoffs it is left out.
+COARSE, FEW = 64, 1 << 20
 
 
 def _best(hist: DataFrame, max_fdr: float, scale: float) -> DataFrame:
@@ -126,44 +122,48 @@ def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: flo
     run as one job, in two looks.  The first one rounds every value down to one of about ``COARSE`` cutoffs of its score;
     the best pair among those keeps some number of rows.  The best pair of all keeps as many, so each of its cutoffs
     does by itself: values beyond that are folded into the greatest cutoff that does, and the second look, over all
-    cutoffs that are left, is exact.
+    cutoffs that are left, is exact.  What the driver gets is a few numbers for each score and pair.
     """
+    spark = clusters.sparkSession
     wanted = sorted({m for p in pairs for m in p})
     # the scores are read by several branches: written once, without what made them
     base = settle(clusters.select("cid", "decoy", *[scoring(m).alias(f"s_{m}") for m in wanted]), "pairs")
     scores = base.select("cid", "decoy", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"s_{m}").alias("value")) for m in wanted])).alias("s")).select("cid", "decoy", "s.method", "s.value")
     steps = settle(curve(scores, scale), "pairs")
-    limits = steps.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("kept").alias("total"))
-    single = single if single is not None else _cutoffs_of(steps, max_fdr)
-    limits = settle(limits.join(single.select("method", "bp"), "method", "left").select("method", "low", F.coalesce("bp", "high").alias("top"), "total"), "pairs")
-    items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), F.col(f"s_{a}").alias("v0"), F.col(f"s_{b}").alias("v1")) for a, b in pairs])
+    limits = {r["method"]: r for r in steps.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("kept").alias("total")).collect()}
+    bp = {r["method"]: r["bp"] for r in (single if single is not None else _cutoffs_of(steps, max_fdr)).collect()}
+    top = {m: r["high"] if bp.get(m) is None else bp[m] for m, r in limits.items()}
+    pairs = [(a, b) for a, b in pairs if a in limits and b in limits]
+    if not pairs:
+        return spark.createDataFrame([], "m0 string, m1 string, b0 double, b1 double, fdr double, kept long, loss double")
+    value = lambda m: F.least(F.col(f"s_{m}"), F.lit(top[m]))
+    items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), F.lit(limits[a]["low"]).alias("low0"), F.lit(limits[b]["low"]).alias("low1"), value(a).alias("v0"), value(b).alias("v1")) for a, b in pairs])
     rows = base.select("decoy", F.explode(items).alias("s")).select("decoy", "s.*")
-    for k in "01":  # one row a score
-        rows = rows.join(F.broadcast(limits.select(F.col("method").alias(f"m{k}"), F.col("low").alias(f"low{k}"), F.col("top").alias(f"top{k}"))), f"m{k}")
-    rows = rows.withColumns({f"v{k}": F.least(f"v{k}", f"top{k}") for k in "01"})
-    counts = [F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")]
-    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(*counts), "pairs")
-
-    # first look: of the values of each score that share a part in COARSE of the rows, the least one
-    part = F.floor(F.col("kept") * COARSE / F.col("total"))
-    near = steps.join(F.broadcast(limits), "method").where((F.col("value") > F.col("low")) & (F.col("value") <= F.col("top")))
-    marks = near.groupBy("method", part.alias("part")).agg(F.min("value").alias("mark")).groupBy("method").agg(F.array_sort(F.collect_list("mark")).alias("marks"))
-    rough = hist
-    for k in "01":
-        rough = rough.join(F.broadcast(marks.select(F.col("method").alias(f"m{k}"), F.col("marks").alias(f"marks{k}"))), f"m{k}", "left")
-        rough = rough.withColumn(f"v{k}", F.coalesce(F.array_max(F.filter(f"marks{k}", _at_most(f"v{k}"))), F.col(f"low{k}")))
-    rough = rough.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(F.sum("r").alias("r"), F.sum("d").alias("d"))
-    found = _best(rough, max_fdr, scale).select("m0", "m1", F.col("b.kept").alias("least"))  # one row a pair
-
-    # second look: cutoffs that keep fewer rows by themselves cannot be part of a better pair
-    caps = spread = hist.select("m0", "m1").distinct().join(F.broadcast(found), ["m0", "m1"], "left")
-    for k in "01":
-        one = steps.select(F.col("method").alias(f"m{k}"), "value", "kept")
-        cap = spread.join(one, f"m{k}").where(F.col("least").isNull() | (F.col("kept") >= F.col("least"))).groupBy("m0", "m1").agg(F.max("value").alias(f"cap{k}"))
-        caps = caps.join(cap, ["m0", "m1"])
-    fine = hist.join(F.broadcast(caps.drop("least")), ["m0", "m1"])
-    fine = fine.groupBy("m0", "m1", "low0", "low1", F.least("v0", "cap0").alias("v0"), F.least("v1", "cap1").alias("v1")).agg(F.sum("r").alias("r"), F.sum("d").alias("d"))
-    best = _best(settle(fine, "pairs"), max_fdr, scale)
+    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")), "pairs")
+    fine, sums = hist, [F.sum("r").alias("r"), F.sum("d").alias("d")]
+    cells = hist.groupBy("m0", "m1").agg((F.count_distinct("v0") * F.count_distinct("v1")).alias("n")).agg(F.sum("n")).first()[0]
+    if cells and cells > FEW:
+        # first look: of the values of each score that share a part in COARSE of the rows, the least one
+        known = F.create_map(*[F.lit(x) for m, r in limits.items() for x in (m, F.struct(*[F.lit(v).alias(c) for c, v in (("low", r["low"]), ("top", top[m]), ("total", r["total"]))]))])
+        near = steps.withColumn("k", known[F.col("method")]).where("value > k.low AND value <= k.top")
+        marks = near.groupBy("method", F.floor(F.col("kept") * COARSE / F.col("k.total")).alias("part")).agg(F.min("value").alias("mark")).collect()
+        cuts = {m: sorted({r["mark"] for r in marks if r["method"] == m}) for m in limits}
+
+        def rounded(k: str):
+            own = F.create_map(*[F.lit(x) for m, c in cuts.items() for x in (m, F.array(*map(F.lit, c)).cast("array<double>"))])[F.col(f"m{k}")]
+            return F.coalesce(F.array_max(F.filter(own, lambda x: x <= F.col(f"v{k}"))), F.col(f"low{k}")).alias(f"v{k}")
+
+        rough = hist.select("m0", "m1", "low0", "low1", rounded("0"), rounded("1"), "r", "d").groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(*sums)
+        least = {(r["m0"], r["m1"]): r["b"]["kept"] for r in _best(rough, max_fdr, scale).collect()}
+        # second look: cutoffs that keep fewer rows by themselves cannot be part of a better pair
+        if least:
+            asked = spark.createDataFrame(sorted({(m, n) for (a, b), n in least.items() for m in (a, b)}), "method string, least long")
+            found = steps.join(F.broadcast(asked), "method").where("kept >= least").groupBy("method", "least").agg(F.max("value").alias("cap")).collect()
+            cap = {(r["method"], r["least"]): r["cap"] for r in found}
+            caps = spark.createDataFrame([(a, b, cap[a, n], cap[b, n]) for (a, b), n in least.items()], "m0 string, m1 string, cap0 double, cap1 double")
+            capped = hist.join(F.broadcast(caps), ["m0", "m1"], "left")
+            fine = settle(capped.groupBy("m0", "m1", "low0", "low1", F.least("v0", "cap0").alias("v0"), F.least("v1", "cap1").alias("v1")).agg(*sums), "pairs")
+    best = _best(fine, max_fdr, scale)
     total = hist.groupBy("m0", "m1").agg(F.sum(F.col("r") + F.col("d")).alias("total"))
     return best.join(total, ["m0", "m1"]).select("m0", "m1", (-F.col("b.n0")).alias("b0"), (-F.col("b.n1")).alias("b1"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
 

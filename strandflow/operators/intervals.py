@@ -95,9 +95,15 @@ def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pen
     """Runs of equal positive coverage: keys, start, end, value.  A sweep over interval ends; no position is expanded."""
     w = F.col(weight) if isinstance(weight, str) else weight
     ends = df.select(*keys, F.explode(F.array(F.struct(F.col(start).alias("p"), w.alias("d")), F.struct(F.col(end).alias("p"), (-w).alias("d")))).alias("x"))
-    deltas = settle(ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d")).where("d <> 0"), "coverage")
-    sums = running_sum(deltas, keys, "p", "d", "value", width)
-    return next_position(sums, keys, "p", "q", width).where("value > 0 AND q IS NOT NULL").select(*keys, F.col("p").alias("start"), F.col("q").alias("end"), "value")
+    deltas = ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d")).where("d <> 0")
+    deltas = settle(deltas.withColumn("_bin", _bin("p", width)), "coverage")
+    # from other bins: what is open where a bin begins, and where the next one's first step is
+    held, bins = deltas.groupBy(*keys, "_bin").agg(F.sum("d").alias("_d"), F.min("p").alias("_p")), Window.partitionBy(*keys).orderBy("_bin")
+    held = held.select(*keys, "_bin", F.coalesce(F.sum("_d").over(bins.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_open"), F.lead("_p").over(bins).alias("_next"))
+    inside = Window.partitionBy(*keys, "_bin").orderBy("p")
+    depth = F.col("_open") + F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0))
+    out = deltas.join(held, [*keys, "_bin"]).select(*keys, F.col("p").alias("start"), F.coalesce(F.lead("p").over(inside), F.col("_next")).alias("end"), depth.alias("value"))
+    return out.where("value > 0 AND end IS NOT NULL")
 
 
 def next_position(df: DataFrame, keys: list[str], pos: str, out: str, width: int = BIN) -> DataFrame:

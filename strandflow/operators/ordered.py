@@ -1,7 +1,7 @@
 """Ranks and running totals over a whole sorted table, without a window that one task must hold.
 
-The table is range-sorted and written (the bounds of the range partitions are drawn anew each time a sort runs); a row's
-figure is the one inside its partition plus what the partitions before it hold, a table of one row a partition and key.
+The table is written, since the sort reads it twice (to draw the bounds of its range partitions, then to sort), and
+written again as sorted, since the bounds are drawn anew each time a sort runs; a row's figure is the one inside its partition plus what the partitions before it hold, a table of one row a partition and key.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from ..scratch import settle
 
 
 def _placed(df: DataFrame, order: list[Column]) -> DataFrame:
-    return settle(df.orderBy(*order).withColumn("_p", F.spark_partition_id()), "ordered")
+    return settle(settle(df, "unordered").orderBy(*order).withColumn("_p", F.spark_partition_id()), "ordered")
 
 
 def global_rank(df: DataFrame, order: list[Column], name: str) -> DataFrame:

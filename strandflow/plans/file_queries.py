@@ -19,7 +19,7 @@ from ..operators import intervals as I
 from ..scratch import shared_dir
 from ..sources import flat, sequences, sinks, tracks
 from .edit_queries import RAW, aligned
-from .queries import _DNA, _TX, ALN, CLUSTER_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
+from .queries import _DNA, _TX, ALN, CLUSTER_SQL, CODE_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
 from .registry import query
 
 
@@ -235,10 +235,7 @@ def s23_run_lines(spark, d):
 
 
 # ---- functions and gene models --------------------------------------------------------------------------------------
-_CODE_SQL = "map {" + ", ".join(f"'{c}': '{a}'" for c, a in S.CODE.items()) + "}"
-
-
-@query(f"WITH {_DNA}, c AS (SELECT doc_id, f, array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(seq, i + 1, 3)], '*')), '') AS p FROM dna, range(0, 3) t(f)) SELECT doc_id, f AS frame, md5(regexp_extract(p, '(M[^*]*)', 1)) AS protein_md5 FROM c")
+@query(f"WITH {_DNA}, c AS (SELECT doc_id, f, array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({CODE_SQL}[substr(seq, i + 1, 3)], '*')), '') AS p FROM dna, range(0, 3) t(f)) SELECT doc_id, f AS frame, md5(regexp_extract(p, '(M[^*]*)', 1)) AS protein_md5 FROM c")
 def f8_translate(spark, d):
     """Proteins of whole sequences in three frames."""
     dna, out = _dna(spark, d), None
@@ -313,7 +310,7 @@ def g3_splice(spark, d):
     return G.splice_sequence(_chains(spark, d), tracks.chunk_sequences(seqs))
 
 
-@query(f"WITH {_DNA}, x AS (SELECT doc_id, substr(seq, 14, 6) || substr(seq, 31, 12) || substr(seq, 61, 10) AS s FROM dna WHERE length(seq) >= 100), y AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS s FROM x) SELECT 't' || doc_id AS name, regexp_extract(array_to_string(list_transform(range(0, length(s) - 4, 3), lambda i: coalesce({_CODE_SQL}[substr(s, i + 1, 3)], '*')), ''), '(M[^*]*)', 1) AS orf FROM y")
+@query(f"WITH {_DNA}, x AS (SELECT doc_id, substr(seq, 14, 6) || substr(seq, 31, 12) || substr(seq, 61, 10) AS s FROM dna WHERE length(seq) >= 100), y AS (SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN s ELSE reverse({_COMPLEMENT.format(x='s')}) END AS s FROM x) SELECT 't' || doc_id AS name, regexp_extract(array_to_string(list_transform(range(0, length(s) - 4, 3), lambda i: coalesce({CODE_SQL}[substr(s, i + 1, 3)], '*')), ''), '(M[^*]*)', 1) AS orf FROM y")
 def g8_orf(spark, d):
     """Proteins of spliced coding regions."""
     seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")

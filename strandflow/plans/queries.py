@@ -263,12 +263,25 @@ def a32_verdicts(spark, d):
     return D.verdicts(_kept(spark, d), ["signature", "n_reads"], [4.0, 9.0]).groupBy("verdict").agg(F.count("*").alias("n"))
 
 
-@query(None)
+def _pair_sql(m0: str, v0: str, m1: str, v1: str) -> str:
+    """The best pair of cutoffs of two scores, from every pair of values."""
+    axis = lambda m, v: f"(SELECT DISTINCT {v} AS v FROM kept, lim WHERE method = '{m}' AND {v} > low AND {v} <= top)"
+    cells = f"SELECT x.v AS b0, y.v AS b1, sum(r) AS r, sum(d) AS d FROM {axis(m0, v0)} x, {axis(m1, v1)} y JOIN (SELECT {v0} AS u, {v1} AS w, count_if(NOT decoy) AS r, count_if(decoy) AS d FROM kept GROUP BY 1, 2) k ON k.u >= x.v AND k.w >= y.v GROUP BY 1, 2"
+    judged = f"SELECT *, r + d AS kept, (d / 0.5 + 1) / (greatest(0.0, r - d / 0.5) + d / 0.5 + 2) AS fdr FROM ({cells})"
+    return f"(SELECT '{m0},{m1}' AS methods, kept, 0.5::DOUBLE AS rank, fdr, 1 - kept / (SELECT count(*) FROM kept) AS loss, CAST(b0 AS DOUBLE) AS bp0, CAST(b1 AS DOUBLE) AS bp1 FROM ({judged}) WHERE fdr < {MAX_FDR} ORDER BY kept DESC, b0, b1 LIMIT 1)"
+
+
+@query(f"""WITH {CLUSTER_SQL}, {_SCORES}, {_CURVE}, b AS (SELECT method, min(value) AS bp FROM fd WHERE fdr < {MAX_FDR} GROUP BY method), t AS (SELECT method, max(kept) AS total FROM fd GROUP BY method),
+lim AS (SELECT h.method, min(value) AS low, coalesce(any_value(bp), max(value)) AS top FROM h LEFT JOIN b USING (method) GROUP BY h.method),
+o AS (SELECT method AS methods, kept, 1.0::DOUBLE AS rank, fdr, 1 - kept / total AS loss, bp AS bp0, NULL::DOUBLE AS bp1 FROM b JOIN fd USING (method) JOIN t USING (method) WHERE value = bp
+UNION ALL {_pair_sql("n_reads", "n_reads", "signature", "conversion_score")} UNION ALL {_pair_sql("n_reads", "n_reads", "length", "length")} UNION ALL {_pair_sql("signature", "conversion_score", "cum_uniq", "cum_uniq")})
+SELECT methods, CAST(kept AS BIGINT) AS kept, rank, round(fdr, 6) AS fdr, round(loss, 6) AS loss, round(bp0, 4) AS bp0, round(bp1, 4) AS bp1 FROM o""")
 def o2_ranked_methods(spark, d):
     """O2: candidates, best first."""
     k = _kept(spark, d)
     single = D.cutoffs(D.score_table(k, _METHODS), MAX_FDR)
-    return D.rank_methods(single, D.pair_cutoffs(k, [("n_reads", "signature"), ("n_reads", "length"), ("signature", "cum_uniq")], MAX_FDR, single=single))
+    out = D.rank_methods(single, D.pair_cutoffs(k, [("n_reads", "signature"), ("n_reads", "length"), ("signature", "cum_uniq")], MAX_FDR, single=single))
+    return out.select(F.concat_ws(",", "methods").alias("methods"), "kept", "rank", F.round("fdr", 6).alias("fdr"), F.round("loss", 6).alias("loss"), F.round(F.get("bp", 0), 4).alias("bp0"), F.round(F.get("bp", 1), 4).alias("bp1"))
 
 
 # ---- annotation -----------------------------------------------------------------------------------------------------
@@ -384,7 +397,13 @@ def s12_numeric(spark, d):
     return _dna(spark, d).select("doc_id", F.array_join(F.transform(S.numeric(F.col("seq")), lambda x: x.cast("string")), "").alias("code"))
 
 
-@query(None)
+CODE_SQL = "map {" + ", ".join(f"'{c}': '{a}'" for c, a in S.CODE.items()) + "}"
+
+
+@query(f"""WITH {_DNA}, c AS (SELECT doc_id, f, string_split(array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({CODE_SQL}[substr(seq, i + 1, 3)], '*')), ''), '*') AS g FROM dna, range(0, 3) t(f)),
+u AS (SELECT doc_id, f, len(g) AS n, unnest(g) AS part, generate_subscripts(g, 1) AS i FROM c), v AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id, f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM u),
+o AS (SELECT doc_id, regexp_extract(part, '(M.*)', 1) AS protein, CAST(f + 3 * (off + strpos(part, 'M') - 1) AS BIGINT) AS a FROM v WHERE i < n), best AS (SELECT doc_id, max(struct_pack(n := length(protein), protein := protein, a := a, b := a + 3 * length(protein) + 3)) AS b FROM o WHERE length(protein) >= 10 GROUP BY doc_id)
+SELECT CAST(d.doc_id AS VARCHAR) AS id, coalesce(b.protein, '') AS protein, coalesce(b.a, -1) AS start, coalesce(b.b, -1) AS "end" FROM documents d LEFT JOIN best USING (doc_id)""")
 def f11_longest_orf(spark, d):
     """F8, F9, F10, F11, O4."""
     return S.find_orf(_dna(spark, d), "doc_id", "seq", 10)

@@ -208,3 +208,20 @@ def k2_peak_lines(spark, d):
 def k1_cluster_lines(spark, d):
     """Clusters as GFF lines."""
     return K.cluster_gff(scored(spark, d).withColumn("entropy_score", F.round("entropy_score", 3) + 0.0))
+
+
+_CELLS = ", ".join(f"CAST({c} AS VARCHAR)" if c in ("uniq_reads", "length") else f"CAST(round({c}, 3) + 0.0 AS VARCHAR)" for c in SCORES[:-1])
+
+
+@query(f"WITH {SCORES_SQL} SELECT concat_ws(chr(9), concat(tid, ':', strand, ':', island), CASE WHEN decoy THEN 'True' ELSE 'False' END, {_CELLS}, array_to_string(list_transform(edits, lambda x: CAST(CAST(x AS DOUBLE) AS VARCHAR)), ',')) AS value FROM cs")
+def k3_stats_lines(spark, d):
+    """K3: cluster statistics as lines."""
+    c = scored(spark, d)
+    return K.stats_lines(c.withColumns({n: F.round(n, 3) + 0.0 for n in _NUMBERS}))[1]
+
+
+@query(f"SELECT c AS chrom, count(*) AS n FROM (SELECT CASE WHEN tid % 7 = 0 THEN concat('rRNA_', tid) ELSE chrom END AS c FROM ({RAW}) t) WHERE c NOT LIKE 'rRNA%' GROUP BY c")
+def p3_not_ribosomal(spark, d):
+    """Every seventh chromosome is a ribosomal one."""
+    r = raw(spark, d).withColumn("chrom", F.when(F.col("tid") % 7 == 0, F.concat(F.lit("rRNA_"), "tid")).otherwise(F.col("chrom")))
+    return P.not_ribosomal(r).groupBy("chrom").agg(F.count("*").alias("n"))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
@@ -409,12 +409,27 @@ def f11_longest_orf(spark, d):
     return S.find_orf(_dna(spark, d), "doc_id", "seq", 10)
 
 
+def _chain(spark, d):
+    """A decoy sequence whose pair counts come from the documents, and those counts."""
+    rows = {r["kmer"]: r["count"] for r in S.k_mer_counts(_dna(spark, d), "seq", 2).collect()}  # 25 pairs at most
+    counts = [[float(rows.get(a + b, 1)) for b in "acgt"] for a in "acgt"]
+    return R.markov(spark, counts, 200_000, seed=7), counts
+
+
 @query(None)
 def w9_markov(spark, d):
-    """A decoy sequence whose pair counts come from the documents."""
-    rows = {r["kmer"]: r["count"] for r in S.k_mer_counts(_dna(spark, d), "seq", 2).collect()}
-    counts = [[float(rows.get(a + b, 1)) for b in "acgt"] for a in "acgt"]
-    return R.markov(spark, counts, 200_000, seed=7)
+    """A decoy sequence."""
+    return _chain(spark, d)[0]
+
+
+@query("SELECT x.c || y.c AS kmer, 200000 AS letters, 'a' AS first, true AS near FROM (VALUES ('a'), ('c'), ('g'), ('t')) x(c), (VALUES ('a'), ('c'), ('g'), ('t')) y(c)")
+def w9_markov_pairs(spark, d):
+    """Length and first letter of the decoy, and each pair's share after its first letter within 0.02 of the documents'."""
+    chain, counts = _chain(spark, d)
+    want = spark.createDataFrame([(a + b, n / sum(row)) for a, row in zip("acgt", counts, strict=True) for b, n in zip("acgt", row, strict=True)], "kmer string, want double")
+    whole = chain.agg(F.sum(F.length("seq")).cast("int").alias("letters"), F.min(F.when(F.col("chunk") == 0, F.substring("seq", 1, 1))).alias("first"))  # one row
+    pairs = S.k_mer_counts(chain, "seq", 2).withColumn("got", F.col("count") / F.sum("count").over(Window.partitionBy(F.substring("kmer", 1, 1))))
+    return want.join(pairs, "kmer", "left").crossJoin(F.broadcast(whole)).select("kmer", "letters", "first", (F.abs(F.coalesce("got", F.lit(0.0)) - F.col("want")) < 0.02).alias("near"))
 
 
 # ---- line filters ---------------------------------------------------------------------------------------------------

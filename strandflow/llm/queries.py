@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, licenses, linededup, neardup, ogg, packing, suffix, tokens, toxicity
+from . import collocations, decontam, fim, forest, langid, licenses, linededup, neardup, ogg, packing, suffix, tokens, toxicity
 from .common import read_table
 
 
@@ -50,6 +50,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -58,4 +70,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": linededup.REPORT_SQL.replace("{docs}", "documents"),
         "op5_license_scan": licenses.scan_sql("documents"),
+        "op11_fill_in_middle": fim.DIGESTS_SQL.replace("{docs}", "documents"),
+        "op12_collocations": collocations.MINE_SQL.replace("{docs}", "documents"),
     }

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import EDITS
-from ..scratch import settle
+from ..scratch import Scratch, settle
 from .ordered import running_totals
 
 _I = {e: i for i, e in enumerate(EDITS)}
@@ -95,34 +97,99 @@ def _cutoffs_of(c: DataFrame, max_fdr: float) -> DataFrame:
     return out.select("method", F.col("b.value").alias("bp"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
 
 
-#: Cutoffs of each score that the first, coarse look at a pair tries; up to so many pairs of cutoffs it is left out.
-COARSE, FEW = 64, 1 << 20
+#: Parts into which a tile is cut along each axis, and tiles of each pair of scores that one round cuts.
+PARTS, TILES = 64, 16
+_TILE = "xlo long, xhi long, ylo long, yhi long, ref0 long, dec0 long, kept long"
 
 
-def _best(hist: DataFrame, max_fdr: float, scale: float) -> DataFrame:
-    """(m0, m1, b): the best pair of cutoffs of each histogram over (v0, v1), above both least values.
+def _fdr_of(real: np.ndarray, decoy: np.ndarray, scale: float) -> np.ndarray:
+    """``fdr`` of arrays, operation by operation."""
+    fp = decoy / scale
+    return (fp + 1) / (np.maximum(0.0, real - fp) + fp + 2)
 
-    A two-dimensional histogram is summed from above along both axes, so no set of rows is built; the first axis is part
-    of the key, so the grid is never gathered as a whole.
+
+def cut_tile(tile: tuple[int, ...], cells: tuple[np.ndarray, ...], max_fdr: float, scale: float, parts: int) -> tuple[tuple[int, ...] | None, list[tuple[int, ...]]]:
+    """The best corner of a tile's parts (kept, U0, U1, ref, dec), and the parts that may hold a better pair of cutoffs.
+
+    A cutoff's place on its axis is the number of rows that it keeps by itself.  A tile is xlo < U0 <= xhi, ylo < U1 <= yhi
+    and what its lower corner keeps; ``cells`` are rows of the histogram over its parts (cx, cy, ref, dec; 0: at or before
+    the tile's low edge).  Every part's upper corner keeps the most rows of the part, so it settles the part if it is under
+    the limit; otherwise the part stays open if as many rows as at its upper corner with as few decoys as at its lower
+    one would be under the limit.
+    """
+    xlo, xhi, ylo, yhi, ref0, dec0, _ = tile
+    wx, wy = step(xlo, xhi, parts), step(ylo, yhi, parts)
+    nx, ny = -(-(xhi - xlo) // wx), -(-(yhi - ylo) // wy)
+    sums = np.zeros((2, nx + 1, ny + 1), np.int64)
+    cx, cy, ref, dec = cells
+    np.add.at(sums[0], (cx, cy), ref)
+    np.add.at(sums[1], (cx, cy), dec)
+    sums[:, 0, 0] += (ref0, dec0)
+    ref, dec = sums.cumsum(1).cumsum(2)
+    xs, ys = np.minimum(xlo + wx * np.arange(nx + 1), xhi), np.minimum(ylo + wy * np.arange(ny + 1), yhi)
+    r, d = ref[1:, 1:], dec[1:, 1:]
+    good = _fdr_of(r, d, scale) < max_fdr
+    best = max(((int(r[i, j] + d[i, j]), int(xs[i + 1]), int(ys[j + 1]), int(r[i, j]), int(d[i, j])) for i, j in zip(*np.nonzero(good & (r + d == (r + d)[good].max())), strict=True)), default=None) if good.any() else None
+    wide = (np.diff(xs)[:, None] > 1) | (np.diff(ys)[None] > 1)
+    unsure = ~good & wide & (_fdr_of(r, dec[:-1, :-1], scale) < max_fdr)
+    return best, [(int(xs[i]), int(xs[i + 1]), int(ys[j]), int(ys[j + 1]), int(ref[i, j]), int(dec[i, j]), int(r[i, j] + d[i, j])) for i, j in zip(*np.nonzero(unsure), strict=True)]
+
+
+def step(lo: int, hi: int, parts: int) -> int:
+    """Width of a tile's parts along an axis."""
+    return max(1, -(-(hi - lo) // parts))
+
+
+def _search(points: DataFrame, roots: DataFrame, max_fdr: float, scale: float, parts: int, tiles: int) -> DataFrame:
+    """pair, kept, u0, u1, ref, dec: the best pair of cutoffs of each pair of scores, by best-first branch and bound.
+
+    ``points``: pair, u0, u1, ref, dec; ``roots``: pair, u0, u1 (the greatest places that cutoffs may have), l0, l1 (the
+    place before the least).  Open tiles are
+    a table; a round takes the ``tiles`` of each pair that may keep the most rows, counts their parts in one pass over the
+    points (what crosses the shuffle is the parts, not the points), and drops open tiles that can't beat the best corner.
     """
-    axis0, axis1 = hist.select("m0", "m1", "low0", "low1", "v0").distinct(), hist.select("m0", "m1", "v1").distinct()
-    grid = axis0.join(axis1, ["m0", "m1"]).join(hist.select("m0", "m1", "v0", "v1", "r", "d"), ["m0", "m1", "v0", "v1"], "left").fillna(0, ["r", "d"])
-    along1 = Window.partitionBy("m0", "m1", "v0").orderBy(F.desc("v1")).rowsBetween(Window.unboundedPreceding, 0)
-    along0 = Window.partitionBy("m0", "m1", "v1").orderBy(F.desc("v0")).rowsBetween(Window.unboundedPreceding, 0)
-    grid = grid.withColumns({"r": F.sum("r").over(along1), "d": F.sum("d").over(along1)})
-    grid = grid.withColumns({"r": F.sum("r").over(along0), "d": F.sum("d").over(along0)})
-    good = grid.where((F.col("v0") > F.col("low0")) & (F.col("v1") > F.col("low1"))).withColumns({"kept": F.col("r") + F.col("d"), "fdr": fdr(F.col("r"), F.col("d"), scale)}).where(F.col("fdr") < max_fdr)
-    return good.groupBy("m0", "m1").agg(F.max(F.struct(F.col("kept"), (-F.col("v0")).alias("n0"), (-F.col("v1")).alias("n1"), F.col("fdr"))).alias("b"))
+    scratch = Scratch(points.sparkSession, "tiles")
+    found = "pair int, what string, " + _TILE
+
+    def look(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        best, open_ = None, []
+        for _, mine in rows.groupby("tile"):
+            one = tuple(int(mine[c].iloc[0]) for c in ("xlo", "xhi", "ylo", "yhi", "ref0", "dec0", "kept"))
+            seen = mine.dropna(subset="cx")
+            b, o = cut_tile(one, tuple(seen[c].to_numpy(np.int64) for c in ("cx", "cy", "ref", "dec")), max_fdr, scale, parts)
+            best, open_ = max(filter(None, (best, b)), default=None), open_ + o
+        # a best corner in the columns of a tile: its place as xhi and yhi, its counts as ref0 and dec0
+        out = [(key[0], "best", 0, best[1], 0, best[2], best[3], best[4], best[0])] if best else []
+        return pd.DataFrame(out + [(key[0], "open", *t) for t in open_], columns=[f.split()[0] for f in found.split(", ")])
+
+    now = roots.select("pair", F.lit("open").alias("what"), F.col("l0").alias("xlo"), F.col("u0").alias("xhi"), F.col("l1").alias("ylo"), F.col("u1").alias("yhi"), *[F.lit(0).cast("long").alias(c) for c in ("ref0", "dec0", "kept")])
+    now = scratch.write(now.where("xhi > xlo AND yhi > ylo"), 1)
+    first = Window.partitionBy("pair").orderBy(F.desc("kept"), "xlo", "ylo")
+    width = lambda a: F.greatest(F.lit(1), F.ceil((F.col(f"{a}hi") - F.col(f"{a}lo")) / parts)).cast("long")
+    part = lambda a, u: F.when(F.col(u) <= F.col(f"{a}lo"), 0).otherwise(F.ceil((F.col(u) - F.col(f"{a}lo")) / F.col(f"w{a}"))).cast("int")
+    while now.where("what = 'open'").limit(1).count():
+        ranked = now.where("what = 'open'").withColumn("tile", F.row_number().over(first))
+        take = ranked.where(F.col("tile") <= tiles).withColumns({"wx": width("x"), "wy": width("y")})
+        # at most ``tiles`` rows a pair
+        inside = points.join(F.broadcast(take.withColumnRenamed("pair", "_pair")), (F.col("pair") == F.col("_pair")) & (F.col("u0") <= F.col("xhi")) & (F.col("u1") <= F.col("yhi")) & ((F.col("u0") > F.col("xlo")) | (F.col("u1") > F.col("ylo"))))
+        counts = inside.groupBy("pair", "tile", part("x", "u0").alias("cx"), part("y", "u1").alias("cy")).agg(F.sum("ref").alias("ref"), F.sum("dec").alias("dec"))
+        looked = take.join(counts, ["pair", "tile"], "left").groupBy("pair").applyInPandas(look, found)
+        rest = ranked.where(F.col("tile") > tiles).drop("tile").unionByName(now.where("what = 'best'")).unionByName(looked)
+        # the best corner so far stands in every row; tiles that can't keep more, or as many further out, are done
+        lead = F.max(F.when(F.col("what") == "best", F.struct("kept", "xhi", "yhi", "ref0", "dec0"))).over(Window.partitionBy("pair")).alias("_b")
+        rest = rest.select("*", lead).where(F.when(F.col("what") == "best", F.col("_b") == F.struct("kept", "xhi", "yhi", "ref0", "dec0")).otherwise(F.col("_b").isNull() | (F.struct("kept", "xhi", "yhi") > F.struct("_b.kept", "_b.xhi", "_b.yhi"))))
+        before, now = now, scratch.write(rest.drop("_b").distinct())
+        scratch.drop(before)
+    return now.select("pair", "kept", F.col("xhi").alias("u0"), F.col("yhi").alias("u1"), F.col("ref0").alias("ref"), F.col("dec0").alias("dec"))
 
 
 def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: float = 0.05, scale: float = 0.5, single: DataFrame | None = None) -> DataFrame:
     """(m0, m1, b0, b1, fdr, kept, loss): for each pair of scores the pair of cutoffs that keeps the most rows.
 
-    Cutoffs go up to the single-score cutoffs (or the greatest value) and leave out each score's least value.  All pairs
-    run as one job, in two looks.  The first one rounds every value down to one of about ``COARSE`` cutoffs of its score;
-    the best pair among those keeps some number of rows.  The best pair of all keeps as many, so each of its cutoffs
-    does by itself: values beyond that are folded into the greatest cutoff that does, and the second look, over all
-    cutoffs that are left, is exact.  What the driver gets is a few numbers for each score and pair.
+    Cutoffs go up to the single-score cutoffs (or the greatest value) and leave out each score's least value; of pairs that
+    keep as many the least b0, then the least b1.  Each value's place is the number of rows it keeps by itself; the rows of
+    each pair of scores are points, and the best corner is found by branch and bound over tiles of the plane
+    (``_search``), so neither sets of rows nor the grid of all cutoffs is built.
     """
     spark = clusters.sparkSession
     wanted = sorted({m for p in pairs for m in p})
@@ -130,42 +197,29 @@ def pair_cutoffs(clusters: DataFrame, pairs: list[tuple[str, str]], max_fdr: flo
     base = settle(clusters.select("cid", "decoy", *[scoring(m).alias(f"s_{m}") for m in wanted]), "pairs")
     scores = base.select("cid", "decoy", F.explode(F.array(*[F.struct(F.lit(m).alias("method"), F.col(f"s_{m}").alias("value")) for m in wanted])).alias("s")).select("cid", "decoy", "s.method", "s.value")
     steps = settle(curve(scores, scale), "pairs")
-    limits = {r["method"]: r for r in steps.groupBy("method").agg(F.min("value").alias("low"), F.max("value").alias("high"), F.max("kept").alias("total")).collect()}
+    # a few numbers a score; ``room``: the place of the least value but one
+    limits = {r["method"]: r for r in steps.groupBy("method").agg(F.max("value").alias("high"), F.max("kept").alias("total"), F.min("value").alias("low")).collect()}
     bp = {r["method"]: r["bp"] for r in (single if single is not None else _cutoffs_of(steps, max_fdr)).collect()}
     top = {m: r["high"] if bp.get(m) is None else bp[m] for m, r in limits.items()}
     pairs = [(a, b) for a, b in pairs if a in limits and b in limits]
     if not pairs:
         return spark.createDataFrame([], "m0 string, m1 string, b0 double, b1 double, fdr double, kept long, loss double")
+    ends = F.create_map(*[F.lit(x) for m, r in limits.items() for x in (m, F.struct(F.lit(r["low"]).alias("low"), F.lit(top[m]).alias("top")))])[F.col("method")]
+    inside = steps.where((F.col("value") > ends["low"]) & (F.col("value") <= ends["top"])).groupBy("method").agg(F.min("kept").alias("least"), F.max("kept").alias("most"))
+    room = {r["method"]: (r["least"] - 1, r["most"]) for r in inside.collect()}
     value = lambda m: F.least(F.col(f"s_{m}"), F.lit(top[m]))
-    items = F.array(*[F.struct(F.lit(a).alias("m0"), F.lit(b).alias("m1"), F.lit(limits[a]["low"]).alias("low0"), F.lit(limits[b]["low"]).alias("low1"), value(a).alias("v0"), value(b).alias("v1")) for a, b in pairs])
-    rows = base.select("decoy", F.explode(items).alias("s")).select("decoy", "s.*")
-    hist = settle(rows.groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(F.count_if(~F.col("decoy")).alias("r"), F.count_if("decoy").alias("d")), "pairs")
-    fine, sums = hist, [F.sum("r").alias("r"), F.sum("d").alias("d")]
-    cells = hist.groupBy("m0", "m1").agg((F.count_distinct("v0") * F.count_distinct("v1")).alias("n")).agg(F.sum("n")).first()[0]
-    if cells and cells > FEW:
-        # first look: of the values of each score that share a part in COARSE of the rows, the least one
-        known = F.create_map(*[F.lit(x) for m, r in limits.items() for x in (m, F.struct(*[F.lit(v).alias(c) for c, v in (("low", r["low"]), ("top", top[m]), ("total", r["total"]))]))])
-        near = steps.withColumn("k", known[F.col("method")]).where("value > k.low AND value <= k.top")
-        marks = near.groupBy("method", F.floor(F.col("kept") * COARSE / F.col("k.total")).alias("part")).agg(F.min("value").alias("mark")).collect()
-        cuts = {m: sorted({r["mark"] for r in marks if r["method"] == m}) for m in limits}
-
-        def rounded(k: str):
-            own = F.create_map(*[F.lit(x) for m, c in cuts.items() for x in (m, F.array(*map(F.lit, c)).cast("array<double>"))])[F.col(f"m{k}")]
-            return F.coalesce(F.array_max(F.filter(own, lambda x: x <= F.col(f"v{k}"))), F.col(f"low{k}")).alias(f"v{k}")
-
-        rough = hist.select("m0", "m1", "low0", "low1", rounded("0"), rounded("1"), "r", "d").groupBy("m0", "m1", "low0", "low1", "v0", "v1").agg(*sums)
-        least = {(r["m0"], r["m1"]): r["b"]["kept"] for r in _best(rough, max_fdr, scale).collect()}
-        # second look: cutoffs that keep fewer rows by themselves cannot be part of a better pair
-        if least:
-            asked = spark.createDataFrame(sorted({(m, n) for (a, b), n in least.items() for m in (a, b)}), "method string, least long")
-            found = steps.join(F.broadcast(asked), "method").where("kept >= least").groupBy("method", "least").agg(F.max("value").alias("cap")).collect()
-            cap = {(r["method"], r["least"]): r["cap"] for r in found}
-            caps = spark.createDataFrame([(a, b, cap[a, n], cap[b, n]) for (a, b), n in least.items()], "m0 string, m1 string, cap0 double, cap1 double")
-            capped = hist.join(F.broadcast(caps), ["m0", "m1"], "left")
-            fine = settle(capped.groupBy("m0", "m1", "low0", "low1", F.least("v0", "cap0").alias("v0"), F.least("v1", "cap1").alias("v1")).agg(*sums), "pairs")
-    best = _best(fine, max_fdr, scale)
-    total = hist.groupBy("m0", "m1").agg(F.sum(F.col("r") + F.col("d")).alias("total"))
-    return best.join(total, ["m0", "m1"]).select("m0", "m1", (-F.col("b.n0")).alias("b0"), (-F.col("b.n1")).alias("b1"), F.col("b.fdr").alias("fdr"), F.col("b.kept").alias("kept"), (F.lit(1.0) - F.col("b.kept") / F.col("total")).alias("loss"))
+    items = F.array(*[F.struct(F.lit(i).alias("pair"), F.lit(a).alias("m0"), F.lit(b).alias("m1"), value(a).alias("v0"), value(b).alias("v1")) for i, (a, b) in enumerate(pairs)])
+    hist = base.select("decoy", F.explode(items).alias("s")).groupBy("s.pair", "s.m0", "s.m1", "s.v0", "s.v1").agg(F.count_if(~F.col("decoy")).alias("ref"), F.count_if("decoy").alias("dec"))
+    place = lambda k: steps.select(F.col("method").alias(f"m{k}"), F.col("value").alias(f"v{k}"), F.col("kept").alias(f"u{k}"))
+    points = settle(hist.join(place(0), ["m0", "v0"]).join(place(1), ["m1", "v1"]).select("pair", "u0", "u1", "ref", "dec"), "pairs")
+    names = spark.createDataFrame([(i, a, b, *room.get(a, (0, 0)), *room.get(b, (0, 0)), limits[a]["total"]) for i, (a, b) in enumerate(pairs)], "pair int, m0 string, m1 string, l0 long, u0 long, l1 long, u1 long, total long")
+    best = settle(_search(points, names, max_fdr, scale, PARTS, TILES).join(F.broadcast(names.select("pair", "m0", "m1", "total")), "pair"), "pairs")
+    # the value whose place is the last one up to the corner's; ``best`` has a row a pair
+    for k in (0, 1):
+        at = best.select("pair", F.col(f"m{k}").alias("method"), F.col(f"u{k}").alias("u"))
+        held = steps.join(F.broadcast(at), "method").where("kept <= u").groupBy("pair").agg(F.min("value").alias(f"b{k}"))
+        best = best.join(F.broadcast(held), "pair")
+    return best.select("m0", "m1", "b0", "b1", fdr(F.col("ref"), F.col("dec"), scale).alias("fdr"), "kept", (F.lit(1.0) - F.col("kept") / F.col("total")).alias("loss"))
 
 
 def rank_methods(single: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -6,9 +6,9 @@ one table (document, ordinal, length): ``posexplode`` makes it, a window sums it
 to it by ordinal, and the two offsets found are aggregated per document.  Substrings between them, put together in the
 order of the form, are the output; the text is rebuilt from the output and the form alone.
 
-The documents are written with row numbers first, so that every branch of the plan sees the same numbers; documents that
-stay plain are never exploded.  Texts are shuffled once, by row number; the units stay where their text is for the
-window, and only (document, ordinal, offset) is shuffled for the join.  No Python runs.
+Documents that stay plain are neither written nor shuffled.  The others are written with row numbers first, so that every
+branch of the plan sees the same numbers; their texts are shuffled once, by row number, in an exchange that units and
+substrings share, and units are summed up and meet their requests where their text is.  No Python runs.
 
 Defined results: null text is empty; empty texts and texts that hold a sentinel stay plain; a null doc_id counts as the
 empty string in the draw; rows that repeat are transformed each by itself, alike; an empty table gives an empty result;
@@ -36,9 +36,9 @@ def _draws(doc_id: Column, seed: int, n: int = 4) -> list[Column]:
     return [F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("long") for k in range(n)]
 
 
-def put_together(form: Column, prefix: Column, middle: Column, suffix: Column, text: Column) -> Column:
+def put_together(form: Column, prefix: Column, middle: Column, suffix: Column) -> Column:
     p, s, m = F.lit(PREFIX), F.lit(SUFFIX), F.lit(MIDDLE)
-    return F.when(form == "psm", F.concat(p, prefix, s, suffix, m, middle)).when(form == "spm", F.concat(s, suffix, p, prefix, m, middle)).otherwise(text)
+    return F.when(form == "psm", F.concat(p, prefix, s, suffix, m, middle)).otherwise(F.concat(s, suffix, p, prefix, m, middle))
 
 
 def restore(df: DataFrame, output: str = "output", form: str = "form", name: str = "restored") -> DataFrame:
@@ -63,26 +63,28 @@ def transform(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     h = _draws(F.col("doc_id"), seed)
     plain = (F.col("text") == "") | F.col("text").contains(PREFIX) | F.col("text").contains(SUFFIX) | F.col("text").contains(MIDDLE) | (h[2] % 100 >= rate)
     form = F.when(plain, "plain").when(h[3] % 100 < spm_rate, "spm").otherwise("psm")
-    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    src = scratch.write(src.withColumns({"form": form, "row": F.monotonically_increasing_id()}))
     units = F.regexp_extract_all("text", F.lit(UNIT), F.lit(0))
-    counted = src.select("row", "doc_id", "form", F.size(units).cast("long").alias("n"))
-
-    # units where their text is; running sums of their lengths
-    cut = src.where("form <> 'plain'").repartition("row")
-    unit = cut.select("row", F.posexplode(units).alias("ordinal", "unit")).select("row", "ordinal", F.length("unit").alias("chars"))
+    src = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("form", form)
+    src = src.withColumn("n", F.size(units).cast("long"))
+    kept = src.where("form = 'plain'").select("doc_id", "n", "form", F.lit(None).cast("long").alias("prefix_chars"), F.lit(None).cast("long").alias("middle_chars"), F.col("text").alias("output"))
+    cut = scratch.write(src.where("form <> 'plain'").withColumn("row", F.monotonically_increasing_id()))
+
+    # shuffled by row once: the units and the substrings below read the same exchange
+    texts = cut.select("row", "text").repartition("row")
+    unit = texts.select("row", F.posexplode(units).alias("ordinal", "unit")).select("row", "ordinal", F.length("unit").alias("chars"))
     upto = Window.partitionBy("row").orderBy("ordinal").rowsBetween(Window.unboundedPreceding, 0)
     ends = unit.select("row", (F.col("ordinal") + 1).cast("long").alias("unit"), F.sum("chars").over(upto).alias("end"))
 
-    # a request for a cut before the first unit finds none: its offset is 0
+    # units lie by row already, so both requests of a document come as one row; one before the first unit finds none: 0
     a, b = h[0] % (F.col("n") + 1), h[1] % (F.col("n") + 1)
-    asked = counted.where("form <> 'plain'").select("row", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.least(a, b).alias("unit")), F.struct(F.lit(1).alias("k"), F.greatest(a, b).alias("unit")))).alias("c")).select("row", "c.k", "c.unit")
-    found = ends.join(asked, ["row", "unit"]).groupBy("row").agg(*[F.max(F.when(F.col("k") == k, F.col("end"))).alias(f"at{k}") for k in (0, 1)])
-    out = src.withColumn("n", F.size(units).cast("long")).join(found, "row", "left")
-    at0, at1 = F.coalesce("at0", F.lit(0)), F.coalesce("at1", F.lit(0))
-    prefix, middle, suffix = F.substring("text", F.lit(1), at0.cast("int")), F.substring("text", (at0 + 1).cast("int"), (at1 - at0).cast("int")), F.substring("text", (at1 + 1).cast("int"), F.length("text"))
-    chars = lambda x: F.when(F.col("form") != "plain", x.cast("long"))
-    return out.select("doc_id", "n", "form", chars(at0).alias("prefix_chars"), chars(at1 - at0).alias("middle_chars"), put_together(F.col("form"), prefix, middle, suffix, F.col("text")).alias("output"))
+    asked = cut.select("row", "doc_id", "form", "n", F.least(a, b).alias("c0"), F.greatest(a, b).alias("c1"))
+    found = ends.join(asked.select("row", "c0", "c1"), "row").where("unit = c0 OR unit = c1")
+    found = found.groupBy("row").agg(*[F.max(F.when(F.col("unit") == F.col(f"c{k}"), F.col("end"))).alias(f"at{k}") for k in (0, 1)])
+    out = texts.join(asked.select("row", "doc_id", "form", "n"), "row").join(found, "row", "left")
+    out = out.withColumns({f"at{k}": F.coalesce(f"at{k}", F.lit(0)).cast("int") for k in (0, 1)}).withColumn("between", F.col("at1") - F.col("at0"))
+    part = lambda start, chars: F.substring("text", start, chars)
+    output = put_together(F.col("form"), part(F.lit(1), F.col("at0")), part(F.col("at0") + 1, F.col("between")), part(F.col("at1") + 1, F.length("text")))
+    return kept.unionByName(out.select("doc_id", "n", "form", F.col("at0").cast("long").alias("prefix_chars"), F.col("between").cast("long").alias("middle_chars"), output.alias("output")))
 
 
 def digests(docs: DataFrame) -> DataFrame:

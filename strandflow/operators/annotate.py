@@ -10,14 +10,12 @@ from ..functions.sequence import flip
 from .intervals import JOIN_BIN, numbered, range_join
 
 
-def _features(hits: DataFrame, keys: list[str]) -> DataFrame:
-    path, root = X.path_head(F.concat("path", F.lit("/x"))), F.element_at(F.split("path", "/"), 1)
+def _features(hits: DataFrame, same: Column, other: Column) -> DataFrame:
+    """Sorted sets of the classes, features and elements of each id, on both strands in one pass."""
+    root = F.element_at(F.split("path", "/"), 1)
     path = F.regexp_replace("path", "/+$", "")
-    return hits.groupBy(*keys).agg(
-        F.array_sort(F.collect_set(path)).alias("classes"),
-        F.array_sort(F.collect_set(F.concat_ws("/", root, "name"))).alias("features"),
-        F.array_sort(F.collect_set(F.concat_ws("/", path, F.col("name")))).alias("elements"),
-    )
+    found = {"classes": path, "features": F.concat_ws("/", root, "name"), "elements": F.concat_ws("/", path, F.col("name"))}
+    return hits.groupBy("_id").agg(*[F.array_sort(F.collect_set(F.when(strand, c))).alias(f"{p}{n}") for p, strand in (("", same), ("as_", other)) for n, c in found.items()])
 
 
 def annotate(intervals: DataFrame, loci: DataFrame, id_col: str = "id", start: str = "start", end: str = "end", sense: str = "sense", width: int = JOIN_BIN) -> DataFrame:
@@ -29,11 +27,8 @@ def annotate(intervals: DataFrame, loci: DataFrame, id_col: str = "id", start: s
     right = loci.select("chrom", F.col("sense").alias("_ls"), F.col("start").alias("r_start"), F.col("end").alias("r_end"), "path", "name")
     left = intervals.select(F.col(id_col).alias("_id"), "chrom", F.col(sense).alias("_s"), F.col(start).alias("_start"), F.col(end).alias("_end"))
     hits = range_join(left, right, ["chrom"], ls="_start", le="_end", width=width)
-    same = _features(hits.where("_ls = _s"), ["_id"])
-    other = _features(hits.where(F.col("_ls") == flip(F.col("_s"))), ["_id"])
-    other = other.select("_id", *[F.col(c).alias(f"as_{c}") for c in ("classes", "features", "elements")])
-    out = intervals.join(same.withColumnRenamed("_id", "_i1"), F.col(id_col) == F.col("_i1"), "left").drop("_i1")
-    out = out.join(other.withColumnRenamed("_id", "_i2"), F.col(id_col) == F.col("_i2"), "left").drop("_i2")
+    found = _features(hits, F.col("_ls") == F.col("_s"), F.col("_ls") == flip(F.col("_s")))
+    out = intervals.join(found.withColumnRenamed("_id", "_found"), F.col(id_col) == F.col("_found"), "left").drop("_found")
     none = F.array().cast("array<string>")
     out = out.withColumns({c: F.coalesce(c, none) for c in ("classes", "features", "elements", "as_classes", "as_features", "as_elements")})
     anti = F.exists("as_classes", lambda c: c.startswith("transcript"))

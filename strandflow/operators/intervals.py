@@ -16,7 +16,7 @@ from ..scratch import settle
 from .ordered import global_rank
 
 BIN = 1 << 20
-#: Bin width of range joins: about the length of the longer side's intervals.
+#: Width of the least bins of range joins.
 JOIN_BIN = 1 << 12
 
 
@@ -174,30 +174,97 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
     return settle(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
 
 
-def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", ls: str = "start", le: str = "end", rs: str = "r_start", re: str = "r_end", width: int = JOIN_BIN, closed: bool = False) -> DataFrame:
+#: Each level of bins is so many times as wide as the one before.
+STEP, TOP = 8, 12
+#: The HOT_BINS largest bins of those with over HOT_ROWS rows of a side are split by salt; any other one has less than
+#: 1 / HOT_BINS of the rows.
+HOT_ROWS, HOT_BINS = 100_000, 1000
+
+
+def _level(s: Column, e: Column, width: int) -> Column:
+    """The least level whose bins are as wide as the interval is long: it reaches two bins of it at most."""
+    return reduce(lambda out, k: F.when(e - s <= width * STEP**k, k).otherwise(out), range(TOP - 1, -1, -1), F.lit(TOP))
+
+
+def _width(level: str, width: int) -> Column:
+    return F.lit(width) * F.pow(F.lit(STEP), F.col(level)).cast("long")
+
+
+def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", ls: str = "start", le: str = "end", rs: str = "r_start", re: str = "r_end", width: int = JOIN_BIN, closed: bool = False, hot_rows: int | None = None) -> DataFrame:
     """Overlapping pairs (half-open; closed: touching counts) of rows with equal ``keys``, named alike on both sides.
 
-    Both sides are dealt to the bins they reach and joined on (keys, bin); a pair that meets in several bins counts in
-    the first common one, so nothing is deduplicated.  ``how``: inner, left_anti or left_semi; these number the left
-    rows, which are written first, since two branches of the plan must see the same numbers.
+    Bins form levels, each ``STEP`` times as wide as the one below; an interval's own level is the first whose bins are as
+    wide as it is long.  Two rows meet at the higher of their levels: left rows are dealt to their bins of every level,
+    from their own up, that right rows have as their own, and right rows to those above their own that left rows have.
+    So an interval makes two rows a level at most, however long it is.  A pair that meets in two bins counts in the first
+    common one, so nothing is deduplicated.  Bins with over ``hot_rows`` rows of a side are a grid of salts: each side's
+    rows are split along one axis and repeated along the other.
+
+    ``how``: inner, left_anti or left_semi; these number the left rows, which are written first, since two branches of the
+    plan must see the same numbers.
     """
-    last = 0 if closed else 1
+    hot_rows, last = HOT_ROWS if hot_rows is None else hot_rows, 0 if closed else 1
     if how != "inner":
         left = numbered(left, "_row")
-    bins = lambda s, e: F.explode(F.sequence(F.floor(s / width), F.floor(F.greatest(e - last, s) / width)))
-    a = left.withColumn("_bin", bins(F.col(ls), F.col(le)))
-    right_keys = [F.col(k).alias(f"_k_{k}") for k in keys]
-    b = right.select(*right_keys, *[c for c in right.columns if c not in keys]).withColumn("_rbin", bins(F.col(rs), F.col(re)))
-    meet = (F.col("_bin") == F.col("_rbin")) & reduce(Column.__and__, [F.col(k) == F.col(f"_k_{k}") for k in keys])
+    right_keys = [f"_k_{k}" for k in keys]
+    a = left.withColumn("_own", _level(F.col(ls), F.col(le), width))
+    b = right.withColumnsRenamed(dict(zip(keys, right_keys, strict=True))).withColumn("_rown", _level(F.col(rs), F.col(re), width))
+    # rows by the first bin of their own level, both sides in one pass: what the choice of levels and hot bins needs
+    own = [df.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(level).alias("_l"), F.floor(F.col(s) / _width(level, width)).alias("_b")).agg(F.count("*").alias("_n")) for df, by, level, s in ((a, keys, "_own", ls), (b, right_keys, "_rown", rs))]
+    stats = settle(own[0].withColumn("_side", F.lit(0)).unionByName(own[1].withColumn("_side", F.lit(1))), "bins")
+    # at most 2 * (TOP + 1) values
+    seen = stats.select("_side", "_l").distinct().collect()
+    has = [sorted(r["_l"] for r in seen if r["_side"] == k) for k in (0, 1)]
+
+    def at_levels(df: DataFrame, level: Column, names: tuple[str, str], s: str, e: str) -> DataFrame:
+        """A row for each bin of the given levels (a column of arrays)."""
+        df, w = df.select("*", F.explode(level).alias(names[0])), _width(names[0], width)
+        return df.withColumn(names[1], F.explode(F.sequence(F.floor(F.col(s) / w), F.floor(F.greatest(F.col(e) - last, F.col(s)) / w))))
+
+    def dealt(x: DataFrame, y: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Turn 0: pairs whose right row is on the left one's level or a higher one; turn 1: on a lower one."""
+        lower, upper = ("_lvl", "_bin"), ("_rlvl", "_rbin")
+        up = lambda own, levels, above: F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda k: k >= F.col(own) + above)
+        turns = [(at_levels(x, up("_own", has[1], 0), lower, ls, le), at_levels(y, F.array("_rown"), upper, rs, re))]
+        if has[0] and has[1] and has[0][-1] > has[1][0]:
+            turns.append((at_levels(x, F.array("_own"), lower, ls, le), at_levels(y, up("_rown", has[0], 1), upper, rs, re)))
+        x, y = (reduce(DataFrame.unionByName, side) for side in zip(*[(p.withColumn("_turn", F.lit(i)), q.withColumn("_rturn", F.lit(i))) for i, (p, q) in enumerate(turns)], strict=True))
+        return x, y
+
+    place, r_place = [*keys, "_turn", "_lvl", "_bin"], [*right_keys, "_rturn", "_rlvl", "_rbin"]
+    # the bins of ``stats`` as rows of one base each, dealt like the rows that they stand for
+    base = F.col("_b") * _width("_l", width)
+    some = dealt(stats.where("_side = 0").select(*keys, F.col("_l").alias("_own"), base.alias(ls), (base + 1).alias(le), "_n"), stats.where("_side = 1").select(*[F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)], F.col("_l").alias("_rown"), base.alias(rs), (base + 1).alias(re), "_n"))
+    rows = [df.select(*[F.col(c).alias(p) for c, p in zip(by, place, strict=True)], *[F.when(F.lit(k == j), F.col("_n")).otherwise(0).alias(n) for j, n in enumerate(("_nl", "_nr"))]) for k, (df, by) in enumerate(zip(some, (place, r_place), strict=True))]
+    sums = rows[0].unionByName(rows[1]).groupBy(*place).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr"))
+    parts = [F.greatest(F.lit(1), F.ceil(F.col(n) / hot_rows)).cast("int").alias(n) for n in ("_nl", "_nr")]
+    hot = sums.where(F.greatest("_nl", "_nr") > hot_rows).orderBy(F.desc(F.greatest("_nl", "_nr"))).limit(HOT_BINS).select(*place, *parts).collect()
+    x, y = dealt(a, b)
+    x, y = _salted(x, place, place, hot, ("_nl", "_nr"), ("_u", "_v")), _salted(y, r_place, place, hot, ("_nr", "_nl"), ("_rv", "_ru"))
+    meet = reduce(Column.__and__, [F.col(p) == F.col(q) for p, q in zip([*place, "_u", "_v"], [*r_place, "_ru", "_rv"], strict=True)])
     over = (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) if closed else (F.col(ls) < F.col(re)) & (F.col(rs) < F.col(le))
-    first = F.col("_bin") == F.greatest(F.floor(F.col(ls) / width), F.floor(F.col(rs) / width))
-    drop = ["_bin", "_rbin", *[f"_k_{k}" for k in keys]]
+    w = _width("_lvl", width)
+    first = F.col("_bin") == F.greatest(F.floor(F.col(ls) / w), F.floor(F.col(rs) / w))
     if how == "inner":
-        return a.join(b, meet & over & first).drop(*drop)
-    hits = a.join(b, meet & over & first, "left_semi").select("_row").distinct()
+        return x.join(y, meet & over & first).select(*left.columns, *[c for c in right.columns if c not in keys])
+    hits = x.join(y, meet & over & first, "left_semi").select("_row").distinct()
     return left.join(hits, "_row", how).drop("_row")
 
 
+def _salted(df: DataFrame, at: list[str], place: list[str], hot: list, n: tuple[str, str], names: tuple[str, str]) -> DataFrame:
+    """Adds a row's cells in the grid of salts of its bin: its own salt, and every one of the other side; 0, 0 where the bin
+    isn't hot.  A row's salt comes from its contents and its part of the input, so rows that repeat are split too."""
+    if not hot:
+        return df.withColumns({c: F.lit(0) for c in names})
+    cols = df.columns
+    kinds = [f"`_g_{p}` {df.schema[c].dataType.simpleString()}" for c, p in zip(at, place, strict=True)]
+    grid = df.sparkSession.createDataFrame(hot, ", ".join([*kinds, "_nl int", "_nr int"]))
+    on = reduce(Column.__and__, [F.col(c) == F.col(f"_g_{p}") for c, p in zip(at, place, strict=True)])
+    # at most HOT_BINS rows
+    out = df.join(F.broadcast(grid), on, "left").withColumn(names[0], F.pmod(F.xxhash64(*cols, F.spark_partition_id()), F.coalesce(F.col(n[0]), F.lit(1))).cast("int"))
+    return out.withColumn(names[1], F.explode(F.sequence(F.lit(0), F.coalesce(F.col(n[1]), F.lit(1)) - 1))).select(*cols, *names)
+
+
 def overlap_count(regions: DataFrame, reads: DataFrame, keys: list[str], weight: str = "mult", width: int = JOIN_BIN) -> DataFrame:
     """Weighted number of reads over each region (region columns and ``reads``; 0 where there are none)."""
     cols = regions.columns

@@ -207,10 +207,10 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
     if how != "inner":
         left = numbered(left, "_row")
     right_keys = [f"_k_{k}" for k in keys]
-    a = left.withColumn("_own", _level(F.col(ls), F.col(le), width))
-    b = right.withColumnsRenamed(dict(zip(keys, right_keys, strict=True))).withColumn("_rown", _level(F.col(rs), F.col(re), width))
+    a = left.withColumn("_j_own", _level(F.col(ls), F.col(le), width))
+    b = right.withColumnsRenamed(dict(zip(keys, right_keys, strict=True))).withColumn("_j_rown", _level(F.col(rs), F.col(re), width))
     # rows by the first bin of their own level, both sides in one pass: what the choice of levels and hot bins needs
-    own = [df.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(level).alias("_l"), F.floor(F.col(s) / _width(level, width)).alias("_b")).agg(F.count("*").alias("_n")) for df, by, level, s in ((a, keys, "_own", ls), (b, right_keys, "_rown", rs))]
+    own = [df.groupBy(*[F.col(c).alias(k) for c, k in zip(by, keys, strict=True)], F.col(level).alias("_l"), F.floor(F.col(s) / _width(level, width)).alias("_b")).agg(F.count("*").alias("_n")) for df, by, level, s in ((a, keys, "_j_own", ls), (b, right_keys, "_j_rown", rs))]
     stats = settle(own[0].withColumn("_side", F.lit(0)).unionByName(own[1].withColumn("_side", F.lit(1))), "bins")
     # at most 2 * (TOP + 1) values
     seen = stats.select("_side", "_l").distinct().collect()
@@ -223,28 +223,28 @@ def range_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "i
 
     def dealt(x: DataFrame, y: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Turn 0: pairs whose right row is on the left one's level or a higher one; turn 1: on a lower one."""
-        lower, upper = ("_lvl", "_bin"), ("_rlvl", "_rbin")
+        lower, upper = ("_j_lvl", "_j_bin"), ("_j_rlvl", "_j_rbin")
         up = lambda own, levels, above: F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda k: k >= F.col(own) + above)
-        turns = [(at_levels(x, up("_own", has[1], 0), lower, ls, le), at_levels(y, F.array("_rown"), upper, rs, re))]
+        turns = [(at_levels(x, up("_j_own", has[1], 0), lower, ls, le), at_levels(y, F.array("_j_rown"), upper, rs, re))]
         if has[0] and has[1] and has[0][-1] > has[1][0]:
-            turns.append((at_levels(x, F.array("_own"), lower, ls, le), at_levels(y, up("_rown", has[0], 1), upper, rs, re)))
-        x, y = (reduce(DataFrame.unionByName, side) for side in zip(*[(p.withColumn("_turn", F.lit(i)), q.withColumn("_rturn", F.lit(i))) for i, (p, q) in enumerate(turns)], strict=True))
+            turns.append((at_levels(x, F.array("_j_own"), lower, ls, le), at_levels(y, up("_j_rown", has[0], 1), upper, rs, re)))
+        x, y = (reduce(DataFrame.unionByName, side) for side in zip(*[(p.withColumn("_j_turn", F.lit(i)), q.withColumn("_j_rturn", F.lit(i))) for i, (p, q) in enumerate(turns)], strict=True))
         return x, y
 
-    place, r_place = [*keys, "_turn", "_lvl", "_bin"], [*right_keys, "_rturn", "_rlvl", "_rbin"]
+    place, r_place = [*keys, "_j_turn", "_j_lvl", "_j_bin"], [*right_keys, "_j_rturn", "_j_rlvl", "_j_rbin"]
     # the bins of ``stats`` as rows of one base each, dealt like the rows that they stand for
     base = F.col("_b") * _width("_l", width)
-    some = dealt(stats.where("_side = 0").select(*keys, F.col("_l").alias("_own"), base.alias(ls), (base + 1).alias(le), "_n"), stats.where("_side = 1").select(*[F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)], F.col("_l").alias("_rown"), base.alias(rs), (base + 1).alias(re), "_n"))
+    some = dealt(stats.where("_side = 0").select(*keys, F.col("_l").alias("_j_own"), base.alias(ls), (base + 1).alias(le), "_n"), stats.where("_side = 1").select(*[F.col(k).alias(r) for k, r in zip(keys, right_keys, strict=True)], F.col("_l").alias("_j_rown"), base.alias(rs), (base + 1).alias(re), "_n"))
     rows = [df.select(*[F.col(c).alias(p) for c, p in zip(by, place, strict=True)], *[F.when(F.lit(k == j), F.col("_n")).otherwise(0).alias(n) for j, n in enumerate(("_nl", "_nr"))]) for k, (df, by) in enumerate(zip(some, (place, r_place), strict=True))]
     sums = rows[0].unionByName(rows[1]).groupBy(*place).agg(F.sum("_nl").alias("_nl"), F.sum("_nr").alias("_nr"))
     parts = [F.greatest(F.lit(1), F.ceil(F.col(n) / hot_rows)).cast("int").alias(n) for n in ("_nl", "_nr")]
     hot = sums.where(F.greatest("_nl", "_nr") > hot_rows).orderBy(F.desc(F.greatest("_nl", "_nr"))).limit(HOT_BINS).select(*place, *parts).collect()
     x, y = dealt(a, b)
-    x, y = _salted(x, place, place, hot, ("_nl", "_nr"), ("_u", "_v")), _salted(y, r_place, place, hot, ("_nr", "_nl"), ("_rv", "_ru"))
-    meet = reduce(Column.__and__, [F.col(p) == F.col(q) for p, q in zip([*place, "_u", "_v"], [*r_place, "_ru", "_rv"], strict=True)])
+    x, y = _salted(x, place, place, hot, ("_nl", "_nr"), ("_j_u", "_j_v")), _salted(y, r_place, place, hot, ("_nr", "_nl"), ("_j_rv", "_j_ru"))
+    meet = reduce(Column.__and__, [F.col(p) == F.col(q) for p, q in zip([*place, "_j_u", "_j_v"], [*r_place, "_j_ru", "_j_rv"], strict=True)])
     over = (F.col(ls) <= F.col(re)) & (F.col(rs) <= F.col(le)) if closed else (F.col(ls) < F.col(re)) & (F.col(rs) < F.col(le))
-    w = _width("_lvl", width)
-    first = F.col("_bin") == F.greatest(F.floor(F.col(ls) / w), F.floor(F.col(rs) / w))
+    w = _width("_j_lvl", width)
+    first = F.col("_j_bin") == F.greatest(F.floor(F.col(ls) / w), F.floor(F.col(rs) / w))
     if how == "inner":
         return x.join(y, meet & over & first).select(*left.columns, *[c for c in right.columns if c not in keys])
     hits = x.join(y, meet & over & first, "left_semi").select("_row").distinct()

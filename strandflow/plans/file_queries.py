@@ -17,7 +17,7 @@ from ..operators import fdr as D
 from ..operators import genemodel as G
 from ..operators import intervals as I
 from ..scratch import shared_dir
-from ..sources import flat, sequences, sinks, tracks
+from ..sources import bam, flat, sequences, sinks, tracks
 from .edit_queries import RAW, aligned
 from .queries import _DNA, _TX, ALN, CLUSTER_SQL, CODE_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
 from .registry import query
@@ -139,6 +139,49 @@ def s9_sam(spark, d):
     return got.select("lib", "chrom", "pos", "is_reverse", "qname", F.regexp_replace("cigar", r"^2S|1S$", "").alias("cigar"), "query", "md", "mapq", "x0", "x1", "tid")
 
 
+#: Regions of 40 bases that the queries through BAM files ask for: of every 1000 bases of each chromosome, those from 500.
+_PEAKS = "(SELECT DISTINCT chrom, CAST(pos // 1000 * 1000 + 500 AS BIGINT) AS start, CAST(pos // 1000 * 1000 + 540 AS BIGINT) AS \"end\" FROM ({RAW}) t0)".replace("{RAW}", RAW)
+
+
+def _bam(spark, d):
+    """All alignments as BAM files with indexes, and the folder."""
+    path = f"{shared_dir(spark)}/strandflow/bam-{uuid.uuid4().hex}"
+    sequences.register(spark)
+    bam.write_bam(aligned(spark, d), path, files=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return path
+
+
+def _peaks(spark, d):
+    at = (F.floor(F.col("pos") / 1000) * 1000 + 500).cast("long")
+    return aligned(spark, d).select("chrom", at.alias("start"), (at + 40).alias("end")).distinct()
+
+
+@query(f"SELECT lib, chrom, pos, strand = '-' AS is_reverse, qname, cigar, query, md, mapq, x0, x1 FROM ({RAW}) t")
+def s9_bam(spark, d):
+    """Alignments written as BAM by many tasks and read back in small splits."""
+    got = spark.read.format("bam").option("splitBytes", str(1 << 16)).load(_bam(spark, d))
+    return got.select("lib", "chrom", "pos", "is_reverse", "qname", "cigar", "query", "md", "mapq", "x0", "x1")
+
+
+@query(f"""SELECT p.chrom, p.start, p."end", CAST(coalesce(sum(t.mult), 0) AS BIGINT) AS reads FROM {_PEAKS} p
+LEFT JOIN (SELECT * FROM ({RAW}) t1 WHERE x0 < 2) t ON t.chrom = p.chrom AND t.pos < p."end" AND t.aend > p.start GROUP BY ALL""")
+def s25_bam_counts(spark, d):
+    """Weights of the uniquely mapped reads over regions, straight from indexed BAM files; all regions are planned at once."""
+    peaks = _peaks(spark, d)
+    texts = [tracks.region_text(r["chrom"], r["start"], r["end"]) for r in peaks.collect()]
+    return tracks.bam_counts(spark, _bam(spark, d), peaks, texts)
+
+
+@query(f"""WITH r AS (SELECT chrom, pos, aend, mult FROM ({RAW}) t WHERE x0 < 2), e AS (
+  SELECT chrom, pos AS p, mult AS v FROM r UNION ALL SELECT chrom, aend, -mult FROM r
+), s AS (SELECT chrom, p, sum(v) AS v FROM e GROUP BY ALL HAVING sum(v) <> 0
+), c AS (SELECT chrom, p AS start, lead(p) OVER (PARTITION BY chrom ORDER BY p) AS "end", sum(v) OVER (PARTITION BY chrom ORDER BY p) AS value FROM s)
+SELECT chrom, '*' AS strand, start, "end", CAST(value AS DOUBLE) AS value FROM c WHERE value > 0""")
+def s27_bam_track(spark, d):
+    """The depth of BAM files as a track."""
+    return tracks.load_track(spark, _bam(spark, d), "bam")
+
+
 @query("SELECT concat('chr', p_partkey) AS chrom, p_size * 10 + i * 2 + j AS pos, CAST(p_size + i AS DOUBLE) AS score FROM part, range(0, 6) a(i), range(0, 2) b(j)")
 def s13_wiggle(spark, d):
     """One fixed-step block a part, written and read back as positions."""

@@ -8,14 +8,21 @@ index beside the file (``.bai``) a region reads only the index's chunks for it.
 
 from __future__ import annotations
 
+import bisect
 import io
+import itertools
+import json
 import re
 import struct
+import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
 from .sequences import ALIGNED, SplitReader, opened, split_clips
@@ -183,32 +190,60 @@ def bins_of(start: int, end: int) -> list[int]:
     return out
 
 
-def index_chunks(data: bytes, ref: int, start: int, end: int) -> list[tuple[int, int]]:
-    """Merged (begin, end) virtual offsets of the index's chunks for a region."""
+#: Chunks with fewer bytes of the file between them are read as one.
+NEAR = 1 << 16
+
+
+def index_chunks(data: bytes, wanted: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """Virtual offsets (begin, end) of the index's chunks for all regions (by reference, start and end) at once; chunks that
+    overlap or lie near each other are one, so no record is in two."""
     if data[:4] != b"BAI\x01":
         raise ValueError("not a BAM index")
-    at, wanted, found, floor = 8, set(bins_of(start, end)), [], 0
-    for r in range(ref + 1):
+    (refs,) = struct.unpack_from("<i", data, 4)
+    at, found = 8, []
+    for r in range(refs):
+        regions = wanted.get(r, [])
+        bins = {number for s, e in regions for number in bins_of(s, e)}
         (n,) = struct.unpack_from("<i", data, at)
-        at += 4
+        at, mine = at + 4, []
         for _ in range(n):
             number, count = struct.unpack_from("<Ii", data, at)
-            if r == ref and number in wanted:
-                found += struct.iter_unpack("<QQ", data[at + 8 : at + 8 + 16 * count])
+            if number in bins:
+                mine += struct.iter_unpack("<QQ", data[at + 8 : at + 8 + 16 * count])
             at += 8 + 16 * count
         (n,) = struct.unpack_from("<i", data, at)
-        if r == ref and n:  # alignments that reach the region begin at or after the linear index's offset
-            (floor,) = struct.unpack_from("<Q", data, at + 4 + 8 * min(start >> 14, n - 1))
+        # alignments that reach the first region begin at or after the linear index's offset
+        floor = struct.unpack_from("<Q", data, at + 4 + 8 * min(min(s for s, _ in regions) >> 14, n - 1))[0] if regions and n else 0
         at += 4 + 8 * n
+        found += [(max(b, floor), e) for b, e in mine if e > floor]
     out: list[tuple[int, int]] = []
-    for b, e in sorted((max(b, floor), e) for b, e in found if e > floor):
-        if out and b <= out[-1][1]:
+    for b, e in sorted(found):
+        if out and (b <= out[-1][1] or (b >> 16) - (out[-1][1] >> 16) < NEAR):
             out[-1] = (out[-1][0], max(e, out[-1][1]))
         else:
             out.append((b, e))
     return out
 
 
+class Regions:
+    """Regions by chromosome, merged and sorted."""
+
+    def __init__(self, regions: list[tuple[str, int, int]]):
+        self.by: dict[str, list[tuple[int, int]]] = {}
+        for chrom, s, e in sorted(regions):
+            mine = self.by.setdefault(chrom, [])
+            if mine and s <= mine[-1][1]:
+                mine[-1] = (mine[-1][0], max(e, mine[-1][1]))
+            elif s < e:
+                mine.append((s, e))
+
+    def reached(self, chrom: str, pos: int, end: int) -> bool:
+        mine = self.by.get(chrom, [])
+        # the last region that begins before the alignment ends
+        k = bisect.bisect_left(mine, (end, -1))
+        return k > 0 and mine[k - 1][1] > pos
+
+
 def parse_region(text: str) -> tuple[str, int, int]:
     """``chrom`` or ``chrom:first-last`` (from 1, both included) to chrom, start, end (from 0, half-open)."""
     m = re.fullmatch(r"(.+):([\d,]+)(?:-([\d,]+))?", text)
@@ -225,28 +260,40 @@ class _Split(InputPartition):
 
 
 class BamReader(SplitReader):
+    """Options ``region`` (one) or ``regions`` (several, separated by ``;``): a read is returned once, however many it
+    reaches.  With an index all regions of a file are planned at once."""
+
     def __init__(self, options: dict):
         super().__init__(options)
-        self.region = parse_region(options["region"]) if "region" in options else None
+        texts = [t for t in (options.get("region"), *options.get("regions", "").split(";")) if t]
+        self.regions = [parse_region(t) for t in texts] if texts or "regions" in options else None
+
+    def takes_chrom(self) -> bool:
+        return super().takes_chrom() and self.regions is None
+
+    def wanted(self) -> Regions | None:
+        if self.regions is not None:
+            return Regions(self.regions)
+        return Regions([(self.chrom, 0, 1 << 29)]) if self.chrom is not None else None
 
     def partitions(self):
         from pyarrow import fs
 
-        out = []
-        region = self.region or ((self.chrom, 0, 1 << 29) if self.chrom else None)
+        out, regions = [], self.wanted()
         for whole in super().partitions():
-            if whole.start:
+            if whole.start or whole.path.endswith(".bai"):
                 continue
             store, path = opened(whole.path)
             size = store.get_file_info(path).size
             with store.open_input_file(path) as f:
                 _, refs, block, skip = header(f)
             names = [n for n, _ in refs]
-            if region and region[0] not in names:
+            asked = {names.index(c): r for c, r in regions.by.items() if c in names} if regions else {}
+            if regions and not asked:
                 continue
-            if region and store.get_file_info(f"{path}.bai").type == fs.FileType.File:
+            if regions and store.get_file_info(f"{path}.bai").type == fs.FileType.File:
                 with store.open_input_file(f"{path}.bai") as f:
-                    chunks = index_chunks(f.read(), names.index(region[0]), region[1], region[2])
+                    chunks = index_chunks(f.read(), asked)
                 out += [_Split(whole.path, names, b >> 16, size, b & 0xFFFF, e) for b, e in chunks]
                 continue
             for s in range(0, size, self.split):
@@ -258,7 +305,7 @@ class BamReader(SplitReader):
     def rows(self, part: _Split) -> Iterator[tuple]:
         store, path = opened(part.path)
         size = store.get_file_info(path).size
-        region = self.region or ((self.chrom, 0, 1 << 29) if self.chrom else None)
+        regions = self.wanted()
         with store.open_input_file(path) as f:
             start = part.start if part.skip is not None else first_block(f, part.start, size)
             if start >= part.end:
@@ -280,7 +327,7 @@ class BamReader(SplitReader):
                 if at > 1 << 20:
                     s.drop(at)
                     at = 0
-                if row and (not region or (row[1] == region[0] and row[2] < region[2] and row[2] + reference_length(row[3]) > region[1])):
+                if row and (not regions or regions.reached(row[1], row[2], row[2] + reference_length(row[3]))):
                     yield row
 
     def read(self, part):
@@ -305,7 +352,8 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
 
 
 class BamSource(DataSource):
-    """``spark.read.format("bam").load(path)``; options lib, region (``chrom:first-last``), splitBytes."""
+    """``spark.read.format("bam").load(path)``; options lib, region (``chrom:first-last``), regions, splitBytes.  Written
+    by ``write_bam``."""
 
     @classmethod
     def name(cls) -> str:
@@ -317,6 +365,9 @@ class BamSource(DataSource):
     def reader(self, schema: StructType) -> DataSourceReader:
         return BamReader(self.options)
 
+    def writer(self, schema: StructType, overwrite: bool) -> DataSourceWriter:
+        return BamWriter(self.options, overwrite)
+
 
 # ---------------------------------------------------------------------------------------------------------------------
 # writing
@@ -351,7 +402,74 @@ def _holds(number: int, start: int, end: int) -> bool:
     return start >> shift == (end - 1) >> shift == number - first
 
 
-def write(f: io.BufferedIOBase, rows: list[dict], refs: list[tuple[str, int]], block: int = 60_000) -> bytes:
+@dataclass
+class _Written(WriterCommitMessage):
+    files: list[str]
+
+
+class BamWriter(DataSourceWriter):
+    """A BAM file and its index for each partition, whose rows come in order.
+
+    Tasks write to a folder beside the files, under names of their own; the commit moves what finished tasks report, so
+    neither a failed job nor a task's second attempt leaves anything that is read.  Option ``refs``: names and lengths.
+    """
+
+    def __init__(self, options: dict, overwrite: bool):
+        self.path, self.refs, self.overwrite = options["path"].rstrip("/"), json.loads(options["refs"]), overwrite
+        self.staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
+
+    def write(self, rows: Iterator) -> _Written:
+        first = next(rows, None)
+        if first is None:
+            return _Written([])
+        store, folder = opened(self.staged)
+        store.create_dir(folder, recursive=True)
+        name = f"part-{uuid.uuid4().hex}.bam"
+        with store.open_output_stream(f"{folder}/{name}") as f:
+            index = write(f, (r.asDict() for r in itertools.chain([first], rows)), [tuple(r) for r in self.refs])
+        with store.open_output_stream(f"{folder}/{name}.bai") as f:
+            f.write(index)
+        return _Written([name, f"{name}.bai"])
+
+    def commit(self, messages: list[_Written | None]) -> None:
+        from pyarrow import fs
+
+        store, folder = opened(self.path)
+        store.create_dir(folder, recursive=True)
+        if self.overwrite:
+            for f in store.get_file_info(fs.FileSelector(folder)):
+                if f.type == fs.FileType.File:
+                    store.delete_file(f.path)
+        for m in messages:
+            for name in m.files if m else []:
+                store.move(f"{opened(self.staged)[1]}/{name}", f"{folder}/{name}")
+        self.abort(messages)
+
+    def abort(self, messages: list[_Written | None]) -> None:
+        from pyarrow import fs
+
+        store, folder = opened(self.staged)
+        if store.get_file_info(folder).type == fs.FileType.Directory:
+            store.delete_dir(folder)
+
+
+def write_bam(rows: DataFrame, path: str, refs: list[tuple[str, int]] | None = None, files: int | None = None) -> None:
+    """Alignments (columns of ALIGNED) as a folder of BAM files with indexes, each a range of places; ``files`` of them.
+
+    ``refs``: names and lengths of the references in order, which every BAM file's header lists; else those that occur.
+    """
+    rows = rows.select(*ALIGNED.names)
+    if refs is None:
+        length = F.expr("aggregate(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1), 0L, (s, x) -> s + CAST(x AS BIGINT))")
+        refs = [(r["chrom"], int(r["n"])) for r in rows.groupBy("chrom").agg(F.max(F.col("pos") + length).alias("n")).orderBy("chrom").collect()]
+    place = F.array_position(F.array(*[F.lit(n) for n, _ in refs]).cast("array<string>"), F.col("chrom"))
+    order = [F.col("_place"), F.col("pos"), F.col("qname")]
+    numbered = rows.withColumn("_place", place)
+    dealt = numbered.repartitionByRange(files, *order) if files else numbered.repartitionByRange(*order)
+    dealt.sortWithinPartitions(*order).select(*ALIGNED.names).write.format("bam").option("refs", json.dumps(refs)).mode("overwrite").save(path)
+
+
+def write(f: io.BufferedIOBase, rows: Iterable[dict], refs: list[tuple[str, int]], block: int = 60_000) -> bytes:
     """Write sorted alignments as a BAM file; returns its index."""
     text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in refs)
     head = b"BAM\x01" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(refs))
@@ -359,12 +477,10 @@ def write(f: io.BufferedIOBase, rows: list[dict], refs: list[tuple[str, int]], b
     number = {n: i for i, (n, _) in enumerate(refs)}
     bins: list[dict[int, list[tuple[int, int]]]] = [{} for _ in refs]
     linear: list[dict[int, int]] = [{} for _ in refs]
-    begin = f.tell()
-    f.write(_block(head))
-    pending = b""
+    written, pending = f.write(_block(head)), b""
 
     def here() -> int:
-        return (f.tell() - begin) << 16 | len(pending)
+        return written << 16 | len(pending)
 
     for row in rows:
         ref = number[row["chrom"]]
@@ -372,7 +488,7 @@ def write(f: io.BufferedIOBase, rows: list[dict], refs: list[tuple[str, int]], b
         at = here()
         pending += data
         while len(pending) >= block:
-            f.write(_block(pending[:block]))
+            written += f.write(_block(pending[:block]))
             pending = pending[block:]
         (bin_,) = struct.unpack_from("<H", data, 4 + 10)
         bins[ref].setdefault(bin_, []).append((at, here()))

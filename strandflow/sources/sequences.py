@@ -122,11 +122,15 @@ class SplitReader(DataSourceReader):
 
     def pushFilters(self, filters):
         for f in filters:
-            if isinstance(f, EqualTo) and f.attribute == ("chrom",):
+            # a second condition on the chromosome is left to Spark
+            if isinstance(f, EqualTo) and f.attribute == ("chrom",) and self.takes_chrom():
                 self.chrom = f.value
             else:
                 yield f
 
+    def takes_chrom(self) -> bool:
+        return self.chrom is None
+
     def partitions(self):
         return [_Part(p, s, min(s + self.split, n)) for p, n in listed(self.path) for s in range(0, max(n, 1), self.split)]
 

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.sequence import complement
-from ..operators.intervals import coverage, numbered, range_join, run_length, score_track
+from ..operators.clusters import is_unique
+from ..operators.edits import multiplicity
+from ..operators.intervals import coverage, numbered, overlap_count, range_join, read_starts, run_length, score_track
 
 CHUNK = 1 << 12
 #: Bases of a chromosome and strand that one task writes.
@@ -52,12 +54,16 @@ def oriented(seq: Column, strand: Column) -> Column:
 
 
 def alignment_slices(regions: DataFrame, bases: DataFrame, species: list[str] | None = None, offset: int = 0, size: int = CHUNK) -> DataFrame:
-    """Regions with the sequences of all (chosen) species in order of names: columns species and seq; gaps read as N."""
+    """Regions with the sequences of all (chosen) species in order of names: columns species and seq; gaps read as N.
+
+    A region's bases are those at start + offset to end + offset; N only, if the offset moves its start below 0.
+    """
     if species:
         bases = bases.where(F.col("species").isin(species))
-    moved = regions.withColumns({"start": F.col("start") - offset, "end": F.col("end") - offset})
+    moved = regions.withColumns({"start": F.col("start") + offset, "end": F.col("end") + offset})
     out = slices(moved, bases, size, ["species"])
-    return out.withColumns({"seq": F.translate("seq", "-", "N"), "start": F.col("start") + offset, "end": F.col("end") + offset})
+    seq = F.when((F.col("start") < 0) & (F.col("start") >= offset), F.repeat(F.lit("N"), F.length("seq"))).otherwise(F.translate("seq", "-", "N"))
+    return out.withColumn("seq", seq).withColumns({"start": F.col("start") - offset, "end": F.col("end") - offset})
 
 
 def values(regions: DataFrame, track: DataFrame, default: float = 0.0, stranded: bool = True) -> DataFrame:
@@ -102,8 +108,51 @@ def read_runs(spark: SparkSession, path: str, chrom: str, strand: str = "+") ->
     return read_flat(spark, path, "## start:int\tend:int\tscore:float").select(F.lit(chrom).alias("chrom"), F.lit(strand).alias("strand"), "start", "end", F.col("score").alias("value"))
 
 
+def bam_reads(spark: SparkSession, path: str, regions: list[str] | None = None, unique: bool = True, mult: bool = True) -> DataFrame:
+    """chrom, strand, pos, pend and mult of the reads of a BAM file, or a folder of them; of the regions' reads only, found
+    by the index.  ``unique``: uniquely mapped reads only; ``mult``: a read weighs what its name's ``_x<n>`` says."""
+    from .sequences import register
+
+    register(spark)
+    source = spark.read.format("bam")
+    rows = (source if regions is None else source.option("regions", ";".join(regions))).load(path)
+    if unique:
+        rows = rows.where(is_unique(F.col("x0"), F.col("as_"), F.col("xs")))
+    length = F.expr("aggregate(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1), 0L, (s, x) -> s + CAST(x AS BIGINT))")
+    weight = F.coalesce(multiplicity(F.col("qname")), F.lit(1)).cast("long") if mult else F.lit(1).cast("long")
+    return rows.select("chrom", F.when(F.col("is_reverse"), "-").otherwise("+").alias("strand"), "pos", (F.col("pos") + length).alias("pend"), weight.alias("mult"))
+
+
+def region_text(chrom: str, start: int, end: int) -> str:
+    """A region as readers take it (from 1, both ends included)."""
+    return f"{chrom}:{start + 1}-{end}"
+
+
+def read_bam(spark: SparkSession, path: str, chrom: str | None = None, strand: str | None = None, regions: list[str] | None = None, unique: bool = True, mult: bool = True, only_starts: bool = False) -> DataFrame:
+    """Depth of a BAM file's reads, or their 5' ends (``only_starts``), as a track; reads that reach a region count over
+    their whole length.  Without a strand, reads of both count together, under strand ``*``."""
+    reads = bam_reads(spark, path, regions if regions is not None else [chrom] if chrom else None, unique, mult)
+    reads = reads.where(F.col("chrom") == chrom) if chrom else reads
+    reads = reads.where(F.col("strand") == strand) if strand in ("+", "-") else reads
+    if only_starts:
+        cells = read_starts(reads, ["chrom"])
+        runs = cells.select("chrom", F.col("pos5").alias("start"), (F.col("pos5") + 1).alias("end"), "value")
+    else:
+        runs = coverage(reads, ["chrom"])
+    return runs.select("chrom", F.lit(strand if strand in ("+", "-") else "*").alias("strand"), "start", "end", F.col("value").cast("double").alias("value"))
+
+
+def bam_counts(spark: SparkSession, path: str, regions: DataFrame, planned: list[str] | None = None, unique: bool = True, mult: bool = True, stranded: bool = False) -> DataFrame:
+    """Adds ``reads`` to regions (chrom, strand, start, end): the weight of the reads that reach each one; 0 if none does.
+
+    ``planned``: the regions, or wider ones, as texts, if they are few enough to be planned by the index; else the files
+    are read whole and joined.
+    """
+    return overlap_count(regions, bam_reads(spark, path, planned, unique, mult), ["chrom", "strand"] if stranded else ["chrom"])
+
+
 #: Kinds of tracks that load_track knows; more can be registered.
-READERS = {"runs": read_runs, "sparse": read_sparse}
+READERS = {"runs": read_runs, "sparse": read_sparse, "bam": read_bam}
 
 
 def register_reader(kind: str, reader) -> None:
@@ -117,7 +166,10 @@ def save_track(track: DataFrame, path: str) -> None:
 
 
 def load_track(spark: SparkSession, path: str, kind: str | None = None, chrom: str | None = None, strand: str | None = None) -> DataFrame:
-    """A saved track, or a file of another kind; chromosome and strand become partition filters."""
+    """A saved track, or a file of another kind; chromosome and strand become partition filters.  A BAM file needs no kind:
+    its track is the depth of its reads, on both strands together if none is given."""
+    if kind == "bam" or (kind is None and path.endswith(".bam")):
+        return READERS["bam"](spark, path, chrom, strand)
     if kind:
         return READERS[kind](spark, path, chrom, strand or "+")
     out = spark.read.parquet(path)

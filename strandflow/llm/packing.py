@@ -98,17 +98,45 @@ def best_patterns(size: np.ndarray, price: np.ndarray, room: int, most: int = 12
     return out, float(worth.max())
 
 
+def first_fit(size: np.ndarray, demand: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
+    """Patterns that fill a sequence with the greatest sizes that still fit, each used until a size in it is used up.
+
+    A column for each size: those before it in the order of use have used up another one, so the columns are a basis.
+    """
+    m, left = len(size), demand.astype(float).copy()
+    patterns, use, open_ = np.zeros((m, m)), np.zeros(m), np.ones(m, bool)
+    while open_.any():
+        column, space = np.zeros(m), room
+        for c in np.flatnonzero(open_)[::-1]:
+            # at most as many as are left, but one of the first
+            column[c] = min(space // size[c], max(1, int(left[c])))
+            space -= int(column[c]) * int(size[c])
+        inside = np.flatnonzero(column)
+        share = left[inside] / column[inside]
+        gone = inside[share.argmin()]
+        patterns[:, gone], use[gone] = column, share.min()
+        left[inside] = np.maximum(left[inside] - column[inside] * share.min(), 0)
+        left[gone], open_[gone] = 0, False
+    return patterns, use
+
+
 def solve_patterns(size: np.ndarray, demand: np.ndarray, room: int, gap: float = GAP) -> tuple[np.ndarray, np.ndarray]:
-    """Patterns (columns) and how often each is used in the linear program's solution."""
+    """Patterns (columns) and how often each is used in the linear program's solution.
+
+    It ends when no more than a share ``gap`` of the sequences could be saved: by their tokens, or by the prices of the
+    best pattern.
+    """
     m = len(size)
-    each = room // size
-    patterns = np.diag(each).astype(float)
-    inverse = np.diag(1.0 / each)
-    use = demand / each
+    patterns, use = first_fit(size, demand, room)
+    inverse = np.linalg.inv(patterns)
+    least = float(size @ demand) / room
     for _ in range(60 * m + 200):
+        if use.sum() - least <= gap * use.sum():
+            break
         price = inverse.sum(0)
         columns, worth = best_patterns(size, price, room)
-        if worth <= 1 + 1e-9 or use.sum() - (price @ demand) / worth <= gap * use.sum():
+        least = max(least, float(price @ demand) / max(worth, 1.0))
+        if worth <= 1 + 1e-9 or use.sum() - least <= gap * use.sum():
             break
         for column in columns:
             if price @ column <= 1 + 1e-9:

@@ -197,19 +197,20 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
 
 
 class Generations(dict):
-    """A dictionary of bounded size: when it is full it becomes the older one, from which entries in use come back."""
+    """Values of a function, kept in a dictionary of bounded size: when it is full it becomes the older one, from which
+    entries in use come back."""
 
-    def __init__(self, most: int = CACHE):
+    def __init__(self, make: Callable, most: int = CACHE):
         super().__init__()
-        self.most, self.older = most, {}
+        self.make, self.most, self.older = make, most, {}
 
     def __missing__(self, key):
-        value = self[key] = self.older[key]
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
-    def unknown(self, keys: set) -> list:
-        return [k for k in keys if k not in self and k not in self.older]
-
     def trim(self) -> None:
         if len(self) > self.most:
             self.older = dict(self)
@@ -233,12 +234,11 @@ class WordTokenizer:
         self.find: Callable = regex.compile(WORD_LEVEL).findall
         self.find_ascii: Callable = self.ascii_words.findall
         self.symbol = dict(enumerate(byte_symbols()))
-        self.cache = Generations()
+        self.cache = Generations(self.ids)
 
-    def learn(self, words: list[str]) -> None:
-        for w in words:
-            got = self.model(w if w.isascii() and w.isprintable() else w.encode("utf-8").decode("latin-1").translate(self.symbol))
-            self.cache[w] = array.array("I", [t.id for t in got]).tobytes()
+    def ids(self, word: str) -> bytes:
+        got = self.model(word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.symbol))
+        return array.array("I", [t.id for t in got]).tobytes()
 
     def words(self, text: str) -> list[str] | None:
         if any(s in text for s in self.special):
@@ -248,13 +248,9 @@ class WordTokenizer:
         return self.find(text.lower() if self.plain.match(text) else self.lib.normalizer.normalize_str(text))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        words = [self.words(t) for t in texts]
-        seen: set[str] = set()
-        for ws in words:
-            if ws:
-                seen.update(ws)
-        self.learn(self.cache.unknown(seen))
-        known = self.cache.__getitem__
-        out = [array.array("I", self.lib.encode(t, add_special_tokens=False).ids).tobytes() if ws is None else b"".join(map(known, ws)) for t, ws in zip(texts, words, strict=True)]
-        self.cache.trim()
+        known, out = self.cache.__getitem__, []
+        for text in texts:
+            words = self.words(text)
+            out.append(array.array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes() if words is None else b"".join(map(known, words)))
+            self.cache.trim()
         return out

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import settle
 from .ordered import global_rank
 
 
@@ -62,35 +63,95 @@ def fastq_records(lines: DataFrame, line: str = "line_no", text: str = "value")
     return by.agg(F.regexp_replace(pick(0), "^@", "").alias("name"), pick(1).alias("seq"), pick(3).alias("qual"))
 
 
+#: Chunks whose maps one task puts together.
+COMPOSE = 4096
+
+
+class Chain:
+    """Steps of a first-order chain as maps from a letter to the next one.
+
+    The random number of a place comes from its place alone, by a counter-based generator, so any part of the chain can be
+    made anywhere; map 0 sends every letter to the first one.
+    """
+
+    def __init__(self, counts: list[list[float]], length: int, seed: int, chunk: int, start: int):
+        p = np.array(counts, float)
+        self.cum = (p / p.sum(1, keepdims=True)).cumsum(1)
+        self.cum[:, -1] = 1.0
+        self.length, self.seed, self.chunk, self.start = length, seed, chunk, start
+
+    def maps(self, i: int) -> np.ndarray:
+        """(places of chunk ``i``, 4): what each letter becomes."""
+        first, n = i * self.chunk, min(self.chunk, self.length - i * self.chunk)
+        bits = np.random.Philox(key=self.seed)
+        bits.advance(first // 4)  # four numbers a step of the counter
+        u = np.random.Generator(bits).random(n + first % 4)[first % 4 :]
+        out = (u[:, None, None] >= self.cum[None, :, :]).sum(2).astype(np.uint8)
+        if i == 0:
+            out[0] = self.start
+        return out
+
+    def letters(self, i: int, before: int) -> bytes:
+        rows, seq, last = self.maps(i).tolist(), bytearray(), before
+        for row in rows:
+            last = row[last]
+            seq.append(last)
+        return bytes(seq).translate(bytes.maketrans(bytes(range(4)), b"acgt"))
+
+
+def composed(maps: np.ndarray) -> np.ndarray:
+    """All maps one after the other, as one."""
+    while len(maps) > 1:
+        odd = maps[-1:] if len(maps) % 2 else maps[:0]
+        pairs = maps[: len(maps) - len(odd)]
+        maps = np.concatenate([np.take_along_axis(pairs[1::2], pairs[::2].astype(np.int64), 1), odd])
+    return maps[0]
+
+
+def _entries(maps: DataFrame, n: int) -> DataFrame:
+    """(chunk, before): the letter before each chunk, from maps (chunk, map) of ``n`` chunks: maps of groups of chunks are
+    composed first, their entries are found in the same way, then those of the chunks of each group."""
+
+    def compose(pdf: pd.DataFrame) -> pd.DataFrame:
+        rows = np.array(pdf.sort_values("chunk")["map"].tolist(), np.uint8)
+        return pd.DataFrame({"chunk": [int(pdf["group"].iloc[0])], "map": [composed(rows).tolist()]})
+
+    def follow(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("chunk")
+        out, last = [], int(pdf["entry"].iloc[0])
+        for m in pdf["map"]:
+            out.append(last)
+            last = int(m[last])
+        return pd.DataFrame({"chunk": pdf["chunk"], "before": out})
+
+    grouped = maps.withColumn("group", F.floor(F.col("chunk") / COMPOSE).cast("long"))
+    if n <= COMPOSE:
+        led = grouped.withColumn("entry", F.lit(0))
+    else:
+        upper = settle(grouped.groupBy("group").applyInPandas(compose, "chunk long, map array<int>"), "maps")
+        led = grouped.join(_entries(upper, -(-n // COMPOSE)).select(F.col("chunk").alias("group"), F.col("before").alias("entry")), "group")
+    return led.groupBy("group").applyInPandas(follow, "chunk long, before int")
+
+
 def markov(spark: SparkSession, counts: list[list[float]], length: int, seed: int | None = None, chunk: int = 1 << 16, start: int = 0) -> DataFrame:
-    """(chunk, seq): a first-order chain over acgt with the given 4 x 4 pair counts; its first letter is ``a``.
+    """(chunk, seq): one walk of a first-order chain over acgt with the given 4 x 4 pair counts; its first letter is ``a``.
 
-    A chain is sequential, so chunks are chains of their own: each draws its first letter from the stationary
-    distribution (the first chunk starts with ``a``) with a seed of its own, and chunks are made in parallel.
+    A step maps each letter to the next one, and maps can be put together before the letter that comes in is known.  So
+    chunks are made in parallel twice: first as maps, whose composition in order gives the letter before each chunk, then
+    as letters.  The walk depends on the seed alone, not on the size of the chunks.
     """
-    p = np.array(counts, float)
-    p /= p.sum(1, keepdims=True)
-    cum = p.cumsum(1)
-    cum[:, -1] = 1.0
-    still = np.linalg.matrix_power(p, 64)[0].cumsum()
+    seed = int(np.random.SeedSequence().entropy % (1 << 63)) if seed is None else seed
+    chain, n = Chain(counts, length, seed, chunk, start), -(-length // chunk)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = []
-            for i in pdf["id"]:
-                rng = np.random.default_rng(None if seed is None else [seed, int(i)])
-                n = min(chunk, length - int(i) * chunk)
-                u = rng.random(n)
-                # what each current letter would become at every step; then one walk over the table
-                nxt = (u[:, None, None] >= cum[None, :, :]).sum(2).astype(np.uint8)
-                seq = np.empty(n, np.uint8)
-                last = start if i == 0 else int(min((still <= u[0]).sum(), 3))
-                seq[0] = last
-                rows = nxt.tolist()
-                for k in range(1, n):
-                    last = rows[k][last]
-                    seq[k] = last
-                out.append(np.frombuffer(b"acgt", np.uint8)[seq].tobytes().decode())
-            yield pd.DataFrame({"chunk": pdf["id"], "seq": out})
-
-    return spark.range(0, -(-length // chunk)).mapInPandas(run, "chunk long, seq string")
+            yield pd.DataFrame({"chunk": pdf["id"], "map": [composed(chain.maps(int(i))).tolist() for i in pdf["id"]]})
+
+    def write_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for i, before in zip(pdf["chunk"], pdf["before"], strict=True):
+                yield pd.DataFrame({"chunk": [i], "seq": [chain.letters(int(i), int(before)).decode()]})
+
+    maps = settle(spark.range(0, n).mapInPandas(sum_up, "chunk long, map array<int>"), "maps")
+    entries = settle(_entries(maps, n), "maps")
+    return entries.repartition("chunk").mapInPandas(write_out, "chunk long, seq string")

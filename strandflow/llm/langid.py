@@ -4,8 +4,9 @@ Text is lower-cased and everything but letters becomes a space (runs collapse);
 are hashed into ``BUCKETS`` buckets.  Training sums bucket counts by language: partitions emit their sums in blocks,
 which are added by (language, block), so neither a language nor a partition ever gathers in one row or task.  The
 log-probability matrix (languages x BUCKETS x 4 bytes, 256 kB a language) is broadcast; scoring gathers it at the
-n-grams that occur.  The languages are counted first: with over ``MAX_LANGS`` of them (a matrix of 64 MB) training ends
-with an error, since such a column is no list of languages.
+n-grams that occur.  The languages are counted first: the ``MAX_LANGS`` most frequent ones have rows in the matrix (64 MB
+at most); any others are kept sparse, as the buckets that their training rows fill, and add what these differ from an
+empty bucket.  The training sample bounds both.
 
 ``MAX_TRAIN`` bounds the training rows: with more labelled rows, a sample of about that many is taken by a hash of the
 id, at every size in the same way.  All documents are scored, whole.
@@ -92,10 +93,29 @@ def sample_share(rows: int, most: int) -> int:
 
 
 class Model:
-    def __init__(self, langs: list[str], docs: np.ndarray, counts: np.ndarray):
+    """``rare``: languages beside those of the matrix, their numbers of documents, and (language, bucket, count) of the
+    buckets that they fill, as three arrays."""
+
+    def __init__(self, langs: list[str], docs: np.ndarray, counts: np.ndarray, rare: tuple[list[str], np.ndarray, tuple[np.ndarray, ...]] | None = None):
         p = (counts + ALPHA) / (counts.sum(1, keepdims=True) + ALPHA * BUCKETS)
-        self.langs, self.logp = langs, np.log(p).astype(np.float32)
-        self.prior = np.log((docs + 1) / (docs.sum() + len(langs)))
+        others, other_docs, (lang, bucket, count) = rare or ([], np.zeros(0), (np.zeros(0, np.int64),) * 3)
+        self.logp, every = np.log(p).astype(np.float32), np.concatenate([docs, other_docs])
+        self.langs = [*langs, *others]
+        prior = np.log((every + 1) / (every.sum() + len(every)))
+        self.prior, self.rare_prior = prior[: len(langs)], prior[len(langs) :]
+        # by bucket: the languages that fill it, and by how much more than an empty one it counts
+        order = np.argsort(bucket, kind="stable")
+        self.who, self.at = lang[order], np.searchsorted(bucket[order], np.arange(BUCKETS + 1))
+        self.more = np.log((count[order] + ALPHA) / ALPHA)
+        self.empty = np.log(ALPHA / (np.bincount(lang, count, len(others)) + ALPHA * BUCKETS))
+
+    def _rare(self, flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Texts x rare languages."""
+        n = self.at[flat + 1] - self.at[flat]
+        entry = np.repeat(self.at[flat] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        cell = np.repeat(np.repeat(np.arange(len(sizes)), sizes), n) * len(self.empty) + self.who[entry]
+        found = np.bincount(cell, self.more[entry], len(sizes) * len(self.empty)).reshape(len(sizes), -1)
+        return found + sizes[:, None] * self.empty + self.rare_prior
 
     def predict(self, texts: list[str]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = [("und", 0.0)] * len(texts)
@@ -104,25 +124,52 @@ class Model:
         made = [(i, grams(c)) for i, c in ((i, letters(t)) for i, t in enumerate(texts)) if len(c)]
         if not made:
             return out
-        flat, at = np.concatenate([g for _, g in made]), np.cumsum([0, *(len(g) for _, g in made)])[:-1]
-        score = np.stack([np.add.reduceat(row[flat], at, dtype=np.float64) for row in self.logp], 1) + self.prior
+        flat, sizes = np.concatenate([g for _, g in made]), np.array([len(g) for _, g in made])
+        at = np.cumsum(sizes) - sizes
+        score = np.zeros((len(made), len(self.logp))) + self.prior
+        for k, row in enumerate(self.logp):
+            score[:, k] += np.add.reduceat(row[flat], at, dtype=np.float64)
+        if len(self.empty):
+            score = np.concatenate([score, self._rare(flat, sizes)], 1)
         score -= score.max(1, keepdims=True)
         p = np.exp(score)
         p /= p.sum(1, keepdims=True)
-        best = p.argmax(1)
+        # of equal ones the language first in order
+        names = np.argsort(np.argsort(np.array(self.langs, object)))
+        best = np.where(p == p.max(1, keepdims=True), names, len(names)).argmin(1)
         for (i, _), k, row in zip(made, best, p, strict=True):
             out[i] = (self.langs[k], float(row[k]))
         return out
 
 
+def _filled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(lang, bucket, n) of each text; bucket -1: a text of the language."""
+    for pdf in C.batches(batches):
+        out: list[tuple[str, int, int]] = []
+        for lang, text in zip(pdf["lang"], pdf["text"], strict=True):
+            chars = letters(text)
+            b, n = np.unique(grams(chars), return_counts=True) if len(chars) else (np.zeros(0, int),) * 2
+            out += [(lang, -1, 1), *((lang, int(x), int(y)) for x, y in zip(b, n, strict=True))]
+        yield pd.DataFrame(out, columns=["lang", "bucket", "n"])
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", most: int = MAX_TRAIN) -> Model:
     """Learn from rows that are not held out and have text and language."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang")).where(~C.held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    by_lang = rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()
-    if len(by_lang) > MAX_LANGS:
-        raise ValueError(f"{lang_col} has over {MAX_LANGS} values")
-    share = sample_share(sum(r["count"] for r in by_lang), most)
-    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < share)
+    by_lang = rows.groupBy("lang").count()
+    top = by_lang.orderBy(F.desc("count"), "lang").limit(MAX_LANGS + 1).collect()
+    total = sum(r["count"] for r in top) if len(top) <= MAX_LANGS else by_lang.agg(F.sum("count")).first()[0]
+    rows = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < sample_share(total, most))
+    rare = None
+    if len(top) > MAX_LANGS:
+        frequent = F.col("lang").isin([r["lang"] for r in top[:MAX_LANGS]])
+        got = rows.where(~frequent).mapInPandas(_filled, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+        rows = rows.where(frequent)
+        names = sorted(got["lang"].unique())
+        number = got["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(np.int64)
+        bucket, n = got["bucket"].to_numpy(np.int64), got["n"].to_numpy(np.int64)
+        text, full = bucket < 0, bucket >= 0
+        rare = (names, np.bincount(number[text], n[text], len(names)), (number[full], bucket[full], n[full]))
     schema = "lang string, block int, docs long, counts binary"
     got = rows.mapInPandas(_sums, schema).groupBy("lang", "block").applyInPandas(_add, schema).collect()
     langs = sorted({r["lang"] for r in got})
@@ -131,7 +178,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
         k = langs.index(r["lang"])
         counts[k, r["block"] * _BLOCK : (r["block"] + 1) * _BLOCK] = np.frombuffer(r["counts"], np.int64)
         n[k] += r["docs"]
-    return Model(langs, n, counts)
+    return Model(langs, n, counts, rare)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", model: Model | None = None) -> DataFrame:

@@ -13,6 +13,7 @@ from ..functions.sequence import complement
 from ..operators.clusters import is_unique
 from ..operators.edits import multiplicity
 from ..operators.intervals import coverage, numbered, overlap_count, range_join, read_starts, run_length, score_track
+from ..scratch import settle
 
 CHUNK = 1 << 12
 #: Bases of a chromosome and strand that one task writes.
@@ -146,9 +147,10 @@ def bam_counts(spark: SparkSession, path: str, regions: DataFrame, planned: list
     """Adds ``reads`` to regions (chrom, strand, start, end): the weight of the reads that reach each one; 0 if none does.
 
     ``planned``: the regions, or wider ones, as texts, if they are few enough to be planned by the index; else the files
-    are read whole and joined.
+    are read whole and joined.  The join looks at the reads twice, so the files are decoded once and the reads written.
     """
-    return overlap_count(regions, bam_reads(spark, path, planned, unique, mult), ["chrom", "strand"] if stranded else ["chrom"])
+    reads = settle(bam_reads(spark, path, planned, unique, mult), "bam")
+    return overlap_count(regions, reads, ["chrom", "strand"] if stranded else ["chrom"])
 
 
 #: Kinds of tracks that load_track knows; more can be registered.

@@ -23,7 +23,7 @@ from ..operators import intervals as I
 from ..operators import reads as R
 from ..sources import sinks as K
 from . import registry
-from .registry import query
+from .registry import golden, query
 
 ALN = """SELECT CAST(l_suppkey AS INT) AS tid,
   CASE WHEN l_suppkey % 10 = 0 THEN concat('chrmarkov_', CAST(l_suppkey AS VARCHAR(20))) ELSE concat('chr', CAST(l_suppkey AS VARCHAR(20))) END AS chrom,
@@ -381,9 +381,13 @@ def f3_complements(spark, d):
     return _dna(spark, d).select("doc_id", S.complement(F.col("seq")).alias("comp"), S.rev_comp(F.col("seq")).alias("rev"))
 
 
-@query("WITH a(c, i) AS (VALUES ('a', 0), ('c', 1), ('g', 2), ('t', 3)) SELECT x.c || y.c || z.c AS kmer, CAST(x.i * 16 + y.i * 4 + z.i AS BIGINT) AS rank FROM a x, a y, a z")
+@query(f"""WITH {_DNA}, k AS (SELECT unnest(list_transform(range(1, length(seq) - 1), lambda i: substr(t, i, 3))) AS kmer FROM (SELECT lower(seq) AS t, seq FROM dna)), n AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1),
+a(c, i) AS (VALUES ('a', 0), ('c', 1), ('g', 2), ('t', 3)), w AS (SELECT x.c || y.c || z.c AS kmer, CAST(x.i * 16 + y.i * 4 + z.i AS BIGINT) AS rank FROM a x, a y, a z)
+SELECT kmer, rank, coalesce(count, 0) AS count FROM w LEFT JOIN n USING (kmer)""")
 def f4_k_mers(spark, d):
-    return S.k_mer_table(spark, 3)
+    """how often each word of the table of three letters occurs in the documents' sequences."""
+    found = S.k_mer_counts(_dna(spark, d), "seq", 3).select("kmer", "count")
+    return S.k_mer_table(spark, 3).join(found, "kmer", "left").select("kmer", "rank", F.coalesce("count", F.lit(0)).alias("count"))
 
 
 @query(f"WITH {_DNA}, k AS (SELECT unnest(list_transform(range(1, length(seq)), lambda i: substr(t, i, 2))) AS kmer FROM (SELECT lower(seq) AS t, seq FROM dna)), c AS (SELECT kmer, count(*) AS count FROM k GROUP BY 1) SELECT kmer, count, round(count / sum(count) OVER (), 8) AS fraction FROM c")
@@ -470,14 +474,14 @@ def sam_reads(spark: SparkSession, rows=SAM, count: str = "uniq") -> DataFrame:
     return I.islands(r, ["chrom", "strand"], ties=["qname"])
 
 
-@query("SELECT * FROM (VALUES ('u_1_x2', 3, 'TC'), ('u_2_x1', 9, 'C_'), ('u_3_x1', 9, '_T'), ('u_4', 2, 'G_'), ('u_4', 3, 'T_'), ('u_4', 5, '_G')) t(qname, off, edit)")
+@golden("SELECT * FROM (VALUES ('u_1_x2', 3, 'TC'), ('u_2_x1', 9, 'C_'), ('u_3_x1', 9, '_T'), ('u_4', 2, 'G_'), ('u_4', 3, 'T_'), ('u_4', 5, '_G')) t(qname, off, edit)")
 def f7_edits(spark, d):
     """Edits of inline alignments, as offsets from 100."""
     r = E.with_edits(sam(spark, [*SAM, INSERTION]))
     return r.select("qname", F.explode("edits").alias("e"), "pos").select("qname", (F.col("pos") + F.col("e.off") - 100).cast("int").alias("off"), "e.edit")
 
 
-@query("""SELECT * FROM (VALUES ('uniq', 4.0::DOUBLE, 1.0::DOUBLE, 0.25::DOUBLE, 446.25::DOUBLE, 92.0::DOUBLE, 1.0::DOUBLE, 0.139612::DOUBLE, 1.0::DOUBLE, 0.168184::DOUBLE, 2.0::DOUBLE, '[TC,C_,_T]'),
+@golden("""SELECT * FROM (VALUES ('uniq', 4.0::DOUBLE, 1.0::DOUBLE, 0.25::DOUBLE, 446.25::DOUBLE, 92.0::DOUBLE, 1.0::DOUBLE, 0.139612::DOUBLE, 1.0::DOUBLE, 0.168184::DOUBLE, 2.0::DOUBLE, '[TC,C_,_T]'),
 ('lin', 7.0::DOUBLE, 2.0::DOUBLE, 0.285714::DOUBLE, 1083.75::DOUBLE, 196.0::DOUBLE, 1.0::DOUBLE, 0.14964::DOUBLE, 0.970951::DOUBLE, 0.18962::DOUBLE, 3.5::DOUBLE, '[TC,C_,_T]')) t(count_function, n_reads, conversion_score, signature_density, cum_uniq, cum_mapq, iclip_score, profile_kl, seq_entropy, entropy_score, cum_pp, edit_types)""")
 def a24_inline_scores(spark, d):
     """All scores of the inline cluster under two count functions."""
@@ -493,7 +497,7 @@ def a24_inline_scores(spark, d):
     return out
 
 
-@query("SELECT * FROM (VALUES (0, 'total', 4.0::DOUBLE), (2, 'perfect', 1.0::DOUBLE), (14, 'T:C', 1.0::DOUBLE), (19, 'T_ins', 1.0::DOUBLE), (21, 'C_del', 1.0::DOUBLE)) t(rank, event, total)")
+@golden("SELECT * FROM (VALUES (0, 'total', 4.0::DOUBLE), (2, 'perfect', 1.0::DOUBLE), (14, 'T:C', 1.0::DOUBLE), (19, 'T_ins', 1.0::DOUBLE), (21, 'C_del', 1.0::DOUBLE)) t(rank, event, total)")
 def a27_statistics(spark, d):
     """Global statistics of the inline reads (rows that are not 0)."""
     k = ["chrom", "strand", "island"]

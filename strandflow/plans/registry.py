@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+#: Figures worked out by hand over inline reads: they read no table, so they are tests, not queries.
+GOLDEN: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str]] = {}
 
 
 def query(sql: str | None = None):
@@ -20,3 +22,13 @@ def query(sql: str | None = None):
         return f
 
     return add
+
+
+def golden(sql: str):
+    """Registers a function that reads no table, with the rows that it gives."""
+
+    def add(f):
+        GOLDEN[f.__name__] = (f, sql)
+        return f
+
+    return add

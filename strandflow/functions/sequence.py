@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import itertools
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,10 +75,14 @@ CODE = genetic_code()
 
 
 def _codons(seq: Column, frame: int) -> Column:
-    """Codons of a frame; a codon is read if more than ``frame`` + 4 letters follow its first one, so the last ones are left out."""
+    """Codons of a frame; a codon is read if more than ``frame`` + 4 letters follow its first one, so the last ones are left out.
+
+    Cut by one pass of a pattern: a substring is looked for from the start of its text each time.
+    """
     n = F.length(seq) - 2 * frame - 4
-    starts = F.when(n > 0, F.sequence(F.lit(0), F.floor((n - 1) / 3).cast("int")))
-    return F.coalesce(F.transform(starts, lambda i: F.upper(F.substring(seq, F.lit(frame + 1) + i * 3, F.lit(3)))), F.array().cast("array<string>"))
+    whole = F.regexp_extract_all(F.substring(seq, frame + 1, 1 << 30), F.lit("(?s)..."), F.lit(0))
+    count = F.when(n > 0, F.floor((n - 1) / 3).cast("int") + 1).otherwise(0)
+    return F.coalesce(F.transform(F.slice(whole, 1, count), F.upper), F.array().cast("array<string>"))
 
 
 def _acids(seq: Column, frame: int) -> Column:
@@ -94,32 +96,30 @@ def translate(seq: Column, frame: int = 0) -> Column:
     return F.regexp_extract(whole, r"(M[^*]*)", 1)
 
 
-def orfs(seq: str) -> list[tuple[int, int, int, str]]:
-    """(frame, start, end, protein) of all reading frames that a stop or unknown codon closes."""
-    out = []
-    for frame in range(3):
-        begin, acids = None, []
-        for i in range(frame, len(seq) - frame - 4, 3):
-            a = CODE.get(seq[i : i + 3].upper(), "")
-            if begin is None and a == "M":
-                begin, acids = i, []
-            if begin is not None:
-                if a:
-                    acids.append(a)
-                else:
-                    out.append((frame, begin, i + 3, "".join(acids)))
-                    begin = None
-    return out
+def let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` in which ``name`` stands for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def all_orfs(seqs: DataFrame, id_col: str, seq_col: str) -> DataFrame:
-    """Table function: id, frame, start, end, protein."""
+def orfs_sql(seq: str = "seq") -> str:
+    """SQL of all reading frames of a text that a stop or unknown codon closes: array of struct<frame, start, end, protein>.
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([(i, *o) for i, s in zip(pdf["id"], pdf["seq"], strict=True) for o in orfs(s or "")], columns=["id", "frame", "start", "end", "protein"])
+    Each starts at the first start codon after the stop before it; what follows the last stop is open and left out.
+    """
+    codons = f"slice(regexp_extract_all(substring({seq}, f + 1), '(?s)...', 0), 1, CAST(greatest(floor((length({seq}) - 2 * f - 5) / 3) + 1, 0) AS INT))"
+    code = ", ".join(f"'{k}', '{v}'" for k, v in CODE.items())
+    acids = f"transform({codons}, c -> coalesce(try_element_at(map({code}), upper(c)), '*'))"
+    # places of the stops; what stands before each one, from its first start codon on
+    stops = "filter(transform(a, (x, i) -> CASE WHEN x = '*' THEN i END), i -> i IS NOT NULL)"
+    parts = "transform(slice(split(array_join(a, ''), '[*]', -1), 1, size(s)), (p, k) -> struct(substring(p, locate('M', p)) AS protein, locate('M', p) AS m, IF(k = 0, 0, s[k - 1] + 1) AS b, s[k] AS e))"
+    found = f"transform(filter({parts}, x -> x.m > 0), x -> struct(CAST(f AS INT) AS frame, CAST((x.b + x.m - 1) * 3 + f AS BIGINT) AS start, CAST(x.e * 3 + f + 3 AS BIGINT) AS end, x.protein AS protein))"
+    return f"flatten(transform(sequence(0, 2), f -> {let('a', acids, let('s', stops, found))}))"
 
-    return seqs.select(F.col(id_col).cast("string").alias("id"), F.col(seq_col).alias("seq")).mapInPandas(run, "id string, frame int, start long, end long, protein string")
+
+def all_orfs(seqs: DataFrame, id_col: str, seq_col: str) -> DataFrame:
+    """One row a reading frame: id, frame, start, end, protein."""
+    rows = seqs.select(F.col(id_col).cast("string").alias("id"), F.col(seq_col).alias("seq"))
+    return rows.select("id", F.inline(F.expr(orfs_sql())))
 
 
 def find_orf(seqs: DataFrame, id_col: str, seq_col: str, least: int = 30) -> DataFrame:

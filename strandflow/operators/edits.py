@@ -29,28 +29,32 @@ def weight(qname: Column, count: str = "uniq") -> Column:
     return F.when(m.isNull(), F.lit(1.0)).otherwise(COUNT_FUNCTIONS[count](m))
 
 
-def with_edits(aln: DataFrame) -> DataFrame:
-    """Adds edits (array of struct<off, edit>, offsets from pos on the reference), n_edits, alen, pend and ref (the
-    reference slice).  Clips are skipped; alignments with N, = or X in the CIGAR are dropped.
-
-    Deletions do not move the offset of a later insertion: an insertion's offset counts aligned read bases only.
-    """
-    out = aln.where(~F.col("cigar").rlike("[N=X]"))
-    out = out.withColumn("_ops", F.expr(r"""transform(regexp_extract_all(cigar, '(\\d+)([A-Z])', 0), t -> struct(CAST(regexp_extract(t, '^(\\d+)', 1) AS INT) AS n, right(t, 1) AS op))"""))
-    out = out.withColumn("_walk", F.expr(f"""
+# SQL of the walks: operations of the CIGAR; insertions, and the query without them, over ``_ops``; the reference over ``_walk``
+OPS = r"""transform(regexp_extract_all(cigar, '(\\d+)([A-Z])', 0), t -> struct(CAST(regexp_extract(t, '^(\\d+)', 1) AS INT) AS n, right(t, 1) AS op))"""
+WALK = f"""
         aggregate(_ops, struct(0 AS j, query AS seq, CAST(array() AS {_INS}) AS ins, 0 AS alen), (s, x) -> CASE
           WHEN x.op = 'M' THEN struct(s.j + x.n AS j, s.seq AS seq, s.ins AS ins, s.alen + x.n AS alen)
           WHEN x.op = 'D' THEN struct(s.j AS j, s.seq AS seq, s.ins AS ins, s.alen + x.n AS alen)
           WHEN x.op = 'I' THEN struct(s.j AS j, concat(substring(s.seq, 1, s.j), substring(s.seq, s.j + x.n + 1)) AS seq,
             concat(s.ins, transform(sequence(1, x.n), k -> struct(s.j AS off, concat('_', substring(s.seq, s.j + k, 1)) AS edit))) AS ins, s.alen AS alen)
-          ELSE s END)"""))
-    out = out.withColumn("_md", F.expr(r"""
+          ELSE s END)"""
+MD = r"""
         aggregate(regexp_extract_all(md, '(\\d+|[A-Z]|\\^[A-Z]+)', 1), struct(0 AS j, _walk.seq AS seq, CAST(array() AS {_INS}) AS edits), (s, t) -> CASE
           WHEN t RLIKE '^[0-9]' THEN struct(s.j + CAST(t AS INT) AS j, s.seq AS seq, s.edits AS edits)
           WHEN t LIKE '^%' THEN struct(s.j + length(t) - 1 AS j, concat(substring(s.seq, 1, s.j), substring(t, 2), substring(s.seq, s.j + 1)) AS seq,
             concat(s.edits, transform(sequence(2, length(t)), k -> struct(s.j + k - 2 AS off, concat(substring(t, k, 1), '_') AS edit))) AS edits)
           ELSE struct(s.j + 1 AS j, concat(substring(s.seq, 1, s.j), t, substring(s.seq, s.j + 2)) AS seq,
-            concat(s.edits, array(struct(s.j AS off, concat(t, substring(s.seq, s.j + 1, 1)) AS edit))) AS edits) END)""".replace("{_INS}", _INS)))
+            concat(s.edits, array(struct(s.j AS off, concat(t, substring(s.seq, s.j + 1, 1)) AS edit))) AS edits) END)""".replace("{_INS}", _INS)
+
+
+def with_edits(aln: DataFrame) -> DataFrame:
+    """Adds edits (array of struct<off, edit>, offsets from pos on the reference), n_edits, alen, pend and ref (the
+    reference slice).  Clips are skipped; alignments with N, = or X in the CIGAR are dropped.
+
+    Deletions do not move the offset of a later insertion: an insertion's offset counts aligned read bases only.
+    """
+    out = aln.where(~F.col("cigar").rlike("[N=X]"))
+    out = out.withColumn("_ops", F.expr(OPS)).withColumn("_walk", F.expr(WALK)).withColumn("_md", F.expr(MD))
     out = out.withColumns({"edits": F.concat("_walk.ins", "_md.edits"), "alen": F.col("_walk.alen"), "ref": F.col("_md.seq")})
     return out.withColumns({"n_edits": F.size("edits"), "pend": F.col("pos") + F.col("alen")}).drop("_ops", "_walk", "_md")
 

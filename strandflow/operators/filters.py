@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..schemas import EDITS
+from ..scratch import settle
 from .intervals import range_join
 
 
@@ -50,6 +51,23 @@ def filter_unique(df: DataFrame, id_col: str) -> DataFrame:
     return df.withColumn("_n", F.count("*").over(Window.partitionBy(id_col))).where("_n = 1").drop("_n")
 
 
+def filter_consecutive(df: DataFrame, id_col: str, ordinal: str = "ordinal", width: int = 1 << 16) -> DataFrame:
+    """Rows whose id neither the row before nor the one after has, in the order of ``ordinal`` (from 0, without gaps); an id
+    that recurs apart from them stays.  Null counts as an id.
+
+    Neighbours are looked for in bins of ``width`` rows; a bin's edges meet those of the bins beside it.
+    """
+    rows = settle(df.withColumn("_bin", F.floor(F.col(ordinal) / width)), "neighbours")
+    item = F.struct(F.col(id_col).alias("id"))
+    edges = settle(rows.groupBy("_bin").agg(F.min_by(item, ordinal).alias("_first"), F.max_by(item, ordinal).alias("_last")), "neighbours")
+    prev = edges.select((F.col("_bin") + 1).alias("_bin"), F.col("_last").alias("_prev"))
+    succ = edges.select((F.col("_bin") - 1).alias("_bin"), F.col("_first").alias("_next"))
+    w = Window.partitionBy("_bin").orderBy(ordinal)
+    near = rows.withColumns({"_b": F.lag(item).over(w), "_a": F.lead(item).over(w)}).join(prev, "_bin", "left").join(succ, "_bin", "left")
+    alone = ~item.eqNullSafe(F.coalesce("_b", "_prev")) & ~item.eqNullSafe(F.coalesce("_a", "_next"))
+    return near.where(alone).select(*df.columns)
+
+
 def known_chromosomes(df: DataFrame, sizes: DataFrame, chrom: str = "chrom") -> DataFrame:
     return df.join(sizes.select(F.col("chrom").alias("_c")), F.col(chrom) == F.col("_c"), "left_semi")
 
@@ -105,6 +123,23 @@ def stage_counters(clusters: DataFrame) -> DataFrame:
     return by.select(F.explode(F.array_compact(names)).alias("key"), "n").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+#: What discard_reason can give.
+REASONS = ["few_reads", "few_conversions", "non_uniq", "insuff_read_support", "insuff_conversion_support", "track_overlap", "masked"]
+
+
+def observed_stages(clusters: DataFrame, counters: Observation) -> DataFrame:
+    """``clusters`` (with reason and decoy) as they are; the action that computes them fills ``counters`` in the same pass."""
+    kept, decoy = F.col("reason").isNull(), F.col("decoy")
+    tests = {"total": F.lit(True), "decoy_hits": decoy, "reference_hits": ~decoy, "kept": kept, "decoy_kept": kept & decoy, "reference_kept": kept & ~decoy}
+    tests |= {f"discarded_{r}": F.col("reason") == f"discarded_{r}" for r in REASONS}
+    return clusters.observe(counters, *[F.count_if(t).alias(k) for k, t in tests.items()])
+
+
+def stage_rows(spark: SparkSession, counters: Observation) -> DataFrame:
+    """(key, n) of the counters that are not 0, as stage_counters gives them."""
+    return spark.createDataFrame([(k, n) for k, n in counters.get.items() if n], "key string, n long")
+
+
 #: Rows of the statistics in their order: totals, then edits by base, insertions and deletions.
 EVENTS = ["total", "uniq", "perfect", "edits", *[e for e in EDITS if "_" not in e], *[e for e in EDITS if e[0] == "_"], *[e for e in EDITS if e[1] == "_"]]
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import tables as T
 from ..operators import clusters as M
 from ..operators import edits as E
 from ..operators import fdr as D
@@ -72,6 +73,13 @@ def f7_edits_whole(spark, d):
     return E.with_edits(aligned(spark, d)).select("qname", "lib", F.explode("edits").alias("e")).groupBy("qname", "lib", F.col("e.off").cast("int").alias("off"), "e.edit").agg(F.count("*").alias("n"))
 
 
+@query(f"WITH {READS_SQL} SELECT qname, lib, CAST(o AS INT) AS off, raw AS edit, count(*) AS n FROM ed GROUP BY ALL")
+def f7_edit_function(spark, d):
+    """F6, F7, section 2.14: the edits of every alignment by a table function in SQL text."""
+    T.register(spark)
+    return spark.sql("SELECT a.qname, a.lib, e.off, e.edit, count(*) AS n FROM {a} a, LATERAL alignment_edits(a.cigar, a.md, a.query) e GROUP BY ALL", a=aligned(spark, d))
+
+
 @query(f"WITH {READS_SQL} SELECT count_function, lib, round(sum(v), 3) AS total FROM (SELECT lib, unnest([{{'c': 'uniq', 'v': 1.0::DOUBLE}}, {{'c': 'lin', 'v': w}}, {{'c': 'log', 'v': log2(w)}}, {{'c': 'arcsinh', 'v': ln(w + sqrt(w * w + 1))}}]) AS s FROM rd) t, LATERAL (SELECT s.c AS count_function, s.v AS v) GROUP BY ALL")
 def a6_weights(spark, d):
     """Multiplicities under all count functions."""

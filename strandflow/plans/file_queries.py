@@ -7,20 +7,21 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
 from ..functions import text as X
 from ..operators import annotate as A
 from ..operators import fdr as D
+from ..operators import filters as P
 from ..operators import genemodel as G
 from ..operators import intervals as I
-from ..scratch import shared_dir
-from ..sources import bam, flat, sequences, sinks, tracks
+from ..scratch import settle, shared_dir
+from ..sources import bam, flat, genome, sequences, sinks, tracks
 from .edit_queries import RAW, aligned
 from .queries import _DNA, _TX, ALN, CLUSTER_SQL, CODE_SQL, ISLAND_SQL, LOCUS, TIES, _dna, _kept, _table, aln, locus, transcripts
-from .registry import query
+from .registry import SQL, query
 
 
 def stored(spark: SparkSession, lines: DataFrame, header: str | None = None) -> str:
@@ -66,6 +67,16 @@ def s4_broken_values(spark, d):
     return flat.read_flat(spark, _broken(spark, d), hints={"order_id": "int", "price_total": "float"}, broken_value=True).drop("line_no")
 
 
+@query("SELECT count(*) AS lines, count_if(o_orderkey % 7 = 0 OR o_orderkey % 11 = 0) AS broken, count_if(o_orderkey % 7 <> 0 AND o_orderkey % 11 <> 0) AS kept, true AS shown FROM orders")
+def p17_broken_lines(spark, d):
+    """Broken lines counted, and the first and last of them kept, by the pass that writes the others."""
+    counts = Observation()
+    got = settle(flat.read_flat(spark, _broken(spark, d), hints={"order_id": "int", "price_total": "float"}, counts=counts))
+    n, first, last = counts.get["broken"], counts.get["first_broken"], counts.get["last_broken"]
+    shown = n == 0 or (first["line"].count("\t") < 2 or first["line"].startswith("x")) and (last["line"].count("\t") < 2 or last["line"].startswith("x"))
+    return got.agg(F.lit(counts.get["lines"]).alias("lines"), F.lit(n).alias("broken"), F.count("*").alias("kept"), F.lit(shown).alias("shown"))
+
+
 @query("SELECT o_orderkey AS c0, o_totalprice AS c1, o_orderstatus AS c2, concat(o_custkey, ',', 1) AS c3 FROM orders")
 def s5_guessed_table(spark, d):
     """Kinds from the first line of data."""
@@ -225,6 +236,16 @@ def s21_alignment_slices(spark, d):
     return tracks.alignment_slices(_regions(spark, d), bases, ["one", "two"]).where("species IS NOT NULL").select("chrom", "species", "seq")
 
 
+@query(f"""WITH {_DNA}, {_REGION}, b AS (SELECT 'd' || doc_id AS chrom, a AS start, doc_id % 2 = 0 AS rev, rpad(CASE WHEN a < 0 THEN repeat('N', CAST(-a AS BIGINT)) || substr(coalesce(seq, ''), 1, CAST(30 + a AS BIGINT)) ELSE substr(coalesce(seq, ''), CAST(a + 1 AS BIGINT), 30) END, 30, 'N') AS seq FROM rg LEFT JOIN dna USING (doc_id))
+SELECT chrom, start, CASE WHEN rev THEN reverse(translate(seq, 'ACGTN', 'TGCAN')) ELSE seq END AS seq FROM b""")
+def s18_indexed_slices(spark, d):
+    """Bases of regions, as read on their strands, by byte ranges of indexed FASTA files."""
+    seqs = _dna(spark, d).where("seq <> ''").select(F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "seq")
+    index = genome.indexed(spark, stored(spark, sinks.fasta_lines(seqs)))
+    regions = _regions(spark, d).withColumn("strand", F.when(F.substring("chrom", 2, 20).cast("long") % 2 == 0, "-").otherwise("+"))
+    return genome.indexed_slices(regions, index).select("chrom", "start", tracks.oriented(F.col("seq"), F.col("strand")).alias("seq"))
+
+
 _RUNS = "SELECT chrom, sense AS strand, min(start) AS start, min(start) + 5 AS \"end\", CAST(count(*) AS DOUBLE) AS value FROM ({LOCUS}) l GROUP BY chrom, sense"
 
 
@@ -305,6 +326,36 @@ def f13_channel(spark, d):
     return locus(spark, d).select("name", F.array_join(F.array_sort(F.transform(c["categories"], lambda x: F.lower(x))), ",").alias("_c"), F.array_join(c["features"], ",").alias("features")).select("name", F.concat(F.lit("transcript/coding,transcript/"), F.regexp_replace(F.regexp_replace("_c", "transcript/coding", ""), "^,?transcript/|,$", "")).alias("categories"), "features")
 
 
+@query(SQL["f13_channel"])
+def s26_combination_ids(spark, d):
+    """Combinations as ids of a dictionary, each parsed once and joined back."""
+    path = f"{shared_dir(spark)}/strandflow/coded-{uuid.uuid4().hex}"
+    combo = F.concat(F.lit("transcript/coding/a$transcript/"), F.substring("name", 3, 1), F.lit("/"), F.col("name"), F.lit("$transcript/coding/a"))
+    sinks.write_coded(locus(spark, d).select("chrom", "sense", "start", "end", "name", combo.alias("combination")), path)
+    got = sinks.load_coded(spark, path)
+    return got.select("name", F.array_join(F.reverse(F.array_sort("channel.categories")), ",").alias("_c"), F.array_join("channel.features", ",").alias("features")).select("name", F.concat(F.lit("transcript/coding,transcript/"), F.lower(F.substring("name", 3, 1))).alias("categories"), "features")
+
+
+@query(f"WITH {CLUSTER_SQL} SELECT CAST(row_number() OVER (ORDER BY encode(tid || ':' || strand || ':' || island)) - 1 AS BIGINT) AS ordinal, tid || ':' || strand || ':' || island AS name, chrom, start + 1 AS start, \"end\", uniq_reads FROM kept")
+def j6_by_place(spark, d):
+    """Clusters written as GFF and their statistics as another file, joined line by line."""
+    rows = _kept(spark, d).orderBy("cid")
+    gff = sinks.gff_lines(rows, "chrom", F.lit("x"), F.lit("cluster"), F.col("start") + 1, "end", F.lit("."), "strand", F.lit("."), F.lit("."))
+    left = stored(spark, gff, "##gff-version 2")
+    both = sequences.by_place(spark, left, stored(spark, rows.select(F.concat_ws("\t", "cid", "uniq_reads").alias("value")), "#cid\tuniq_reads"))
+    l, r = F.split("left", "\t"), F.split("right", "\t")
+    return both.select("ordinal", F.get(r, 0).alias("name"), F.get(l, 0).alias("chrom"), F.get(l, 3).cast("long").alias("start"), F.get(l, 4).cast("long").alias("end"), F.get(r, 1).cast("long").alias("uniq_reads"))
+
+
+@query("SELECT l_orderkey AS k, l_linenumber AS line, l_suppkey % 3 AS id FROM lineitem QUALIFY l_suppkey % 3 IS DISTINCT FROM lag(l_suppkey % 3) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey) AND l_suppkey % 3 IS DISTINCT FROM lead(l_suppkey % 3) OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey)")
+def p14_consecutive_ids(spark, d):
+    """Lines whose id neither neighbour in the file has."""
+    rows = _table(spark, d, "lineitem").orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    lines = sequences.data_lines(spark, stored(spark, rows.select(F.concat_ws("\t", "l_orderkey", "l_linenumber", F.col("l_suppkey") % 3).alias("value")), "#k\tline\tid"))
+    c = F.split("value", "\t")
+    return P.filter_consecutive(lines.select("ordinal", *[F.get(c, i).cast("long").alias(n) for i, n in enumerate(("k", "line", "id"))]), "id").drop("ordinal")
+
+
 @query(f"""WITH t AS ({_TX}), b AS (SELECT *, s + 3 * w * (n - 1) + w AS e FROM t), p AS (
 SELECT name, 'exon' AS kind, s + 3 * w * i AS a, s + 3 * w * i + w AS b FROM b, range(0, 4) r(i) WHERE i < n UNION ALL
 SELECT name, 'intron', s + 3 * w * i + w, s + 3 * w * (i + 1) FROM b, range(0, 4) r(i) WHERE i < n - 1 UNION ALL

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import sequence as S
+from ..functions import tables as T
 from ..functions import text as X
 from ..operators import annotate as A
 from ..operators import clusters as M
@@ -21,6 +22,7 @@ from ..operators import filters as P
 from ..operators import genemodel as G
 from ..operators import intervals as I
 from ..operators import reads as R
+from ..scratch import settle
 from ..sources import sinks as K
 from . import registry
 from .registry import golden, query
@@ -127,6 +129,14 @@ def a28_stage_counters(spark, d):
     return P.stage_counters(cluster_table(spark, d))
 
 
+@query(registry.SQL["a28_stage_counters"])
+def a28_observed_counters(spark, d):
+    """The counters, filled by the pass that writes the clusters that are kept."""
+    counters = Observation()
+    settle(P.observed_stages(cluster_table(spark, d), counters).where("reason IS NULL"), "kept")
+    return P.stage_rows(spark, counters)
+
+
 _MASKS = ["chr3:100-2000", "chr5:0-14000", "chr7:8000-8001"]
 
 
@@ -404,6 +414,19 @@ def s12_numeric(spark, d):
 CODE_SQL = "map {" + ", ".join(f"'{c}': '{a}'" for c, a in S.CODE.items()) + "}"
 
 
+_ORFS = f"""WITH {_DNA}, c AS (SELECT doc_id, f, string_split(array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({CODE_SQL}[substr(seq, i + 1, 3)], '*')), ''), '*') AS g FROM dna, range(0, 3) t(f)),
+u AS (SELECT doc_id, f, len(g) AS n, unnest(g) AS part, generate_subscripts(g, 1) AS i FROM c), v AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id, f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM u),
+o AS (SELECT doc_id, regexp_extract(part, '(M.*)', 1) AS protein, CAST(f + 3 * (off + strpos(part, 'M') - 1) AS BIGINT) AS a FROM v WHERE i < n)"""
+
+
+@query(f"WITH {_ORFS.removeprefix('WITH ')} SELECT doc_id, count(*) AS n, CAST(sum(a) AS BIGINT) AS starts, CAST(sum(a + 3 * length(protein) + 3) AS BIGINT) AS ends, md5(max(protein)) AS last_md5 FROM o WHERE length(protein) > 0 GROUP BY doc_id")
+def f9_reading_frames(spark, d):
+    """F9, section 2.14: all reading frames, by a table function in SQL text."""
+    T.register(spark)
+    rows = "SELECT d.doc_id, r.* FROM {d} d, LATERAL reading_frames(d.seq) r"
+    return spark.sql(f"SELECT doc_id, count(*) AS n, sum(start) AS starts, sum(end) AS ends, md5(max(protein)) AS last_md5 FROM ({rows}) GROUP BY doc_id", d=_dna(spark, d))
+
+
 @query(f"""WITH {_DNA}, c AS (SELECT doc_id, f, string_split(array_to_string(list_transform(range(f, length(seq) - f - 4, 3), lambda i: coalesce({CODE_SQL}[substr(seq, i + 1, 3)], '*')), ''), '*') AS g FROM dna, range(0, 3) t(f)),
 u AS (SELECT doc_id, f, len(g) AS n, unnest(g) AS part, generate_subscripts(g, 1) AS i FROM c), v AS (SELECT *, coalesce(sum(length(part) + 1) OVER (PARTITION BY doc_id, f ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off FROM u),
 o AS (SELECT doc_id, regexp_extract(part, '(M.*)', 1) AS protein, CAST(f + 3 * (off + strpos(part, 'M') - 1) AS BIGINT) AS a FROM v WHERE i < n), best AS (SELECT doc_id, max(struct_pack(n := length(protein), protein := protein, a := a, b := a + 3 * length(protein) + 3)) AS b FROM o WHERE length(protein) >= 10 GROUP BY doc_id)
@@ -524,6 +547,14 @@ def g4_exons(spark, d):
     return G.exons(transcripts(spark, d)).select("name", "number", "e_start", "e_end")
 
 
+@query(f"WITH t AS ({_TX}), e AS (SELECT *, s + 3 * w * i AS es, s + 3 * w * i + w AS ee, i FROM t, range(0, 4) r(i) WHERE i < n) SELECT 'exon' AS kind, sense, CAST(CASE WHEN sense = '-' THEN n - i ELSE i + 1 END AS INT) AS number, count(*) AS n, CAST(sum(es) AS BIGINT) AS starts, CAST(sum(ee) AS BIGINT) AS ends FROM e GROUP BY ALL UNION ALL SELECT 'intron', sense, CAST(CASE WHEN sense = '-' THEN n - 1 - i ELSE i + 1 END AS INT), count(*), CAST(sum(ee) AS BIGINT), CAST(sum(s + 3 * w * (i + 1)) AS BIGINT) FROM e WHERE i < n - 1 GROUP BY ALL")
+def g4_transcript_functions(spark, d):
+    """G4, section 2.14: exons and introns of transcripts, by table functions in SQL text."""
+    T.register(spark)
+    one = "SELECT '{k}' AS kind, t.sense, e.number, count(*) AS n, sum(e.start) AS starts, sum(e.end) AS ends FROM {{t}} t, LATERAL transcript_{k}s(t.sense, t.exon_starts, t.exon_ends) e GROUP BY ALL"
+    return spark.sql(" UNION ALL ".join(one.format(k=k) for k in ("exon", "intron")), t=transcripts(spark, d))
+
+
 @query(f"WITH t AS ({_TX}) SELECT name, n * w AS spliced, (n - 1) * 3 * w + w AS unspliced, array_to_string(list_transform(range(0, n + 1), lambda k: k * w), ',') AS offsets FROM t")
 def w7_offsets(spark, d):
     """W7, G1."""

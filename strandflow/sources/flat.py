@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import itertools
 import re
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import attributes, make_list
@@ -44,6 +45,11 @@ def cast(cell: Column, kind: str) -> Column:
     return F.trim(cell).try_cast(KINDS[kind])
 
 
+def _failed(value: Column, kind: str) -> Column:
+    """Whether a cell, or one of a list's, could not be cast."""
+    return value.isNull() | F.coalesce(F.exists(value, lambda x: x.isNull()), F.lit(False)) if kind in _LISTS else value.isNull()
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """value and line_no (rising in file order; not without gaps)."""
     return spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
@@ -59,13 +65,14 @@ def header_of(spark: SparkSession, path: str, lines: int = 1000) -> list[str]:
         lines *= 10
 
 
-def read_flat(spark: SparkSession, path: str, description: str | None = None, hints: dict[str, str] | None = None, renames: dict[str, str] | None = None, default: str = "str", skip: list[int] | None = None, sep: str = "\t", skip_broken: bool = True, keep_line: bool = False, broken_value: bool = False) -> DataFrame:
+def read_flat(spark: SparkSession, path: str, description: str | None = None, hints: dict[str, str] | None = None, renames: dict[str, str] | None = None, default: str = "str", skip: list[int] | None = None, sep: str = "\t", skip_broken: bool = True, keep_line: bool = False, broken_value: bool = False, counts: Observation | None = None) -> DataFrame:
     """A flat file as a typed table.
 
     The schema comes from ``description`` or the first ``## name:kind`` line; else from the first ``#name`` line with
     kinds from ``hints``; else from the first data line (``guess``).  Blank and # lines are skipped, ``skip`` drops cells
     by index, rows with too few or too many cells or failed casts are dropped, or (broken_value) get -1 and empty lists;
-    keep_line adds the whole line.
+    keep_line adds the whole line.  ``counts``: filled by the action that computes the table, in the same pass: lines,
+    broken (rows with a wrong number of cells or a failed cast), first_broken and last_broken (line_no and line).
     """
     heads = header_of(spark, path)
     pairs = parse_description(description) if description else None
@@ -85,15 +92,20 @@ def read_flat(spark: SparkSession, path: str, description: str | None = None, hi
     if not pairs:
         first = body.orderBy("line_no").limit(1).select(cells.alias("c")).first()
         pairs = [(f"c{i}", guess(x)) for i, x in enumerate(first["c"])] if first else []
-    typed = body.select("line_no", "_line", cells.alias("_c")).where(F.size("_c") == len(pairs))
+    body = body.select("line_no", "_line", cells.alias("_c"))
+    if counts is not None:
+        failed = [_failed(cast(F.get("_c", i), k), k) for i, (_, k) in enumerate(pairs)]
+        line = F.when(reduce(Column.__or__, failed, F.size("_c") != len(pairs)), F.struct("line_no", F.col("_line").alias("line")))
+        body = body.observe(counts, F.count(F.lit(1)).alias("lines"), F.count(line).alias("broken"), F.min(line).alias("first_broken"), F.max(line).alias("last_broken"))
+    typed = body.where(F.size("_c") == len(pairs))
     out = typed.select("line_no", "_line", "_c", *[cast(F.get("_c", i), k).alias(n) for i, (n, k) in enumerate(pairs)])
     for i, (n, k) in enumerate(pairs):
-        bad = F.exists(F.col(n), lambda x: x.isNull()) | F.col(n).isNull() if k in _LISTS else F.col(n).isNull()
+        bad = _failed(F.col(n), k)
         if broken_value:
             empty = F.array().cast(KINDS[k]) if k in _LISTS else F.lit("" if k == "str" else False if k == "bool" else -1).cast(KINDS[k])
             out = out.withColumn(n, F.when(bad, empty).otherwise(F.col(n)))
         elif skip_broken:
-            out = out.where(~F.coalesce(bad, F.lit(True)))
+            out = out.where(~bad)
     return out.select(*[n for n, _ in pairs], *([F.col("_line").alias("line")] if keep_line else []), "line_no")
 
 

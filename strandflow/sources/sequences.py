@@ -37,6 +37,32 @@ def split_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line_no"))
 
 
+def ordinals(lines: DataFrame, name: str = "ordinal") -> DataFrame:
+    """Rows of split_lines, or some of them, numbered from 0 in the order of their files (written parts by their number)
+    without gaps.  Rows are counted inside their splits; what earlier splits hold is carried over a table of one row each."""
+    lines = settle(lines, "lines")
+    part = F.regexp_extract("file", r"part-(\d+)", 1).try_cast("long")
+    held = lines.groupBy("file", "split").agg(F.count("*").alias("_n"))
+    before = Window.orderBy(part, "file", "split").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(F.col("file").alias("_f"), F.col("split").alias("_s"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy("file", "split").orderBy("line_no")) - 1
+    out = lines.withColumn("_own", own).join(held, (F.col("file") == F.col("_f")) & (F.col("split") == F.col("_s")))
+    return out.select(*lines.columns, (F.col("_own") + F.col("_before")).alias(name))
+
+
+def data_lines(spark: SparkSession, path: str) -> DataFrame:
+    """The lines of data (not blank, no # lines) of a file or folder: value and ordinal."""
+    lines = split_lines(spark, path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
+    return ordinals(lines).select("value", "ordinal")
+
+
+def by_place(spark: SparkSession, left: str, right: str) -> DataFrame:
+    """Lines of two files that stand at the same place, counting lines of data only: ordinal, left, right.  Lines beyond the
+    shorter file's end have no partner and get null."""
+    a, b = data_lines(spark, left), data_lines(spark, right)
+    return a.withColumnRenamed("value", "left").join(b.withColumnRenamed("value", "right"), "ordinal", "full").select("ordinal", "left", "right")
+
+
 def blocks(lines: DataFrame, is_head) -> DataFrame:
     """Body lines with block (their head line's place) and head (the block's head line); lines before any head go.
 

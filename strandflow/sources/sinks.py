@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import channel
+from ..operators.ordered import global_rank
 from ..schemas import SCORES
 from .tracks import SAVE_BIN
 
@@ -105,6 +107,30 @@ def write_verdicts(clusters: DataFrame, path: str, method: str) -> None:
     out.write.mode("overwrite").partitionBy("stream").parquet(path)
 
 
+def dictionary(seg: DataFrame) -> DataFrame:
+    """(id, combination): the distinct combinations of a compiled annotation, numbered from 1 in their order by a parallel
+    sort; 0 is the empty one."""
+    return global_rank(seg.select("combination").where("combination <> ''").distinct(), [F.col("combination")], "id").select((F.col("id") + 1).cast("long").alias("id"), "combination")
+
+
+def write_coded(seg: DataFrame, path: str) -> None:
+    """A compiled annotation with combinations as ids: ``segments`` by chromosome and strand, and ``combinations``."""
+    dictionary(seg).write.mode("overwrite").parquet(f"{path}/combinations")
+    words = seg.sparkSession.read.parquet(f"{path}/combinations")
+    write_annotation(seg.join(words, "combination", "left").withColumn("id", F.coalesce("id", F.lit(0))).drop("combination"), f"{path}/segments")
+
+
+def load_coded(spark: SparkSession, path: str, process=channel, chrom: str | None = None, sense: str | None = None) -> DataFrame:
+    """Segments of a coded annotation with ``process`` of their combinations as column channel; each combination is parsed
+    once, in the dictionary, not once a segment.  Chromosome and strand become partition filters."""
+    seg = spark.read.parquet(f"{path}/segments")
+    for c, v in (("chrom", chrom), ("sense", sense)):
+        seg = seg.where(F.col(c) == v) if v is not None else seg
+    words = spark.read.parquet(f"{path}/combinations")
+    empty = spark.createDataFrame([(0, "")], words.schema)
+    return seg.join(words.unionByName(empty).select("id", process(F.col("combination")).alias("channel")), "id")
+
+
 def write_annotation(seg: DataFrame, path: str) -> None:
     """A compiled annotation: segments by chromosome and strand; Parquet keeps the dictionary of combinations."""
     seg.repartition("chrom", "sense", F.floor(F.col("start") / SAVE_BIN)).sortWithinPartitions("start").write.mode("overwrite").partitionBy("chrom", "sense").parquet(path)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
 import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.filters import column_sum, score_threshold
@@ -89,7 +91,107 @@ def merged_islands(reads: DataFrame) -> DataFrame:
     return reads.groupBy("chrom", "strand").applyInPandasWithState(step, schema, "islands string", "append", GroupStateTimeout.NoTimeout)
 
 
-def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Everything that is there now, written as Parquet."""
-    q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
-    q.awaitTermination()
+#: Places of one entry of an island's state.
+STATE_BIN = 1 << 12
+
+
+def _merged(intervals: list[list[int]]) -> list[list[int]]:
+    """[start, end, n] in order of start, with those that touch made one."""
+    out: list[list[int]] = []
+    for start, end, n in sorted(intervals):
+        if out and start <= out[-1][1]:
+            out[-1][1:] = max(out[-1][1], end), out[-1][2] + n
+        else:
+            out.append([start, end, n])
+    return out
+
+
+def _merged_before(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        out = [(c, s, b, *i) for (c, s, b), g in pdf.groupby(["chrom", "strand", "base"], dropna=False, sort=False) for i in _merged([[p, e, 1] for p, e in zip(g["pos"].tolist(), g["pend"].tolist(), strict=True)])]
+        out = pd.DataFrame(out, columns=["chrom", "strand", "base", "start", "end", "n"])
+        yield out.assign(**{c: [None if x != x else x for x in out[c]] for c in ("chrom", "strand")})
+
+
+def released_islands(reads: DataFrame, late: int) -> DataFrame:
+    """Islands of a stream of reads (chrom, strand, place, pos, pend) that comes roughly in order of place, with state for
+    the open ones alone.
+
+    ``place`` is pos plus a number that is the same for a chromosome and strand: pos itself where all chromosomes advance
+    together, or a place in the genome for sorted files.  It is event time, in milliseconds, and its watermark lies
+    ``late`` behind the greatest start so far: an island that ends there is emitted and its state freed; reads that begin
+    at or before the watermark come too late and are dropped.  Islands are state by bins of their starts, with a timer for
+    each bin's last end.  Touching reads of a batch's partition are merged before the shuffle, so a chromosome with many
+    reads sends few rows to its task.  Places are 0 or more; rows with a null place are dropped; equal reads each count.
+    """
+
+    class Islands(StatefulProcessor):
+        def init(self, handle: StatefulProcessorHandle) -> None:
+            self.handle = handle
+            self.bins = handle.getMapState("islands", "bin long", "base long, start array<bigint>, end array<bigint>, n array<bigint>")
+
+        def _load(self, k: int) -> list[list[int]]:
+            _, *columns = self.bins.getValue((k,))
+            return [list(map(int, x)) for x in zip(*columns, strict=True)]
+
+        def _store(self, islands: list[list[int]], base: int) -> None:
+            for k, own in itertools.groupby(islands, key=lambda x: x[0] // STATE_BIN):
+                starts, ends, n = map(list, zip(*own, strict=True))
+                self.bins.updateValue((k,), (base, starts, ends, n))
+                self.handle.registerTimer(max(ends) + base)
+
+        def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
+            new = pd.concat(list(rows), ignore_index=True)
+            base = int(new["base"].iloc[0])
+            found = _merged(list(map(list, zip(new["start"].tolist(), new["end"].tolist(), new["n"].tolist(), strict=True))))
+            held = sorted(k for (k,) in self.bins.keys())
+            first = found[0][0] // STATE_BIN
+            # an island that reaches the first new one may begin in the last bin before it, not earlier: islands are apart
+            low = max((k for k in held if k < first), default=first)
+            touched = [k for k in held if low <= k <= max(i[1] for i in found) // STATE_BIN]
+            islands = _merged(found + [i for k in touched for i in self._load(k)])
+            for k in touched:
+                self.bins.removeKey((k,))
+            self._store(islands, base)
+            yield from ()
+
+        def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
+            mark, out = timerValues.getCurrentWatermarkInMs(), []
+            for (k,) in sorted(self.bins.keys()):
+                base, islands = int(self.bins.getValue((k,))[0]), self._load(k)
+                closed = [i for i in islands if i[1] + base <= mark]
+                if closed:
+                    out += closed
+                    self.bins.removeKey((k,))
+                    self._store([i for i in islands if i[1] + base > mark], base)
+            if out:
+                yield pd.DataFrame([(*key, *i) for i in out], columns=["chrom", "strand", "start", "end", "n"])
+
+        def close(self) -> None:
+            pass
+
+    # the first watermark is 0, so times start beyond it
+    rows = reads.where("place IS NOT NULL AND pend IS NOT NULL").select("chrom", "strand", (F.col("place") - F.col("pos") + late + 1).alias("base"), "pos", "pend")
+    rows = rows.mapInPandas(_merged_before, "chrom string, strand string, base long, start long, end long, n long")
+    rows = rows.withColumn("at", F.timestamp_millis(F.col("start") + F.col("base"))).withWatermark("at", f"{late} milliseconds")
+    schema = "chrom string, strand string, start long, end long, n long"
+    return rows.groupBy("chrom", "strand").transformWithStateInPandas(Islands(), schema, "append", "eventTime")
+
+
+#: The state store that keyed map state needs.
+STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
+
+
+def run_once(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", conf: dict[str, str] | None = None) -> StreamingQuery:
+    """Everything that is there now, written as Parquet.  ``conf``: settings of this run."""
+    spark = stream.sparkSession
+    old = {k: spark.conf.get(k, None) for k in conf or {}}
+    for k, v in (conf or {}).items():
+        spark.conf.set(k, v)
+    try:
+        q = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode(mode).trigger(availableNow=True).start()
+        q.awaitTermination()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    return q

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..scratch import shared_dir
-from .operators import merged_islands, run_once, sessions, sum_lines
+from .operators import STATE_STORE, merged_islands, released_islands, run_once, sessions, sum_lines
 
 
 def _folder(spark: SparkSession) -> str:
@@ -65,6 +65,39 @@ def stream_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run_to_end(spark, pick(_stream(spark, sf_dir, "lineitem")), merged_islands, last)
 
 
+#: Stretches of places that arrive one after the other, and what a row may be late by.
+ARRIVALS, LATE = 4, 16
+
+
+def arriving_islands(spark: SparkSession, reads: DataFrame, arrivals: int, late: int) -> tuple[DataFrame, list]:
+    """released_islands over reads (chrom, strand, pos, pend) whose stretches of positions are written one after the other,
+    and each run's last progress.  A row far behind the others, without chromosome, closes what is open."""
+    out = _folder(spark)
+    reads = reads.where("pos IS NOT NULL").withColumn("place", F.col("pos"))
+    top = reads.agg(F.max(F.greatest("place", "pend"))).first()[0]
+    if top is None:
+        return spark.createDataFrame([], "chrom string, strand string, start long, end long, n long"), []
+    width, runs = top // arrivals + 1, []
+    far = {c: F.lit(top + late + 2) for c in ("pos", "pend", "place")}
+    last = spark.range(1).select(*[far.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in reads.schema])
+    for k in range(arrivals + 1):
+        rows = reads.where(F.floor(F.col("pos") / width) == k) if k < arrivals else last
+        rows.write.mode("append").parquet(f"{out}/in")
+        stream = spark.readStream.schema(reads.schema).parquet(f"{out}/in")
+        runs.append(run_once(released_islands(stream, late), f"{out}/rows", f"{out}/state", conf=STATE_STORE).recentProgress)
+    return spark.read.parquet(f"{out}/rows").where("chrom IS NOT NULL"), runs
+
+
+def _reads(df: DataFrame) -> DataFrame:
+    pos = F.col("l_orderkey") % 15000
+    return df.select(F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")).alias("chrom"), F.when(F.col("l_linestatus") == "F", "+").otherwise("-").alias("strand"), pos.alias("pos"), (pos + F.col("l_quantity").cast("long")).alias("pend"))
+
+
+def stream_released_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Islands over lineitem's intervals that arrive in stretches of positions; what is closed is emitted and freed."""
+    return arriving_islands(spark, _reads(spark.read.parquet(f"{sf_dir}/lineitem.parquet")), ARRIVALS, LATE)[0]
+
+
 def stream_line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stateless line sum over a stream."""
     out = _folder(spark)
@@ -73,7 +106,7 @@ def stream_line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/rows")
 
 
-QUERIES = {"stream_sessions": stream_sessions, "stream_islands": stream_islands, "stream_line_sums": stream_line_sums}
+QUERIES = {"stream_sessions": stream_sessions, "stream_islands": stream_islands, "stream_released_islands": stream_released_islands, "stream_line_sums": stream_line_sums}
 
 #: The batch forms.  A session is open as long as the next event comes before its gap has passed.
 SQL = {
@@ -87,3 +120,4 @@ SELECT user_id, min(ts) AS start, max(ts) + INTERVAL 30 MINUTE AS "end", count(*
 SELECT chrom, strand, min(pos) AS start, max(pend) AS "end", count(*) AS n FROM i GROUP BY chrom, strand, island""",
     "stream_line_sums": """SELECT concat_ws(chr(9), l_returnflag, CAST(l_quantity AS VARCHAR), l_partkey) || chr(9) || CAST(l_quantity - l_partkey AS VARCHAR) AS value FROM lineitem""",
 }
+SQL["stream_released_islands"] = SQL["stream_islands"]

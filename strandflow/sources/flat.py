@@ -50,19 +50,56 @@ def _failed(value: Column, kind: str) -> Column:
     return value.isNull() | F.coalesce(F.exists(value, lambda x: x.isNull()), F.lit(False)) if kind in _LISTS else value.isNull()
 
 
+def _files(spark: SparkSession, path: str) -> list[tuple[str, str, int]]:
+    """(URI, path, bytes) of the files that the text reader reads, in order: written parts by their number.  Contents are not read."""
+    rows = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("uri"), "path", "length").collect()
+    part = lambda r: int((re.search(r"part-(\d+)", r["path"].rpartition("/")[2]) or [0, -1])[1])
+    return [tuple(r) for r in sorted(rows, key=lambda r: (part(r), r["path"]))]
+
+
+def _bytes(text: str) -> int:
+    """A size as settings give it: ``134217728b``, ``64MB``, ``4096``."""
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgtp]?)i?b?", text.strip().lower()).groups()
+    return int(number) << 10 * " kmgtp".index(unit or " ")
+
+
+#: Rows of a task that a line number has room for (as monotonically_increasing_id).
+_TASK_ROWS = 1 << 33
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """value and line_no (rising in file order; not without gaps)."""
-    return spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    """value and line_no (rising in file order; not without gaps).
+
+    The reader deals splits of files to its tasks by their size, so a task's number says nothing about the place of its
+    lines: a split's place comes from its file's and from the byte at which it begins.
+    """
+    # no split is shorter, but for a file's last one
+    unit = max(1, min(_bytes(spark.conf.get(f"spark.sql.files.{k}")) for k in ("maxPartitionBytes", "openCostInBytes")))
+    firsts, at = [], 0
+    for uri, _, size in _files(spark, path):
+        firsts.append((uri, at))
+        at += size // unit + 1
+    # one row a file
+    places = F.broadcast(spark.createDataFrame(firsts, "_uri string, _first long"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_uri"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_i"))
+    place = F.col("_first") + F.floor(F.col("_at") / unit)
+    return lines.join(places, "_uri").select("value", (place * _TASK_ROWS + F.col("_i") % _TASK_ROWS).alias("line_no"))
 
 
 def header_of(spark: SparkSession, path: str, lines: int = 1000) -> list[str]:
-    """The # lines before a file's first line of data; only the file's beginning is read."""
-    while True:
-        first = [r["value"] for r in spark.read.text(path).limit(lines).collect()]
-        head = list(itertools.takewhile(lambda x: x.startswith("#") or not x.strip(), first))
-        if len(head) < len(first) or len(first) < lines:
-            return [x for x in head if x.strip()]
-        lines *= 10
+    """The # lines before the first line of data of a file or folder; only the beginning is read."""
+    out: list[str] = []
+    for _, file, _ in _files(spark, path):
+        while True:
+            first = [r["value"] for r in spark.read.text(file).limit(lines).collect()]
+            head = list(itertools.takewhile(lambda x: x.startswith("#") or not x.strip(), first))
+            if len(head) < len(first) or len(first) < lines:
+                break
+            lines *= 10
+        out += [x for x in head if x.strip()]
+        if len(head) < len(first):
+            break
+    return out
 
 
 def read_flat(spark: SparkSession, path: str, description: str | None = None, hints: dict[str, str] | None = None, renames: dict[str, str] | None = None, default: str = "str", skip: list[int] | None = None, sep: str = "\t", skip_broken: bool = True, keep_line: bool = False, broken_value: bool = False, counts: Observation | None = None) -> DataFrame:

@@ -51,7 +51,8 @@ def aligned(spark: SparkSession, d: str) -> DataFrame:
 
 def clustered(spark: SparkSession, d: str, count: str = "lin") -> DataFrame:
     out = E.with_edits(aligned(spark, d)).withColumns({"strand": F.when(F.col("is_reverse"), "-").otherwise("+"), "w": E.weight(F.col("qname"), count)})
-    return I.islands(out, ["tid", "chrom", "strand"], ties=["qname"], width=512)
+    # what no score reads is not carried along
+    return I.islands(out.drop("cigar", "md", "query", "is_reverse", "alen"), ["tid", "chrom", "strand"], ties=["qname"], width=512)
 
 
 _W = "PARTITION BY tid, strand ORDER BY pos, aend, qname"
@@ -93,15 +94,14 @@ _STATS = f"""st AS (SELECT {_G}, unnest(['total', CASE kind WHEN 0 THEN 'perfect
 @query(f"WITH {READS_SQL}, {_STATS} SELECT tid, strand, island, key, sum(w) AS value FROM st GROUP BY ALL")
 def a7_edit_statistics(spark, d):
     r = clustered(spark, d)
-    return M.edit_statistics(r, E.edit_rows(r, KEYS), KEYS).select(*ID, "key", "value")
+    return M.read_statistics(r, KEYS).select(*ID, "key", "value")
 
 
 @query(f"WITH {READS_SQL} SELECT tid, strand, island, CAST(count(DISTINCT lib) AS INT) AS read_support, CAST(count(DISTINCT CASE WHEN edit = 'TC' THEN lib END) AS INT) AS sig_support, CAST(count(DISTINCT CASE WHEN lib = 'lib0' AND edit = 'GA' OR lib <> 'lib0' AND edit IN ('TC', 'T_') THEN lib END) AS INT) AS mixed_support FROM ed GROUP BY tid, strand, island")
 def a8_supports(spark, d):
     """Libraries with edits and with signature edits, under the default mode and under modes by library."""
     rows = E.edit_rows(clustered(spark, d), KEYS)
-    mixed = M.supports(rows, KEYS, {"lib0": "GA", "*": "TC"}).select(*KEYS, F.col("sig_support").alias("mixed_support"))
-    return M.supports(rows, KEYS, {}).join(mixed, KEYS).select(*ID, "read_support", "sig_support", "mixed_support")
+    return M.supports(rows, KEYS, {}, {"lib0": "GA", "*": "TC"}).select(*ID, "read_support", "sig_support", F.col("sig_support_1").alias("mixed_support"))
 
 
 @query(f"WITH {READS_SQL} SELECT tid, strand, island, CAST(p AS BIGINT) AS pos, sum(w) AS value FROM ed WHERE edit = 'TC' GROUP BY ALL")
@@ -128,7 +128,7 @@ _NUC = f"""nm AS (SELECT tid, strand, island, p, base, sum(v) AS value FROM (
 @query(f"WITH {READS_SQL}, {_NUC} SELECT tid, strand, island, CAST(p AS BIGINT) AS pos, base, value FROM nm")
 def a14_nucleotides(spark, d):
     r = clustered(spark, d)
-    return M.nucleotides(r, E.edit_rows(r, KEYS), KEYS, ["pos", "qname"]).select(*ID, "pos", "base", "value")
+    return M.nucleotides(r, KEYS, ["pos", "qname"]).select(*ID, "pos", "base", "value")
 
 
 def _ends(at: str, name: str) -> str:
@@ -175,7 +175,7 @@ SELECT rank, event, coalesce(total, 0) AS total, coalesce(reference, 0) AS refer
 def a27_statistics_whole(spark, d):
     """Statistics over all clusters."""
     r = clustered(spark, d)
-    return P.global_statistics(M.edit_statistics(r, E.edit_rows(r, KEYS), KEYS).withColumn("decoy", P.is_decoy(F.col("chrom"))))
+    return P.global_statistics(M.read_statistics(r, KEYS).withColumn("decoy", P.is_decoy(F.col("chrom"))))
 
 
 @query(f"""WITH {SCORES_SQL} SELECT tid, strand, island, CASE WHEN uniq_reads < 2 THEN 'discarded_few_reads' WHEN conversion_score < 1 THEN 'discarded_few_conversions' WHEN max_uniq < 1 THEN 'discarded_non_uniq'

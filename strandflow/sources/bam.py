@@ -462,9 +462,10 @@ def write_bam(rows: DataFrame, path: str, refs: list[tuple[str, int]] | None = N
     if refs is None:
         length = F.expr("aggregate(regexp_extract_all(cigar, '([0-9]+)[MDN=X]', 1), 0L, (s, x) -> s + CAST(x AS BIGINT))")
         refs = [(r["chrom"], int(r["n"])) for r in rows.groupBy("chrom").agg(F.max(F.col("pos") + length).alias("n")).orderBy("chrom").collect()]
-    place = F.array_position(F.array(*[F.lit(n) for n, _ in refs]).cast("array<string>"), F.col("chrom"))
+    # one row a reference; a literal list of them would be searched from its start for every read
+    place = F.broadcast(rows.sparkSession.createDataFrame([(n, i) for i, (n, _) in enumerate(refs)], "_name string, _place int"))
     order = [F.col("_place"), F.col("pos"), F.col("qname")]
-    numbered = rows.withColumn("_place", place)
+    numbered = rows.join(place, F.col("chrom") == F.col("_name"), "left")
     dealt = numbered.repartitionByRange(files, *order) if files else numbered.repartitionByRange(*order)
     dealt.sortWithinPartitions(*order).select(*ALIGNED.names).write.format("bam").option("refs", json.dumps(refs)).mode("overwrite").save(path)
 

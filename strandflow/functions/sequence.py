@@ -60,8 +60,9 @@ def k_mer_counts(seqs: DataFrame, seq_col: str, k: int) -> DataFrame:
 
 
 def numeric(seq: Column) -> Column:
-    """Base codes 0-3 as an array; n counts as a."""
-    return F.transform(F.split(F.translate(F.lower(seq), "nacgt", "00123"), ""), lambda c: c.cast("int"))
+    """Base codes 0-3 as an array, empty for an empty text; n counts as a."""
+    codes = F.transform(F.split(F.translate(F.lower(seq), "nacgt", "00123"), ""), lambda c: c.cast("int"))
+    return F.when(seq == "", F.array().cast("array<int>")).otherwise(codes)
 
 
 def genetic_code() -> dict[str, str]:

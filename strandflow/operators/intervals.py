@@ -94,11 +94,15 @@ def number_clusters(df: DataFrame, strand: str = "strand", tid: str = "tid", sta
     return out.select(tid, strand, "island", F.format_string("CID_%06d", F.col("r") + 1).alias("cid"))
 
 
-def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend", weight: str | Column = "mult", width: int = BIN) -> DataFrame:
-    """Runs of equal positive coverage: keys, start, end, value.  A sweep over interval ends; no position is expanded."""
+def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend", weight: str | Column = "mult", width: int = BIN, every_end: bool = False) -> DataFrame:
+    """Runs of equal positive coverage: keys, start, end, value.  A sweep over interval ends; no position is expanded.
+
+    ``every_end``: runs are also cut where an interval ends and another begins, so that their intervals are the same.
+    """
     w = F.col(weight) if isinstance(weight, str) else weight
     ends = df.select(*keys, F.explode(F.array(F.struct(F.col(start).alias("p"), w.alias("d")), F.struct(F.col(end).alias("p"), (-w).alias("d")))).alias("x"))
-    deltas = ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d")).where("d <> 0")
+    deltas = ends.groupBy(*keys, F.col("x.p").alias("p")).agg(F.sum("x.d").alias("d"))
+    deltas = deltas if every_end else deltas.where("d <> 0")
     deltas = settle(deltas.withColumn("_bin", _bin("p", width)), "coverage")
     # from other bins: what is open where a bin begins, and where the next one's first step is
     held, bins = deltas.groupBy(*keys, "_bin").agg(F.sum("d").alias("_d"), F.min("p").alias("_p")), Window.partitionBy(*keys).orderBy("_bin")
@@ -285,8 +289,24 @@ def segments(loci: DataFrame, keys: list[str], width: int = JOIN_BIN) -> DataFra
     return range_join(seg, right, keys, ls="seg_start", le="seg_end", width=width).drop("r_start", "r_end").withColumnsRenamed({"seg_start": "start", "seg_end": "end"})
 
 
+def segment_depths(loci: DataFrame, keys: list[str], width: int = JOIN_BIN) -> DataFrame:
+    """The blocks of ``segments`` with the number of their loci (n), without a row for each of these."""
+    return coverage(loci.where("start < end"), keys, "start", "end", F.lit(1).cast("long"), width, every_end=True).withColumnRenamed("value", "n")
+
+
+def gathered(loci: DataFrame, keys: list[str]) -> DataFrame:
+    """Loci of one place and path as one row with all their names (an array, column name)."""
+    return loci.groupBy(*keys, "start", "end", "path").agg(F.collect_set("name").alias("name"))
+
+
 def compress(seg: DataFrame, keys: list[str]) -> DataFrame:
-    """Segments with their loci as one string: names grouped by path, sorted, ``path/n1,n2`` joined by ``$``."""
-    by_path = seg.groupBy(*keys, "start", "end", "path").agg(F.concat_ws(",", F.array_sort(F.collect_set("name"))).alias("names"))
+    """Segments with their loci as one string: names grouped by path, sorted, ``path/n1,n2`` joined by ``$``.
+
+    ``seg``: segments of loci, or of ``gathered`` ones.  Its rows are shuffled once, by their segments.
+    """
+    seg = seg.repartition(*keys, "start", "end")
+    several = seg.schema["name"].dataType.typeName() == "array"
+    names = F.array_distinct(F.flatten(F.collect_list("name"))) if several else F.collect_set("name")
+    by_path = seg.groupBy(*keys, "start", "end", "path").agg(F.concat_ws(",", F.array_sort(names)).alias("names"))
     one = F.concat(F.regexp_replace("path", "/+$", ""), F.lit("/"), F.col("names"))
     return by_path.groupBy(*keys, "start", "end").agg(F.concat_ws("$", F.array_sort(F.collect_set(one))).alias("combination"))

@@ -17,10 +17,16 @@ def attributes(cell: Column) -> Column:
     """Attribute column to map; a later key wins; values hold no white space."""
     # key, separator, value, end (fixed values)
     pattern = F.lit(r"""(\w+)([ ="]+)(\S+?)(["\;\s]+|$)""")
-    pairs = F.arrays_zip(F.regexp_extract_all(cell, pattern, F.lit(1)).alias("k"), F.regexp_extract_all(cell, pattern, F.lit(3)).alias("v"))
-    # keep the last of each key
-    last = F.filter(pairs, lambda x, i: ~F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs) - i - 1, F.lit(0))), lambda y: y["k"] == x["k"]))
-    return F.map_from_entries(F.transform(last, lambda x: F.struct(x["k"], x["v"])))
+    both = F.struct(F.regexp_extract_all(cell, pattern, F.lit(1)).alias("k"), F.regexp_extract_all(cell, pattern, F.lit(3)).alias("v"))
+
+    def last(p: Column) -> Column:
+        """The pairs without those whose key comes again."""
+        k = p["k"]
+        return F.filter(F.arrays_zip(k.alias("k"), p["v"].alias("v")), lambda x, i: ~F.array_contains(F.slice(k, i + 2, F.greatest(F.size(k) - i - 1, F.lit(0))), x["k"]))
+
+    # the patterns run once a cell: what a function of an array's elements names is computed for each of them
+    found = F.get(F.transform(F.array(both), last), 0)
+    return F.map_from_entries(F.transform(found, lambda x: F.struct(x["k"], x["v"])))
 
 
 def to_bool(cell: Column) -> Column:

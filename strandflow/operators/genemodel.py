@@ -26,7 +26,8 @@ def transcripts(genes: DataFrame, gene_names: DataFrame | None = None) -> DataFr
 
 def transcripts_from_gtf(gff: DataFrame, attrs: Column) -> DataFrame:
     """Transcripts from exon rows grouped by transcript_id; without coding regions."""
-    ex = gff.where(F.col("type") == "exon").select(attrs["transcript_id"].alias("name"), attrs["gene_id"].alias("gene_id"), "chrom", "sense", F.struct((F.col("start") - 1).alias("s"), F.col("end").alias("e")).alias("x"))
+    # the attributes are parsed once a row
+    ex = gff.where(F.col("type") == "exon").withColumn("_a", attrs).select(F.col("_a")["transcript_id"].alias("name"), F.col("_a")["gene_id"].alias("gene_id"), "chrom", "sense", F.struct((F.col("start") - 1).alias("s"), F.col("end").alias("e")).alias("x"))
     by = ex.groupBy("name", "chrom", "sense").agg(F.min("gene_id").alias("gene_id"), F.array_sort(F.collect_set("x")).alias("xs"))
     null = F.lit(None).cast("long")
     return by.select("name", "gene_id", "chrom", "sense", F.col("xs.s").alias("exon_starts"), F.col("xs.e").alias("exon_ends"), null.alias("cds_start"), null.alias("cds_end"))

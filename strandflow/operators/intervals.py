@@ -144,6 +144,36 @@ def run_length(df: DataFrame, keys: list[str], pos: str = "pos", value: str = "v
     return merge_runs(runs.select(*keys, "start", "end", value), keys, value, width).withColumnRenamed(value, "score")
 
 
+#: Places of one piece of a chromosome in highest_runs.
+RUN_BIN = 1 << 9
+
+
+def highest_runs(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend", value: str = "value", default: float = 0, width: int = BIN, piece: int = RUN_BIN) -> DataFrame:
+    """run_length of the highest value over each position, straight from intervals: keys, start, end, score.  No position is
+    a row.
+
+    Intervals are cut at pieces of ``piece`` places.  Of those of a piece that begin together with one value only the longest
+    counts, so a piece has a bounded number of them however deep it is; its runs are found between the bounds of its
+    intervals.  Runs that meet at the edge of two pieces are put together afterwards.
+    """
+    base = F.col("_piece") * piece
+    own = df.where(F.col(start) < F.col(end)).select(*keys, F.col(start).alias("s"), F.col(end).alias("e"), F.col(value).alias("v"), F.explode(F.sequence(F.floor(F.col(start) / piece), F.floor((F.col(end) - 1) / piece))).alias("_piece"))
+    own = own.select(*keys, "_piece", F.greatest(F.col("s") - base, F.lit(0)).cast("int").alias("s"), F.least(F.col("e") - base, F.lit(piece)).cast("int").alias("e"), "v").where("v IS NOT NULL")
+    longest = own.groupBy(*keys, "_piece", "s", "v").agg(F.max("e").alias("e"))
+    at = longest.groupBy(*keys, "_piece").agg(F.collect_list(F.struct("s", "e", "v")).alias("_r"))
+    at = at.withColumn("_b", F.array_sort(F.array_distinct(F.concat("_r.s", "_r.e"))))
+    top = F.expr("transform(slice(_b, 1, size(_b) - 1), (p, i) -> struct(p AS s, _b[i + 1] AS e, array_max(filter(_r, r -> r.s <= p AND r.e > p).v) AS v))")
+    at = at.withColumn("_t", F.filter(top, lambda x: x["v"].isNotNull() & (x["v"] != default)))
+    # a run begins where its neighbour does not touch it or has another value, and ends likewise
+    first = F.expr("filter(_t, (x, i) -> i = 0 OR _t[i - 1].e <> x.s OR _t[i - 1].v <> x.v)")
+    last = F.expr("filter(_t, (x, i) -> i = size(_t) - 1 OR _t[i + 1].s <> x.e OR _t[i + 1].v <> x.v)")
+    at = at.select(*keys, "_piece", F.explode(F.arrays_zip(first.alias("a"), last.alias("b"))).alias("x"))
+    runs = at.select(*keys, (base + F.col("x.a.s")).alias("start"), (base + F.col("x.b.e")).alias("end"), F.col("x.a.v").alias(value))
+    runs = settle(runs, "runs")
+    edge = (F.col("start") % piece == 0) | (F.col("end") % piece == 0)
+    return merge_runs(runs.where(edge), keys, value, width).unionByName(runs.where(~edge)).withColumnRenamed(value, "score")
+
+
 def merge_runs(df: DataFrame, keys: list[str], value: str = "value", width: int = BIN) -> DataFrame:
     """Runs that touch and have equal values become one."""
     rows = previous(settle(df, "runs"), keys, "start", F.struct(F.col("end").alias("end"), F.col(value).alias("value")), "_last", width)

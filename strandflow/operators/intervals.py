@@ -24,6 +24,16 @@ def _bin(pos: str, width: int) -> Column:
     return F.floor(F.col(pos) / width).cast("long")
 
 
+#: Rows of one task where a table's rows are counted before they are dealt: tasks grow in number with it, not in size.
+TASK_ROWS = 500_000
+
+
+def _dealt(df: DataFrame, rows: int, by: list[str]) -> DataFrame:
+    """``df`` of ``rows`` rows dealt by the columns ``by``; a small table is left to the session's settings."""
+    n = rows // TASK_ROWS + 1
+    return df.repartition(n, *by) if n > 8 else df
+
+
 def _carry(df: DataFrame, keys: list[str], value: Column, combine, default=None) -> DataFrame:
     """keys, _bin, _carry: ``combine`` of ``value`` over all earlier bins of the same keys."""
     by = df.groupBy(*keys, "_bin").agg(value.alias("_v"))
@@ -48,18 +58,24 @@ def islands(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pend
     df = df.withColumn("_bin", _bin(start, width))
     # what a bin needs from earlier ones is found over keys, starts and ends alone; whole rows are dealt and written once
     small = settle(df.select(*keys, "_bin", start, end), "islands")
+    rows, place = small.count(), [*keys, "_bin"]
     carry = _carry(small, keys, F.max(end), F.max)
-    held = carry.join(_carry(_opened(small, carry, keys, start, end, []).groupBy(*keys, "_bin").agg(F.sum("_new").alias("_new")), keys, F.max("_new"), F.sum, 0).withColumnRenamed("_carry", "_offset"), [*keys, "_bin"])
-    out = _opened(df, held, keys, start, end, ties or [])
+    # of a bin's own openings those up to the carried end are none: they are its first ones, so their number is enough
+    openings = _opened(_dealt(small, rows, place), keys, start, end, []).where("_new = 1").select(*keys, "_bin", start).join(carry, [*keys, "_bin"])
+    held = openings.groupBy(*keys, "_bin").agg(F.count_if(F.col(start) <= F.col("_carry")).alias("_none"), F.count("*").alias("_all"))
+    earlier = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select(*keys, "_bin", "_none", F.coalesce(F.sum(F.col("_all") - F.col("_none")).over(earlier), F.lit(0)).alias("_offset"))
     upto = Window.partitionBy(*keys, "_bin").orderBy(start, end, *(ties or [])).rowsBetween(Window.unboundedPreceding, 0)
-    return settle(out.withColumn("island", F.col("_offset") + F.sum("_new").over(upto)).drop("_bin", "_carry", "_offset", "_new"), "islands")
+    # numbered before the join, so that whole rows are sorted once
+    out = _opened(_dealt(df, rows, place), keys, start, end, ties or []).withColumn("_own", F.sum("_new").over(upto)).join(held, place)
+    return settle(out.withColumn("island", F.col("_offset") + F.greatest(F.col("_own") - F.col("_none"), F.lit(0))).drop("_bin", "_own", "_none", "_offset", "_new"), "islands")
 
 
-def _opened(df: DataFrame, held: DataFrame, keys: list[str], start: str, end: str, ties: list[str]) -> DataFrame:
-    """Adds ``_new``: 1 if a row starts beyond the greatest end before it, of its bin or of earlier ones (``held._carry``)."""
+def _opened(df: DataFrame, keys: list[str], start: str, end: str, ties: list[str]) -> DataFrame:
+    """Adds ``_new``: 1 if a row starts beyond the greatest end before it in its bin."""
     before = Window.partitionBy(*keys, "_bin").orderBy(start, end, *ties).rowsBetween(Window.unboundedPreceding, -1)
-    top = F.greatest(F.max(end).over(before), F.col("_carry"))
-    return df.join(held, [*keys, "_bin"]).withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0))
+    top = F.max(end).over(before)
+    return df.withColumn("_new", F.when(top.isNull() | (F.col(start) > top), 1).otherwise(0))
 
 
 def merge_sources(*sources: DataFrame) -> DataFrame:
@@ -108,8 +124,9 @@ def coverage(df: DataFrame, keys: list[str], start: str = "pos", end: str = "pen
     held, bins = deltas.groupBy(*keys, "_bin").agg(F.sum("d").alias("_d"), F.min("p").alias("_p")), Window.partitionBy(*keys).orderBy("_bin")
     held = held.select(*keys, "_bin", F.coalesce(F.sum("_d").over(bins.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_open"), F.lead("_p").over(bins).alias("_next"))
     inside = Window.partitionBy(*keys, "_bin").orderBy("p")
-    depth = F.col("_open") + F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0))
-    out = deltas.join(held, [*keys, "_bin"]).select(*keys, F.col("p").alias("start"), F.coalesce(F.lead("p").over(inside), F.col("_next")).alias("end"), depth.alias("value"))
+    # summed before the join, so that steps are sorted once
+    own = _dealt(deltas, deltas.count(), [*keys, "_bin"]).select(*keys, "_bin", F.col("p").alias("start"), F.lead("p").over(inside).alias("_lead"), F.sum("d").over(inside.rowsBetween(Window.unboundedPreceding, 0)).alias("_depth"))
+    out = own.join(held, [*keys, "_bin"]).select(*keys, "start", F.coalesce("_lead", "_next").alias("end"), (F.col("_open") + F.col("_depth")).alias("value"))
     return out.where("value > 0 AND end IS NOT NULL")
 
 

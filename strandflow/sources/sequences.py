@@ -240,13 +240,17 @@ def with_tids(rows: DataFrame, chroms: list[str] | None = None) -> DataFrame:
 
 def alignments(spark: SparkSession, path: str, lib: str = "lib", chroms: list[str] | None = None) -> DataFrame:
     """SAM text through Spark's own reader: works on every store; ``chroms`` gives the order of chromosomes (else by name)."""
-    rows = spark.read.text(path).where(~F.col("value").startswith("@")).select(F.split("value", "\t").alias("f")).where(F.size("f") >= 11)
-    tag = lambda k: F.get(F.transform(F.filter(F.slice("f", 12, 1 << 20), lambda t: F.substring(t, 1, 3) == f"{k}:"), lambda t: F.substring(t, 6, 1 << 20)), 0)
+    # lines are chosen by their text: a filter of the cells would cut each line again
+    chrom = F.substring_index(F.substring_index("value", "\t", 3), "\t", -1)
+    rows = spark.read.text(path).where(~F.col("value").startswith("@") & (F.substring_index("value", "\t", 10) != F.col("value")) & (chrom != "*"))
+    rows = rows.select(chrom.alias("chrom"), F.split("value", "\t").alias("f")).select("*", F.slice("f", 12, 1 << 20).alias("t"))
+    rows = rows.select("*", F.transform("t", lambda t: F.substring(t, 1, 3)).alias("k"))
+    tag = lambda k: F.substring(F.get("t", F.array_position("k", f"{k}:").cast("int") - 1), 6, 1 << 20)
     f = lambda i: F.get("f", i)
-    clip = lambda pattern: F.coalesce(F.regexp_extract(f(5), pattern, 1).try_cast("int"), F.lit(0))
+    clip = lambda pattern: F.when(f(5).contains("S"), F.coalesce(F.regexp_extract(f(5), pattern, 1).try_cast("int"), F.lit(0))).otherwise(0)
     lead, trail = clip(r"^(?:\d+H)?(\d+)S"), clip(r"(\d+)S(?:\d+H)?$")
     query = F.substring(f(9), lead + 1, F.length(f(9)) - lead - trail)
-    out = rows.where(f(2) != "*").select(F.coalesce(tag("LB"), F.lit(lib)).alias("lib"), f(2).alias("chrom"), (f(3).cast("long") - 1).alias("pos"), f(5).alias("cigar"), (f(1).cast("int").bitwiseAND(16) != 0).alias("is_reverse"), f(0).alias("qname"), query.alias("query"), tag("MD").alias("md"), f(4).cast("int").alias("mapq"), tag("X0").cast("int").alias("x0"), tag("X1").cast("int").alias("x1"), tag("AS").cast("int").alias("as_"), tag("XS").cast("int").alias("xs"), tag("PP").cast("double").alias("pp"))
+    out = rows.select(F.coalesce(tag("LB"), F.lit(lib)).alias("lib"), "chrom", (f(3).cast("long") - 1).alias("pos"), f(5).alias("cigar"), (f(1).cast("int").bitwiseAND(16) != 0).alias("is_reverse"), f(0).alias("qname"), query.alias("query"), tag("MD").alias("md"), f(4).cast("int").alias("mapq"), tag("X0").cast("int").alias("x0"), tag("X1").cast("int").alias("x1"), tag("AS").cast("int").alias("as_"), tag("XS").cast("int").alias("xs"), tag("PP").cast("double").alias("pp"))
     return with_tids(out, chroms)
 
 

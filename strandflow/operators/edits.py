@@ -29,8 +29,9 @@ def weight(qname: Column, count: str = "uniq") -> Column:
     return F.when(m.isNull(), F.lit(1.0)).otherwise(COUNT_FUNCTIONS[count](m))
 
 
-# SQL of the walks: operations of the CIGAR; insertions, and the query without them, over ``_ops``; the reference over ``_walk``
-OPS = r"""transform(regexp_extract_all(cigar, '(\\d+)([A-Z])', 0), t -> struct(CAST(regexp_extract(t, '^(\\d+)', 1) AS INT) AS n, right(t, 1) AS op))"""
+# SQL of the walks: operations of the CIGAR; insertions, and the query without them, over ``_ops``; the reference over ``_walk``.
+# Tokens of MD are numbers (below ':'), letters or ^letters.
+OPS = r"""transform(regexp_extract_all(cigar, '(\\d+)([A-Z])', 0), t -> struct(CAST(left(t, length(t) - 1) AS INT) AS n, right(t, 1) AS op))"""
 WALK = f"""
         aggregate(_ops, struct(0 AS j, query AS seq, CAST(array() AS {_INS}) AS ins, 0 AS alen), (s, x) -> CASE
           WHEN x.op = 'M' THEN struct(s.j + x.n AS j, s.seq AS seq, s.ins AS ins, s.alen + x.n AS alen)
@@ -40,7 +41,7 @@ WALK = f"""
           ELSE s END)"""
 MD = r"""
         aggregate(regexp_extract_all(md, '(\\d+|[A-Z]|\\^[A-Z]+)', 1), struct(0 AS j, _walk.seq AS seq, CAST(array() AS {_INS}) AS edits), (s, t) -> CASE
-          WHEN t RLIKE '^[0-9]' THEN struct(s.j + CAST(t AS INT) AS j, s.seq AS seq, s.edits AS edits)
+          WHEN t < ':' THEN struct(s.j + CAST(t AS INT) AS j, s.seq AS seq, s.edits AS edits)
           WHEN t LIKE '^%' THEN struct(s.j + length(t) - 1 AS j, concat(substring(s.seq, 1, s.j), substring(t, 2), substring(s.seq, s.j + 1)) AS seq,
             concat(s.edits, transform(sequence(2, length(t)), k -> struct(s.j + k - 2 AS off, concat(substring(t, k, 1), '_') AS edit))) AS edits)
           ELSE struct(s.j + 1 AS j, concat(substring(s.seq, 1, s.j), t, substring(s.seq, s.j + 2)) AS seq,
@@ -59,9 +60,15 @@ def with_edits(aln: DataFrame) -> DataFrame:
     return out.withColumns({"n_edits": F.size("edits"), "pend": F.col("pos") + F.col("alen")}).drop("_ops", "_walk", "_md")
 
 
+def each_edit(reads: DataFrame, *cols: str) -> DataFrame:
+    """One row per edit: ``cols`` and e.  Before a plain explode Spark filters the reads by the number of their edits, and
+    puts the walks of with_edits into that filter, three times over; an outer one has none."""
+    return reads.select(*cols, F.explode_outer("edits").alias("e")).where("e IS NOT NULL")
+
+
 def edit_rows(reads: DataFrame, keys: list[str]) -> DataFrame:
     """One row per edit: keys, lib, pos (on the reference), edit (as on the strand), w."""
-    out = reads.select(*keys, "lib", "strand", "pos", "w", F.explode("edits").alias("e"))
+    out = each_edit(reads, *keys, "lib", "strand", "pos", "w")
     return out.select(*keys, "lib", (F.col("pos") + F.col("e.off")).alias("pos"), strand_edit(F.col("e.edit"), F.col("strand")).alias("edit"), "strand", "w")
 
 

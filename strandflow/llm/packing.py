@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import common as C
-from .tokens import WordTokenizer
+from .tokens import word_tokenizer
 
 LENGTH = 2048
 GRAIN = 8
@@ -46,7 +46,7 @@ PIECES = "n long, full array<long>, rest_crc long, powers array<long>"
 
 def _pieces(path: str):
     """Per text: number of ids, checksums of its full sequences, of its rest, and of the rest's powers of two."""
-    lib = WordTokenizer(path)
+    lib = word_tokenizer(path)
     step = 4 * LENGTH
 
     def judge(texts: list[str | None]) -> list:

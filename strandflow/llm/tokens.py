@@ -23,9 +23,11 @@ from __future__ import annotations
 import array
 import heapq
 import json
+import os
 import re
 from collections import defaultdict
 from collections.abc import Callable
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -40,6 +42,8 @@ LIMIT = 1024
 CACHE = 100_000
 #: Bytes of distinct pre-tokens that one merging step holds, and bytes from which a pre-token is merged by itself.
 STEP, LONG = 1_500_000, 1000
+#: Pieces of text whose ids are kept by a tokenizer of words, and their greatest length in bytes.
+PIECES, SHORT = 400_000, 100
 #: The pre-token patterns of the two vocabularies (fixed values).
 BYTE_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_LEVEL = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -198,16 +202,18 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = LIMIT, i
 
 class Generations(dict):
     """Values of a function, kept in a dictionary of bounded size: when it is full it becomes the older one, from which
-    entries in use come back."""
+    entries in use come back.  Keys longer than ``longest`` are not kept."""
 
-    def __init__(self, make: Callable, most: int = CACHE):
+    def __init__(self, make: Callable, most: int = CACHE, longest: int = LONG):
         super().__init__()
-        self.make, self.most, self.older = make, most, {}
+        self.make, self.most, self.longest, self.older = make, most, longest, {}
 
     def __missing__(self, key):
         value = self.older.get(key)
         if value is None:
             value = self.make(key)
+            if len(key) > self.longest:
+                return value
         self[key] = value
         return value
 
@@ -218,12 +224,16 @@ class Generations(dict):
 
 
 class WordTokenizer:
-    """The library's ids, little-endian unsigned 32-bit; each distinct word goes through its model once while it is kept."""
+    """The library's ids, little-endian unsigned 32-bit.
+
+    No pre-token holds white space, so a normalised text is cut at its ASCII white space first, and each distinct piece
+    is cut into pre-tokens, and each distinct pre-token goes through the library's model, once while it is kept.
+    """
 
     #: Lower-casing by Python equals the library's normaliser for texts of these characters.
     plain = regex.compile(r"[\x00-\x1b\x20-\x7e\xa1-\xac\xae-\u024f\u2010-\u2027\u2030-\u205e]*\Z")
-    #: WORD_LEVEL for ASCII texts, which the standard library splits faster.
-    ascii_words = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\sa-z0-9]+", re.ASCII)
+    #: WORD_LEVEL for ASCII texts, which the standard library splits faster; its cases exclude each other but for the last.
+    ascii_words = re.compile(r"[a-z]+|[0-9]|'(?:[stmd]|re|ve|ll)|[^\sa-z0-9]+", re.ASCII)
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -234,23 +244,40 @@ class WordTokenizer:
         self.find: Callable = regex.compile(WORD_LEVEL).findall
         self.find_ascii: Callable = self.ascii_words.findall
         self.symbol = dict(enumerate(byte_symbols()))
-        self.cache = Generations(self.ids)
-
-    def ids(self, word: str) -> bytes:
+        self.cache = Generations(self.ids, PIECES, SHORT)
+
+    def ids(self, piece: bytes) -> bytes:
+        """Ids of a piece of normalised text without ASCII white space, often a single pre-token."""
+        word = piece.decode("utf-8")
+        if not word.isalpha():
+            words = self.find_ascii(word) if word.isascii() else self.find(word)
+            if len(words) != 1:
+                return b"".join([self.cache[w.encode("utf-8")] for w in words])
+            word = words[0]
         got = self.model(word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.symbol))
         return array.array("I", [t.id for t in got]).tobytes()
 
-    def words(self, text: str) -> list[str] | None:
+    def pieces(self, text: str) -> list[bytes] | None:
         if any(s in text for s in self.special):
             return None
-        if text.isascii():
-            return self.find_ascii(text.lower())
-        return self.find(text.lower() if self.plain.match(text) else self.lib.normalizer.normalize_str(text))
+        text = text.lower() if text.isascii() or self.plain.match(text) else self.lib.normalizer.normalize_str(text)
+        return text.encode("utf-8").split()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         known, out = self.cache.__getitem__, []
         for text in texts:
-            words = self.words(text)
-            out.append(array.array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes() if words is None else b"".join(map(known, words)))
+            pieces = self.pieces(text)
+            out.append(array.array("I", self.lib.encode(text, add_special_tokens=False).ids).tobytes() if pieces is None else b"".join(map(known, pieces)))
             self.cache.trim()
         return out
+
+
+@lru_cache(maxsize=1)
+def _tokenizer(path: str, changed: int, size: int) -> WordTokenizer:
+    return WordTokenizer(path)
+
+
+def word_tokenizer(path: str) -> WordTokenizer:
+    """The tokenizer of this file, one a process: the next task of a worker finds what the last one has kept."""
+    at = os.stat(path)
+    return _tokenizer(path, at.st_mtime_ns, at.st_size)

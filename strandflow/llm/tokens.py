@@ -250,13 +250,17 @@ class WordTokenizer:
         """Ids of a piece of normalised text without ASCII white space, often a single pre-token."""
         word = piece.decode("utf-8")
         if not word.isalpha():
-            words = self.find_ascii(word) if word.isascii() else self.find(word)
+            words = self.find_ascii(word) if word.isascii() else self.find(word) if self.plain.match(word) else self.library_words(word)
             if len(words) != 1:
                 return b"".join([self.cache[w.encode("utf-8")] for w in words])
             word = words[0]
         got = self.model(word if word.isascii() and word.isprintable() else word.encode("utf-8").decode("latin-1").translate(self.symbol))
         return array.array("I", [t.id for t in got]).tobytes()
 
+    def library_words(self, text: str) -> list[str]:
+        """Pre-tokens by the library itself, whose Unicode tables know fewer letters than those of ``regex``."""
+        return [text[a:b] for _, (a, b) in self.lib.pre_tokenizer.pre_tokenize_str(text)]
+
     def pieces(self, text: str) -> list[bytes] | None:
         if any(s in text for s in self.special):
             return None

@@ -9,6 +9,7 @@ index beside the file (``.bai``) a region reads only the index's chunks for it.
 from __future__ import annotations
 
 import bisect
+import functools
 import io
 import itertools
 import json
@@ -22,14 +23,16 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from .sequences import ALIGNED, SplitReader, opened, split_clips
+from .sequences import ALIGNED, SplitReader, listed, opened, split_clips
 
 _HEAD = struct.Struct("<iiiBBHHHiiii")
 _BASES, _OPS = "=ACMGRSVTWYHKDBN", "MIDNSHP=X"
-_NUMBERS = {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}
+_NUMBERS = {ord(k): struct.Struct(v) for k, v in {"c": "<b", "C": "<B", "s": "<h", "S": "<H", "i": "<i", "I": "<I", "f": "<f"}.items()}
+_TEXTS = frozenset(b"ZH")
+_LB, _MD, _X0, _X1, _AS, _XS, _PP = b"LB", b"MD", b"X0", b"X1", b"AS", b"XS", b"PP"
 _KINDS = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.bool_(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.float64()]
 _MOST = 1 << 16
 #: The block without data that ends every file.
@@ -86,6 +89,12 @@ class Stream:
         self.data = b"".join(parts) if len(parts) > 1 else self.data
         return have >= n
 
+    def place(self, at: int) -> tuple[int, int, int]:
+        """The block that holds byte ``at``, and where it begins and ends here."""
+        k = bisect.bisect_right(self.marks, at, key=lambda m: m[0]) - 1
+        begin, block = self.marks[k]
+        return block, begin, self.marks[k + 1][0] if k + 1 < len(self.marks) else len(self.data)
+
     def origin(self, at: int) -> int:
         return next(c for begin, c in reversed(self.marks) if begin <= at)
 
@@ -96,26 +105,51 @@ class Stream:
         self.marks = [(begin - n, c) for begin, c in self.marks[keep:]]
 
 
-def header(f) -> tuple[str, list[tuple[str, int]], int, int]:
-    """Header text, (name, length) of the references, and the block and place in it at which records begin."""
+@dataclass
+class Header:
+    """The head of a file: its bytes, the names of the references, and the block and place in it at which records begin."""
+
+    data: bytes
+    names: list[str]
+    block: int
+    skip: int
+
+
+def header(f, known: Header | None = None) -> Header:
+    """The head of a file; ``known``: another file's, whose names are taken over if the bytes are the same."""
     s = Stream(f, 0)
     if not s.need(8) or s.data[:4] != b"BAM\x01":
         raise ValueError("not a BAM file")
-    (n,) = struct.unpack_from("<i", s.data, 4)
-    s.need(12 + n)
-    text = s.data[8 : 8 + n].rstrip(b"\0").decode()
-    (count,) = struct.unpack_from("<i", s.data, 8 + n)
-    at, refs = 12 + n, []
-    for _ in range(count):
-        s.need(at + 4)
-        (size,) = struct.unpack_from("<i", s.data, at)
-        s.need(at + 8 + size)
-        refs.append((s.data[at + 4 : at + 3 + size].decode(), struct.unpack_from("<i", s.data, at + 4 + size)[0]))
-        at += 8 + size
+    if known and s.need(len(known.data)) and s.data.startswith(known.data):
+        at, names = len(known.data), known.names
+    else:
+        (n,) = struct.unpack_from("<i", s.data, 4)
+        s.need(12 + n)
+        (count,) = struct.unpack_from("<i", s.data, 8 + n)
+        at, names = 12 + n, []
+        for _ in range(count):
+            s.need(at + 4)
+            (size,) = struct.unpack_from("<i", s.data, at)
+            s.need(at + 8 + size)
+            names.append(s.data[at + 4 : at + 3 + size].decode())
+            at += 8 + size
+    data = s.data[:at]
     if not s.need(at + 1):
-        return text, refs, s.next, 0
+        return Header(data, names, s.next, 0)
     block = s.origin(at)
-    return text, refs, block, at - next(b for b, c in s.marks if c == block)
+    return Header(data, names, block, at - next(b for b, c in s.marks if c == block))
+
+
+#: The last head that this process read, and the file's path, size and time.
+_last: list = [None, None]
+
+
+def head_of(f, path: str, info) -> Header:
+    """The head of a file, kept for the next splits of the file and for files with the same head."""
+    key = (path, info.size, info.mtime_ns)
+    if _last[0] != key:
+        _last[:] = key, header(f, _last[1])
+    return _last[1]
 
 
 def plausible(data: bytes, at: int, refs: int) -> int | None:
@@ -147,6 +181,22 @@ def first_record(s: Stream, refs: int) -> int | None:
     return None
 
 
+class _Digits(dict):
+    """Bases as hexadecimal digits; what is no base becomes no digit."""
+
+    def __missing__(self, key: int) -> str:
+        return "?"
+
+
+_LETTERS = str.maketrans("0123456789abcdef", _BASES)
+_HEX = _Digits(str.maketrans(_BASES, "0123456789abcdef"))
+
+
+@functools.lru_cache(maxsize=1 << 14)
+def _cigar(data: bytes) -> str:
+    return "".join(f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack(f"<{len(data) // 4}I", data))
+
+
 def decode(data: bytes, names: list[str], lib: str) -> tuple | None:
     """The columns of ALIGNED from a record without its size, or None for an unmapped read."""
     ref, pos, n_name, mapq, _, n_cigar, flag, n_seq, *_ = struct.unpack_from("<iiBBHHHi", data)
@@ -154,30 +204,30 @@ def decode(data: bytes, names: list[str], lib: str) -> tuple | None:
         return None
     at = 32 + n_name
     name = data[32 : at - 1].decode()
-    cigar = "".join(f"{c >> 4}{_OPS[c & 15]}" for c in struct.unpack_from(f"<{n_cigar}I", data, at))
+    cigar = _cigar(data[at : at + 4 * n_cigar])
     at += 4 * n_cigar
     packed = data[at : at + (n_seq + 1) // 2]
-    seq = "".join(_BASES[b >> 4] + _BASES[b & 15] for b in packed)[:n_seq]
+    seq = packed.hex().translate(_LETTERS)[:n_seq]
     at += (n_seq + 1) // 2 + n_seq
-    tags: dict[str, object] = {}
+    tags: dict[bytes, object] = {}
     while at + 3 <= len(data):
-        key, kind = data[at : at + 2].decode("latin-1"), chr(data[at + 2])
+        key, kind = data[at : at + 2], data[at + 2]
         at += 3
         if kind in _NUMBERS:
-            (tags[key],) = struct.unpack_from(_NUMBERS[kind], data, at)
-            at += struct.calcsize(_NUMBERS[kind])
-        elif kind in "ZH":
+            (tags[key],) = _NUMBERS[kind].unpack_from(data, at)
+            at += _NUMBERS[kind].size
+        elif kind in _TEXTS:
             end = data.index(0, at)
             tags[key], at = data[at:end].decode(), end + 1
-        elif kind == "A":
+        elif kind == ord("A"):
             tags[key], at = chr(data[at]), at + 1
-        elif kind == "B":
+        elif kind == ord("B"):
             (n,) = struct.unpack_from("<i", data, at + 1)
-            at += 5 + n * struct.calcsize(_NUMBERS[chr(data[at])])
+            at += 5 + n * _NUMBERS[data[at]].size
         else:
-            raise ValueError(f"tag {key} of read {name} has the unknown type {kind}")
+            raise ValueError(f"tag {key.decode('latin-1')} of read {name} has the unknown type {chr(kind)}")
     num = lambda k, to: to(tags[k]) if k in tags else None
-    return (tags.get("LB", lib), names[ref], pos, cigar or "*", bool(flag & 16), name, split_clips(cigar, seq), tags.get("MD"), mapq, num("X0", int), num("X1", int), num("AS", int), num("XS", int), num("PP", float))
+    return (tags.get(_LB, lib), names[ref], pos, cigar or "*", bool(flag & 16), name, split_clips(cigar, seq) if "S" in cigar else seq, tags.get(_MD), mapq, num(_X0, int), num(_X1, int), num(_AS, int), num(_XS, int), num(_PP, float))
 
 
 def bins_of(start: int, end: int) -> list[int]:
@@ -192,6 +242,7 @@ def bins_of(start: int, end: int) -> list[int]:
 
 #: Chunks with fewer bytes of the file between them are read as one.
 NEAR = 1 << 16
+_ZEROS = re.compile(rb"\0*")
 
 
 def index_chunks(data: bytes, wanted: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
@@ -200,9 +251,14 @@ def index_chunks(data: bytes, wanted: dict[int, list[tuple[int, int]]]) -> list[
     if data[:4] != b"BAI\x01":
         raise ValueError("not a BAM index")
     (refs,) = struct.unpack_from("<i", data, 4)
-    at, found = 8, []
-    for r in range(refs):
-        regions = wanted.get(r, [])
+    at, found, r = 8, [], 0
+    while r < refs:
+        # a reference without alignments is eight zero bytes
+        none = min((_ZEROS.match(data, at).end() - at) // 8, refs - r)
+        if none:
+            at, r = at + 8 * none, r + none
+            continue
+        regions, r = wanted.get(r, []), r + 1
         bins = {number for s, e in regions for number in bins_of(s, e)}
         (n,) = struct.unpack_from("<i", data, at)
         at, mine = at + 4, []
@@ -253,10 +309,11 @@ def parse_region(text: str) -> tuple[str, int, int]:
 
 
 class _Split(InputPartition):
-    """Blocks from ``start`` to ``end``; or virtual offsets from ``first`` to ``last``."""
+    """Blocks from ``start`` to ``end``; or virtual offsets from ``start`` and ``skip`` to ``last``.  The head, which may
+    list very many references, is read by the task."""
 
-    def __init__(self, path: str, names: list[str], start: int, end: int, skip: int | None = None, last: int | None = None):
-        self.path, self.names, self.start, self.end, self.skip, self.last = path, names, start, end, skip, last
+    def __init__(self, path: str, start: int, end: int, skip: int | None = None, last: int | None = None):
+        self.path, self.start, self.end, self.skip, self.last = path, start, end, skip, last
 
 
 class BamReader(SplitReader):
@@ -279,54 +336,57 @@ class BamReader(SplitReader):
     def partitions(self):
         from pyarrow import fs
 
-        out, regions = [], self.wanted()
-        for whole in super().partitions():
-            if whole.start or whole.path.endswith(".bai"):
-                continue
-            store, path = opened(whole.path)
-            size = store.get_file_info(path).size
-            with store.open_input_file(path) as f:
-                _, refs, block, skip = header(f)
-            names = [n for n, _ in refs]
-            asked = {names.index(c): r for c, r in regions.by.items() if c in names} if regions else {}
-            if regions and not asked:
+        out, regions, head = [], self.wanted(), None
+        for path, size in listed(self.path):
+            if path.endswith(".bai"):
                 continue
-            if regions and store.get_file_info(f"{path}.bai").type == fs.FileType.File:
-                with store.open_input_file(f"{path}.bai") as f:
-                    chunks = index_chunks(f.read(), asked)
-                out += [_Split(whole.path, names, b >> 16, size, b & 0xFFFF, e) for b, e in chunks]
-                continue
-            for s in range(0, size, self.split):
-                end = min(s + self.split, size)
-                if end > block:
-                    out.append(_Split(whole.path, names, max(s, block), end, skip if s <= block else None))
+            if regions:
+                store, at = opened(path)
+                with store.open_input_file(at) as f:
+                    head = header(f, head)
+                asked = {r: regions.by[c] for r, c in enumerate(head.names) if c in regions.by}
+                if not asked:
+                    continue
+                if store.get_file_info(f"{at}.bai").type == fs.FileType.File:
+                    with store.open_input_file(f"{at}.bai") as f:
+                        chunks = index_chunks(f.read(), asked)
+                    out += [_Split(path, b >> 16, size, b & 0xFFFF, e) for b, e in chunks]
+                    continue
+            out += [_Split(path, s, min(s + self.split, size)) for s in range(0, size, self.split)]
         return out
 
     def rows(self, part: _Split) -> Iterator[tuple]:
         store, path = opened(part.path)
-        size = store.get_file_info(path).size
+        info = store.get_file_info(path)
         regions = self.wanted()
         with store.open_input_file(path) as f:
-            start = part.start if part.skip is not None else first_block(f, part.start, size)
+            head = head_of(f, part.path, info)
+            start, skip = part.start, part.skip
+            if skip is None:
+                # a split may end or begin inside the head
+                if part.end <= head.block:
+                    return
+                start, skip = (head.block, head.skip) if start <= head.block else (first_block(f, start, info.size), None)
             if start >= part.end:
                 return
             s = Stream(f, start)
-            at = part.skip if part.skip is not None else first_record(s, len(part.names))
+            at = skip if skip is not None else first_record(s, len(head.names))
+            until = 0
             while at is not None and s.need(at + 4):
-                block = s.origin(at)
-                if block >= part.end:
-                    return
-                begin = next(b for b, c in reversed(s.marks) if c == block)
+                if at >= until:
+                    block, begin, until = s.place(at)
+                    if block >= part.end:
+                        return
                 if part.last is not None and (block << 16 | at - begin) >= part.last:
                     return
                 (n,) = struct.unpack_from("<i", s.data, at)
                 if not s.need(at + 4 + n):
                     raise ValueError(f"{part.path} ends inside a record")
-                row = decode(s.data[at + 4 : at + 4 + n], part.names, self.lib)
+                row = decode(s.data[at + 4 : at + 4 + n], head.names, self.lib)
                 at += 4 + n
                 if at > 1 << 20:
                     s.drop(at)
-                    at = 0
+                    at = until = 0
                 if row and (not regions or regions.reached(row[1], row[2], row[2] + reference_length(row[3]))):
                     yield row
 
@@ -343,6 +403,7 @@ class BamReader(SplitReader):
             yield _batch(rows)
 
 
+@functools.lru_cache(maxsize=1 << 14)
 def reference_length(cigar: str) -> int:
     return max(1, sum(int(n) for n, op in re.findall(r"(\d+)([MDN=X])", cigar)))
 
@@ -372,34 +433,41 @@ class BamSource(DataSource):
 # ---------------------------------------------------------------------------------------------------------------------
 # writing
 # ---------------------------------------------------------------------------------------------------------------------
+#: Bytes of a block before they are packed: packed, with their frame, they must stay under 64 kB.
+BLOCK = 60_000
+
+
 def _block(data: bytes) -> bytes:
     packer = zlib.compressobj(6, zlib.DEFLATED, -15)
     body = packer.compress(data) + packer.flush()
     return struct.pack("<4sIBBH2sHH", b"\x1f\x8b\x08\x04", 0, 0, 255, 6, b"BC", 2, len(body) + 25) + body + struct.pack("<II", zlib.crc32(data), len(data))
 
 
+@functools.lru_cache(maxsize=1 << 14)
+def _packed_cigar(cigar: str) -> bytes:
+    ops = [int(n) << 4 | _OPS.index(op) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", cigar)]
+    return struct.pack(f"<{len(ops)}I", *ops)
+
+
 def encode(row: dict, ref: int) -> bytes:
     """A record of an alignment (columns of ALIGNED; the query has its soft-clipped ends)."""
-    name = row["qname"].encode() + b"\0"
-    ops = [(int(n), _OPS.index(op)) for n, op in re.findall(r"(\d+)([MIDNSHP=X])", row["cigar"])]
-    seq = [_BASES.index(c) for c in row["query"]]
-    seq += [0] * (len(seq) % 2)
-    tags = b"".join(k.encode() + b"Z" + str(row[c]).encode() + b"\0" for k, c in (("MD", "md"), ("LB", "lib")) if row.get(c) is not None)
-    tags += b"".join(k.encode() + b"i" + struct.pack("<i", row[c]) for k, c in (("X0", "x0"), ("X1", "x1"), ("AS", "as_"), ("XS", "xs")) if row.get(c) is not None)
+    name, cigar, query, pos = row["qname"].encode() + b"\0", _packed_cigar(row["cigar"]), row["query"], row["pos"]
+    seq = bytes.fromhex(query.translate(_HEX) + "0" * (len(query) % 2))
+    tags = b"".join(k + str(row[c]).encode() + b"\0" for k, c in ((b"MDZ", "md"), (b"LBZ", "lib")) if row.get(c) is not None)
+    tags += b"".join(k + struct.pack("<i", row[c]) for k, c in ((b"X0i", "x0"), (b"X1i", "x1"), (b"ASi", "as_"), (b"XSi", "xs")) if row.get(c) is not None)
     tags += b"PPf" + struct.pack("<f", row["pp"]) if row.get("pp") is not None else b""
-    end = row["pos"] + reference_length(row["cigar"])
-    number = next(b for b in reversed(bins_of(row["pos"], end)) if _holds(b, row["pos"], end))
-    fixed = struct.pack("<iiBBHHHiiii", ref, row["pos"], len(name), row["mapq"] or 0, number, len(ops), 16 * bool(row["is_reverse"]), len(row["query"]), -1, -1, 0)
-    data = fixed + name + b"".join(struct.pack("<I", n << 4 | op) for n, op in ops) + bytes(a << 4 | b for a, b in zip(seq[::2], seq[1::2], strict=True)) + b"\xff" * len(row["query"]) + tags
-    return struct.pack("<i", len(data)) + data
+    number = bin_of(pos, pos + reference_length(row["cigar"]))
+    fixed = _HEAD.pack(32 + len(name) + len(cigar) + len(seq) + len(query) + len(tags), ref, pos, len(name), row["mapq"] or 0, number, len(cigar) // 4, 16 * bool(row["is_reverse"]), len(query), -1, -1, 0)
+    return b"".join((fixed, name, cigar, seq, b"\xff" * len(query), tags))
 
 
-def _holds(number: int, start: int, end: int) -> bool:
-    first, level = 0, 0
-    while number >= first + 8**level:
-        first, level = first + 8**level, level + 1
-    shift = 29 - 3 * level
-    return start >> shift == (end - 1) >> shift == number - first
+def bin_of(start: int, end: int) -> int:
+    """The finest of the index's bins that holds an alignment."""
+    for level in range(5, 0, -1):
+        shift = 29 - 3 * level
+        if start >> shift == (end - 1) >> shift:
+            return (8**level - 1) // 7 + (start >> shift)
+    return 0
 
 
 @dataclass
@@ -407,7 +475,7 @@ class _Written(WriterCommitMessage):
     files: list[str]
 
 
-class BamWriter(DataSourceWriter):
+class BamWriter(DataSourceArrowWriter):
     """A BAM file and its index for each partition, whose rows come in order.
 
     Tasks write to a folder beside the files, under names of their own; the commit moves what finished tasks report, so
@@ -418,7 +486,8 @@ class BamWriter(DataSourceWriter):
         self.path, self.refs, self.overwrite = options["path"].rstrip("/"), json.loads(options["refs"]), overwrite
         self.staged = f"{self.path}/_staged-{uuid.uuid4().hex}"
 
-    def write(self, rows: Iterator) -> _Written:
+    def write(self, batches: Iterator[pa.RecordBatch]) -> _Written:
+        rows = (dict(zip(b.schema.names, r, strict=True)) for b in batches for r in zip(*(c.to_pylist() for c in b.columns), strict=True))
         first = next(rows, None)
         if first is None:
             return _Written([])
@@ -426,7 +495,7 @@ class BamWriter(DataSourceWriter):
         store.create_dir(folder, recursive=True)
         name = f"part-{uuid.uuid4().hex}.bam"
         with store.open_output_stream(f"{folder}/{name}") as f:
-            index = write(f, (r.asDict() for r in itertools.chain([first], rows)), [tuple(r) for r in self.refs])
+            index = write(f, itertools.chain([first], rows), [tuple(r) for r in self.refs])
         with store.open_output_stream(f"{folder}/{name}.bai") as f:
             f.write(index)
         return _Written([name, f"{name}.bai"])
@@ -470,15 +539,16 @@ def write_bam(rows: DataFrame, path: str, refs: list[tuple[str, int]] | None = N
     dealt.sortWithinPartitions(*order).select(*ALIGNED.names).write.format("bam").option("refs", json.dumps(refs)).mode("overwrite").save(path)
 
 
-def write(f: io.BufferedIOBase, rows: Iterable[dict], refs: list[tuple[str, int]], block: int = 60_000) -> bytes:
+def write(f: io.BufferedIOBase, rows: Iterable[dict], refs: list[tuple[str, int]], block: int = BLOCK) -> bytes:
     """Write sorted alignments as a BAM file; returns its index."""
-    text = "@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in refs)
-    head = b"BAM\x01" + struct.pack("<i", len(text)) + text.encode() + struct.pack("<i", len(refs))
-    head += b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in refs)
+    text = ("@HD\tVN:1.6\tSO:coordinate\n" + "".join(f"@SQ\tSN:{n}\tLN:{size}\n" for n, size in refs)).encode()
+    head = b"".join((b"BAM\x01", struct.pack("<i", len(text)), text, struct.pack("<i", len(refs)), *(struct.pack("<i", len(n.encode()) + 1) + n.encode() + b"\0" + struct.pack("<i", size) for n, size in refs)))
     number = {n: i for i, (n, _) in enumerate(refs)}
-    bins: list[dict[int, list[tuple[int, int]]]] = [{} for _ in refs]
-    linear: list[dict[int, int]] = [{} for _ in refs]
-    written, pending = f.write(_block(head)), b""
+    # of references that occur: chunks by bin, and the first offset of each window
+    bins: dict[int, dict[int, list[tuple[int, int]]]] = {}
+    linear: dict[int, dict[int, int]] = {}
+    # the head takes as many blocks as it needs
+    written, pending = sum(f.write(_block(head[k : k + block])) for k in range(0, len(head), block)), bytearray()
 
     def here() -> int:
         return written << 16 | len(pending)
@@ -489,24 +559,31 @@ def write(f: io.BufferedIOBase, rows: Iterable[dict], refs: list[tuple[str, int]
         at = here()
         pending += data
         while len(pending) >= block:
-            written += f.write(_block(pending[:block]))
-            pending = pending[block:]
+            written += f.write(_block(bytes(pending[:block])))
+            del pending[:block]
         (bin_,) = struct.unpack_from("<H", data, 4 + 10)
-        bins[ref].setdefault(bin_, []).append((at, here()))
+        chunks = bins.setdefault(ref, {}).setdefault(bin_, [])
+        # records of a bin that follow each other are one chunk
+        if chunks and chunks[-1][1] == at:
+            chunks[-1] = (chunks[-1][0], here())
+        else:
+            chunks.append((at, here()))
+        windows = linear.setdefault(ref, {})
         for w in range(row["pos"] >> 14, (row["pos"] + reference_length(row["cigar"]) - 1 >> 14) + 1):
-            linear[ref].setdefault(w, at)
+            windows.setdefault(w, at)
     if pending:
-        f.write(_block(pending))
+        f.write(_block(bytes(pending)))
     f.write(END_BLOCK)
-    index = b"BAI\x01" + struct.pack("<i", len(refs))
-    for own, starts in zip(bins, linear, strict=True):
-        index += struct.pack("<i", len(own))
+    index = [b"BAI\x01" + struct.pack("<i", len(refs))]
+    for ref in range(len(refs)):
+        own, starts = bins.get(ref, {}), linear.get(ref, {})
+        index.append(struct.pack("<i", len(own)))
         for k, chunks in sorted(own.items()):
-            index += struct.pack("<Ii", k, len(chunks)) + b"".join(struct.pack("<QQ", *c) for c in chunks)
+            index.append(struct.pack("<Ii", k, len(chunks)) + b"".join(struct.pack("<QQ", *c) for c in chunks))
         n = max(starts, default=-1) + 1
         offsets, last = [], 0
         for w in range(n):
             last = starts.get(w, last)
             offsets.append(last)
-        index += struct.pack("<i", n) + b"".join(struct.pack("<Q", o) for o in offsets)
-    return index
+        index.append(struct.pack(f"<i{n}Q", n, *offsets))
+    return b"".join(index)

@@ -88,7 +88,7 @@ def build_annotation(loci: DataFrame, sizes: DataFrame | None = None) -> DataFra
     """Compiled annotation: segments with their feature combination by chromosome and strand."""
     if sizes is not None:
         loci = P.known_chromosomes(loci, sizes)
-    return I.compress(I.segments(loci, ["chrom", "sense"]), ["chrom", "sense"])
+    return I.compressed(loci, ["chrom", "sense"])
 
 
 def annotate_file(gff: DataFrame, loci: DataFrame, bounds: str = "off") -> DataFrame:

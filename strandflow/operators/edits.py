@@ -32,6 +32,8 @@ def weight(qname: Column, count: str = "uniq") -> Column:
 # SQL of the walks: operations of the CIGAR; insertions, and the query without them, over ``_ops``; the reference over ``_walk``.
 # Tokens of MD are numbers (below ':'), letters or ^letters.
 OPS = r"""transform(regexp_extract_all(cigar, '(\\d+)([A-Z])', 0), t -> struct(CAST(left(t, length(t) - 1) AS INT) AS n, right(t, 1) AS op))"""
+#: Reference bases of the CIGAR, by themselves: who reads places alone needs no walk.
+LENGTH = "aggregate(_ops, 0, (s, x) -> s + CASE WHEN x.op IN ('M', 'D') THEN x.n ELSE 0 END)"
 WALK = f"""
         aggregate(_ops, struct(0 AS j, query AS seq, CAST(array() AS {_INS}) AS ins, 0 AS alen), (s, x) -> CASE
           WHEN x.op = 'M' THEN struct(s.j + x.n AS j, s.seq AS seq, s.ins AS ins, s.alen + x.n AS alen)
@@ -56,7 +58,7 @@ def with_edits(aln: DataFrame) -> DataFrame:
     """
     out = aln.where(~F.col("cigar").rlike("[N=X]"))
     out = out.withColumn("_ops", F.expr(OPS)).withColumn("_walk", F.expr(WALK)).withColumn("_md", F.expr(MD))
-    out = out.withColumns({"edits": F.concat("_walk.ins", "_md.edits"), "alen": F.col("_walk.alen"), "ref": F.col("_md.seq")})
+    out = out.withColumns({"edits": F.concat("_walk.ins", "_md.edits"), "alen": F.expr(LENGTH), "ref": F.col("_md.seq")})
     return out.withColumns({"n_edits": F.size("edits"), "pend": F.col("pos") + F.col("alen")}).drop("_ops", "_walk", "_md")
 
 

@@ -6,6 +6,7 @@ import itertools
 import json
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -107,10 +108,21 @@ def _merged(intervals: list[list[int]]) -> list[list[int]]:
 
 
 def _merged_before(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Touching reads of a batch as one row, for all chromosomes of it in one pass: there may be one to each row."""
     for pdf in batches:
-        out = [(c, s, b, *i) for (c, s, b), g in pdf.groupby(["chrom", "strand", "base"], dropna=False, sort=False) for i in _merged([[p, e, 1] for p, e in zip(g["pos"].tolist(), g["pend"].tolist(), strict=True)])]
-        out = pd.DataFrame(out, columns=["chrom", "strand", "base", "start", "end", "n"])
-        yield out.assign(**{c: [None if x != x else x for x in out[c]] for c in ("chrom", "strand")})
+        if pdf.empty:
+            continue
+        group = pdf.groupby(["chrom", "strand", "base"], dropna=False, sort=False).ngroup().to_numpy()
+        pos, pend = pdf["pos"].to_numpy("int64"), pdf["pend"].to_numpy("int64")
+        order = np.lexsort((pend, pos, group))
+        group, pos, pend = group[order], pos[order], pend[order]
+        # the greatest end so far in its group: groups are moved apart
+        base = group * (pend.max() - pend.min() + 1)
+        top = np.maximum.accumulate(pend + base) - base
+        first = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (pos[1:] > top[:-1])])
+        keys = pdf[["chrom", "strand", "base"]].iloc[order[first]].reset_index(drop=True)
+        keys = keys.assign(**{c: [None if x != x else x for x in keys[c]] for c in ("chrom", "strand")})
+        yield keys.assign(start=pos[first], end=np.maximum.reduceat(pend, first), n=np.diff(np.r_[first, len(pos)]))
 
 
 def released_islands(reads: DataFrame, late: int) -> DataFrame:
@@ -130,18 +142,24 @@ def released_islands(reads: DataFrame, late: int) -> DataFrame:
             self.handle = handle
             self.bins = handle.getMapState("islands", "bin long", "base long, start array<bigint>, end array<bigint>, n array<bigint>")
 
-        def _load(self, k: int) -> list[list[int]]:
-            _, *columns = self.bins.getValue((k,))
-            return [list(map(int, x)) for x in zip(*columns, strict=True)]
+        @staticmethod
+        def _read(value: tuple) -> tuple[int, list[list[int]]]:
+            base, *columns = value
+            return int(base), [list(map(int, x)) for x in zip(*columns, strict=True)]
 
-        def _store(self, islands: list[list[int]], base: int) -> None:
+        def _store(self, islands: list[list[int]], base: int) -> set[int]:
+            """Write islands to their bins; the bins.  Each call of the state is a message to the JVM."""
+            bins = set()
             for k, own in itertools.groupby(islands, key=lambda x: x[0] // STATE_BIN):
                 starts, ends, n = map(list, zip(*own, strict=True))
                 self.bins.updateValue((k,), (base, starts, ends, n))
                 self.handle.registerTimer(max(ends) + base)
+                bins.add(k)
+            return bins
 
         def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
-            new = pd.concat(list(rows), ignore_index=True)
+            parts = list(rows)
+            new = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
             base = int(new["base"].iloc[0])
             found = _merged(list(map(list, zip(new["start"].tolist(), new["end"].tolist(), new["n"].tolist(), strict=True))))
             held = sorted(k for (k,) in self.bins.keys())
@@ -149,21 +167,21 @@ def released_islands(reads: DataFrame, late: int) -> DataFrame:
             # an island that reaches the first new one may begin in the last bin before it, not earlier: islands are apart
             low = max((k for k in held if k < first), default=first)
             touched = [k for k in held if low <= k <= max(i[1] for i in found) // STATE_BIN]
-            islands = _merged(found + [i for k in touched for i in self._load(k)])
+            islands = _merged(found + [i for k in touched for i in self._read(self.bins.getValue((k,)))[1]])
+            stored = self._store(islands, base)
             for k in touched:
-                self.bins.removeKey((k,))
-            self._store(islands, base)
+                if k not in stored:
+                    self.bins.removeKey((k,))
             yield from ()
 
         def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803 - Spark's names
             mark, out = timerValues.getCurrentWatermarkInMs(), []
-            for (k,) in sorted(self.bins.keys()):
-                base, islands = int(self.bins.getValue((k,))[0]), self._load(k)
-                closed = [i for i in islands if i[1] + base <= mark]
-                if closed:
-                    out += closed
+            # bins with what they hold come in one message
+            for k, (base, islands) in sorted((key[0], self._read(value)) for key, value in self.bins.iterator()):
+                closed, still = [i for i in islands if i[1] + base <= mark], [i for i in islands if i[1] + base > mark]
+                out += closed
+                if closed and not self._store(still, base):
                     self.bins.removeKey((k,))
-                    self._store([i for i in islands if i[1] + base > mark], base)
             if out:
                 yield pd.DataFrame([(*key, *i) for i in out], columns=["chrom", "strand", "start", "end", "n"])
 
